@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup
+from . import byte_bpe, exact_dedup, lang_id, mixing, quality_rules, sharding, simhash, token_store
+from .common import fresh_path
 
 SQL: dict[str, str] = {}
 
@@ -37,4 +38,33 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("bpe.n_tokens").alias("n_tokens"), F.col("bpe.ids_sha256").alias("ids_sha256"), F.col("bpe.decoded_sha256").alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_byte_bpe)}
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "tokens")
+    files = token_store.write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_store.read_tokens(spark, files).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = lang_id.held_out(F.col("doc_id"))
+    rows = lang_id.identify(docs.select("doc_id", "text"), docs.where(~out))
+    return rows.select("doc_id", out.alias("held_out"), F.col("lang_id.lang_pred").alias("lang_pred"), F.col("lang_id.score").alias("score"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir), shards=24)
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "first_position")
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op4_exact_dedup, op5_token_store, op6_byte_bpe, op7_lang_id, op8_quality_rules, op9_sharding, op10_mixing)}
