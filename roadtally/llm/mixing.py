@@ -57,13 +57,17 @@ def position(x: Column, target: Column, slope: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * share / (b + root)))
 
 
+def _row_hash(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", steepness: float = STEEPNESS) -> DataFrame:
     """One row per input row, range-sorted by its first training position.
 
-    doc_id, source, size, source_size, target, copies, taken, positions (one for each copy).
+    doc_id, source, h (hash of id and text), size, source_size, target, copies, taken, positions (one for each copy).
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_or_empty(text_col)).cast("long").alias("size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_or_empty(text_col)).cast("long").alias("size"), _row_hash(id_col, text_col).alias("h"))
     rows = materialise(rows.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")), "mix-rows")
     # code points sort as UTF-8 bytes do; as many rows as there are sources
     sizes = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
@@ -91,7 +95,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     x = lambda k: F.least(F.col("target"), F.col("middle") + k * F.col("source_size"))
     when = F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.when(F.col("target") > 0, position(x(k), F.col("target"), F.col("slope"))).otherwise(0.0))
     rows = rows.withColumn("positions", F.when(F.col("copies") > 0, when).otherwise(F.array().cast("array<double>")))
-    rows = rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions", F.get("positions", F.lit(0)).alias("first_position"))
+    rows = rows.select("doc_id", "source", "h", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions", F.get("positions", F.lit(0)).alias("first_position"))
     # whole rows in the key, so that equal positions don't meet in one task
     return rows.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
@@ -99,10 +103,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed documents, one row for each copy, in training order; the columns are those of ``docs``."""
     mixed = mix(docs, id_col, text_col, source_col).where("copies > 0")
-    # rows that share id, source and size have the same total of copies whichever of them takes it
-    plan = mixed.groupBy("doc_id", "source", "size").agg(F.flatten(F.collect_list("positions")).alias("__position"), F.count("*").alias("__rows"))
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__position")
-    keyed = docs.withColumn("__words", word_count(text_or_empty(text_col)).cast("long")).dropDuplicates([id_col, source_col, "__words"])
-    joined = keyed.join(plan, keyed[id_col].eqNullSafe(plan["__id"]) & keyed[source_col].eqNullSafe(plan["__source"]) & (keyed["__words"] == plan["__size"]))
+    # equal rows share a plan: which of them a copy is made of makes no difference
+    plan = mixed.groupBy("doc_id", "source", "h").agg(F.flatten(F.collect_list("positions")).alias("__position"))
+    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("h").alias("__plan"), "__position")
+    keyed = docs.withColumn("__h", _row_hash(id_col, text_col)).dropDuplicates([id_col, source_col, "__h"])
+    joined = keyed.join(plan, keyed[id_col].eqNullSafe(plan["__id"]) & keyed[source_col].eqNullSafe(plan["__source"]) & (keyed["__h"] == plan["__plan"]))
     copies = joined.withColumn("__position", F.explode("__position"))
     return copies.repartitionByRange("__position", id_col).sortWithinPartitions("__position", id_col).select(*[F.col(c) for c in docs.columns])

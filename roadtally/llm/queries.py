@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, lang_id, lattice_lm, mixing, quality_rules, sharding, simhash, token_store
+from . import byte_bpe, exact_dedup, lang_id, lattice_lm, mixing, quality_rules, sharding, simhash, suffix_dedup, token_store
 from .common import fresh_path
 
 SQL: dict[str, str] = {}
@@ -64,11 +64,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_components(documents(spark, sf_dir))
+    return simhash.near_components(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
 def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_lattice_lm, op4_exact_dedup, op5_token_store, op6_byte_bpe, op7_lang_id, op8_quality_rules, op9_sharding, op10_mixing)}
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), keep_bytes=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_lattice_lm, op3_suffix_dedup, op4_exact_dedup, op5_token_store, op6_byte_bpe, op7_lang_id, op8_quality_rules, op9_sharding, op10_mixing)}

@@ -188,20 +188,22 @@ def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (hex), component_id."""
-    rows = fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "fp")
-    rows = materialise(rows, "simhash-rows")
+    """One row per input row: doc_id, fingerprint (hex), component_id, component, text_hash."""
+    rows = fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    rows = materialise(rows.select("doc_id", "fp", F.xxhash64("text").alias("text_hash")), "simhash-rows")
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     member = components(links(distinct.select("fp"), hot)).withColumnRenamed("node", "fp")
     member = materialise(member, "simhash-members")
     placed = distinct.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = materialise(placed.join(smallest, "component").select("fp", "component_id"), "simhash-named")
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = materialise(placed.join(smallest, "component").select("fp", "component", "component_id"), "simhash-named")
+    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component", "text_hash")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest id."""
-    stays = near_components(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(stays, docs[id_col].eqNullSafe(stays["__stays"])).drop("__stays")
-    return kept.dropDuplicates([id_col])
+    """``docs`` with one document of each group: that of the smallest id; of repeated rows one."""
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))
+    stays = near_components(docs, id_col, text_col).groupBy("component").agg(F.min(order).alias("s")).select(F.col("s.id").alias("__id"), F.col("s.h").alias("__stays"))
+    keyed = docs.withColumn("__h", F.xxhash64(F.col(text_col)))
+    kept = keyed.join(stays, keyed[id_col].eqNullSafe(stays["__id"]) & (keyed["__h"] == stays["__stays"]))
+    return kept.dropDuplicates([id_col, "__h"]).select(*[F.col(c) for c in docs.columns])
