@@ -1,6 +1,6 @@
 """Registered queries: every operator applied to views of the given tables."""
 
-from . import scalars
+from . import checks, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "scalars"]
+__all__ = ["QUERIES", "SQL", "checks", "scalars"]
