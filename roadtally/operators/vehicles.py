@@ -103,7 +103,7 @@ PERIODS = {"HPM": ([7, 8], 3), "HPS": ([16, 17], 3), "jour": (list(range(6, 22))
 
 def peak_periods(week: DataFrame) -> DataFrame:
     """Mean of each period by direction and vehicle.  The sums run over the seven weekdays, without a division by 7."""
-    cols = [half_even(F.sum(F.when(F.col("heure").isin(hours), F.col("nb_veh")).otherwise(0.0)) / n, 2).alias(name) for name, (hours, n) in PERIODS.items()]
+    cols = [half_even(F.sum(F.when(F.col("heure").isin(hours), F.col("nb_veh")).otherwise(0.0)) / n).alias(name) for name, (hours, n) in PERIODS.items()]
     return week.groupBy("id_comptag", "sens", "type_veh").agg(*cols)
 
 

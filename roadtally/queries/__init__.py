@@ -1,6 +1,6 @@
 """Registered queries: every operator applied to views of the given tables."""
 
-from . import aggregations, checks, scalars
+from . import aggregations, checks, relations, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregations", "checks", "scalars"]
+__all__ = ["QUERIES", "SQL", "aggregations", "checks", "relations", "scalars"]

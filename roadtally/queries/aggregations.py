@@ -139,8 +139,8 @@ def agg_direction_compare(spark, d):
 
 
 @query(f"""
-SELECT id_comptag, sens, type_veh, round_even(round(sum(CASE WHEN heure IN (7, 8) THEN nb_veh ELSE 0 END) / 3, 9), 2) AS HPM, round_even(round(sum(CASE WHEN heure IN (16, 17) THEN nb_veh ELSE 0 END) / 3, 9), 2) AS HPS,
-       round_even(round(sum(CASE WHEN heure BETWEEN 6 AND 21 THEN nb_veh ELSE 0 END) / 16, 9), 2) AS jour, round_even(round(sum(CASE WHEN heure NOT BETWEEN 6 AND 21 THEN nb_veh ELSE 0 END) / 8, 9), 2) AS nuit FROM {_WEEK} GROUP BY ALL""")
+SELECT id_comptag, sens, type_veh, round_even(round(sum(CASE WHEN heure IN (7, 8) THEN nb_veh ELSE 0 END) / 3, 9), 0) AS HPM, round_even(round(sum(CASE WHEN heure IN (16, 17) THEN nb_veh ELSE 0 END) / 3, 9), 0) AS HPS,
+       round_even(round(sum(CASE WHEN heure BETWEEN 6 AND 21 THEN nb_veh ELSE 0 END) / 16, 9), 0) AS jour, round_even(round(sum(CASE WHEN heure NOT BETWEEN 6 AND 21 THEN nb_veh ELSE 0 END) / 8, 9), 0) AS nuit FROM {_WEEK} GROUP BY ALL""")
 def agg_peak_periods(spark, d):
     return ve.peak_periods(ve.average_week(S.passages(spark, d)))
 
@@ -170,9 +170,9 @@ def agg_speed_class_table(spark, d):
 
 
 @query(f"""
-SELECT sens, hour(pas) AS heure, type_jour, round(avg(v85), 4) AS v85 FROM {_V85}, LATERAL (SELECT unnest(CASE isodow(pas) WHEN 6 THEN ['mja', 'samedi'] WHEN 7 THEN ['mja', 'dimanche'] ELSE ['mja', 'mjo'] END) AS type_jour) GROUP BY ALL""")
+SELECT sens, hour(pas) AS heure, type_jour, round(avg(v85), 8) AS v85 FROM {_V85}, LATERAL (SELECT unnest(CASE isodow(pas) WHEN 6 THEN ['mja', 'samedi'] WHEN 7 THEN ['mja', 'dimanche'] ELSE ['mja', 'mjo'] END) AS type_jour) GROUP BY ALL""")
 def agg_speed_profile(spark, d):
-    return ve.speed_profile(S.passages(spark, d)).withColumn("v85", F.round("v85", 4))
+    return ve.speed_profile(S.passages(spark, d)).withColumn("v85", F.round("v85", 8))
 
 
 @query("""
