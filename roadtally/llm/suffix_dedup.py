@@ -14,6 +14,9 @@ drops those that are unique.  Here a rank is a hash of the prefix, Spark sorts
    20 bytes of smallest hash in it.  Equal strings have equal minimizers, so a
    string whose minimizer no other document has is unique.
 4. 35 bytes: the minimizer with 15 more on the side where the string has them.
+   Beside them, past the threshold again, pieces: the stretch of neighbouring
+   strings with one minimizer.  A piece that a smaller document has too settles
+   all its strings at once.
 5. 50 bytes: what is left, by 128-bit hashes.
 
 Every string is ranked at full length or proved unique on the way; nothing is
@@ -95,12 +98,15 @@ class Block:
 
     def pick(self, values: np.ndarray, parts: np.ndarray, marks: list) -> np.ndarray:
         """Which values are among the marks of their own text (marks: an array or None for each text)."""
-        out = np.zeros(len(values), bool)
-        cuts = np.searchsorted(parts, np.arange(len(self.row) + 1))
-        for k, row in enumerate(self.row.tolist()):
-            if marks[row] is not None and cuts[k] < cuts[k + 1]:
-                out[cuts[k] : cuts[k + 1]] = np.isin(values[cuts[k] : cuts[k + 1]], marks[row])
-        return out
+        known = [k for k, m in enumerate(marks) if m is not None]
+        if not known or not len(values):
+            return np.zeros(len(values), bool)
+        salt = np.uint64(0x9E3779B97F4A7C15)
+        of = np.repeat(np.array(known, np.uint64), [len(marks[k]) for k in known])
+        held = np.sort(np.concatenate([marks[k] for k in known]).view(np.uint64) ^ of * salt)
+        asked = values.view(np.uint64) ^ self.row[parts].astype(np.uint64) * salt
+        place = np.searchsorted(held, asked)
+        return held[np.minimum(place, len(held) - 1)] == asked
 
     def settled(self, marks: list) -> np.ndarray:
         """Places whose string starts in a cell that a smaller document has too."""
@@ -126,19 +132,43 @@ class Block:
         places = np.flatnonzero((self.room >= LENGTH) & ~self.settled(marks))
         return places, (v[places] & low).astype(np.int64)
 
-    def contexts(self, places: np.ndarray, minimizers: np.ndarray) -> np.ndarray:
-        """A 64-bit hash for each place: the minimizer and 15 bytes to the left, or else to the right."""
-        left = minimizers - places >= MORE
-        key = minimizers * 2 + left
-        one, back = np.unique(key, return_inverse=True)
+    def candidates(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Open places whose minimizer another text has, and their minimizers."""
+        places, minimizers = self.open_places(_marks(rows, "cells"))
+        new = np.append(True, np.diff(minimizers) != 0)[: len(minimizers)]
+        hit = self.pick(self.gram[minimizers[new]].view(np.int64), self.part[places[new]], _marks(rows, "grams"))
+        hit = hit[np.cumsum(new) - 1] if len(places) else hit
+        return places[hit], minimizers[hit]
+
+    def contexts(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit hashes of the minimizers with 15 bytes to the left, or else to the right; and which of them each place has."""
+        key = minimizers * 2 + (minimizers - places >= MORE)
+        new = np.append(True, np.diff(key) != 0)[: len(key)]
         digest, data = xxhash.xxh3_64_intdigest, self.data
-        found = [digest(data[(k >> 1) - MORE : (k >> 1) + GRAM], 1) if k & 1 else digest(data[k >> 1 : (k >> 1) + GRAM + MORE], 2) for k in one.tolist()]
-        return np.array(found, np.uint64).view(np.int64)[back]
+        found = [digest(data[(k >> 1) - MORE : (k >> 1) + GRAM], 1) if k & 1 else digest(data[k >> 1 : (k >> 1) + GRAM + MORE], 2) for k in key[new].tolist()]
+        return np.array(found, np.uint64).view(np.int64), np.cumsum(new) - 1
+
+    def pieces(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of each stretch of neighbours with one minimizer."""
+        new = np.append(True, (np.diff(minimizers) != 0) | (np.diff(places) != 1))[: len(places)]
+        return places[new], places[np.append(new[1:], True)[: len(places)]]
+
+    def inside(self, at: list, n: list | None = None) -> np.ndarray:
+        """Marks the places that are listed for each text (with ``n``: so many from each on)."""
+        edge = np.zeros(self.size + 1, np.int32)
+        for k, row in enumerate(self.row.tolist()):
+            if at[row] is not None:
+                own = at[row] - self.base[k]
+                here = (own >= 0) & (own < SEGMENT)
+                own = own[here] + self.first[k]
+                np.add.at(edge, own, 1)
+                np.add.at(edge, own + (1 if n is None else n[row][here]), -1)
+        return np.cumsum(edge[:-1]) > 0
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[Block, pd.DataFrame]]:
     for batch in batches:
-        texts = [t.encode() for t in batch["text"].tolist()]
+        texts = batch["text"].tolist()
         at, size = 0, 0
         for k, t in enumerate(texts):
             size += len(t)
@@ -176,47 +206,49 @@ def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Contexts (n = 0) and pieces (n = their places) of the candidates."""
     for block, rows in _blocks(batches):
-        places, minimizers = block.open_places(_marks(rows, "cells"))
-        hit = block.pick(block.gram[minimizers].view(np.int64), block.part[places], _marks(rows, "grams"))
-        places, minimizers = places[hit], minimizers[hit]
-        yield _ranked(block, rows, block.part[places], block.contexts(places, minimizers))
+        places, minimizers = block.candidates(rows)
+        h, of = block.contexts(places, minimizers)
+        first = np.append(True, np.diff(of) != 0)[: len(of)]
+        ranked = _ranked(block, rows, block.part[places[first]], h)
+        yield ranked.assign(h2=0, at=np.int32(0), n=np.int32(0))
+        a, b = block.pieces(places, minimizers)
+        h, part = block.hashes(a, b + LENGTH), block.part[a]
+        row = block.row[part]
+        yield pd.DataFrame({"h": h[:, 0], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row], "h2": h[:, 1], "at": (a - block.first[part] + block.base[part]).astype(np.int32), "n": (b - a + 1).astype(np.int32)})
 
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for block, rows in _blocks(batches):
-        places, minimizers = block.open_places(_marks(rows, "cells"))
-        hit = block.pick(block.gram[minimizers].view(np.int64), block.part[places], _marks(rows, "grams"))
-        places, minimizers = places[hit], minimizers[hit]
-        hit = block.pick(block.contexts(places, minimizers), block.part[places], _marks(rows, "contexts"))
-        places = places[hit]
+        places, minimizers = block.candidates(rows)
+        done = block.inside(_marks(rows, "pieces_at"), _marks(rows, "pieces_n"))[places]
+        places, minimizers = places[~done], minimizers[~done]
+        h, of = block.contexts(places, minimizers)
+        first = np.append(True, np.diff(of) != 0)[: len(of)]
+        hit = block.pick(h, block.part[places[first]], _marks(rows, "contexts"))
+        places = places[hit[of]] if len(places) else places
         h, part = block.hashes(places, places + LENGTH), block.part[places]
         row = block.row[part]
-        yield pd.DataFrame({"h": h[:, 0], "h2": h[:, 1], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row], "at": places - block.first[part] + block.base[part]})
+        yield pd.DataFrame({"h": h[:, 0], "h2": h[:, 1], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row], "at": (places - block.first[part] + block.base[part]).astype(np.int32)})
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for block, rows in _blocks(batches):
-        texts = [t.encode() for t in rows["text"].tolist()]
-        edges = [np.zeros(len(t) + 1, np.int32) for t in texts]
-        places = np.flatnonzero(block.settled(_marks(rows, "cells")))
-        part = block.part[places]
-        places = places - block.first[part] + block.base[part]
-        cuts = np.searchsorted(part, np.arange(len(block.row) + 1))
+        starts = block.settled(_marks(rows, "cells")) | block.inside(_marks(rows, "pieces_at"), _marks(rows, "pieces_n")) | block.inside(_marks(rows, "at"))
+        n = np.cumsum(starts)
+        covered = n - np.append(np.zeros(LENGTH, n.dtype), n)[: len(n)] > 0  # a string starts in the last 50 places; none crosses texts
+        texts = rows["text"].tolist()
+        gone = [np.zeros(len(t), bool) for t in texts]
         for k, row in enumerate(block.row.tolist()):
-            own = places[cuts[k] : cuts[k + 1]]
-            np.add.at(edges[row], own, 1)
-            np.add.at(edges[row], own + LENGTH, -1)
+            part = covered[block.first[k] : block.stop[k]]
+            gone[row][block.base[k] : block.base[k] + len(part)] |= part
         out = []
-        for text, edge, at, copy in zip(texts, edges, _marks(rows, "at"), rows["copy"].tolist()):
-            if at is not None:
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + LENGTH, -1)
-            gone = np.cumsum(edge[:-1]) > 0
+        for text, own, copy in zip(texts, gone, rows["copy"].tolist()):
             if copy and len(text) >= LENGTH:
-                gone[:] = True
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            out.append((len(text), int(gone.sum()), int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum()), kept))
+                own[:] = True
+            kept = np.frombuffer(text, np.uint8)[~own].tobytes() if own.any() else text
+            out.append((len(text), int(own.sum()), int(own[:1].sum()) + int((~own[:-1] & own[1:]).sum()), kept))
         done = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
         done["kept_sha256"] = [hashlib.sha256(k).hexdigest() for k in done["kept"]]
         yield done.assign(doc_id=rows["doc_id"].astype("Int64").to_numpy())
@@ -230,17 +262,14 @@ def _listed(marked: DataFrame, value: str, name: str, step: str) -> DataFrame:
     return materialise(marked.groupBy("doc", "sub").agg(F.collect_list(value).alias(name)), step)
 
 
-def _seen_before(rows: DataFrame, *rank: str) -> DataFrame:
-    """Rows whose rank a document with a smaller id has."""
-    upto = Window.partitionBy(*rank).orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("least", F.first("doc").over(upto)).where("least < doc")
+def _placed(rows: DataFrame, *rank: str) -> DataFrame:
+    """Rows with the smallest document of their rank, and whether another row follows: one sort, nothing is held."""
+    order = Window.partitionBy(*rank).orderBy("doc")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("least", F.first("doc").over(upto)).withColumn("next", F.lead("doc").over(order))
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows whose rank another text has."""
-    order = Window.partitionBy("h").orderBy("doc")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("least", F.first("doc").over(upto)).withColumn("next", F.lead("doc").over(order)).where("least < doc or next is not null")
+SEEN_BEFORE, SHARED = "least < doc", "least < doc or next is not null"
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True) -> DataFrame:
@@ -249,13 +278,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     repeated = not base.groupBy("doc_id").count().where("count > 1").isEmpty()
     sub = F.xxhash64("text") if repeated else F.lit(0).cast("long")  # tells texts of one id apart
-    base = base.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), sub.alias("sub"), "text")
+    base = base.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), sub.alias("sub"), F.col("text").cast("binary").alias("text"))
     table = f"texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base.write.bucketBy(buckets, "doc", "sub").option("compression", "zstd").option("path", fresh_path(spark, "repeats-table")).saveAsTable(table)
     texts = spark.table(table)
 
-    whole = materialise(texts.select("doc", "sub", F.md5(F.col("text").cast("binary")).alias("h")), "repeats-texts")
+    whole = materialise(texts.select("doc", "sub", F.md5("text").alias("h")), "repeats-texts")
     copies = whole.join(whole.groupBy("h").agg(F.min("doc").alias("least")), "h").where("doc > least").select("doc", "sub", F.lit(True).alias("copy")).distinct()
     copies = materialise(copies, "repeats-copies")
 
@@ -269,11 +298,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows = with_marks(*marks, how=how).where("copy is null").drop("copy", "doc_id")
         return rows.mapInPandas(function, schema)
 
-    cells = _listed(_seen_before(step(_cells, "h long, h2 long, doc long, sub long"), "h", "h2"), "h", "cells", "repeats-cells")
-    grams = _listed(_shared(step(_grams, RANK, cells)), "h", "grams", "repeats-grams")
-    contexts = _listed(_shared(step(_contexts, RANK, cells, grams, how="inner")), "h", "contexts", "repeats-contexts")
-    strings = step(_strings, "h long, h2 long, doc long, sub long, at int", cells, grams, contexts, how="inner")
-    at = _listed(_seen_before(strings, "h", "h2"), "at", "at", "repeats-strings")
+    cells = _listed(_placed(step(_cells, "h long, h2 long, doc long, sub long"), "h", "h2").where(SEEN_BEFORE), "h", "cells", "repeats-cells")
+    grams = _listed(_placed(step(_grams, RANK, cells), "h").where(SHARED), "h", "grams", "repeats-grams")
+    ranks = step(_contexts, RANK + ", h2 long, at int, n int", cells, grams, how="inner")
+    both = _placed(ranks, "h", "h2").where(f"n = 0 and ({SHARED}) or n > 0 and {SEEN_BEFORE}").groupBy("doc", "sub")
+    whole_piece = F.col("n") > 0
+    both = both.agg(F.collect_list(F.when(~whole_piece, F.col("h"))).alias("contexts"), F.collect_list(F.when(whole_piece, F.struct("at", "n"))).alias("p"))
+    both = materialise(both.select("doc", "sub", "contexts", F.col("p.at").alias("pieces_at"), F.col("p.n").alias("pieces_n")), "repeats-contexts")
+    strings = step(_strings, "h long, h2 long, doc long, sub long, at int", cells, grams, both, how="inner")
+    at = _listed(_placed(strings, "h", "h2").where(SEEN_BEFORE), "at", "at", "repeats-strings")
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,4 +314,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for frame in _cut(batches):
             yield frame[names]
 
-    return with_marks(cells, at).select("doc_id", "text", "copy", "cells", "at").mapInPandas(cut, fields)
+    marks = with_marks(cells, both.drop("contexts"), at)
+    return marks.select("doc_id", "text", "copy", "cells", "pieces_at", "pieces_n", "at").mapInPandas(cut, fields)
