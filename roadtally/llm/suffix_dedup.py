@@ -72,10 +72,11 @@ class Block:
         self.room = self.stop[self.part] - np.arange(self.size)  # bytes up to the end of the text
         h = np.zeros(self.size + WINDOW, np.uint64)
         for c, at in zip(MIX, [*range(0, GRAM - 7, 8), GRAM - 8]):
-            h ^= np.ndarray((len(h),), "<u8", self.data, at, (1,)) * c
-            h ^= h >> np.uint64(31)
-            h *= MIX[3]
-        self.gram = h ^ (h >> np.uint64(29))
+            h += np.ndarray((len(h),), "<u8", self.data, at, (1,)) * c
+        h ^= h >> np.uint64(31)
+        h *= MIX[3]
+        h ^= h >> np.uint64(29)
+        self.gram = h
 
     def cells(self) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of the cells in which strings start."""
@@ -110,6 +111,8 @@ class Block:
 
     def settled(self, marks: list) -> np.ndarray:
         """Places whose string starts in a cell that a smaller document has too."""
+        if all(m is None for m in marks):
+            return np.zeros(self.size, bool)
         start, end = self.cells()
         known = np.array([m is not None for m in marks], bool)[self.row[self.part[start]]]
         start, end = start[known], end[known]
@@ -184,10 +187,9 @@ def _marks(rows: pd.DataFrame, col: str) -> list:
 def _ranked(block: Block, rows: pd.DataFrame, parts: np.ndarray, values: np.ndarray) -> pd.DataFrame:
     """(rank, doc, sub) with each rank once for each text."""
     row = block.row[parts]
-    order = np.lexsort((values, row))
-    row, values = row[order], values[order]
-    new = np.append(True, (row[1:] != row[:-1]) | (values[1:] != values[:-1]))[: len(row)]
-    row, values = row[new], values[new]
+    mixed = values.view(np.uint64) ^ row.astype(np.uint64) * MIX[0]
+    _, once = np.unique(mixed, return_index=True)
+    row, values = row[once], values[once]
     return pd.DataFrame({"h": values, "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row]})
 
 
