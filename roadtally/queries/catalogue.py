@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import standins as S
@@ -27,14 +28,11 @@ _POINTS = "(SELECT *, dep AS gid, CASE WHEN pr % 4 <> 0 THEN pr % 2 = 0 END AS v
 _ORDER = f"{_RANK.format('type_poste')} DESC, CASE WHEN coalesce(vacances, true) THEN 1 ELSE 2 END DESC, tmja DESC, pc_pl DESC, id_comptag"
 
 
-@query(f"SELECT id_comptag, row_number() OVER (ORDER BY {_ORDER}) AS rang FROM {_POINTS} QUALIFY row_number() OVER (PARTITION BY gid ORDER BY {_ORDER}) <= 3")
+@query(f"SELECT id_comptag, gid, row_number() OVER (PARTITION BY gid ORDER BY {_ORDER}) AS rang FROM {_POINTS}")
 def match_score(spark, d):
-    from pyspark.sql import Window
-
-    p = points(spark, d).withColumn("score", ma.score())
-    top = F.row_number().over(Window.partitionBy("gid").orderBy("score"))
-    # a rank over all points is the report itself
-    return p.select("id_comptag", F.row_number().over(Window.orderBy("score")).alias("rang"), top.alias("n")).where("n <= 3").drop("n")
+    """Rank of every point on its section."""
+    place = F.row_number().over(Window.partitionBy("gid").orderBy(ma.score()))
+    return points(spark, d).select("id_comptag", "gid", place.alias("rang"))
 
 
 @query(f"SELECT id_comptag, gid, first_value(id_comptag) OVER w AS id_ref, first_value(id_comptag) OVER w = id_comptag AS est_ref FROM {_POINTS} WINDOW w AS (PARTITION BY gid ORDER BY {_ORDER})")
