@@ -109,7 +109,7 @@ class Writer:
         index = struct.pack("<I", len(self.index)) + np.array(self.index, INDEX).tobytes()
         self.out.write(struct.pack("<II", INDEX_MAGIC, len(index)) + index)
         table = np.array(self.table, TABLE).tobytes() + struct.pack("<IBI", len(self.table), 0x80, TAIL_MAGIC)
-        self.out.write(struct.pack("<II", SEEK_MAGIC, len(table)) + table + struct.pack("<I", len(index)))
+        self.out.write(struct.pack("<II", SEEK_MAGIC, len(table)) + table)
 
 
 class Reader:
@@ -117,13 +117,14 @@ class Reader:
 
     def __init__(self, file):
         self.file, end = file, file.size()
-        n, _, magic, index_size = struct.unpack("<IBII", self._at(end - 13, 13))
+        n, _, magic = struct.unpack("<IBI", self._at(end - 9, 9))
         if magic != TAIL_MAGIC:
             raise ValueError("not a token file: the seek table is missing")
-        table_at = end - 13 - n * TABLE.itemsize
-        self.table = np.frombuffer(self._at(table_at, n * TABLE.itemsize), TABLE)
-        self.index = np.frombuffer(self._at(table_at - 8 - index_size, index_size)[4:], INDEX)
+        self.table = np.frombuffer(self._at(end - 9 - n * TABLE.itemsize, n * TABLE.itemsize), TABLE)
         self.starts = np.concatenate([[0], np.cumsum(self.table["packed"], dtype="i8")])
+        index_at = int(self.starts[-1])  # the index follows the last frame
+        _, size = struct.unpack("<II", self._at(index_at, 8))
+        self.index = np.frombuffer(self._at(index_at + 8, size)[4:], INDEX)
         self.held = (-1, b"")
 
     def _at(self, place: int, size: int) -> bytes:
@@ -168,7 +169,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
                     store, root = pafs.FileSystem.from_uri(folder)
                     store.create_dir(root, recursive=True)
                     name = f"{root}/{uuid.uuid4().hex}"
-                    out = store.open_output_stream(name + ".part")
+                    out = store.open_output_stream(name + ".part", compression=None)
                     writer = Writer(out)
                 ids = encoder.encode(text or "") + end
                 writer.add(doc_id, ids)
