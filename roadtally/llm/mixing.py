@@ -10,8 +10,8 @@ x: the quadratic is inverted in closed form, and rows are range-sorted by it.
 
 A source's stream is its documents in hash order, over and over until the
 target is met: ``floor(target / source_size)`` whole passes, and a last pass
-of the documents that end below the target.  One later document, that whose
-size comes nearest to what is still missing, fills the gap.  Running totals are made in two steps, over hash buckets and then
+of the documents that fit in it, up to the target.  One later document, that
+whose size comes nearest to what is still missing, fills the gap.  Running totals are made in two steps, over hash buckets and then
 inside a bucket, so a source with a third of all rows spreads over many tasks.
 
 Defined results: null text has size 0; the null source is a source, the last;
@@ -73,17 +73,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
     plan = [(s, n, t, (2 * k / (len(sizes) - 1) - 1) * steepness if len(sizes) > 1 else 0.0) for k, (s, n, t) in enumerate(targets(sizes))]
     plan_table = spark.createDataFrame(plan, "source string, source_size long, target double, slope double")
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    buckets = buckets.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).drop("n")
-    buckets = buckets.join(F.broadcast(plan_table), buckets["source"].eqNullSafe(plan_table["source"])).drop(plan_table["source"])
-    named = buckets.withColumnsRenamed({"source": "b_source", "bucket": "b_bucket"})
-    rows = rows.join(named, rows["source"].eqNullSafe(named["b_source"]) & (rows["bucket"] == named["b_bucket"])).drop("b_source", "b_bucket")
+    rows = rows.join(F.broadcast(plan_table.withColumnRenamed("source", "p_source")), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
+    passes = F.when(F.col("source_size") == 0, 1).otherwise(F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))).cast("int")
+    rest = F.col("target") - F.col("passes") * F.col("source_size")
+    # a document larger than all of the last pass isn't read there
+    rows = rows.withColumn("passes", passes).withColumn("rest", rest).withColumn("fit", F.when(F.col("size") <= F.col("rest"), F.col("size")).otherwise(0))
+    upto = Window.partitionBy("b_source").orderBy("b_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = rows.groupBy(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket")).agg(F.sum("size").alias("n"), F.sum("fit").alias("m"))
+    buckets = buckets.select("b_source", "b_bucket", (F.sum("n").over(upto) - F.col("n")).alias("before"), (F.sum("m").over(upto) - F.col("m")).alias("fit_before"))
+    rows = rows.join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket"))).drop("b_source", "b_bucket")
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    at = F.col("before") + F.sum("size").over(inside) - F.col("size") + F.col("size") / 2
-    rows = rows.withColumn("middle", at)
-    passes = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
-    rest = F.col("target") - passes * F.col("source_size")
-    rows = rows.withColumns({"passes": F.when(F.col("source_size") == 0, 1).otherwise(passes).cast("int"), "last": (F.col("source_size") > 0) & (F.col("middle") + F.col("size") / 2 <= rest), "rest": rest})
+    middle = F.col("before") + F.sum("size").over(inside) - F.col("size") / 2
+    end = F.col("fit_before") + F.sum("fit").over(inside)
+    last = (F.col("source_size") > 0) & (F.col("size") <= F.col("rest")) & (end <= F.col("rest"))
+    rows = rows.withColumns({"middle": middle, "last": last})
     rows = materialise(rows, "mix-placed")
     gaps = rows.groupBy("source").agg((F.first("rest") - F.sum(F.when(F.col("last"), F.col("size")).otherwise(0))).alias("gap")).withColumnRenamed("source", "g_source")
     left = rows.where("not last and size > 0 and passes < 3").join(F.broadcast(gaps), F.col("source").eqNullSafe(F.col("g_source"))).withColumn("off", F.abs(F.col("gap") - F.col("size")))
