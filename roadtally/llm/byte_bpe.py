@@ -6,8 +6,8 @@ before it.  ``PrefixEncoder`` keeps that last token for each prefix, so bytes
 can be appended, or an edit re-encoded, without starting over.  A pair (a, b)
 is stable when merging a's and b's bytes by rank gives back a, b.
 
-Texts are cut at white space into chunks, which no match of the splitting
-pattern crosses, and the ids of a chunk are remembered in a bounded table.
+Each match of the splitting pattern is encoded by itself, and its ids are
+remembered in a bounded table.
 
 Defined results: null text = empty text = no ids; ids of a text equal those of
 the tiktoken library for the same ranks and pattern without special tokens;
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-#: White space other than the six ASCII characters; a text with any is split by the full pattern.
-OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Chunks remembered in each of two generations.
+from .common import NOT_PLAIN
+
+#: Fixed value: the public splitting pattern that ``PIECES`` stands for.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The splitting pattern in the words of ``re``, for texts without characters that ``NOT_PLAIN`` finds.
+PIECES = re.compile(r" ?[^\W\d_]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Matches remembered in each of two generations.
 MEMO = 250_000
 
 
@@ -118,27 +122,29 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.pattern = Vocabulary(load_ranks(path)), regex.compile(pattern)
+        self.own = pattern == PATTERN
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def piece(self, piece: bytes) -> list[int]:
-        whole = self.vocabulary.ranks.get(piece)
-        return [whole] if whole is not None else PrefixEncoder(self.vocabulary, piece).ids()
-
-    def chunk(self, chunk: str) -> bytes:
-        out = self.older.get(chunk)
+    def piece(self, piece: str) -> bytes:
+        """Ids of a match that the newer table doesn't have."""
+        out = self.older.get(piece)
         if out is None:
-            out = np.array([i for p in self.pattern.findall(chunk) for i in self.piece(p.encode())], "<u4").tobytes()
-        if len(chunk) <= 64:
+            data = piece.encode()
+            whole = self.vocabulary.ranks.get(data)
+            ids = [whole] if whole is not None else PrefixEncoder(self.vocabulary, data).ids()
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= 64:
             if len(self.memo) >= MEMO:
                 self.memo, self.older = {}, self.memo
-            self.memo[chunk] = out
+            self.memo[piece] = out
         return out
 
     def encode(self, text: str) -> bytes:
-        chunks = CHUNK.findall(text) if not OTHER_SPACE.search(text) else self.pattern.findall(text)
-        memo, make = self.memo, self.chunk
-        return b"".join([memo.get(c) or make(c) for c in chunks])
+        plain = self.own and not NOT_PLAIN.search(text)
+        pieces = PIECES.findall(text) if plain else self.pattern.findall(text)
+        memo, make = self.memo, self.piece
+        return b"".join([memo.get(p) or make(p) for p in pieces])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

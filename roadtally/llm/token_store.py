@@ -34,18 +34,34 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import NOT_PLAIN
+
 FRAME_BYTES = 256 * 1024
 SEEK_MAGIC, INDEX_MAGIC, TAIL_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("at", "<u4"), ("n", "<u4")])
 TABLE = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
-MEMO = 250_000
+MEMO = 150_000
+#: What the tokenizer's own pattern matches in lower-case texts without characters that ``NOT_PLAIN`` finds.
+PIECES = re.compile(r"[^\W\d_]+|'(?:[stmd]|re|ve|ll)|\d|(?:[^\s\w]|_)+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes as themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+ALPHABET = byte_alphabet()
 
 
 class WordEncoder:
-    """Ids of a text by the tokenizers library, chunk by chunk between white space.
+    """Ids of a text by the tokenizers library.
 
-    The tokenizer drops white space and never joins across it, so a chunk has
-    the same ids wherever it stands; a bounded table remembers them.
+    The tokenizer lowers case, drops white space and encodes each match of its
+    pattern by itself, so a match has the same ids wherever it stands; a
+    bounded table remembers them.  A text with characters for which Python's
+    own classes might differ goes through the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -53,33 +69,29 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.split = re.compile(r"[ \t-\r]+").split
-
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that the table doesn't have."""
-        out, new = {}, []
-        for chunk in chunks:
-            if (ids := self.older.get(chunk)) is None:
-                new.append(chunk)
-            else:
-                out[chunk] = ids
-        for chunk, code in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            out[chunk] = np.array(code.ids, "<u4").tobytes()
-        if len(self.memo) >= MEMO:
-            self.memo, self.older = {}, self.memo
-        self.memo.update((c, ids) for c, ids in out.items() if len(c) <= 64)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of a match that the newer table doesn't have."""
+        out = self.older.get(piece)
+        if out is None:
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(ALPHABET)
+            ids = [t.id for t in self.model.tokenize(letters)]
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= 64:
+            if len(self.memo) >= MEMO:
+                self.memo, self.older = {}, self.memo
+            self.memo[piece] = out
         return out
 
     def encode(self, text: str) -> bytes:
-        chunks = self.split(text)
-        get = self.memo.get
-        found = [get(c) for c in chunks]
-        if None in found:
-            new = self.learn(list({c for c, ids in zip(chunks, found) if ids is None}))
-            found = [new[c] if ids is None else ids for c, ids in zip(chunks, found)]
-        return b"".join(found)
+        if NOT_PLAIN.search(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        memo, make = self.memo, self.piece
+        return b"".join([memo.get(p) or make(p) for p in PIECES.findall(text.lower())])
 
 
 class Writer:
