@@ -42,10 +42,11 @@ def tmja_from_hourly(days: DataFrame, period: Column | None = None) -> DataFrame
     One aggregation: the two indicators are told apart inside it.
     """
     total = sum((F.coalesce(F.col(h), F.lit(0.0)) for h in HOURS), F.lit(0.0))
-    mean = lambda kind: F.floor(F.sum(F.when(F.col("indicateur") == kind, total)) / F.count_if(F.col("indicateur") == kind)).cast("int")
-    keys = [F.col("id_comptag"), F.col("annee")] + ([period.alias("mois")] if period is not None else [])
     names = ["id_comptag", "annee"] + (["mois"] if period is not None else [])
-    g = days.groupBy(*keys).agg(F.try_divide(F.sum(F.when(F.col("indicateur") == "TV", total)), F.count_if(F.col("indicateur") == "TV")).cast("int").alias("tv"), F.try_divide(F.sum(F.when(F.col("indicateur") == "PL", total)), F.count_if(F.col("indicateur") == "PL")).cast("int").alias("pl"))
+    keys = ["id_comptag", "annee"] + ([period.alias("mois")] if period is not None else [])
+    sums = days.select(*keys, "indicateur", total.alias("total"))  # added up once for each row
+    mean = lambda kind: F.try_divide(F.sum(F.when(F.col("indicateur") == kind, F.col("total"))), F.count_if(F.col("indicateur") == kind)).cast("int")
+    g = sums.groupBy(*names).agg(mean("TV").alias("tv"), mean("PL").alias("pl"))
     g = g.where("tv > 0 and pl is not null")
     wide = g.select(*names, F.col("tv").cast("double").alias("tmja"), F.round(F.col("pl") / F.col("tv") * 100, 2).alias("pc_pl"))
     return wide.unpivot(names, ["tmja", "pc_pl"], "indicateur", "valeur")
