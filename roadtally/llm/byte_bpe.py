@@ -51,8 +51,8 @@ class Vocabulary:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        #: All ends of tokens: no longer token can end at a place once its end is not in here.
-        self.suffixes = {token[i:] for token in ranks for i in range(len(token))}
+        #: All ends of tokens, with their rank or -1: no longer token can end at a place once its end is not in here.
+        self.ends = dict.fromkeys((token[i:] for token in ranks for i in range(len(token))), -1) | ranks
         self.pairs: dict[int, bool] = {}
 
     def merge(self, piece: bytes) -> list[bytes]:
@@ -85,14 +85,14 @@ class PrefixEncoder:
         """Extend the string; what was worked out for its prefixes stays."""
         self.data += more
         data, last, v = self.data, self.last, self.vocabulary
-        ranks, suffixes, pairs = v.ranks, v.suffixes, v.pairs
+        ends, pairs = v.ends, v.pairs
         for end in range(len(last), len(data) + 1):
             for start in range(end - 1, -1, -1):
                 part = data[start:end]
-                if part not in suffixes:
-                    break
-                token = ranks.get(part)
+                token = ends.get(part)
                 if token is None:
+                    break
+                if token < 0:
                     continue
                 if start:
                     known = pairs.get(last[start] << 32 | token)
