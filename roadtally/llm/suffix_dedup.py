@@ -197,6 +197,8 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for block, rows in _blocks(batches):
         start, end = block.cells()
         h, row = block.stretch_hashes(start, end), block.row[block.part[start]]
+        _, once = np.unique(h[:, 0].view(np.uint64) ^ row.astype(np.uint64) * MIX[0], return_index=True)
+        h, row = h[once], row[once]
         yield pd.DataFrame({"h": h[:, 0], "h2": h[:, 1], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row]})
 
 
