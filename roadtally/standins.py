@@ -37,19 +37,23 @@ def passages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def horaire(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem")
-    return li.groupBy(
+def _hours(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the hourly deliveries, not added up yet."""
+    return table(spark, d, "lineitem").select(
         counter(F.col("l_suppkey") % 20).alias("id_comptag"), F.year("l_shipdate").alias("annee"), F.to_date("l_shipdate").alias("jour"),
         (F.col("l_orderkey") % 24).cast("int").alias("heure"), F.when(F.col("l_returnflag") == "R", "PL").otherwise("VL").alias("indicateur"),
-        (1 + F.col("l_linenumber") % 2).cast("int").alias("sens"),
-    ).agg(F.sum("l_quantity").alias("valeur"))
+        (1 + F.col("l_linenumber") % 2).cast("int").alias("sens"), F.col("l_quantity").alias("valeur"),
+    )
+
+
+def horaire(spark: SparkSession, d: str) -> DataFrame:
+    return _hours(spark, d).groupBy("id_comptag", "annee", "jour", "heure", "indicateur", "sens").agg(F.sum("valeur").alias("valeur"))
 
 
 def hw(spark: SparkSession, d: str) -> DataFrame:
-    """One row a counter, day, indicator and direction; a missing hour is 0."""
+    """One row a counter, day, indicator and direction; a missing hour is 0.  Hours are added up and turned in one aggregation."""
     wide = [F.sum(F.when(F.col("heure") == h, F.col("valeur")).otherwise(0.0)).alias(c) for h, c in enumerate(HOURS)]
-    return horaire(spark, d).groupBy("id_comptag", "annee", "jour", "indicateur", "sens").agg(*wide).withColumn("fichier", F.concat(F.lit("f"), F.col("sens").cast("string")))
+    return _hours(spark, d).groupBy("id_comptag", "annee", "jour", "indicateur", "sens").agg(*wide).withColumn("fichier", F.concat(F.lit("f"), F.col("sens").cast("string")))
 
 
 def compteur(spark: SparkSession, d: str) -> DataFrame:
