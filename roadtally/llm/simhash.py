@@ -52,7 +52,11 @@ def fingerprint(text: str | None) -> int:
     digest = xxhash.xxh64_intdigest
     if len(words) <= SHINGLE:
         return digest(b" ".join(words), SEED)
-    hashes = np.array([digest(b" ".join(s), SEED) for s in zip(words, words[1:], words[2:])], "<u8")
+    return majority(np.array([digest(b" ".join(s), SEED) for s in zip(words, words[1:], words[2:])], "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -202,8 +206,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: that of the smallest id; of repeated rows one."""
+    return keep_first(docs, near_components(docs, id_col, text_col), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of each component of ``placed`` (doc_id, text_hash, component) the document of the smallest id."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))
-    stays = near_components(docs, id_col, text_col).groupBy("component").agg(F.min(order).alias("s")).select(F.col("s.id").alias("__id"), F.col("s.h").alias("__stays"))
+    stays = placed.groupBy("component").agg(F.min(order).alias("s")).select(F.col("s.id").alias("__id"), F.col("s.h").alias("__stays"))
     keyed = docs.withColumn("__h", F.xxhash64(F.col(text_col)))
     kept = keyed.join(stays, keyed[id_col].eqNullSafe(stays["__id"]) & (keyed["__h"] == stays["__stays"]))
     return kept.dropDuplicates([id_col, "__h"]).select(*[F.col(c) for c in docs.columns])

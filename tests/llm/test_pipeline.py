@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers as P
@@ -53,3 +54,34 @@ def test_stages(spark, tmp_path):
 def test_run(spark, tmp_path):
     frame(spark, [r for r in base_rows() if r[0] is not None]).select(*COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def five(text):
+    w = text.lower().encode().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+
+def test_near_copies_are_those_of_five_words_and_similarity_08(spark):
+    """Copies with some words changed, on both sides of 0.8; most are far more than two bits of a fingerprint apart."""
+    draw = random.Random(5)
+    say = lambda n: [f"w{draw.randrange(500)}" for _ in range(n)]
+    texts = [" ".join(say(n)) for n in (1, 3, 5, 5, 6)]
+    for n in (30, 60, 120, 400):
+        for _ in range(12):
+            kept = say(n)
+            texts.append(" ".join(kept))
+            for _ in range(3):
+                kept = list(kept)
+                for _ in range(draw.randrange(1, 1 + n // 30)) if n > 30 else (0,):
+                    kept[draw.randrange(n)] = "new"
+                texts.append(" ".join(kept))
+    sets, group = [five(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                lo, hi = sorted((group[a], group[b]))
+                group = [lo if g == hi else g for g in group]
+    rows = [(k, t, "en", "a") for k, t in enumerate(texts)]
+    kept = corpus_pipeline.drop_near_copies(spark, frame(spark, rows).select(*COLUMNS), "")
+    assert 5 < len(texts) - len(set(group)) < len(texts) - 20
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(group))
