@@ -10,8 +10,10 @@ x: the quadratic is inverted in closed form, and rows are range-sorted by it.
 
 A source's stream is its documents in hash order, over and over until the
 target is met: ``floor(target / source_size)`` whole passes, and a last pass
-of the documents that fit in it, up to the target.  One later document, that
-whose size comes nearest to what is still missing, fills the gap.  Running totals are made in two steps, over hash buckets and then
+of the documents that fit in it, up to the target.  What is still missing is
+filled in rounds by the documents left that fit it, again in hash order, until
+none fits.  One more document may then end the source above its target, where
+that comes nearer.  Running totals are made in two steps, over hash buckets and then
 inside a bucket, so a source with a third of all rows spreads over many tasks.
 
 Defined results: null text has size 0; the null source is a source, the last;
@@ -31,6 +33,8 @@ from .common import materialise, text_or_empty, word_count
 BUCKETS = 256
 STEEPNESS = 0.8
 MOST = 3
+#: Tells apart the rows of size above 0.
+KEY = ["source", "h", "bucket", "middle"]
 
 
 def targets(sizes: list[tuple[str | None, int]], most: int = MOST) -> list[tuple[str | None, int, float]]:
@@ -61,6 +65,40 @@ def _row_hash(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def _running(rows: DataFrame, of: str, out_col: str) -> DataFrame:
+    """``rows`` with the running total of ``of`` in each source, in hash order."""
+    upto = Window.partitionBy("b_source").orderBy("b_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = rows.groupBy(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket")).agg(F.sum(of).alias("n"))
+    buckets = buckets.select("b_source", "b_bucket", (F.sum("n").over(upto) - F.col("n")).alias("b_before"))
+    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    joined = rows.join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
+    return joined.withColumn(out_col, F.col("b_before") + F.sum(of).over(inside)).drop("b_source", "b_bucket", "b_before")
+
+
+def _fill(rows: DataFrame) -> DataFrame:
+    """The rows (KEY) outside the last pass that fill what it leaves of each source's target."""
+    gaps = {r["source"]: r["gap"] for r in rows.groupBy("source").agg((F.first("rest") - F.sum(F.when(F.col("last"), F.col("size")).otherwise(0))).alias("gap")).collect()}
+
+    def with_gap(left: DataFrame) -> DataFrame:
+        table = F.broadcast(rows.sparkSession.createDataFrame(list(gaps.items()), "g_source string, gap double"))  # as many rows as there are sources
+        return left.join(table, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
+
+    unused = rows.where((F.col("passes") < MOST) & ~F.col("last") & (F.col("size") > 0)).select(*KEY, "doc_id", "size")
+    left, picked = unused, rows.where("false").select(*KEY)
+    while True:
+        fits = with_gap(left).where("size <= gap")
+        tried = materialise(_running(fits, "size", "end").select(*KEY, "doc_id", "size", (F.col("end") <= F.col("gap")).alias("now")), "mix-round")
+        took = tried.where("now").groupBy("source").agg(F.sum("size").alias("n")).collect()
+        if not took:
+            break
+        # gaps only shrink: what doesn't fit now never will
+        picked, left = picked.union(tried.where("now").select(*KEY)), tried.where("not now")
+        gaps |= {r["source"]: gaps[r["source"]] - r["n"] for r in took}
+    # larger than the gap, so none of those picked
+    over = with_gap(unused).where("size > gap and size < 2 * gap")
+    return picked.union(over.groupBy("source").agg(F.min(F.struct("size", "h", "bucket", "middle")).alias("f")).select("source", "f.h", "f.bucket", "f.middle"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", steepness: float = STEEPNESS) -> DataFrame:
     """One row per input row, range-sorted by its first training position.
 
@@ -78,22 +116,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = F.col("target") - F.col("passes") * F.col("source_size")
     # a document larger than all of the last pass isn't read there
     rows = rows.withColumn("passes", passes).withColumn("rest", rest).withColumn("fit", F.when(F.col("size") <= F.col("rest"), F.col("size")).otherwise(0))
-    upto = Window.partitionBy("b_source").orderBy("b_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = rows.groupBy(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket")).agg(F.sum("size").alias("n"), F.sum("fit").alias("m"))
-    buckets = buckets.select("b_source", "b_bucket", (F.sum("n").over(upto) - F.col("n")).alias("before"), (F.sum("m").over(upto) - F.col("m")).alias("fit_before"))
-    rows = rows.join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket"))).drop("b_source", "b_bucket")
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    middle = F.col("before") + F.sum("size").over(inside) - F.col("size") / 2
-    end = F.col("fit_before") + F.sum("fit").over(inside)
-    last = (F.col("source_size") > 0) & (F.col("size") <= F.col("rest")) & (end <= F.col("rest"))
-    rows = rows.withColumns({"middle": middle, "last": last})
-    rows = materialise(rows, "mix-placed")
-    gaps = rows.groupBy("source").agg((F.first("rest") - F.sum(F.when(F.col("last"), F.col("size")).otherwise(0))).alias("gap")).withColumnRenamed("source", "g_source")
-    left = rows.where("not last and size > 0 and passes < 3").join(F.broadcast(gaps), F.col("source").eqNullSafe(F.col("g_source"))).withColumn("off", F.abs(F.col("gap") - F.col("size")))
-    fill = left.where("off < gap").groupBy("source").agg(F.min(F.struct("off", "h", "bucket", "middle")).alias("f"))
-    fill = F.broadcast(fill.select(F.col("source").alias("f_source"), F.col("f.h").alias("f_h"), F.col("f.bucket").alias("f_bucket"), F.col("f.middle").alias("f_middle")))  # one row a source at most
+    rows = _running(_running(rows, "size", "before"), "fit", "end")
+    last = (F.col("source_size") > 0) & (F.col("size") <= F.col("rest")) & (F.col("end") <= F.col("rest"))
+    rows = materialise(rows.withColumns({"middle": F.col("before") - F.col("size") / 2, "last": last}), "mix-placed")
+    picked = _fill(rows)
     same = F.col("source").eqNullSafe(F.col("f_source")) & (F.col("h") == F.col("f_h")) & (F.col("bucket") == F.col("f_bucket")) & (F.col("middle") == F.col("f_middle")) & (F.col("size") > 0)
-    rows = rows.join(fill, same, "left")
+    rows = rows.join(picked.select([F.col(c).alias(f"f_{c}") for c in KEY]), same, "left")
     rows = rows.withColumn("copies", F.col("passes") + (F.col("last") | F.col("f_h").isNotNull()).cast("int"))
     x = lambda k: F.least(F.col("target"), F.col("middle") + k * F.col("source_size"))
     when = F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.when(F.col("target") > 0, position(x(k), F.col("target"), F.col("slope"))).otherwise(0.0))

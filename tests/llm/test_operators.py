@@ -426,6 +426,19 @@ def test_mixing(spark):
     assert known == sorted(known)
 
 
+def test_mixing_fills_targets_as_far_as_documents_fit(spark):
+    """Sources of small documents and few large ones: none that still fits is left over."""
+    rows = [(k, " ".join(["w"] * (400 if k % 40 < 4 else 1 + k * 7 % 23)), "en", "abcdefgh"[k % 8]) for k in range(640)]
+    per = collections.defaultdict(list)
+    for r in mixing.mix(frame(spark, rows)).collect():
+        per[r["source"]].append(r)
+    for own in per.values():
+        n, t = own[0]["source_size"], own[0]["target"]
+        gap, passes = t - sum(r["taken"] for r in own), int(t // n)
+        assert all(passes <= r["copies"] <= passes + 1 for r in own)
+        assert passes == 3 or not [r for r in own if r["copies"] == passes and 0 < r["size"] <= gap]
+
+
 def test_training_order(spark):
     docs = frame(spark, [r for r in ROWS if r[0] is not None])
     out = mixing.training_order(docs)
