@@ -85,3 +85,9 @@ def test_near_copies_are_those_of_five_words_and_similarity_08(spark):
     kept = corpus_pipeline.drop_near_copies(spark, frame(spark, rows).select(*COLUMNS), "")
     assert 5 < len(texts) - len(set(group)) < len(texts) - 20
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(group))
+
+
+def test_texts_without_any_label_stay(spark):
+    rows = [(k, t, None, "a") for k, t in enumerate(["one text", "Straße", "日本語", "12 34 !!", "", None])]
+    kept = corpus_pipeline.identify_language(spark, frame(spark, rows).select(*COLUMNS), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2]
