@@ -58,15 +58,20 @@ def _with_point(df: DataFrame) -> DataFrame:
 SELECT id_comptag AS point, 1 AS mode, 'sens' || sens AS sens, CAST(jour AS TIMESTAMP) + to_hours(CAST(k AS INTEGER)) AS date_heure, CAST(sum(CASE WHEN heure = k THEN valeur ELSE 0 END) AS INTEGER) AS nb_veh
 FROM horaire, range(24) AS r(k) WHERE jour BETWEEN DATE '1995-01-01' AND DATE '1995-03-31' GROUP BY id_comptag, sens, jour, k""")
 def src_fim_blocks(spark, d):
-    """A file for each counter: a block of 24 hours for each day and direction, eight values a line."""
-    h = S.horaire(spark, d).where("jour between date '1995-01-01' and date '1995-03-31'")
+    """A file for each counter and month: a block of 24 hours for each day and direction, eight values a line."""
+    path = fresh_path(spark, "fim")
+    fim_files(spark, d, path)
+    # every day is written and read; the SQL asks for these
+    return _with_point(rd.fim_blocks(spark, path)).where("date_heure >= timestamp '1995-01-01 00:00:00' and date_heure < timestamp '1995-04-01 00:00:00'")
+
+
+def fim_files(spark, d, path):
+    h = S.horaire(spark, d)
     b = h.groupBy("id_comptag", "sens", "jour").agg(*[F.sum(F.when(F.col("heure") == k, F.col("valeur")).otherwise(0)).cast("int").cast("string").alias(c) for k, c in enumerate(HOURS)])
     rows = [F.concat(F.concat_ws(".", *HOURS[k : k + 8]), F.lit(".")) for k in (0, 8, 16)]
     block = F.concat_ws("\n", F.concat_ws(" ", F.date_format("jour", "yyyy-MM-dd"), F.lit("60"), F.lit("1"), F.concat(F.lit("sens"), F.col("sens").cast("string"))), *rows)
-    text = b.groupBy("id_comptag").agg(F.array_join(F.array_sort(F.collect_list(block)), "\n").alias("value"))
-    path = fresh_path(spark, "fim")
-    text.repartition(F.col("id_comptag")).write.partitionBy("id_comptag").text(path)
-    return _with_point(rd.fim_blocks(spark, path))
+    text = b.groupBy("id_comptag", F.date_format("jour", "yyyy-MM").alias("mois")).agg(F.array_join(F.array_sort(F.collect_list(block)), "\n").alias("value"))
+    text.repartition("id_comptag", "mois").write.partitionBy("id_comptag", "mois").text(path)
 
 
 @query(f"SELECT id_comptag, sens, CASE WHEN indicateur = 'VL' THEN 'TV' ELSE 'PL' END AS indicateur, jour, {', '.join(HOURS)} FROM hw")
