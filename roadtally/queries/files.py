@@ -39,13 +39,13 @@ def src_vehicle_tube(spark, d):
 SELECT id_comptag AS point, CAST(j AS TIMESTAMP) + to_milliseconds((CAST(h AS BIGINT) * 3600 + m * 60 + event_id % 60) * 1000) AS date_heure, 1 AS nb_veh, vitesse, CAST(event_id % 30 AS INTEGER) AS ser, type_veh, sens
 FROM (SELECT event_id, id_comptag, vitesse, type_veh, sens, hour(date_heure) AS h, minute(date_heure) AS m, CAST(date_heure AS DATE) + 20 AS j FROM passages)""")
 def src_vehicle_radar(spark, d):
-    """A file for each counter: dates are moved by 20 days, so that they pass the end of a month."""
+    """A file for each counter and week: dates are moved by 20 days, so that they pass the end of a month."""
     p = S.passages(spark, d).withColumn("j", F.date_add(F.to_date("date_heure"), 20))
     line = F.concat_ws(" ", F.substring("sens", 5, 1), F.date_format("j", "dd"), F.date_format("date_heure", "HHmm"), F.format_string("%02d00", F.col("event_id") % 60), F.col("vitesse").cast("string"), (F.col("event_id") % 30).cast("string"), "type_veh")
-    g = p.groupBy("id_comptag").agg(F.min("j").alias("a"), F.array_sort(F.collect_list(F.struct("date_heure", "event_id", line.alias("line")))).alias("l"))  # a file's own rows
-    text = g.select("id_comptag", F.concat_ws("\n", F.concat(F.lit("DEBUT "), F.date_format("a", "yyyy MM dd")), F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("value"))
+    g = p.groupBy("id_comptag", F.to_date(F.date_trunc("week", "j")).alias("semaine")).agg(F.min("j").alias("a"), F.array_sort(F.collect_list(F.struct("date_heure", "event_id", line.alias("line")))).alias("l"))  # a file's own rows
+    text = g.select("id_comptag", "semaine", F.concat_ws("\n", F.concat(F.lit("DEBUT "), F.date_format("a", "yyyy MM dd")), F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("value"))
     path = fresh_path(spark, "radar")
-    text.repartition(F.col("id_comptag")).write.partitionBy("id_comptag").text(path)
+    text.repartition("id_comptag", "semaine").write.partitionBy("id_comptag", "semaine").text(path)
     return _with_point(rd.vehicle_radar(spark, path))
 
 
@@ -78,12 +78,12 @@ def fim_files(spark, d, path):
 def src_iris_hourly(spark, d):
     w = S.hw(spark, d).withColumn("indicateur", F.when(F.col("indicateur") == "VL", "TV").otherwise("PL"))
     line = F.concat_ws(";", F.date_format("jour", "yyyy-MM-dd"), *[F.col(h).cast("string") for h in HOURS])
-    g = w.groupBy("indicateur", "id_comptag", "sens").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
+    g = w.groupBy("indicateur", "id_comptag", "sens", "annee").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
     head = F.concat_ws("\n", F.concat_ws(";", "id_comptag", F.col("sens").cast("string")), F.lit("jour;H1;...;H24"), "body")
     path = fresh_path(spark, "iris")
     for kind in ("TV", "PL"):  # the two folders of a delivery
-        own = g.where(F.col("indicateur") == kind).select(F.concat_ws("_", "id_comptag", F.col("sens").cast("string")).alias("point"), head.alias("value"))
-        own.repartition(F.col("point")).write.partitionBy("point").text(f"{path}/{kind}")
+        own = g.where(F.col("indicateur") == kind).select(F.concat_ws("_", "id_comptag", F.col("sens").cast("string")).alias("point"), "annee", head.alias("value"))
+        own.repartition("point", "annee").write.partitionBy("point", "annee").text(f"{path}/{kind}")
     return rd.iris_hourly(spark, path)
 
 
@@ -105,8 +105,8 @@ def src_geojson(spark, d):
     geometry = F.when(F.col("s_suppkey") % 4 > 0, F.struct(F.lit("Point").alias("type"), F.array(F.col("s_suppkey") / 8, F.col("s_nationkey").cast("double")).alias("coordinates")))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("nom")).alias("properties"), geometry.alias("geometry"))
     path = fresh_path(spark, "geojson")
-    # a collection for each nation
-    s.groupBy("s_nationkey").agg(F.collect_list(feature).alias("features")).select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).repartition(4).write.option("maxRecordsPerFile", 1).text(path)
+    # a collection for each nation and range of 1000 ids
+    s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 1000)).agg(F.collect_list(feature).alias("features")).select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return rd.geojson(spark, path)
 
 

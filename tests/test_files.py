@@ -5,7 +5,7 @@ import glob
 from pyspark.sql import functions as F
 
 from roadtally import standins as S
-from roadtally.queries import files
+from roadtally.queries import QUERIES, files
 from roadtally.sources import readers as rd
 
 from .oracle import DATA
@@ -13,6 +13,12 @@ from .oracle import DATA
 SF = f"{DATA}/sf0.001"
 
 
+def paths(monkeypatch, tmp_path, spark, name):
+    monkeypatch.setattr(files, "fresh_path", lambda spark, kind: f"{tmp_path}/{kind}")
+    QUERIES[name](spark, SF)
+    return {f.rsplit("/", 1)[0] for f in glob.glob(f"{tmp_path}/**/part-*", recursive=True)}
+
+
 def test_fim_files_have_every_day(spark, tmp_path):
     files.fim_files(spark, SF, f"{tmp_path}/fim")
     h = S.horaire(spark, SF)
@@ -20,3 +26,20 @@ def test_fim_files_have_every_day(spark, tmp_path):
     assert tuple(got) == (24 * h.select("id_comptag", "sens", "jour").distinct().count(), h.agg(F.sum("valeur")).first()[0])
     months = h.select("id_comptag", F.date_format("jour", "yyyy-MM")).distinct().count()
     assert len(glob.glob(f"{tmp_path}/fim/*/*/part-*")) == months
+
+
+def test_radar_files_are_of_a_week(spark, monkeypatch, tmp_path):
+    weeks = S.passages(spark, SF).select("id_comptag", F.date_trunc("week", F.date_add(F.to_date("date_heure"), 20))).distinct().count()
+    assert len(paths(monkeypatch, tmp_path, spark, "src_vehicle_radar")) == weeks > 10
+
+
+def test_iris_files_are_of_a_year(spark, monkeypatch, tmp_path):
+    assert len(paths(monkeypatch, tmp_path, spark, "src_iris_hourly")) == S.hw(spark, SF).select("indicateur", "id_comptag", "sens", "annee").distinct().count()
+
+
+def test_geojson_collections_are_bounded(spark, monkeypatch, tmp_path):
+    """2,500 suppliers of one nation are three collections."""
+    spark.range(2500).select(F.col("id").alias("s_suppkey"), F.lit("n").alias("s_name"), F.lit(1).alias("s_nationkey")).write.parquet(f"{tmp_path}/d/supplier.parquet")
+    monkeypatch.setattr(files, "fresh_path", lambda spark, kind: f"{tmp_path}/{kind}")
+    assert QUERIES["src_geojson"](spark, f"{tmp_path}/d").count() == 2500
+    assert len(spark.read.text(f"{tmp_path}/geojson").collect()) == 3
