@@ -17,6 +17,8 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Finds a character outside the range in which Python's ``re`` and the tokenizers' patterns agree on
 #: letters, digits and white space, NFC changes nothing, and lower case is one character for another.
 NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]")
+#: The letters in that range.
+LETTERS = "".join(chr(c) for c in range(0x180) if chr(c).isalpha())
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 

@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,15 +35,16 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NOT_PLAIN
+from .common import LETTERS, NOT_PLAIN
 
 FRAME_BYTES = 256 * 1024
 SEEK_MAGIC, INDEX_MAGIC, TAIL_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("at", "<u4"), ("n", "<u4")])
 TABLE = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
-MEMO = 150_000
+#: Matches remembered in each of two generations.
+MEMO = 300_000
 #: What the tokenizer's own pattern matches in lower-case texts without characters that ``NOT_PLAIN`` finds.
-PIECES = re.compile(r"[^\W\d_]+|'(?:[stmd]|re|ve|ll)|\d|(?:[^\s\w]|_)+")
+PIECES = re.compile(rf"[{LETTERS}]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\s0-9{LETTERS}]+")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -61,15 +63,17 @@ class WordEncoder:
     The tokenizer lowers case, drops white space and encodes each match of its
     pattern by itself, so a match has the same ids wherever it stands; a
     bounded table remembers them.  A text with characters for which Python's
-    own classes might differ goes through the library as a whole.
+    own classes might differ, or with the string of an added token, goes
+    through the library as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
+        added = sorted({form for t in self.tokenizer.get_added_tokens_decoder().values() for form in (t.content, t.content.lower())})
+        self.odd = re.compile("|".join([NOT_PLAIN.pattern, *map(re.escape, added)]))
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -87,13 +91,19 @@ class WordEncoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        if NOT_PLAIN.search(text):
+        if self.odd.search(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
         memo, make = self.memo, self.piece
         return b"".join([memo.get(p) or make(p) for p in PIECES.findall(text.lower())])
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for each Python worker, so that later tasks find what earlier ones remember."""
+    return WordEncoder(path)
+
+
 class Writer:
     """Frames, document index and seek table, to an open binary file."""
 
@@ -161,7 +171,7 @@ class Reader:
         return [self.frame(f)[4 * at : 4 * (at + n)] for _, _, f, at, n in self.index[same].tolist()]
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", make: Callable[[str], WordEncoder] = WordEncoder) -> list[tuple[int, str, int, int]]:
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", make: Callable[[str], WordEncoder] = word_encoder) -> list[tuple[int, str, int, int]]:
     """Write the files, in ascending doc_id order; returns (part, path, documents, ids) of each.
 
     The list has one entry for each file, so as many as there are shuffle partitions at most.

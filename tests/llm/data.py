@@ -18,6 +18,7 @@ def base_rows():
     ]
     rows += [(12 + k, say(60 + 7 * k), "en" if k % 3 else "de", "abc"[k % 3]) for k in range(12)]
     rows += [(30 + k, f"{say(8)} {passage}\n{passage} {say(5)}", "en", "d") for k in range(6)]
+    rows += [(40, "a <|endoftext|> b", "en", "d"), (41, "end<|ENDOFTEXT|><|startoftext|>", "en", "d")]
     long = say(30_000)
     rows += [(50, long, "en", "d"), (51, long[:90_000] + "XYZ" + long[90_000:], "en", "d"), (52, long, "en", None)]
     rows += [(60, rows[20][1], "en", "a"), (61, rows[20][1].replace(" ", "  "), "en", "a"), (20, rows[15][1], "de", "b"), (20, rows[15][1], "de", "b")]

@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 import xxhash
@@ -197,7 +198,8 @@ def test_repeats(spark):
 
 
 def test_repeats_of_few_letters(spark, monkeypatch):
-    """Texts over two letters repeat at every length; segments are made very short."""
+    """Texts over two letters repeat at every length; units are made very small."""
+    monkeypatch.setattr(suffix_dedup, "UNIT", 500)
     random.seed(2)
     rows = [(k, "".join(random.choice("ab ") for _ in range(30)) * random.randrange(1, 9), "en", "a") for k in range(25)]
     rows += [(100 + k, rows[k][1][3:150] + "é" + rows[k + 1][1], "en", "a") for k in range(20)]
@@ -208,9 +210,31 @@ def test_repeats_of_few_letters(spark, monkeypatch):
 def test_segments_see_what_whole_texts_see(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 97)
     text = " ".join(f"w{k * 7919 % 1000}" for k in range(300)).encode()
-    block = suffix_dedup.Block([text])
-    places, _ = block.open_places([None])
-    assert sorted((places - block.first[block.part[places]] + block.base[block.part[places]]).tolist()) == list(range(len(text) - 49))
+    found = suffix_dedup.Found(pd.DataFrame({c: [] for c in suffix_dedup.MARKS}))
+    seen = []
+    for block in suffix_dedup._blocks([text, b"short"]):
+        places, _ = suffix_dedup.Round(block, np.array([1, 2]), found).open_places()
+        seen += (places - block.first[block.part[places]] + block.base[block.part[places]]).tolist()
+    assert sorted(seen) == list(range(len(text) - 49))
+
+
+def test_ranks_of_equal_bytes_are_equal():
+    """Pairs of ranks name 32 and 50 bytes wherever they stand."""
+    random.seed(4)
+    text = bytes(random.choice(b"ab") for _ in range(4000)) + b"x" * 60
+    block = suffix_dedup.Block([(0, 0, text), (1, 0, text[7:300])])
+    places = np.flatnonzero(block.room >= suffix_dedup.LENGTH)
+    for names, n in ((block.rank32(places, block.gram, 0), 32), (block.rank50(places)[:, 0], 50), (block.rank50(places)[:, 1], 50)):
+        whole = collections.defaultdict(set)
+        for k, name in zip(places.tolist(), names.tolist()):
+            whole[block.data[k : k + n]].add(name)
+        assert all(len(v) == 1 for v in whole.values()) and len({min(v) for v in whole.values()}) == len(whole)
+
+
+def test_repeats_leave_no_table(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    suffix_dedup.remove_repeats(frame(spark)).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 # token files and byte-pair encoding
@@ -220,7 +244,6 @@ def test_token_files(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     files = token_store.write_tokens(frame(spark), fresh_path(spark, "tokens"), P.path("word_bpe_49k.json"), end_id=1)
     got = token_store.read_tokens(spark, files).orderBy("start").collect()
     start, expected = 0, []
