@@ -1,31 +1,35 @@
-"""Repeated-passage removal by sorting ranks of growing prefixes.
+"""Repeated-passage removal by distributed prefix doubling.
 
 A byte goes when it lies in a 50-byte string that also starts in a document
-with a smaller id.  Prefix doubling ranks positions by ever longer prefixes and
-drops those that are unique.  Here a rank is a hash of the prefix, Spark sorts
-(rank, document) pairs, and a sort's neighbours tell which ranks are shared:
-
-1. Whole texts.  Copies of a text with a smaller id are wholly repeated.
-2. Past the threshold: texts are cut where the content says so, about every
-   ``CELL`` bytes.  A cell and the 49 bytes after it hold all strings that
-   start in the cell; where that stretch occurs in a smaller document, all of
-   them are repeated, and only the first document keeps the cell for later.
-3. Prefixes of 20 bytes, at one place for each string: its minimizer, the
-   20 bytes of smallest hash in it.  Equal strings have equal minimizers, so a
-   string whose minimizer no other document has is unique.
-4. 35 bytes: the minimizer with 15 more on the side where the string has them.
-   Beside them, past the threshold again, pieces: the stretch of neighbouring
-   strings with one minimizer.  A piece that a smaller document has too settles
-   all its strings at once.
-5. 50 bytes: what is left, by 128-bit hashes.
+with a smaller id.  The rank of a position is a name of the bytes from there
+on: equal bytes, equal rank.  A round names a longer prefix by the pair of
+ranks at the position and at an offset (16 bytes, then 32 with offset 16, then
+50 with offset 18), Spark sorts the ranks, and positions whose rank no other
+document has drop out before the next round.
+
+Positions that need no rank of their own are left out beforehand:
+
+1. Past the threshold at once: texts are cut where the content says so, about
+   every ``CELL`` bytes.  A cell and the 49 bytes after it hold all strings
+   that start in the cell; where a smaller document has the same stretch, all
+   of them are settled.
+2. Round of 16 bytes: a string enters with one position only, its minimizer
+   (the 16 bytes of smallest name in it).  Equal strings have equal minimizers,
+   so a string whose minimizer is unique is unique.
+3. Round of 32 bytes: the minimizer's rank is paired with the one 16 bytes
+   before or after it, on the side where the string has them.  Beside them,
+   past the threshold again, the stretches of neighbouring strings with one
+   minimizer: one that a smaller document has settles all its strings.
+4. Round of 50 bytes: all strings that are left, by two independent names of
+   64 bits.
 
 Every string is ranked at full length or proved unique on the way; nothing is
-sampled.  Steps 3 to 5 keep only documents that still have shared ranks.
-
-Texts are written once, bucketed by document, so that each step's marks meet
-them without shuffling texts again.  Window functions over a sorted rank look
-only at a first value and the next row, so a rank that very many documents
-share streams through its task; a document adds each rank once.
+sampled.  Texts are dealt once to units of about ``UNIT`` bytes, kept in a table
+bucketed by unit, so that each round's findings meet them without shuffling
+texts again.  A unit sends each rank once, with the least and greatest of its
+documents that have it; so a rank that a third of all documents share reaches
+the sort as one row a unit, and the window over a sorted rank only looks at its
+first and next row.
 
 Defined results: null text = empty text; texts under 50 bytes lose nothing and
 are matched by nothing; a null id counts as greater than all others, and null
@@ -43,24 +47,40 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialise, text_or_empty
+from .common import materialise, text_or_empty
 
-LENGTH, GRAM, MORE = 50, 20, 15
+LENGTH = 50
+#: Bytes of the first rank, and the offsets of the pairs of the two rounds after it.
+GRAM, OFFSETS = 16, (16, 18)
 WINDOW = LENGTH - GRAM + 1
 CELL = 64
-SEGMENT, BLOCK = 4 << 20, 2 << 20
+UNIT, BLOCK, SEGMENT = 4 << 20, 2 << 20, 1 << 20
 NO_ID = (1 << 63) - 1
-MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+#: Two families of names, so that 128 bits tell strings apart.
+MIX = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]], np.uint64)
+CELLS, GRAMS, CONTEXTS, STRETCHES, STRINGS = range(5)
+
+
+def _mixed(x: np.ndarray, by: np.uint64) -> np.ndarray:
+    x ^= x >> np.uint64(31)
+    x *= by
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def _pair(a: np.ndarray, b: np.ndarray, family: int) -> np.ndarray:
+    """The name of a pair of ranks."""
+    one, two, three = MIX[family]
+    return _mixed((a ^ a >> np.uint64(32)) * one + b * two, three)
 
 
 class Block:
-    """Some texts side by side, and what can be said of their bytes."""
+    """Texts, or segments of long ones, side by side, and the ranks of their bytes."""
 
-    def __init__(self, texts: list[bytes]):
-        parts = [(row, at, t[at : at + SEGMENT + LENGTH - 1]) for row, t in enumerate(texts) for at in range(0, max(1, len(t) - LENGTH + 1), SEGMENT)]
+    def __init__(self, parts: list[tuple[int, int, bytes]]):
         self.row = np.array([r for r, _, _ in parts])
         self.base = np.array([at for _, at, _ in parts])
         sizes = np.array([len(p) for _, _, p in parts])
@@ -70,13 +90,23 @@ class Block:
         self.data = b"".join([p for _, _, p in parts]) + bytes(2 * LENGTH)
         self.part = np.repeat(np.arange(len(parts)), sizes)
         self.room = self.stop[self.part] - np.arange(self.size)  # bytes up to the end of the text
-        h = np.zeros(self.size + WINDOW, np.uint64)
-        for c, at in zip(MIX, [*range(0, GRAM - 7, 8), GRAM - 8]):
-            h += np.ndarray((len(h),), "<u8", self.data, at, (1,)) * c
-        h ^= h >> np.uint64(31)
-        h *= MIX[3]
-        h ^= h >> np.uint64(29)
-        self.gram = h
+        self.gram = self.grams(0)
+
+    def grams(self, family: int) -> np.ndarray:
+        n = self.size + LENGTH
+        one, two, three = MIX[family]
+        word = lambda at: np.ndarray((n,), "<u8", self.data, at, (1,))
+        return _mixed(word(0) * one + word(8) * two, three)
+
+    def rank32(self, places: np.ndarray, gram: np.ndarray, family: int) -> np.ndarray:
+        return _pair(gram[places], gram[places + OFFSETS[0]], family)
+
+    def rank50(self, places: np.ndarray) -> np.ndarray:
+        """Both names of the 50 bytes from each place on."""
+        out = np.empty((len(places), 2), np.uint64)
+        for family, gram in enumerate((self.gram, self.grams(1))):
+            out[:, family] = _pair(self.rank32(places, gram, family), self.rank32(places + OFFSETS[1], gram, family), family)
+        return out
 
     def cells(self) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of the cells in which strings start."""
@@ -88,235 +118,269 @@ class Block:
         real = self.room[start] >= LENGTH
         return start[real], end[real]
 
-    def stretch_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """128-bit hashes of the cells with the bytes that strings from them reach, as two longs."""
-        stop = np.minimum(end + LENGTH - 1, self.stop[self.part[start]])
-        return self.hashes(start, stop)
-
     def hashes(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """128-bit names of stretches of any length."""
         digest, data = xxhash.xxh3_128_digest, self.data
-        return np.frombuffer(b"".join([digest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist())]), "<i8").reshape(-1, 2)
-
-    def pick(self, values: np.ndarray, parts: np.ndarray, marks: list) -> np.ndarray:
-        """Which values are among the marks of their own text (marks: an array or None for each text)."""
-        known = [k for k, m in enumerate(marks) if m is not None]
-        if not known or not len(values):
-            return np.zeros(len(values), bool)
-        salt = np.uint64(0x9E3779B97F4A7C15)
-        of = np.repeat(np.array(known, np.uint64), [len(marks[k]) for k in known])
-        held = np.sort(np.concatenate([marks[k] for k in known]).view(np.uint64) ^ of * salt)
-        asked = values.view(np.uint64) ^ self.row[parts].astype(np.uint64) * salt
-        place = np.searchsorted(held, asked)
-        return held[np.minimum(place, len(held) - 1)] == asked
-
-    def settled(self, marks: list) -> np.ndarray:
-        """Places whose string starts in a cell that a smaller document has too."""
-        if all(m is None for m in marks):
-            return np.zeros(self.size, bool)
-        start, end = self.cells()
-        known = np.array([m is not None for m in marks], bool)[self.row[self.part[start]]]
-        start, end = start[known], end[known]
-        edge = np.zeros(self.size + 1, np.int32)
-        if len(start):
-            hit = self.pick(self.stretch_hashes(start, end)[:, 0], self.part[start], marks)
-            np.add.at(edge, start[hit], 1)
-            np.add.at(edge, end[hit], -1)
-        return (np.cumsum(edge[:-1]) > 0) & (self.room >= LENGTH)
+        return np.frombuffer(b"".join([digest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist())]), "<u8").reshape(-1, 2)
 
-    def open_places(self, marks: list) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the strings that are not settled, and of their minimizers."""
+    def minimizers(self) -> np.ndarray:
+        """The place of the minimizer of the string at each place."""
         low = np.uint64(0xFFFFFFFF)
-        v = (self.gram & ~low) | np.arange(len(self.gram), dtype=np.uint64)
+        n = self.size + WINDOW
+        v = (self.gram[:n] & ~low) | np.arange(n, dtype=np.uint64)
         span = 1
         while 2 * span <= WINDOW:
             v = np.minimum(v[:-span], v[span:])
             span *= 2
         v = np.minimum(v[: len(v) - (WINDOW - span)], v[WINDOW - span :])
-        places = np.flatnonzero((self.room >= LENGTH) & ~self.settled(marks))
-        return places, (v[places] & low).astype(np.int64)
-
-    def candidates(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """Open places whose minimizer another text has, and their minimizers."""
-        places, minimizers = self.open_places(_marks(rows, "cells"))
-        new = np.append(True, np.diff(minimizers) != 0)[: len(minimizers)]
-        hit = self.pick(self.gram[minimizers[new]].view(np.int64), self.part[places[new]], _marks(rows, "grams"))
-        hit = hit[np.cumsum(new) - 1] if len(places) else hit
-        return places[hit], minimizers[hit]
+        return (v[: self.size] & low).astype(np.int64)
 
-    def contexts(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """64-bit hashes of the minimizers with 15 bytes to the left, or else to the right; and which of them each place has."""
-        key = minimizers * 2 + (minimizers - places >= MORE)
-        new = np.append(True, np.diff(key) != 0)[: len(key)]
-        digest, data = xxhash.xxh3_64_intdigest, self.data
-        found = [digest(data[(k >> 1) - MORE : (k >> 1) + GRAM], 1) if k & 1 else digest(data[k >> 1 : (k >> 1) + GRAM + MORE], 2) for k in key[new].tolist()]
-        return np.array(found, np.uint64).view(np.int64), np.cumsum(new) - 1
-
-    def pieces(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last place of each stretch of neighbours with one minimizer."""
-        new = np.append(True, (np.diff(minimizers) != 0) | (np.diff(places) != 1))[: len(places)]
-        return places[new], places[np.append(new[1:], True)[: len(places)]]
-
-    def inside(self, at: list, n: list | None = None) -> np.ndarray:
-        """Marks the places that are listed for each text (with ``n``: so many from each on)."""
-        edge = np.zeros(self.size + 1, np.int32)
-        for k, row in enumerate(self.row.tolist()):
-            if at[row] is not None:
-                own = at[row] - self.base[k]
-                here = (own >= 0) & (own < SEGMENT)
-                own = own[here] + self.first[k]
-                np.add.at(edge, own, 1)
-                np.add.at(edge, own + (1 if n is None else n[row][here]), -1)
-        return np.cumsum(edge[:-1]) > 0
-
-
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[Block, pd.DataFrame]]:
-    for batch in batches:
-        texts = batch["text"].tolist()
-        at, size = 0, 0
-        for k, t in enumerate(texts):
-            size += len(t)
-            if size >= BLOCK or k == len(texts) - 1:
-                yield Block(texts[at : k + 1]), batch.iloc[at : k + 1]
-                at, size = k + 1, 0
-
-
-def _marks(rows: pd.DataFrame, col: str) -> list:
-    return [None if m is None else np.asarray(m, np.int64) for m in rows[col]]
-
-
-def _ranked(block: Block, rows: pd.DataFrame, parts: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    """(rank, doc, sub) with each rank once for each text."""
-    row = block.row[parts]
-    mixed = values.view(np.uint64) ^ row.astype(np.uint64) * MIX[0]
-    _, once = np.unique(mixed, return_index=True)
-    row, values = row[once], values[once]
-    return pd.DataFrame({"h": values, "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row]})
-
-
-def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for block, rows in _blocks(batches):
-        start, end = block.cells()
-        h, row = block.stretch_hashes(start, end), block.row[block.part[start]]
-        _, once = np.unique(h[:, 0].view(np.uint64) ^ row.astype(np.uint64) * MIX[0], return_index=True)
-        h, row = h[once], row[once]
-        yield pd.DataFrame({"h": h[:, 0], "h2": h[:, 1], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row]})
-
-
-def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for block, rows in _blocks(batches):
-        places, minimizers = block.open_places(_marks(rows, "cells"))
-        new = np.append(True, np.diff(minimizers) != 0)[: len(minimizers)]
-        yield _ranked(block, rows, block.part[places[new]], block.gram[minimizers[new]].view(np.int64))
-
-
-def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Contexts (n = 0) and pieces (n = their places) of the candidates."""
-    for block, rows in _blocks(batches):
-        places, minimizers = block.candidates(rows)
-        h, of = block.contexts(places, minimizers)
-        first = np.append(True, np.diff(of) != 0)[: len(of)]
-        ranked = _ranked(block, rows, block.part[places[first]], h)
-        yield ranked.assign(h2=0, at=np.int32(0), n=np.int32(0))
-        a, b = block.pieces(places, minimizers)
-        h, part = block.hashes(a, b + LENGTH), block.part[a]
-        row = block.row[part]
-        yield pd.DataFrame({"h": h[:, 0], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row], "h2": h[:, 1], "at": (a - block.first[part] + block.base[part]).astype(np.int32), "n": (b - a + 1).astype(np.int32)})
-
-
-def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for block, rows in _blocks(batches):
-        places, minimizers = block.candidates(rows)
-        done = block.inside(_marks(rows, "pieces_at"), _marks(rows, "pieces_n"))[places]
-        places, minimizers = places[~done], minimizers[~done]
-        h, of = block.contexts(places, minimizers)
-        first = np.append(True, np.diff(of) != 0)[: len(of)]
-        hit = block.pick(h, block.part[places[first]], _marks(rows, "contexts"))
-        places = places[hit[of]] if len(places) else places
-        h, part = block.hashes(places, places + LENGTH), block.part[places]
-        row = block.row[part]
-        yield pd.DataFrame({"h": h[:, 0], "h2": h[:, 1], "doc": rows["doc"].to_numpy()[row], "sub": rows["sub"].to_numpy()[row], "at": (places - block.first[part] + block.base[part]).astype(np.int32)})
-
-
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for block, rows in _blocks(batches):
-        starts = block.settled(_marks(rows, "cells")) | block.inside(_marks(rows, "pieces_at"), _marks(rows, "pieces_n")) | block.inside(_marks(rows, "at"))
-        n = np.cumsum(starts)
-        covered = n - np.append(np.zeros(LENGTH, n.dtype), n)[: len(n)] > 0  # a string starts in the last 50 places; none crosses texts
-        texts = rows["text"].tolist()
-        gone = [np.zeros(len(t), bool) for t in texts]
-        for k, row in enumerate(block.row.tolist()):
-            part = covered[block.first[k] : block.stop[k]]
-            gone[row][block.base[k] : block.base[k] + len(part)] |= part
-        out = []
-        for text, own, copy in zip(texts, gone, rows["copy"].tolist()):
-            if copy and len(text) >= LENGTH:
-                own[:] = True
-            kept = np.frombuffer(text, np.uint8)[~own].tobytes() if own.any() else text
-            out.append((len(text), int(own.sum()), int(own[:1].sum()) + int((~own[:-1] & own[1:]).sum()), kept))
-        done = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
-        done["kept_sha256"] = [hashlib.sha256(k).hexdigest() for k in done["kept"]]
-        yield done.assign(doc_id=rows["doc_id"].astype("Int64").to_numpy())
 
+class Found:
+    """What the rounds before told a unit: ranks of each kind, and the least document that has them."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.kinds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        kind = rows["kind"].to_numpy()
+        h, h2, least = (rows[c].to_numpy(np.int64) for c in ("h", "h2", "least"))
+        for k in np.unique(kind).tolist():
+            own = np.flatnonzero(kind == k)
+            own = own[np.argsort(h[own].view(np.uint64))]
+            self.kinds[k] = h[own].view(np.uint64), h2[own].view(np.uint64), least[own]
 
-RANK = "h long, doc long, sub long"
+    def _place(self, kind: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        known = self.kinds[kind][0]
+        place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+        return place, known[place] == values
 
+    def has(self, kind: int, values: np.ndarray) -> np.ndarray:
+        if kind not in self.kinds:
+            return np.zeros(len(values), bool)
+        return self._place(kind, values)[1]
+
+    def before(self, kind: int, values: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Which of the values (both names) a document smaller than ``doc`` has too."""
+        if kind not in self.kinds:
+            return np.zeros(len(values), bool)
+        place, same = self._place(kind, values[:, 0])
+        _, second, least = self.kinds[kind]
+        return same & (second[place] == values[:, 1]) & (least[place] < doc)
 
-def _listed(marked: DataFrame, value: str, name: str, step: str) -> DataFrame:
-    """One row a text: its marks as an array; no longer than the text."""
-    return materialise(marked.groupBy("doc", "sub").agg(F.collect_list(value).alias(name)), step)
 
+class Round:
+    """A block, and which of its strings are still open after the rounds that ``found`` tells of."""
 
-def _placed(rows: DataFrame, *rank: str) -> DataFrame:
-    """Rows with the smallest document of their rank, and whether another row follows: one sort, nothing is held."""
-    order = Window.partitionBy(*rank).orderBy("doc")
+    def __init__(self, block: Block, doc: np.ndarray, found: Found):
+        self.block, self.found = block, found
+        self.doc = doc[block.row[block.part]]  # of each place
+
+    def settled(self) -> np.ndarray:
+        """Places whose string starts in a cell that a smaller document has too."""
+        b = self.block
+        start, end = b.cells()
+        edge = np.zeros(b.size + 1, np.int32)
+        if len(start) and CELLS in self.found.kinds:
+            hit = self.found.before(CELLS, self.cell_names(start, end), self.doc[start])
+            np.add.at(edge, start[hit], 1)
+            np.add.at(edge, end[hit], -1)
+        return (np.cumsum(edge[:-1]) > 0) & (b.room >= LENGTH)
+
+    def cell_names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        b = self.block
+        return b.hashes(start, np.minimum(end + LENGTH - 1, b.stop[b.part[start]]))
+
+    def open_places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the strings that no cell settles, and of their minimizers."""
+        places = np.flatnonzero((self.block.room >= LENGTH) & ~self.settled())
+        return places, self.block.minimizers()[places]
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Open places whose minimizer another document has."""
+        places, minimizers = self.open_places()
+        new = _starts(minimizers)
+        hit = self.found.has(GRAMS, self.block.gram[minimizers[new]])
+        hit = hit[np.cumsum(new) - 1] if len(places) else hit
+        return places[hit], minimizers[hit]
+
+    def contexts(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """32-byte ranks of the minimizers with 16 bytes on one side; the places of the first strings of each; which of them each place has."""
+        left = minimizers - places >= OFFSETS[0]
+        key = minimizers * 2 + left
+        new = _starts(key)
+        names = self.block.rank32((minimizers - OFFSETS[0] * left)[new], self.block.gram, 0) ^ left[new].astype(np.uint64)
+        return names, places[new], np.cumsum(new) - 1
+
+    def stretches(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbouring strings with one minimizer: both names of their bytes, the first place, and which of them each place has."""
+        new = _starts(minimizers)
+        new[1:] |= np.diff(places) != 1
+        first, last = places[new], places[np.append(new[1:], True)[: len(places)]]
+        return self.block.hashes(first, last + LENGTH), first, np.cumsum(new) - 1
+
+    def last_places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places that the stretches of the second round settle, and those that only the last round can settle."""
+        places, minimizers = self.candidates()
+        if not len(places):
+            return places, places
+        names, first, of = self.stretches(places, minimizers)
+        done = self.found.before(STRETCHES, names, self.doc[first])[of]
+        names, _, of = self.contexts(places, minimizers)
+        shared = self.found.has(CONTEXTS, names)[of]
+        return places[done], places[~done & shared]
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where a run of equal values starts."""
+    return np.append(True, np.diff(x) != 0)[: len(x)]
+
+
+def _blocks(texts: list[bytes]) -> Iterator[Block]:
+    """All texts in blocks of about ``BLOCK`` bytes; long ones in segments that overlap by a string less a byte."""
+    parts, size = [], 0
+    for row, t in enumerate(texts):
+        for at in range(0, max(1, len(t) - LENGTH + 1), SEGMENT):
+            part = t[at : at + SEGMENT + LENGTH - 1]
+            parts.append((row, at, part))
+            size += len(part)
+            if size >= BLOCK:
+                yield Block(parts)
+                parts, size = [], 0
+    if parts:
+        yield Block(parts)
+
+
+def _rounds(rows: pd.DataFrame, marks: pd.DataFrame) -> Iterator[Round]:
+    found, doc = Found(marks), rows["doc"].to_numpy(np.int64)
+    for block in _blocks(rows["text"].tolist()):
+        yield Round(block, doc, found)
+
+
+class Ranks:
+    """The ranks of a unit, each once, with the least and greatest document."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, names: np.ndarray, doc: np.ndarray) -> None:
+        names = names if names.ndim == 2 else np.stack([names, np.zeros_like(names)], 1)
+        self.held.append((names[:, 0], names[:, 1], doc))
+
+    def frame(self, kind: int, unit: int) -> pd.DataFrame:
+        h, h2, doc = (np.concatenate([x[k] for x in self.held]) if self.held else np.zeros(0, np.uint64) for k in range(3))
+        order = np.lexsort((h2, h)) if h2.any() else np.argsort(h)
+        h, h2, doc = h[order], h2[order], doc[order].astype(np.int64)
+        cut = np.flatnonzero(_starts(h) | _starts(h2))
+        lo, hi = (f.reduceat(doc, cut) if len(cut) else doc for f in (np.minimum, np.maximum))
+        return pd.DataFrame({"kind": np.int8(kind), "h": h[cut].view(np.int64), "h2": h2[cut].view(np.int64), "unit": np.int64(unit), "lo": lo, "hi": hi})
+
+
+RANKS, NARROW = "kind byte, h long, h2 long, unit long, lo long, hi long", "h long, unit long, many boolean"
+
+
+def _cells(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    ranks = Ranks()
+    for r in _rounds(rows, marks):
+        start, end = r.block.cells()
+        ranks.add(r.cell_names(start, end), r.doc[start])
+    return ranks.frame(CELLS, rows["unit"].iat[0])
+
+
+def _grams(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    ranks = Ranks()
+    for r in _rounds(rows, marks):
+        places, minimizers = r.open_places()
+        new = _starts(minimizers)
+        ranks.add(r.block.gram[minimizers[new]], r.doc[places[new]])
+    found = ranks.frame(GRAMS, rows["unit"].iat[0])
+    return found[["h", "unit"]].assign(many=found["lo"] < found["hi"])
+
+
+def _contexts(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    contexts, stretches = Ranks(), Ranks()
+    for r in _rounds(rows, marks):
+        places, minimizers = r.candidates()
+        if len(places):
+            names, first, _ = r.contexts(places, minimizers)
+            contexts.add(names, r.doc[first])
+            names, first, _ = r.stretches(places, minimizers)
+            stretches.add(names, r.doc[first])
+    unit = rows["unit"].iat[0]
+    return pd.concat([contexts.frame(CONTEXTS, unit), stretches.frame(STRETCHES, unit)])
+
+
+def _strings(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    ranks = Ranks()
+    for r in _rounds(rows, marks):
+        _, places = r.last_places()
+        if len(places):
+            ranks.add(r.block.rank50(places), r.doc[places])
+    return ranks.frame(STRINGS, rows["unit"].iat[0])
+
+
+def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    texts = rows["text"].tolist()
+    gone = [np.zeros(len(t), bool) for t in texts]
+    for r in _rounds(rows, marks):
+        b, starts = r.block, r.settled()
+        done, places = r.last_places()
+        starts[done] = True
+        if len(places):
+            starts[places[r.found.before(STRINGS, b.rank50(places), r.doc[places])]] = True
+        n = np.cumsum(starts)
+        covered = n - np.append(np.zeros(LENGTH, n.dtype), n)[: len(n)] > 0  # a string starts in the last 50 places; none crosses texts
+        for row, at, first, stop in zip(b.row.tolist(), b.base.tolist(), b.first.tolist(), b.stop.tolist()):
+            gone[row][at : at + stop - first] |= covered[first:stop]
+    out = []
+    for text, own in zip(texts, gone):
+        kept = np.frombuffer(text, np.uint8)[~own].tobytes() if own.any() else text
+        out.append((len(text), int(own.sum()), int(own[:1].sum()) + int((~own[:-1] & own[1:]).sum()), hashlib.sha256(kept).hexdigest(), kept))
+    done = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+    return done.assign(doc_id=pd.array(rows["doc"].to_numpy(), "Int64").copy()).assign(doc_id=lambda d: d["doc_id"].where(rows["known"].to_numpy(bool)))
+
+
+def _placed(ranks: DataFrame, order_by: str, *rank: str) -> DataFrame:
+    """``ranks`` in the order of a sort, each with the first row of its rank and the next; nothing is held."""
+    order = Window.partitionBy(*rank).orderBy(order_by)
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("least", F.first("doc").over(upto)).withColumn("next", F.lead("doc").over(order))
+    return ranks.withColumn("least", F.first(order_by).over(upto)).withColumn("shared", (F.row_number().over(order) > 1) | F.lead(order_by).over(order).isNotNull())
 
 
-SEEN_BEFORE, SHARED = "least < doc", "least < doc or next is not null"
+MARKS = ("unit", "kind", "h", "h2", "least")
+
+
+def _dealt(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> str:
+    """Writes the texts by unit; returns the name of the table."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-size // UNIT) or 1)).alias("unit")
+    rows = rows.select(unit, F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.col("doc_id").isNotNull().alias("known"), F.col("text").cast("binary").alias("text"))
+    table = f"texts_{uuid.uuid4().hex}"
+    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit").option("compression", "zstd").saveAsTable(table)
+    return table
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes."""
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    repeated = not base.groupBy("doc_id").count().where("count > 1").isEmpty()
-    sub = F.xxhash64("text") if repeated else F.lit(0).cast("long")  # tells texts of one id apart
-    base = base.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), sub.alias("sub"), F.col("text").cast("binary").alias("text"))
-    table = f"texts_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base.write.bucketBy(buckets, "doc", "sub").option("compression", "zstd").option("path", fresh_path(spark, "repeats-table")).saveAsTable(table)
+    table = _dealt(spark, docs, id_col, text_col)
     texts = spark.table(table)
-
-    whole = materialise(texts.select("doc", "sub", F.md5("text").alias("h")), "repeats-texts")
-    copies = whole.join(whole.groupBy("h").agg(F.min("doc").alias("least")), "h").where("doc > least").select("doc", "sub", F.lit(True).alias("copy")).distinct()
-    copies = materialise(copies, "repeats-copies")
-
-    def with_marks(*marks: DataFrame, how: str = "left") -> DataFrame:
-        out = texts.join(copies.hint("shuffle_hash"), ["doc", "sub"], "left")
-        for k, m in enumerate(marks):
-            out = out.join(m.hint("shuffle_hash"), ["doc", "sub"], "left" if k < len(marks) - 1 else how)
-        return out
-
-    def step(function: Callable, schema: str, *marks: DataFrame, how: str = "left") -> DataFrame:
-        rows = with_marks(*marks, how=how).where("copy is null").drop("copy", "doc_id")
-        return rows.mapInPandas(function, schema)
-
-    cells = _listed(_placed(step(_cells, "h long, h2 long, doc long, sub long"), "h", "h2").where(SEEN_BEFORE), "h", "cells", "repeats-cells")
-    grams = _listed(_placed(step(_grams, RANK, cells), "h").where(SHARED), "h", "grams", "repeats-grams")
-    ranks = step(_contexts, RANK + ", h2 long, at int, n int", cells, grams, how="inner")
-    both = _placed(ranks, "h", "h2").where(f"n = 0 and ({SHARED}) or n > 0 and {SEEN_BEFORE}").groupBy("doc", "sub")
-    whole_piece = F.col("n") > 0
-    both = both.agg(F.collect_list(F.when(~whole_piece, F.col("h"))).alias("contexts"), F.collect_list(F.when(whole_piece, F.struct("at", "n"))).alias("p"))
-    both = materialise(both.select("doc", "sub", "contexts", F.col("p.at").alias("pieces_at"), F.col("p.n").alias("pieces_n")), "repeats-contexts")
-    strings = step(_strings, "h long, h2 long, doc long, sub long, at int", cells, grams, both, how="inner")
-    at = _listed(_placed(strings, "h", "h2").where(SEEN_BEFORE), "at", "at", "repeats-strings")
+    marks = spark.createDataFrame([], "unit long, kind byte, h long, h2 long, least long")
+
+    def step(function: Callable, schema: str) -> DataFrame:
+        return texts.groupBy("unit").cogroup(marks.groupBy("unit")).applyInPandas(function, schema)
+
+    cells = _placed(step(_cells, RANKS), "lo", "h", "h2").where("least < hi")
+    marks = materialise(cells.select(*MARKS), "repeats-cells")
+    grams = _placed(step(_grams, NARROW), "unit", "h").where("many or shared")
+    grams = grams.select("unit", F.lit(GRAMS).cast("byte").alias("kind"), "h", F.lit(0).cast("long").alias("h2"), F.lit(0).cast("long").alias("least"))
+    marks = marks.union(materialise(grams, "repeats-16"))
+    ranks = _placed(step(_contexts, RANKS), "lo", "h", "h2", "kind")
+    ranks = ranks.where(F.when(F.col("kind") == CONTEXTS, F.col("shared") | (F.col("lo") < F.col("hi"))).otherwise(F.col("least") < F.col("hi")))
+    marks = marks.union(materialise(ranks.select(*MARKS), "repeats-32"))
+    strings = _placed(step(_strings, RANKS), "lo", "h", "h2").where("least < hi")
+    marks = marks.union(materialise(strings.select(*MARKS), "repeats-50"))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in fields.split(", ")]
-        for frame in _cut(batches):
-            yield frame[names]
-
-    marks = with_marks(cells, both.drop("contexts"), at)
-    return marks.select("doc_id", "text", "copy", "cells", "pieces_at", "pieces_n", "at").mapInPandas(cut, fields)
+    names = [f.split()[0] for f in fields.split(", ")]
+    result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields), "repeats-result")
+    spark.sql(f"DROP TABLE {table}")
+    return result
