@@ -7,29 +7,28 @@ ranks at the position and at an offset (16 bytes, then 32 with offset 16, then
 50 with offset 18), Spark sorts the ranks, and positions whose rank no other
 document has drop out before the next round.
 
-Positions that need no rank of their own are left out beforehand:
+Positions that need no rank of their own are left out:
 
-1. Past the threshold at once: texts are cut where the content says so, about
-   every ``CELL`` bytes.  A cell and the 49 bytes after it hold all strings
-   that start in the cell; where a smaller document has the same stretch, all
-   of them are settled.
-2. Round of 16 bytes: a string enters with one position only, its minimizer
+1. Round of 16 bytes: a string enters with one position only, its minimizer
    (the 16 bytes of smallest name in it).  Equal strings have equal minimizers,
-   so a string whose minimizer is unique is unique.
-3. Round of 32 bytes: the minimizer's rank is paired with the one 16 bytes
-   before or after it, on the side where the string has them.  Beside them,
-   past the threshold again, the stretches of neighbouring strings with one
-   minimizer: one that a smaller document has settles all its strings.
-4. Round of 50 bytes: all strings that are left, by two independent names of
+   so a string whose minimizer is unique is unique.  Past the threshold at
+   once: neighbouring strings with one minimizer are a stretch of 50 to 84
+   bytes, named by the ranks of its two ends; one that a smaller document has
+   too settles all its strings.
+2. Round of 32 bytes, for the strings that are left: the minimizer's rank is
+   paired with the one 16 bytes before or after it, on the side where the
+   string has them.
+3. Round of 50 bytes: all strings that are left, by two independent names of
    64 bits.
 
 Every string is ranked at full length or proved unique on the way; nothing is
-sampled.  Texts are dealt once to units of about ``UNIT`` bytes, kept in a table
-bucketed by unit, so that each round's findings meet them without shuffling
-texts again.  A unit sends each rank once, with the least and greatest of its
-documents that have it; so a rank that a third of all documents share reaches
-the sort as one row a unit, and the window over a sorted rank only looks at its
-first and next row.
+sampled.  (The smallest document that has a string is never settled by a
+stretch, so it is there as a witness in each round.)  Texts are dealt once to
+units of about ``UNIT`` bytes, kept in a table bucketed by unit, so that each
+round's findings meet them without shuffling texts again.  A unit sends each
+rank once, with the least and greatest of its documents that have it; so a rank
+that a third of all documents share reaches the sort as one row a unit, and the
+windows over a sorted rank only look at its first row and the neighbours.
 
 Defined results: null text = empty text; texts under 50 bytes lose nothing and
 are matched by nothing; a null id counts as greater than all others, and null
@@ -46,8 +45,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, text_or_empty
@@ -56,12 +54,12 @@ LENGTH = 50
 #: Bytes of the first rank, and the offsets of the pairs of the two rounds after it.
 GRAM, OFFSETS = 16, (16, 18)
 WINDOW = LENGTH - GRAM + 1
-CELL = 64
-UNIT, BLOCK, SEGMENT = 4 << 20, 2 << 20, 1 << 20
+#: Bytes of text: of a unit, and of what is looked at together (small enough for a processor's cache).
+UNIT, BLOCK = 4 << 20, 1 << 18
 NO_ID = (1 << 63) - 1
 #: Two families of names, so that 128 bits tell strings apart.
 MIX = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]], np.uint64)
-CELLS, GRAMS, CONTEXTS, STRETCHES, STRINGS = range(5)
+GRAMS, STRETCHES, CONTEXTS, STRINGS = range(4)
 
 
 def _mixed(x: np.ndarray, by: np.uint64) -> np.ndarray:
@@ -77,20 +75,32 @@ def _pair(a: np.ndarray, b: np.ndarray, family: int) -> np.ndarray:
     return _mixed((a ^ a >> np.uint64(32)) * one + b * two, three)
 
 
+def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All places of the runs from ``first`` to ``last``."""
+    n = last - first + 1
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else first
+
+
 class Block:
-    """Texts, or segments of long ones, side by side, and the ranks of their bytes."""
+    """Texts, or segments of long ones, side by side, the ranks of their bytes, and the runs of strings with one minimizer."""
 
-    def __init__(self, parts: list[tuple[int, int, bytes]]):
+    def __init__(self, parts: list[tuple[int, int, bytes]], doc: np.ndarray):
         self.row = np.array([r for r, _, _ in parts])
         self.base = np.array([at for _, at, _ in parts])
         sizes = np.array([len(p) for _, _, p in parts])
         self.stop = np.cumsum(sizes)
-        self.first = self.stop - sizes
+        self.start = self.stop - sizes
         self.size = int(self.stop[-1])
         self.data = b"".join([p for _, _, p in parts]) + bytes(2 * LENGTH)
-        self.part = np.repeat(np.arange(len(parts)), sizes)
-        self.room = self.stop[self.part] - np.arange(self.size)  # bytes up to the end of the text
         self.gram = self.grams(0)
+        places = _spread(self.start, self.stop - LENGTH) if (sizes >= LENGTH).all() else _spread(self.start[sizes >= LENGTH], self.stop[sizes >= LENGTH] - LENGTH)
+        least = self.minimizers()[places]
+        new = _starts(least)
+        #: First and last place, and minimizer, of each run.
+        self.first, self.min = places[new], least[new]
+        self.last = places[np.append(new[1:], True)[: len(places)]]
+        self.doc = doc[self.row[np.searchsorted(self.start, self.first, "right") - 1]]
+        self.side = np.zeros(len(self.first), np.uint64)
 
     def grams(self, family: int) -> np.ndarray:
         n = self.size + LENGTH
@@ -98,31 +108,6 @@ class Block:
         word = lambda at: np.ndarray((n,), "<u8", self.data, at, (1,))
         return _mixed(word(0) * one + word(8) * two, three)
 
-    def rank32(self, places: np.ndarray, gram: np.ndarray, family: int) -> np.ndarray:
-        return _pair(gram[places], gram[places + OFFSETS[0]], family)
-
-    def rank50(self, places: np.ndarray) -> np.ndarray:
-        """Both names of the 50 bytes from each place on."""
-        out = np.empty((len(places), 2), np.uint64)
-        for family, gram in enumerate((self.gram, self.grams(1))):
-            out[:, family] = _pair(self.rank32(places, gram, family), self.rank32(places + OFFSETS[1], gram, family), family)
-        return out
-
-    def cells(self) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of the cells in which strings start."""
-        cut = (self.gram[: self.size] & np.uint64(CELL - 1)) == 0
-        cut &= self.room >= GRAM
-        cut[self.first[self.first < self.size]] = True
-        start = np.flatnonzero(cut)
-        end = np.minimum(np.append(start[1:], self.size), self.stop[self.part[start]]) if len(start) else start
-        real = self.room[start] >= LENGTH
-        return start[real], end[real]
-
-    def hashes(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """128-bit names of stretches of any length."""
-        digest, data = xxhash.xxh3_128_digest, self.data
-        return np.frombuffer(b"".join([digest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist())]), "<u8").reshape(-1, 2)
-
     def minimizers(self) -> np.ndarray:
         """The place of the minimizer of the string at each place."""
         low = np.uint64(0xFFFFFFFF)
@@ -135,6 +120,41 @@ class Block:
         v = np.minimum(v[: len(v) - (WINDOW - span)], v[WINDOW - span :])
         return (v[: self.size] & low).astype(np.int64)
 
+    def rank32(self, places: np.ndarray, gram: np.ndarray, family: int) -> np.ndarray:
+        return _pair(gram[places], gram[places + OFFSETS[0]], family)
+
+    def rank50(self, places: np.ndarray, family: int) -> np.ndarray:
+        gram = self.grams(1) if family else self.gram
+        return _pair(self.rank32(places, gram, family), self.rank32(places + OFFSETS[1], gram, family), family)
+
+    def keep(self, runs: np.ndarray) -> None:
+        """Goes on with these runs only."""
+        for name in ("first", "last", "min", "doc", "side"):
+            setattr(self, name, getattr(self, name)[runs])
+
+    def stretches(self) -> np.ndarray:
+        """Both names of each run: its minimizer's, and that of the ranks of its ends and their distance."""
+        ends = self.rank50(np.concatenate([self.first, self.last]), 0)
+        n = len(self.first)
+        return np.stack([self.gram[self.min], _pair(ends[:n], ends[n:] + (self.last - self.first).astype(np.uint64), 1)], 1)
+
+    def contexts(self) -> np.ndarray:
+        """32-byte ranks of the runs, which are cut where the side changes on which a string has 16 bytes more than the minimizer."""
+        left = self.min - OFFSETS[0]  # the last place with them before the minimizer
+        has_left, has_right = self.first <= left, self.last > left
+        self.keep(np.concatenate([np.flatnonzero(has_left), np.flatnonzero(has_right)]))
+        n, left = int(has_left.sum()), self.min - OFFSETS[0]
+        self.last[:n] = np.minimum(self.last, left)[:n]
+        self.first[n:] = np.maximum(self.first, left + 1)[n:]
+        self.side[:n] = 1
+        at = np.where(self.side == 1, left, self.min)
+        return self.rank32(at, self.gram, 0) ^ self.side
+
+    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All places of the runs, both names of their 50 bytes, and their documents."""
+        places = _spread(self.first, self.last)
+        return places, np.stack([self.rank50(places, k) for k in (0, 1)], 1), np.repeat(self.doc, self.last - self.first + 1)
+
 
 class Found:
     """What the rounds before told a unit: ranks of each kind, and the least document that has them."""
@@ -145,8 +165,9 @@ class Found:
         h, h2, least = (rows[c].to_numpy(np.int64) for c in ("h", "h2", "least"))
         for k in np.unique(kind).tolist():
             own = np.flatnonzero(kind == k)
-            own = own[np.argsort(h[own].view(np.uint64))]
-            self.kinds[k] = h[own].view(np.uint64), h2[own].view(np.uint64), least[own]
+            a, b = h[own].view(np.uint64), h2[own].view(np.uint64)
+            order = np.argsort(a ^ b)
+            self.kinds[k] = (a ^ b)[order], a[order], least[own][order]
 
     def _place(self, kind: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known = self.kinds[kind][0]
@@ -162,71 +183,19 @@ class Found:
         """Which of the values (both names) a document smaller than ``doc`` has too."""
         if kind not in self.kinds:
             return np.zeros(len(values), bool)
-        place, same = self._place(kind, values[:, 0])
-        _, second, least = self.kinds[kind]
-        return same & (second[place] == values[:, 1]) & (least[place] < doc)
-
-
-class Round:
-    """A block, and which of its strings are still open after the rounds that ``found`` tells of."""
-
-    def __init__(self, block: Block, doc: np.ndarray, found: Found):
-        self.block, self.found = block, found
-        self.doc = doc[block.row[block.part]]  # of each place
-
-    def settled(self) -> np.ndarray:
-        """Places whose string starts in a cell that a smaller document has too."""
-        b = self.block
-        start, end = b.cells()
-        edge = np.zeros(b.size + 1, np.int32)
-        if len(start) and CELLS in self.found.kinds:
-            hit = self.found.before(CELLS, self.cell_names(start, end), self.doc[start])
-            np.add.at(edge, start[hit], 1)
-            np.add.at(edge, end[hit], -1)
-        return (np.cumsum(edge[:-1]) > 0) & (b.room >= LENGTH)
-
-    def cell_names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        b = self.block
-        return b.hashes(start, np.minimum(end + LENGTH - 1, b.stop[b.part[start]]))
-
-    def open_places(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the strings that no cell settles, and of their minimizers."""
-        places = np.flatnonzero((self.block.room >= LENGTH) & ~self.settled())
-        return places, self.block.minimizers()[places]
-
-    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
-        """Open places whose minimizer another document has."""
-        places, minimizers = self.open_places()
-        new = _starts(minimizers)
-        hit = self.found.has(GRAMS, self.block.gram[minimizers[new]])
-        hit = hit[np.cumsum(new) - 1] if len(places) else hit
-        return places[hit], minimizers[hit]
-
-    def contexts(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """32-byte ranks of the minimizers with 16 bytes on one side; the places of the first strings of each; which of them each place has."""
-        left = minimizers - places >= OFFSETS[0]
-        key = minimizers * 2 + left
-        new = _starts(key)
-        names = self.block.rank32((minimizers - OFFSETS[0] * left)[new], self.block.gram, 0) ^ left[new].astype(np.uint64)
-        return names, places[new], np.cumsum(new) - 1
-
-    def stretches(self, places: np.ndarray, minimizers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Neighbouring strings with one minimizer: both names of their bytes, the first place, and which of them each place has."""
-        new = _starts(minimizers)
-        new[1:] |= np.diff(places) != 1
-        first, last = places[new], places[np.append(new[1:], True)[: len(places)]]
-        return self.block.hashes(first, last + LENGTH), first, np.cumsum(new) - 1
-
-    def last_places(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places that the stretches of the second round settle, and those that only the last round can settle."""
-        places, minimizers = self.candidates()
-        if not len(places):
-            return places, places
-        names, first, of = self.stretches(places, minimizers)
-        done = self.found.before(STRETCHES, names, self.doc[first])[of]
-        names, _, of = self.contexts(places, minimizers)
-        shared = self.found.has(CONTEXTS, names)[of]
-        return places[done], places[~done & shared]
+        place, same = self._place(kind, values[:, 0] ^ values[:, 1])
+        _, first, least = self.kinds[kind]
+        return same & (first[place] == values[:, 0]) & (least[place] < doc)
+
+    def narrow(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves the block the runs that the first round left open; returns the runs that it settled."""
+        settled = np.zeros(len(block.first), bool)
+        shared = self.has(GRAMS, block.gram[block.min])
+        if STRETCHES in self.kinds and len(settled):
+            settled = self.before(STRETCHES, block.stretches(), block.doc)
+        done = block.first[settled], block.last[settled]
+        block.keep(shared & ~settled)
+        return done
 
 
 def _starts(x: np.ndarray) -> np.ndarray:
@@ -234,25 +203,19 @@ def _starts(x: np.ndarray) -> np.ndarray:
     return np.append(True, np.diff(x) != 0)[: len(x)]
 
 
-def _blocks(texts: list[bytes]) -> Iterator[Block]:
+def _blocks(rows: pd.DataFrame) -> Iterator[Block]:
     """All texts in blocks of about ``BLOCK`` bytes; long ones in segments that overlap by a string less a byte."""
-    parts, size = [], 0
-    for row, t in enumerate(texts):
-        for at in range(0, max(1, len(t) - LENGTH + 1), SEGMENT):
-            part = t[at : at + SEGMENT + LENGTH - 1]
+    doc, parts, size = rows["doc"].to_numpy(np.int64), [], 0
+    for row, t in enumerate(rows["text"].tolist()):
+        for at in range(0, max(1, len(t) - LENGTH + 1), BLOCK):
+            part = t[at : at + BLOCK + LENGTH - 1]
             parts.append((row, at, part))
             size += len(part)
             if size >= BLOCK:
-                yield Block(parts)
+                yield Block(parts, doc)
                 parts, size = [], 0
     if parts:
-        yield Block(parts)
-
-
-def _rounds(rows: pd.DataFrame, marks: pd.DataFrame) -> Iterator[Round]:
-    found, doc = Found(marks), rows["doc"].to_numpy(np.int64)
-    for block in _blocks(rows["text"].tolist()):
-        yield Round(block, doc, found)
+        yield Block(parts, doc)
 
 
 class Ranks:
@@ -265,71 +228,64 @@ class Ranks:
         names = names if names.ndim == 2 else np.stack([names, np.zeros_like(names)], 1)
         self.held.append((names[:, 0], names[:, 1], doc))
 
-    def frame(self, kind: int, unit: int) -> pd.DataFrame:
+    def frame(self, unit: int) -> pd.DataFrame:
         h, h2, doc = (np.concatenate([x[k] for x in self.held]) if self.held else np.zeros(0, np.uint64) for k in range(3))
-        order = np.lexsort((h2, h)) if h2.any() else np.argsort(h)
+        order = np.argsort(h ^ h2)
         h, h2, doc = h[order], h2[order], doc[order].astype(np.int64)
         cut = np.flatnonzero(_starts(h) | _starts(h2))
         lo, hi = (f.reduceat(doc, cut) if len(cut) else doc for f in (np.minimum, np.maximum))
-        return pd.DataFrame({"kind": np.int8(kind), "h": h[cut].view(np.int64), "h2": h2[cut].view(np.int64), "unit": np.int64(unit), "lo": lo, "hi": hi})
-
-
-RANKS, NARROW = "kind byte, h long, h2 long, unit long, lo long, hi long", "h long, unit long, many boolean"
+        return pd.DataFrame({"h": h[cut].view(np.int64), "h2": h2[cut].view(np.int64), "unit": np.int64(unit), "lo": lo, "hi": hi})
 
 
-def _cells(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-    ranks = Ranks()
-    for r in _rounds(rows, marks):
-        start, end = r.block.cells()
-        ranks.add(r.cell_names(start, end), r.doc[start])
-    return ranks.frame(CELLS, rows["unit"].iat[0])
+RANKS = "h long, h2 long, unit long, lo long, hi long"
 
 
 def _grams(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     ranks = Ranks()
-    for r in _rounds(rows, marks):
-        places, minimizers = r.open_places()
-        new = _starts(minimizers)
-        ranks.add(r.block.gram[minimizers[new]], r.doc[places[new]])
-    found = ranks.frame(GRAMS, rows["unit"].iat[0])
-    return found[["h", "unit"]].assign(many=found["lo"] < found["hi"])
+    for block in _blocks(rows):
+        if len(block.first):
+            ranks.add(block.stretches(), block.doc)
+    return ranks.frame(rows["unit"].iat[0])
 
 
 def _contexts(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-    contexts, stretches = Ranks(), Ranks()
-    for r in _rounds(rows, marks):
-        places, minimizers = r.candidates()
-        if len(places):
-            names, first, _ = r.contexts(places, minimizers)
-            contexts.add(names, r.doc[first])
-            names, first, _ = r.stretches(places, minimizers)
-            stretches.add(names, r.doc[first])
-    unit = rows["unit"].iat[0]
-    return pd.concat([contexts.frame(CONTEXTS, unit), stretches.frame(STRETCHES, unit)])
+    ranks, found = Ranks(), Found(marks)
+    for block in _blocks(rows):
+        found.narrow(block)
+        if len(block.first):
+            names = block.contexts()
+            ranks.add(names, block.doc)
+    return ranks.frame(rows["unit"].iat[0])
 
 
 def _strings(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-    ranks = Ranks()
-    for r in _rounds(rows, marks):
-        _, places = r.last_places()
-        if len(places):
-            ranks.add(r.block.rank50(places), r.doc[places])
-    return ranks.frame(STRINGS, rows["unit"].iat[0])
+    ranks, found = Ranks(), Found(marks)
+    for block in _blocks(rows):
+        found.narrow(block)
+        block.keep(found.has(CONTEXTS, block.contexts()))
+        if len(block.first):
+            _, names, doc = block.strings()
+            ranks.add(names, doc)
+    return ranks.frame(rows["unit"].iat[0])
 
 
 def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-    texts = rows["text"].tolist()
+    texts, found = rows["text"].tolist(), Found(marks)
     gone = [np.zeros(len(t), bool) for t in texts]
-    for r in _rounds(rows, marks):
-        b, starts = r.block, r.settled()
-        done, places = r.last_places()
-        starts[done] = True
-        if len(places):
-            starts[places[r.found.before(STRINGS, b.rank50(places), r.doc[places])]] = True
-        n = np.cumsum(starts)
-        covered = n - np.append(np.zeros(LENGTH, n.dtype), n)[: len(n)] > 0  # a string starts in the last 50 places; none crosses texts
-        for row, at, first, stop in zip(b.row.tolist(), b.base.tolist(), b.first.tolist(), b.stop.tolist()):
-            gone[row][at : at + stop - first] |= covered[first:stop]
+    for b in _blocks(rows):
+        edge = np.zeros(b.size + LENGTH + 1, np.int32)
+        first, last = found.narrow(b)
+        b.keep(found.has(CONTEXTS, b.contexts()))
+        np.add.at(edge, first, 1)
+        np.add.at(edge, last + LENGTH, -1)
+        if len(b.first):
+            places, names, doc = b.strings()
+            hit = places[found.before(STRINGS, names, doc)]
+            np.add.at(edge, hit, 1)
+            np.add.at(edge, hit + LENGTH, -1)
+        covered = np.cumsum(edge[: b.size]) > 0
+        for row, at, start, stop in zip(b.row.tolist(), b.base.tolist(), b.start.tolist(), b.stop.tolist()):
+            gone[row][at : at + stop - start] |= covered[start:stop]
     out = []
     for text, own in zip(texts, gone):
         kept = np.frombuffer(text, np.uint8)[~own].tobytes() if own.any() else text
@@ -338,16 +294,24 @@ def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     return done.assign(doc_id=pd.array(rows["doc"].to_numpy(), "Int64").copy()).assign(doc_id=lambda d: d["doc_id"].where(rows["known"].to_numpy(bool)))
 
 
-def _placed(ranks: DataFrame, order_by: str, *rank: str) -> DataFrame:
-    """``ranks`` in the order of a sort, each with the first row of its rank and the next; nothing is held."""
-    order = Window.partitionBy(*rank).orderBy(order_by)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranks.withColumn("least", F.first(order_by).over(upto)).withColumn("shared", (F.row_number().over(order) > 1) | F.lead(order_by).over(order).isNotNull())
+def _placed(ranks: DataFrame, rank: list[str], within: list[str]) -> DataFrame:
+    """``ranks`` with the least document of each (``rank`` and ``within``), and whether ``rank`` has another row; nothing is held.
+
+    Both windows follow one sort.
+    """
+    order = Window.partitionBy(*rank).orderBy(*within, "lo")
+    least = Window.partitionBy(*rank, *within).orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    another = F.lag("unit").over(order).isNotNull() | F.lead("unit").over(order).isNotNull()
+    return ranks.withColumn("shared", (F.col("lo") < F.col("hi")) | another).withColumn("least", F.first("lo").over(least))
 
 
 MARKS = ("unit", "kind", "h", "h2", "least")
 
 
+def _mark(kind: int, h2: str = "0", least: str = "0") -> Column:
+    return F.struct(F.lit(kind).cast("byte").alias("kind"), F.expr(f"{h2}L" if h2 == "0" else h2).alias("h2"), F.expr(f"{least}L" if least == "0" else least).alias("least"))
+
+
 def _dealt(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> str:
     """Writes the texts by unit; returns the name of the table."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -369,16 +333,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def step(function: Callable, schema: str) -> DataFrame:
         return texts.groupBy("unit").cogroup(marks.groupBy("unit")).applyInPandas(function, schema)
 
-    cells = _placed(step(_cells, RANKS), "lo", "h", "h2").where("least < hi")
-    marks = materialise(cells.select(*MARKS), "repeats-cells")
-    grams = _placed(step(_grams, NARROW), "unit", "h").where("many or shared")
-    grams = grams.select("unit", F.lit(GRAMS).cast("byte").alias("kind"), "h", F.lit(0).cast("long").alias("h2"), F.lit(0).cast("long").alias("least"))
-    marks = marks.union(materialise(grams, "repeats-16"))
-    ranks = _placed(step(_contexts, RANKS), "lo", "h", "h2", "kind")
-    ranks = ranks.where(F.when(F.col("kind") == CONTEXTS, F.col("shared") | (F.col("lo") < F.col("hi"))).otherwise(F.col("least") < F.col("hi")))
-    marks = marks.union(materialise(ranks.select(*MARKS), "repeats-32"))
-    strings = _placed(step(_strings, RANKS), "lo", "h", "h2").where("least < hi")
-    marks = marks.union(materialise(strings.select(*MARKS), "repeats-50"))
+    grams = _placed(step(_grams, RANKS), ["h"], ["h2"])
+    # a unit whose documents are all settled by the stretch needs its minimizer no more
+    told = F.array(F.when(F.col("least") < F.col("hi"), _mark(STRETCHES, "h2", "least")), F.when(F.col("shared") & (F.col("least") == F.col("lo")), _mark(GRAMS)))
+    grams = grams.select("unit", "h", F.explode(F.array_compact(told)).alias("m")).select("unit", "m.kind", "h", "m.h2", "m.least")
+    marks = materialise(grams, "repeats-16")
+    contexts = _placed(step(_contexts, RANKS), ["h"], []).where("shared").select("unit", "h", _mark(CONTEXTS).alias("m"))
+    marks = marks.union(materialise(contexts.select("unit", "m.kind", "h", "m.h2", "m.least"), "repeats-32"))
+    strings = _placed(step(_strings, RANKS), ["h", "h2"], []).where("least < hi").select("unit", "h", _mark(STRINGS, "h2", "least").alias("m"))
+    marks = marks.union(materialise(strings.select("unit", "m.kind", "h", "m.h2", "m.least"), "repeats-50"))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     names = [f.split()[0] for f in fields.split(", ")]
     result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields), "repeats-result")

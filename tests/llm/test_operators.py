@@ -208,13 +208,13 @@ def test_repeats_of_few_letters(spark, monkeypatch):
 
 
 def test_segments_see_what_whole_texts_see(monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SEGMENT", 97)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 97)
     text = " ".join(f"w{k * 7919 % 1000}" for k in range(300)).encode()
-    found = suffix_dedup.Found(pd.DataFrame({c: [] for c in suffix_dedup.MARKS}))
     seen = []
-    for block in suffix_dedup._blocks([text, b"short"]):
-        places, _ = suffix_dedup.Round(block, np.array([1, 2]), found).open_places()
-        seen += (places - block.first[block.part[places]] + block.base[block.part[places]]).tolist()
+    for block in suffix_dedup._blocks(pd.DataFrame({"doc": [1, 2], "text": [text, b"short"]})):
+        places, _, _ = block.strings()
+        part = np.searchsorted(block.start, places, "right") - 1
+        seen += (places - block.start[part] + block.base[part]).tolist()
     assert sorted(seen) == list(range(len(text) - 49))
 
 
@@ -222,11 +222,11 @@ def test_ranks_of_equal_bytes_are_equal():
     """Pairs of ranks name 32 and 50 bytes wherever they stand."""
     random.seed(4)
     text = bytes(random.choice(b"ab") for _ in range(4000)) + b"x" * 60
-    block = suffix_dedup.Block([(0, 0, text), (1, 0, text[7:300])])
-    places = np.flatnonzero(block.room >= suffix_dedup.LENGTH)
-    for names, n in ((block.rank32(places, block.gram, 0), 32), (block.rank50(places)[:, 0], 50), (block.rank50(places)[:, 1], 50)):
+    block = suffix_dedup.Block([(0, 0, text), (1, 0, text[7:300])], np.array([1, 2]))
+    places, names, _ = block.strings()
+    for found, n in ((block.rank32(places, block.gram, 0), 32), (names[:, 0], 50), (names[:, 1], 50)):
         whole = collections.defaultdict(set)
-        for k, name in zip(places.tolist(), names.tolist()):
+        for k, name in zip(places.tolist(), found.tolist()):
             whole[block.data[k : k + n]].add(name)
         assert all(len(v) == 1 for v in whole.values()) and len({min(v) for v in whole.values()}) == len(whole)
 
