@@ -21,6 +21,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_PLAIN
+from .common import LETTERS, NOT_PLAIN
 
 #: Fixed value: the public splitting pattern that ``PIECES`` stands for.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The splitting pattern in the words of ``re``, for texts without characters that ``NOT_PLAIN`` finds.
-PIECES = re.compile(r" ?[^\W\d_]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+PIECES = re.compile(rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
 #: Matches remembered in each of two generations.
 MEMO = 250_000
 
@@ -150,12 +151,18 @@ class Encoder:
         return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(maxsize=2)
+def shared_encoder(path: str, pattern: str) -> Encoder:
+    """One for each Python worker, so that later tasks find what earlier ones remember."""
+    return Encoder(path, pattern)
+
+
 def encode_bpe(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "bpe") -> DataFrame:
     """``docs`` with a struct ``out_col``: ids (binary), n_tokens, ids_sha256, decoded_sha256."""
 
     @F.pandas_udf("ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, pattern)
+        encoder = shared_encoder(path, pattern)
         for batch in batches:
             rows = []
             for text in batch:
