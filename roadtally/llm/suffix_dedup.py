@@ -11,13 +11,12 @@ Positions that need no rank of their own are left out:
 
 1. Round of 16 bytes: a string enters with one position only, its minimizer
    (the 16 bytes of smallest name in it).  Equal strings have equal minimizers,
-   so a string whose minimizer is unique is unique.  Past the threshold at
-   once: neighbouring strings with one minimizer are a stretch of 50 to 84
-   bytes, named by the ranks of its two ends; one that a smaller document has
-   too settles all its strings.
-2. Round of 32 bytes, for the strings that are left: the minimizer's rank is
-   paired with the one 16 bytes before or after it, on the side where the
-   string has them.
+   so a string whose minimizer is unique is unique.
+2. Round of 32 bytes: the minimizer's rank is paired with the one 16 bytes
+   before or after it, on the side where the string has them.  Beside them,
+   past the threshold at once: neighbouring strings with one minimizer are a
+   stretch of 50 to 84 bytes, named by the ranks of its two ends; one that a
+   smaller document has too settles all its strings.
 3. Round of 50 bytes: all strings that are left, by two independent names of
    64 bits.
 
@@ -188,13 +187,11 @@ class Found:
         return same & (first[place] == values[:, 0]) & (least[place] < doc)
 
     def narrow(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves the block the runs that the first round left open; returns the runs that it settled."""
-        settled = np.zeros(len(block.first), bool)
-        shared = self.has(GRAMS, block.gram[block.min])
-        if STRETCHES in self.kinds and len(settled):
-            settled = self.before(STRETCHES, block.stretches(), block.doc)
+        """Leaves the block the runs that stretches and minimizers left open; returns the runs that a stretch settled."""
+        block.keep(self.has(GRAMS, block.gram[block.min]))
+        settled = self.before(STRETCHES, block.stretches(), block.doc) if STRETCHES in self.kinds else np.zeros(len(block.first), bool)
         done = block.first[settled], block.last[settled]
-        block.keep(shared & ~settled)
+        block.keep(~settled)
         return done
 
 
@@ -237,25 +234,25 @@ class Ranks:
         return pd.DataFrame({"h": h[cut].view(np.int64), "h2": h2[cut].view(np.int64), "unit": np.int64(unit), "lo": lo, "hi": hi})
 
 
-RANKS = "h long, h2 long, unit long, lo long, hi long"
+RANKS, NARROW = "h long, h2 long, unit long, lo long, hi long", "h long, unit long, many boolean"
 
 
 def _grams(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     ranks = Ranks()
     for block in _blocks(rows):
-        if len(block.first):
-            ranks.add(block.stretches(), block.doc)
-    return ranks.frame(rows["unit"].iat[0])
+        ranks.add(block.gram[block.min], block.doc)
+    found = ranks.frame(rows["unit"].iat[0])
+    return found[["h", "unit"]].assign(many=found["lo"] < found["hi"])
 
 
 def _contexts(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-    ranks, found = Ranks(), Found(marks)
+    contexts, stretches, found = Ranks(), Ranks(), Found(marks)
     for block in _blocks(rows):
         found.narrow(block)
-        if len(block.first):
-            names = block.contexts()
-            ranks.add(names, block.doc)
-    return ranks.frame(rows["unit"].iat[0])
+        stretches.add(block.stretches(), block.doc)
+        contexts.add(block.contexts(), block.doc)
+    unit = rows["unit"].iat[0]
+    return pd.concat([x.frame(unit).assign(kind=np.int8(k)) for k, x in ((CONTEXTS, contexts), (STRETCHES, stretches))])
 
 
 def _strings(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
@@ -294,22 +291,17 @@ def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     return done.assign(doc_id=pd.array(rows["doc"].to_numpy(), "Int64").copy()).assign(doc_id=lambda d: d["doc_id"].where(rows["known"].to_numpy(bool)))
 
 
-def _placed(ranks: DataFrame, rank: list[str], within: list[str]) -> DataFrame:
-    """``ranks`` with the least document of each (``rank`` and ``within``), and whether ``rank`` has another row; nothing is held.
-
-    Both windows follow one sort.
-    """
-    order = Window.partitionBy(*rank).orderBy(*within, "lo")
-    least = Window.partitionBy(*rank, *within).orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    another = F.lag("unit").over(order).isNotNull() | F.lead("unit").over(order).isNotNull()
-    return ranks.withColumn("shared", (F.col("lo") < F.col("hi")) | another).withColumn("least", F.first("lo").over(least))
-
-
-MARKS = ("unit", "kind", "h", "h2", "least")
+def _placed(ranks: DataFrame, order_by: str, *rank: str) -> DataFrame:
+    """``ranks`` in the order of a sort, with the first row of each rank, and whether there is another; nothing is held."""
+    order = Window.partitionBy(*rank).orderBy(order_by)
+    first = F.first(order_by).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return ranks.withColumn("least", first).withColumn("shared", (F.row_number().over(order) > 1) | F.lead(order_by).over(order).isNotNull())
 
 
-def _mark(kind: int, h2: str = "0", least: str = "0") -> Column:
-    return F.struct(F.lit(kind).cast("byte").alias("kind"), F.expr(f"{h2}L" if h2 == "0" else h2).alias("h2"), F.expr(f"{least}L" if least == "0" else least).alias("least"))
+def _marks(ranks: DataFrame, name: str, kind: Column, h2: str | None = "h2", least: str | None = "least") -> DataFrame:
+    """What the units are told, written."""
+    none = F.lit(0).cast("long")
+    return materialise(ranks.select("unit", kind.cast("byte").alias("kind"), "h", (none if h2 is None else F.col(h2)).alias("h2"), (none if least is None else F.col(least)).alias("least")), name)
 
 
 def _dealt(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> str:
@@ -333,15 +325,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def step(function: Callable, schema: str) -> DataFrame:
         return texts.groupBy("unit").cogroup(marks.groupBy("unit")).applyInPandas(function, schema)
 
-    grams = _placed(step(_grams, RANKS), ["h"], ["h2"])
-    # a unit whose documents are all settled by the stretch needs its minimizer no more
-    told = F.array(F.when(F.col("least") < F.col("hi"), _mark(STRETCHES, "h2", "least")), F.when(F.col("shared") & (F.col("least") == F.col("lo")), _mark(GRAMS)))
-    grams = grams.select("unit", "h", F.explode(F.array_compact(told)).alias("m")).select("unit", "m.kind", "h", "m.h2", "m.least")
-    marks = materialise(grams, "repeats-16")
-    contexts = _placed(step(_contexts, RANKS), ["h"], []).where("shared").select("unit", "h", _mark(CONTEXTS).alias("m"))
-    marks = marks.union(materialise(contexts.select("unit", "m.kind", "h", "m.h2", "m.least"), "repeats-32"))
-    strings = _placed(step(_strings, RANKS), ["h", "h2"], []).where("least < hi").select("unit", "h", _mark(STRINGS, "h2", "least").alias("m"))
-    marks = marks.union(materialise(strings.select("unit", "m.kind", "h", "m.h2", "m.least"), "repeats-50"))
+    grams = _placed(step(_grams, NARROW), "unit", "h").where("many or shared")
+    marks = _marks(grams, "repeats-16", F.lit(GRAMS), h2=None, least=None)
+    ranks = _placed(step(_contexts, RANKS + ", kind byte"), "lo", "h", "h2", "kind")
+    ranks = ranks.where(F.when(F.col("kind") == CONTEXTS, F.col("shared") | (F.col("lo") < F.col("hi"))).otherwise(F.col("least") < F.col("hi")))
+    marks = marks.union(_marks(ranks, "repeats-32", F.col("kind")))
+    strings = _placed(step(_strings, RANKS), "lo", "h", "h2").where("least < hi")
+    marks = marks.union(_marks(strings, "repeats-50", F.lit(STRINGS)))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     names = [f.split()[0] for f in fields.split(", ")]
     result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields), "repeats-result")
