@@ -12,13 +12,14 @@ Positions that need no rank of their own are left out:
 1. Round of 16 bytes: a string enters with one position only, its minimizer
    (the 16 bytes of smallest name in it).  Equal strings have equal minimizers,
    so a string whose minimizer is unique is unique.
-2. Round of 32 bytes: the minimizer's rank is paired with the one 16 bytes
-   before or after it, on the side where the string has them.  Beside them,
-   past the threshold at once: neighbouring strings with one minimizer are a
+2. Past the threshold at once: neighbouring strings with one minimizer are a
    stretch of 50 to 84 bytes, named by the ranks of its two ends; one that a
    smaller document has too settles all its strings.
-3. Round of 50 bytes: all strings that are left, by two independent names of
-   64 bits.
+3. Round of 32 bytes: the minimizer's rank is paired with the one 16 bytes
+   before or after it, on the side where the string has them.
+4. Round of 50 bytes: neighbouring strings of one rank travel together as the
+   84 bytes at most that they cover; Spark cuts them apart where they arrive and
+   sorts rank and bytes, so equality here is that of the bytes themselves.
 
 Every string is ranked at full length or proved unique on the way; nothing is
 sampled.  (The smallest document that has a string is never settled by a
@@ -56,7 +57,7 @@ WINDOW = LENGTH - GRAM + 1
 #: Bytes of text: of a unit, and of what is looked at together (small enough for a processor's cache).
 UNIT, BLOCK = 4 << 20, 1 << 18
 NO_ID = (1 << 63) - 1
-#: Two families of names, so that 128 bits tell strings apart.
+#: Two families of names: of ranks, and of the stretches made of them.
 MIX = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]], np.uint64)
 GRAMS, STRETCHES, CONTEXTS, STRINGS = range(4)
 
@@ -91,7 +92,7 @@ class Block:
         self.start = self.stop - sizes
         self.size = int(self.stop[-1])
         self.data = b"".join([p for _, _, p in parts]) + bytes(2 * LENGTH)
-        self.gram = self.grams(0)
+        self.gram = self.grams()
         places = _spread(self.start, self.stop - LENGTH) if (sizes >= LENGTH).all() else _spread(self.start[sizes >= LENGTH], self.stop[sizes >= LENGTH] - LENGTH)
         least = self.minimizers()[places]
         new = _starts(least)
@@ -101,9 +102,9 @@ class Block:
         self.doc = doc[self.row[np.searchsorted(self.start, self.first, "right") - 1]]
         self.side = np.zeros(len(self.first), np.uint64)
 
-    def grams(self, family: int) -> np.ndarray:
+    def grams(self) -> np.ndarray:
         n = self.size + LENGTH
-        one, two, three = MIX[family]
+        one, two, three = MIX[0]
         word = lambda at: np.ndarray((n,), "<u8", self.data, at, (1,))
         return _mixed(word(0) * one + word(8) * two, three)
 
@@ -119,12 +120,11 @@ class Block:
         v = np.minimum(v[: len(v) - (WINDOW - span)], v[WINDOW - span :])
         return (v[: self.size] & low).astype(np.int64)
 
-    def rank32(self, places: np.ndarray, gram: np.ndarray, family: int) -> np.ndarray:
-        return _pair(gram[places], gram[places + OFFSETS[0]], family)
+    def rank32(self, places: np.ndarray) -> np.ndarray:
+        return _pair(self.gram[places], self.gram[places + OFFSETS[0]], 0)
 
-    def rank50(self, places: np.ndarray, family: int) -> np.ndarray:
-        gram = self.grams(1) if family else self.gram
-        return _pair(self.rank32(places, gram, family), self.rank32(places + OFFSETS[1], gram, family), family)
+    def rank50(self, places: np.ndarray) -> np.ndarray:
+        return _pair(self.rank32(places), self.rank32(places + OFFSETS[1]), 0)
 
     def keep(self, runs: np.ndarray) -> None:
         """Goes on with these runs only."""
@@ -133,7 +133,7 @@ class Block:
 
     def stretches(self) -> np.ndarray:
         """Both names of each run: its minimizer's, and that of the ranks of its ends and their distance."""
-        ends = self.rank50(np.concatenate([self.first, self.last]), 0)
+        ends = self.rank50(np.concatenate([self.first, self.last]))
         n = len(self.first)
         return np.stack([self.gram[self.min], _pair(ends[:n], ends[n:] + (self.last - self.first).astype(np.uint64), 1)], 1)
 
@@ -147,26 +147,25 @@ class Block:
         self.first[n:] = np.maximum(self.first, left + 1)[n:]
         self.side[:n] = 1
         at = np.where(self.side == 1, left, self.min)
-        return self.rank32(at, self.gram, 0) ^ self.side
+        return self.rank32(at) ^ self.side
 
-    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All places of the runs, both names of their 50 bytes, and their documents."""
-        places = _spread(self.first, self.last)
-        return places, np.stack([self.rank50(places, k) for k in (0, 1)], 1), np.repeat(self.doc, self.last - self.first + 1)
+    def bytes(self) -> list[bytes]:
+        """What the strings of each run cover."""
+        return [self.data[a:b] for a, b in zip(self.first.tolist(), (self.last + LENGTH).tolist())]
 
 
 class Found:
-    """What the rounds before told a unit: ranks of each kind, and the least document that has them."""
+    """What the rounds before told a unit: ranks of each kind, the least document that has them, and which strings of a run others have."""
 
     def __init__(self, rows: pd.DataFrame):
-        self.kinds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.kinds: dict[int, tuple[np.ndarray, ...]] = {}
         kind = rows["kind"].to_numpy()
-        h, h2, least = (rows[c].to_numpy(np.int64) for c in ("h", "h2", "least"))
+        h, h2, least, mask = (rows[c].to_numpy(np.int64) for c in ("h", "h2", "least", "mask"))
         for k in np.unique(kind).tolist():
             own = np.flatnonzero(kind == k)
             a, b = h[own].view(np.uint64), h2[own].view(np.uint64)
             order = np.argsort(a ^ b)
-            self.kinds[k] = (a ^ b)[order], a[order], least[own][order]
+            self.kinds[k] = (a ^ b)[order], a[order], least[own][order], mask[own][order]
 
     def _place(self, kind: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known = self.kinds[kind][0]
@@ -183,9 +182,18 @@ class Found:
         if kind not in self.kinds:
             return np.zeros(len(values), bool)
         place, same = self._place(kind, values[:, 0] ^ values[:, 1])
-        _, first, least = self.kinds[kind]
+        _, first, least, _ = self.kinds[kind]
         return same & (first[place] == values[:, 0]) & (least[place] < doc)
 
+    def masks(self, names: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Of the runs of the last round, the strings (bit k: the k-th) that a smaller document has; all, where one has the run."""
+        if STRINGS not in self.kinds:
+            return np.zeros(len(names), np.int64)
+        place, same = self._place(STRINGS, names[:, 0] ^ names[:, 1])
+        _, first, least, mask = self.kinds[STRINGS]
+        same &= first[place] == names[:, 0]
+        return np.where(same, np.where(least[place] < doc, -1, mask[place]), 0)
+
     def narrow(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Leaves the block the runs that stretches and minimizers left open; returns the runs that a stretch settled."""
         block.keep(self.has(GRAMS, block.gram[block.min]))
@@ -225,13 +233,14 @@ class Ranks:
         names = names if names.ndim == 2 else np.stack([names, np.zeros_like(names)], 1)
         self.held.append((names[:, 0], names[:, 1], doc))
 
-    def frame(self, unit: int) -> pd.DataFrame:
+    def frame(self, unit: int, texts: list[bytes] | None = None) -> pd.DataFrame:
         h, h2, doc = (np.concatenate([x[k] for x in self.held]) if self.held else np.zeros(0, np.uint64) for k in range(3))
         order = np.argsort(h ^ h2)
         h, h2, doc = h[order], h2[order], doc[order].astype(np.int64)
         cut = np.flatnonzero(_starts(h) | _starts(h2))
         lo, hi = (f.reduceat(doc, cut) if len(cut) else doc for f in (np.minimum, np.maximum))
-        return pd.DataFrame({"h": h[cut].view(np.int64), "h2": h2[cut].view(np.int64), "unit": np.int64(unit), "lo": lo, "hi": hi})
+        out = pd.DataFrame({"h": h[cut].view(np.int64), "h2": h2[cut].view(np.int64), "unit": np.int64(unit), "lo": lo, "hi": hi})
+        return out if texts is None else out.assign(bytes=[texts[k] for k in order[cut].tolist()])
 
 
 RANKS, NARROW = "h long, h2 long, unit long, lo long, hi long", "h long, unit long, many boolean"
@@ -245,41 +254,53 @@ def _grams(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     return found[["h", "unit"]].assign(many=found["lo"] < found["hi"])
 
 
-def _contexts(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-    contexts, stretches, found = Ranks(), Ranks(), Found(marks)
+def _stretches(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    ranks, found = Ranks(), Found(marks)
     for block in _blocks(rows):
         found.narrow(block)
-        stretches.add(block.stretches(), block.doc)
-        contexts.add(block.contexts(), block.doc)
-    unit = rows["unit"].iat[0]
-    return pd.concat([x.frame(unit).assign(kind=np.int8(k)) for k, x in ((CONTEXTS, contexts), (STRETCHES, stretches))])
+        ranks.add(block.stretches(), block.doc)
+    return ranks.frame(rows["unit"].iat[0])
 
 
-def _strings(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+def _contexts(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     ranks, found = Ranks(), Found(marks)
     for block in _blocks(rows):
         found.narrow(block)
-        block.keep(found.has(CONTEXTS, block.contexts()))
-        if len(block.first):
-            _, names, doc = block.strings()
-            ranks.add(names, doc)
+        ranks.add(block.contexts(), block.doc)
     return ranks.frame(rows["unit"].iat[0])
 
 
+def _open_runs(block: Block, found: Found) -> np.ndarray:
+    """Leaves the block the runs for the last round; their names: of the 32 bytes, and of all that they cover."""
+    names = block.contexts()
+    shared = found.has(CONTEXTS, names)
+    block.keep(shared)
+    return np.stack([names[shared], block.stretches()[:, 1]], 1)
+
+
+def _runs(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+    ranks, found, texts = Ranks(), Found(marks), []
+    for block in _blocks(rows):
+        found.narrow(block)
+        ranks.add(_open_runs(block, found), block.doc)
+        texts += block.bytes()
+    return ranks.frame(rows["unit"].iat[0], texts)
+
+
 def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     texts, found = rows["text"].tolist(), Found(marks)
     gone = [np.zeros(len(t), bool) for t in texts]
     for b in _blocks(rows):
         edge = np.zeros(b.size + LENGTH + 1, np.int32)
         first, last = found.narrow(b)
-        b.keep(found.has(CONTEXTS, b.contexts()))
         np.add.at(edge, first, 1)
         np.add.at(edge, last + LENGTH, -1)
-        if len(b.first):
-            places, names, doc = b.strings()
-            hit = places[found.before(STRINGS, names, doc)]
-            np.add.at(edge, hit, 1)
-            np.add.at(edge, hit + LENGTH, -1)
+        masks = found.masks(_open_runs(b, found), b.doc)
+        b.keep(masks != 0)
+        places, n = _spread(b.first, b.last), b.last - b.first + 1
+        hit = places[np.repeat(masks[masks != 0], n) >> (places - np.repeat(b.first, n)) & 1 == 1]
+        np.add.at(edge, hit, 1)
+        np.add.at(edge, hit + LENGTH, -1)
         covered = np.cumsum(edge[: b.size]) > 0
         for row, at, start, stop in zip(b.row.tolist(), b.base.tolist(), b.start.tolist(), b.stop.tolist()):
             gone[row][at : at + stop - start] |= covered[start:stop]
@@ -298,10 +319,21 @@ def _placed(ranks: DataFrame, order_by: str, *rank: str) -> DataFrame:
     return ranks.withColumn("least", first).withColumn("shared", (F.row_number().over(order) > 1) | F.lead(order_by).over(order).isNotNull())
 
 
-def _marks(ranks: DataFrame, name: str, kind: Column, h2: str | None = "h2", least: str | None = "least") -> DataFrame:
+def _marks(ranks: DataFrame, name: str, kind: int, h2: str | None = None, least: str | None = None, mask: str | None = None) -> DataFrame:
     """What the units are told, written."""
-    none = F.lit(0).cast("long")
-    return materialise(ranks.select("unit", kind.cast("byte").alias("kind"), "h", (none if h2 is None else F.col(h2)).alias("h2"), (none if least is None else F.col(least)).alias("least")), name)
+    value = lambda c, out: (F.lit(0).cast("long") if c is None else F.col(c)).alias(out)
+    return materialise(ranks.select("unit", F.lit(kind).cast("byte").alias("kind"), "h", value(h2, "h2"), value(least, "least"), value(mask, "mask")), name)
+
+
+def _last_round(runs: DataFrame) -> DataFrame:
+    """The runs with a string that a smaller document has: bit k of ``mask`` for the k-th, as the least document of the unit sees it."""
+    one = lambda k: F.col("bytes").substr(k, F.lit(LENGTH))
+    cut = F.transform(F.sequence(F.lit(1), F.octet_length("bytes") - (LENGTH - 1)), one)
+    each = runs.repartition("h").select("h", "h2", "unit", "lo", "hi", F.posexplode(cut).alias("k", "s"))
+    order = Window.partitionBy("h", "s").orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k"))
+    each = each.withColumn("bit", F.when(F.first("lo").over(order) < F.col("lo"), bit).otherwise(0))
+    return each.groupBy("h", "h2", "unit", "lo", "hi").agg(F.sum("bit").alias("mask")).where("mask <> 0 or lo < hi")
 
 
 def _dealt(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> str:
@@ -320,18 +352,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     table = _dealt(spark, docs, id_col, text_col)
     texts = spark.table(table)
-    marks = spark.createDataFrame([], "unit long, kind byte, h long, h2 long, least long")
+    marks = spark.createDataFrame([], "unit long, kind byte, h long, h2 long, least long, mask long")
 
     def step(function: Callable, schema: str) -> DataFrame:
         return texts.groupBy("unit").cogroup(marks.groupBy("unit")).applyInPandas(function, schema)
 
-    grams = _placed(step(_grams, NARROW), "unit", "h").where("many or shared")
-    marks = _marks(grams, "repeats-16", F.lit(GRAMS), h2=None, least=None)
-    ranks = _placed(step(_contexts, RANKS + ", kind byte"), "lo", "h", "h2", "kind")
-    ranks = ranks.where(F.when(F.col("kind") == CONTEXTS, F.col("shared") | (F.col("lo") < F.col("hi"))).otherwise(F.col("least") < F.col("hi")))
-    marks = marks.union(_marks(ranks, "repeats-32", F.col("kind")))
-    strings = _placed(step(_strings, RANKS), "lo", "h", "h2").where("least < hi")
-    marks = marks.union(_marks(strings, "repeats-50", F.lit(STRINGS)))
+    marks = _marks(_placed(step(_grams, NARROW), "unit", "h").where("many or shared"), "repeats-16", GRAMS)
+    marks = marks.union(_marks(_placed(step(_stretches, RANKS), "lo", "h", "h2").where("least < hi"), "repeats-stretches", STRETCHES, "h2", "least"))
+    marks = marks.union(_marks(_placed(step(_contexts, RANKS), "lo", "h").where("shared or lo < hi"), "repeats-32", CONTEXTS))
+    marks = marks.union(_marks(_last_round(step(_runs, RANKS + ", bytes binary")), "repeats-50", STRINGS, "h2", "lo", "mask"))
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     names = [f.split()[0] for f in fields.split(", ")]
     result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields), "repeats-result")

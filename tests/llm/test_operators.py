@@ -212,7 +212,7 @@ def test_segments_see_what_whole_texts_see(monkeypatch):
     text = " ".join(f"w{k * 7919 % 1000}" for k in range(300)).encode()
     seen = []
     for block in suffix_dedup._blocks(pd.DataFrame({"doc": [1, 2], "text": [text, b"short"]})):
-        places, _, _ = block.strings()
+        places = suffix_dedup._spread(block.first, block.last)
         part = np.searchsorted(block.start, places, "right") - 1
         seen += (places - block.start[part] + block.base[part]).tolist()
     assert sorted(seen) == list(range(len(text) - 49))
@@ -223,8 +223,8 @@ def test_ranks_of_equal_bytes_are_equal():
     random.seed(4)
     text = bytes(random.choice(b"ab") for _ in range(4000)) + b"x" * 60
     block = suffix_dedup.Block([(0, 0, text), (1, 0, text[7:300])], np.array([1, 2]))
-    places, names, _ = block.strings()
-    for found, n in ((block.rank32(places, block.gram, 0), 32), (names[:, 0], 50), (names[:, 1], 50)):
+    places = suffix_dedup._spread(block.first, block.last)
+    for found, n in ((block.gram[places], 16), (block.rank32(places), 32), (block.rank50(places), 50)):
         whole = collections.defaultdict(set)
         for k, name in zip(places.tolist(), found.tolist()):
             whole[block.data[k : k + n]].add(name)
@@ -322,25 +322,28 @@ def test_bpe_over_spark(spark, bpe):
 
 
 def test_cross_parsing_counts_longest_matches():
-    model = {"common": "abcdefghijklmnop", "langs": []}
-    table = lang_id.symbol_table(model["common"])
-    sample = "the cat sat on a mat and the dog ate it"
-    s = lang_id.symbols_of(sample, table)
-    model["langs"] = [("x", len(s), np.array(lang_id.suffix_automaton(s.tolist()), np.int32))]
-    known = bytes(s)
-
-    def phrases(text):
-        t, n, i = bytes(lang_id.symbols_of(text, table)), 0, 0
+    """Longest matches of whole texts, of one letter to thousands, with letters the sample lacks; short and long ones are parsed apart."""
+    letters = "abcdefghijklmnop" + "".join(chr(c) for c in range(0x4E00, 0x4F00))
+    table = lang_id.symbol_table("".join(sorted(letters)))
+    random.seed(6)
+    chinese = "".join(random.choice(letters[16:]) for _ in range(400))
+    samples = ["the cat sat on a mat and the dog ate it " * 3, "on a mat the dog can fib " + chinese]
+    symbols = [lang_id.symbols_of(x, table) for x in samples]
+    model = {"letters": "".join(sorted(letters)), "langs": [(f"x{k}", len(s), lang_id.pack(lang_id.suffix_automaton(s.tolist()), 2 + len(letters))) for k, s in enumerate(symbols)]}
+
+    def phrases(text, sample):
+        t, known, n, i = [chr(c) for c in lang_id.symbols_of(text, table)], "".join(chr(c) for c in sample), 0, 0
         while i < len(t):
             k = 1
-            while i + k < len(t) and t[i : i + k + 1] in known:
+            while i + k < len(t) and "".join(t[i : i + k + 1]) in known and t[i] in known:
                 k += 1
             n, i = n + 1, i + k
         return n
 
-    texts = ["the cat", "a dog on a mat", "tac eht", "the", "dog dog dog"]
-    got = lang_id.Parser(model).phrases([lang_id.symbols_of(t, table) for t in texts])[:, 0].tolist()
-    assert got == [phrases(t) for t in texts]
+    texts = ["the cat", "a dog on a mat", "tac eht", "the", "dog dog dog", "the zebra quiz", "zz", "", chinese[50:90], "x"]
+    texts += ["".join(random.choice(["the ", "cat ", "dog", " mat", "qu", chinese[20:30], "e", "9 "]) for _ in range(n)) for n in (*range(40), 700, 2000)]
+    got = lang_id.Parser(model).phrases([lang_id.symbols_of(t, table) for t in texts]).tolist()
+    assert got == [[phrases(t, s) for s in symbols] for t in texts]
 
 
 def test_languages(spark):
