@@ -6,9 +6,12 @@ match that the automaton has.  Text in the automaton's language needs few
 phrases.  ``phrases * log2(sample length) / text length`` estimates the cross
 entropy in bits a character; the smallest wins.
 
-The parse runs over many stretches of text at once with numpy: one table
-look-up for each character and language.  Texts are cut into stretches of
-``STRETCH`` characters, all of which are parsed.
+The parse runs over many texts side by side with numpy, one step for each
+character and language; once fewer than ``ALONE`` are still going, each of those
+is parsed to its end by itself.  No text is cut.  The alphabet is made of all
+letters of the sample, whatever their number: an automaton is kept as one array
+of arcs into which the states' rows are fitted, so its size is that of its arcs.
+A letter that no sample has is a phrase of its own in every language.
 
 Parameter ``sample_chars`` bounds the labelled text that is kept for each
 language; rows are chosen by a hash of their text, whole where they fit.
@@ -22,6 +25,7 @@ other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,25 +35,34 @@ from pyspark.sql import functions as F
 from .common import doc_fold
 
 SAMPLE_CHARS = 50_000
-STRETCH = 256
-#: Symbols: 0 pad, 1 no letter, then the commonest letters, then the rest by code point.
-SYMBOLS, REST = 64, 16
+#: Texts that are worth a numpy step, and characters that are looked at together.
+ALONE, TOGETHER = 24, 4 << 20
+#: Symbols: 0 a run of anything but letters, 1 a letter that the sample lacks, then the letters of the sample.
+GAP, OTHER = 0, 1
 
 
 def _code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
 
 
-def symbol_table(common: str) -> np.ndarray:
-    """Code point -> symbol, upper case as lower case."""
-    table = np.ones(0x110000, np.uint8)
-    place = {c: 2 + i for i, c in enumerate(common)}
+@lru_cache(maxsize=1)
+def _lower_case() -> np.ndarray:
+    """Code point -> code point of the lower-case letter, or 0 for what is no letter."""
+    out = np.zeros(0x110000, np.uint32)
     for i in range(0x110000):
         c = chr(i)
         if c.isalpha():
-            low = c.lower()[:1]
-            table[i] = place.get(low) or SYMBOLS - REST + ord(low) % REST
-    return table
+            out[i] = ord(c.lower()[0])
+    return out
+
+
+def symbol_table(letters: str) -> np.ndarray:
+    """Code point -> symbol, upper case as lower case."""
+    low = _lower_case()
+    own = np.full(0x110000, OTHER, np.int32)
+    own[0] = GAP
+    own[[ord(c) for c in letters]] = np.arange(2, 2 + len(letters))
+    return own[low]
 
 
 def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
@@ -57,8 +70,8 @@ def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
     s = table[_code_points(text)]
     if not len(s):
         return s
-    keep = s > 1
-    keep[1:] |= s[:-1] > 1
+    keep = s != GAP
+    keep[1:] |= s[:-1] != GAP
     return s[keep]
 
 
@@ -102,7 +115,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     head = F.substring("text", 1, sample_chars).alias("text")
     sizes = {r["lang"]: (r["n"], r["one"]) for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n"), F.min(F.struct("u", head)).alias("one")).collect()}
     if not sizes:
-        return {"common": "", "langs": []}
+        return {"letters": "", "langs": []}
     share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(3.0 * sample_chars / max(n, 1))) for lang, (n, _) in sizes.items()])
     chosen = rows.where(F.col("u") < share).select("lang", "u", head).distinct().collect()
     texts: dict[str, list[str]] = {}
@@ -114,58 +127,98 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
                 kept.append(text)
                 size += len(text)
         texts[lang] = kept
-    letters, counts = np.unique(np.concatenate([_code_points(t.lower()) for own in texts.values() for t in own]), return_counts=True)
-    ranked = [chr(c) for c in letters[np.argsort(-counts, kind="stable")] if chr(c).isalpha()]
-    common = "".join(ranked[: SYMBOLS - REST - 2])
-    table, langs = symbol_table(common), []
+    low = _lower_case()
+    seen = np.unique(np.concatenate([low[_code_points(t)] for own in texts.values() for t in own]))
+    letters = "".join(chr(c) for c in seen.tolist() if c)
+    table, langs = symbol_table(letters), []
     for lang, own in texts.items():
-        s = np.concatenate([np.append(symbols_of(t, table), np.uint8(1)) for t in own])
-        arcs = np.array(suffix_automaton(s.tolist()), np.int32)
-        langs.append((lang, len(s), arcs))
-    return {"common": common, "langs": langs}
+        s = np.concatenate([np.append(symbols_of(t, table), np.int32(GAP)) for t in own])
+        langs.append((lang, len(s), pack(suffix_automaton(s.tolist()), 2 + len(letters))))
+    return {"letters": letters, "langs": langs}
+
+
+def pack(arcs: list[tuple[int, int, int]], symbols: int) -> dict[str, np.ndarray]:
+    """The arcs of an automaton in one array: state ``a`` has its arc of symbol ``c`` at ``base[a] + c`` if that place is its own.
+
+    Rows are fitted into each other's gaps, those with most arcs first.  The
+    start state's row stands apart, by symbol.
+    """
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for a, c, b in arcs:
+        rows.setdefault(a, []).append((c, b))
+    states = max((b for _, _, b in arcs), default=0) + 1
+    root = np.zeros(symbols, np.int32)
+    for c, b in rows.pop(0, []):
+        root[c] = b
+    base, owner, to = np.zeros(states, np.int32), [-1] * (2 * symbols), [0] * (2 * symbols)
+    free = symbols  # no place before it is free
+    for a in sorted(rows, key=lambda a: -len(rows[a])):
+        row = sorted(rows[a])
+        first, at = row[0][0], free
+        while True:
+            while at + symbols >= len(owner):
+                owner += [-1] * len(owner)
+                to += [0] * len(to)
+            if owner[at] < 0 and all(owner[at - first + c] < 0 for c, _ in row[1:]):
+                break
+            at += 1
+        base[a] = at - first
+        for c, b in row:
+            owner[at - first + c], to[at - first + c] = a, b
+        while owner[free] >= 0:
+            free += 1
+    end = len(owner) if not rows else max(k for k, o in enumerate(owner) if o >= 0) + symbols + 1
+    return {"root": root, "base": base, "owner": np.array(owner[:end] + [-1] * symbols, np.int32), "to": np.array(to[:end] + [0] * symbols, np.int32)}
 
 
 class Parser:
     """Counts the phrases of texts against every language of a model."""
 
     def __init__(self, model: dict):
-        self.table = symbol_table(model["common"])
+        self.table = symbol_table(model["letters"])
         self.names = [lang for lang, _, _ in model["langs"]]
         self.bits = [np.log2(max(n, 2)) for _, n, _ in model["langs"]]
-        self.next = []
-        for _, _, arcs in model["langs"]:
-            dense = np.zeros((int(arcs[:, 2].max()) + 1) * SYMBOLS, np.int32)
-            dense[arcs[:, 0] * SYMBOLS + arcs[:, 1]] = arcs[:, 2] * SYMBOLS  # states are kept as row offsets
-            self.next.append(dense)
+        self.arcs = [arcs for _, _, arcs in model["langs"]]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
-        cuts = [(k, t[i : i + STRETCH]) for k, t in enumerate(texts) for i in range(0, len(t), STRETCH)]
-        cuts.sort(key=lambda x: -len(x[1]))
-        out = np.zeros((len(texts), len(self.next)), np.int64)
-        for at in range(0, len(cuts), 16384):
-            part = cuts[at : at + 16384]
-            sizes = np.array([len(s) for _, s in part])
-            block = np.zeros((len(part), sizes[0]), np.uint8)
-            for row, (_, s) in zip(block, part):
-                row[: len(s)] = s
-            block = np.ascontiguousarray(block.T)
-            live = np.searchsorted(-sizes, -np.arange(sizes[0]))  # stretches longer than t
-            owner = np.array([k for k, _ in part])
-            for lang, dense in enumerate(self.next):
-                state, count = np.zeros(len(part), np.int32), np.ones(len(part), np.int32)
-                for t, n in enumerate(live):
-                    c = block[t, :n]
-                    step = dense[state[:n] + c]
-                    ended = step == 0
-                    count[:n] += ended
-                    state[:n] = np.where(ended, dense[c], step)
-                np.add.at(out[:, lang], owner, count)
+        order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
+        sizes = np.array([len(texts[k]) for k in order], np.int64)
+        out = np.zeros((len(texts), len(self.arcs)), np.int64)
+        if not len(texts) or not sizes[0]:
+            return out
+        data = np.concatenate([texts[k] for k in order])
+        start = np.cumsum(sizes) - sizes
+        together = int(sizes[ALONE - 1]) if len(sizes) >= ALONE else 0
+        live = np.searchsorted(-sizes, -np.arange(together))  # texts longer than t
+        states = np.zeros((len(self.arcs), len(texts)), np.int32)
+        counts = np.zeros_like(states)
+        for t, n in enumerate(live.tolist()):
+            c = data[start[:n] + t]
+            for arcs, state, count in zip(self.arcs, states, counts):
+                own = state[:n]
+                at = arcs["base"][own] + c
+                known = arcs["owner"][at] == own
+                state[:n] = np.where(known, arcs["to"][at], arcs["root"][c])
+                count[:n] += ~known
+        for k in np.flatnonzero(sizes > together).tolist():
+            rest = data[start[k] + together : start[k] + sizes[k]].tolist()
+            for lang, arcs in enumerate(self.arcs):
+                base, owner, to, root = (memoryview(arcs[x]) for x in ("base", "owner", "to", "root"))
+                state, n = int(states[lang, k]), 0
+                for c in rest:
+                    at = base[state] + c
+                    if owner[at] == state:
+                        state = to[at]
+                    else:
+                        n, state = n + 1, root[c]
+                counts[lang, k] += n
+        out[order] = counts.T
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        symbols = [symbols_of(t, self.table) if t else np.zeros(0, np.uint8) for t in texts]
-        symbols = [s if (s > 1).any() else s[:0] for s in symbols]
+        symbols = [symbols_of(t, self.table) if t else np.zeros(0, np.int32) for t in texts]
+        symbols = [s if (s != GAP).any() else s[:0] for s in symbols]
         if not self.names:
             return [("und", 0.0)] * len(texts)
         sizes = np.array([len(s) for s in symbols])
@@ -184,6 +237,19 @@ class Parser:
         return out
 
 
+def _portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts, about ``TOGETHER`` characters at a time."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "") + 100
+        if size >= TOGETHER:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", out_col: str = "lang_id", sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """``docs`` with a struct ``out_col``: lang_pred, score (0 to 1: how far the runner-up stays behind)."""
     model = docs.sparkSession.sparkContext.broadcast(fit(labelled, text_col, lang_col, sample_chars))
@@ -193,9 +259,8 @@ def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_
         parser = Parser(model.value)
         for batch in batches:
             rows: list[tuple[str, float]] = []
-            texts = batch.tolist()
-            for at in range(0, len(texts), 2000):
-                rows += parser.predict(texts[at : at + 2000])
+            for texts in _portions(batch.tolist()):
+                rows += parser.predict(texts)
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
     return docs.withColumn(out_col, predict(F.col(text_col)))
