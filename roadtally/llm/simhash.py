@@ -13,10 +13,12 @@ nodes are followed downwards only while the differences accumulated on bits
 shared by both stay within the distance, so whole groups drop out at once.  A
 task returns a spanning forest of the links it finds, never all pairs.
 
-A third of the bits that more than ``HOT`` distinct fingerprints share is not
-searched in one task.  Those fingerprints meet by their neighbours instead:
-two differ in two bits at most exactly when both are within one bit of a
-common value, and a value has 65 such fingerprints at most.
+A third of the bits that more than ``HOT`` distinct fingerprints share is split
+by the same argument: their other bits are cut in three, and each fingerprint
+goes to the three groups that also share one of the parts, so two that differ
+in two bits still meet.  Groups that are crowded then are split on, until all
+fit; with all bits shared a group is one fingerprint.  Every link comes out of
+the Gray index of a group.
 
 Defined results: null and empty texts, and texts of no word, have fingerprint
 0; a text of one or two words is one shingle; equal fingerprints link; a null
@@ -39,8 +41,8 @@ from .common import materialise
 from .components import components
 
 DISTANCE, SHINGLE, SEED = 2, 3, 42
-LEAF, FAN, HOT = 32, 16, 200_000
-#: First bit of each third; a rotation to the left by it puts that third on top.
+LEAF, FAN, HOT, SLICE = 32, 16, 200_000, 100_000
+#: First bit of each third, from the top; a rotation to the left by it puts that third on top.
 ROTATIONS, TOP = (0, 22, 43), (22, 21, 21)
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -162,33 +164,61 @@ def _rotate(x: np.ndarray, by: int) -> np.ndarray:
     return x if not by else (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+#: The thirds as masks, signed as Spark's longs are.
+THIRDS = [_signed(sum(1 << (63 - (s + k)) % 64 for k in range(w))) for s, w in zip(ROTATIONS, TOP)]
+
+
+def parts_of(mask: int) -> list[int]:
+    """The mask with each of three parts of the other bits; in bits of 64, signed."""
+    free = [k for k in range(64) if not mask >> k & 1]
+    cuts = [round(i * len(free) / 3) for i in range(4)]
+    return [_signed((mask & (1 << 64) - 1) | sum(1 << k for k in free[a:b])) for a, b in zip(cuts, cuts[1:])]
+
+
 def _search(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    values = part["fp"].to_numpy(np.int64).view(np.uint64)
-    by = ROTATIONS[int(key[0])]
-    index = GrayIndex(_rotate(values, by))
-    root = forest(len(values), index.pairs(DISTANCE))
-    back = _rotate(index.values, (64 - by) % 64).view(np.int64)
-    linked = root != np.arange(len(root))
-    return pd.DataFrame({"a": back[linked], "b": back[root[linked]]})
+    """Links inside the groups of a slice; ``key``: mask, slice."""
+    values, mask, by = part["fp"].to_numpy(np.int64).view(np.uint64), int(key[0]), 0
+    if mask in THIRDS:  # all groups in one index, the shared third on top
+        by, groups = ROTATIONS[THIRDS.index(mask)], [values]
+    else:
+        shared = values & np.uint64(mask & (1 << 64) - 1)
+        order = np.argsort(shared, kind="stable")
+        groups = np.split(values[order], np.flatnonzero(np.diff(shared[order])) + 1)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for own in groups:
+        if len(own) > 1:
+            index = GrayIndex(_rotate(own, by))
+            root = forest(len(own), index.pairs(DISTANCE))
+            back = _rotate(index.values, (64 - by) % 64).view(np.int64)
+            linked = root != np.arange(len(root))
+            a.append(back[linked])
+            b.append(back[root[linked]])
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     """Links (a, b) between the distinct fingerprints of ``distinct`` (fp), enough to connect all that link."""
-    spark = distinct.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    thirds = [F.struct(F.lit(r).alias("turn"), F.expr(f"shiftrightunsigned(shiftleft(fp, {s}) | {f'shiftrightunsigned(fp, {64 - s})' if s else '0L'}, {64 - w})").alias("third")) for r, (s, w) in enumerate(zip(ROTATIONS, TOP))]
-    dealt = distinct.select("fp", F.explode(F.array(*thirds)).alias("d")).select("fp", "d.turn", "d.third")
-    crowded = materialise(dealt.groupBy("turn", "third").count().where(F.col("count") > hot).select("turn", "third"), "simhash-crowded")
-    rest = dealt if crowded.isEmpty() else dealt.join(crowded, ["turn", "third"], "left_anti")
-    rest = rest.withColumn("slice", F.pmod(F.xxhash64("third"), F.lit(tasks)).cast("int"))
-    found = rest.groupBy("turn", "slice").applyInPandas(_search, "a long, b long")
-    if not crowded.isEmpty():
-        own = dealt.join(crowded, ["turn", "third"], "left_semi").select("fp").distinct()
-        flips = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)))
-        near = own.select("fp", F.explode(F.transform(flips, lambda m: F.col("fp").bitwiseXOR(m))).alias("value"))
-        met = near.groupBy("value").agg(F.collect_list("fp").alias("all"))  # 65 at most
-        found = found.union(met.where(F.size("all") > 1).select(F.explode("all").alias("a"), F.array_min("all").alias("b")).where("a <> b"))
-    return found
+    slices = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), distinct.count() // SLICE + 1)
+    found = None
+    open_ = distinct.select("fp", F.explode(F.array(*[F.lit(m) for m in THIRDS])).alias("mask"))
+    while True:
+        keyed = open_.withColumn("shared", F.col("fp").bitwiseAND(F.col("mask")))
+        crowded = materialise(keyed.groupBy("mask", "shared").count().where(F.col("count") > hot).select("mask", "shared"), "simhash-crowded")
+        last = crowded.isEmpty()
+        fits = keyed if last else keyed.join(crowded, ["mask", "shared"], "left_anti")
+        fits = fits.withColumn("slice", F.pmod(F.xxhash64("shared"), F.lit(slices)).cast("int"))
+        own = fits.groupBy("mask", "slice").applyInPandas(_search, "a long, b long")
+        found = own if found is None else found.union(own)
+        if last:
+            return found
+        masks = [r["mask"] for r in crowded.select("mask").distinct().collect()]  # 3 at most in the first round, then 9, 27, 81
+        narrower = F.create_map(*[F.lit(x) for m in masks for x in (m, ",".join(map(str, parts_of(m))))])
+        open_ = keyed.join(crowded, ["mask", "shared"], "left_semi").select("fp", F.explode(F.transform(F.split(narrower[F.col("mask")], ","), lambda x: x.cast("long"))).alias("mask"))
+        open_ = materialise(open_.distinct(), "simhash-open")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
