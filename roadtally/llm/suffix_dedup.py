@@ -3,22 +3,22 @@
 A byte goes when it lies in a 50-byte string that also starts in a document
 with a smaller id.  The rank of a position is a name of the bytes from there
 on: equal bytes, equal rank.  A round names a longer prefix by the pair of
-ranks at the position and at an offset (16 bytes, then 32 with offset 16, then
-50 with offset 18), Spark sorts the ranks, and positions whose rank no other
-document has drop out before the next round.
+ranks at the position and at an offset (20 bytes, then 40 with offset 20, then
+50 with offset 10, which is the threshold), Spark sorts the ranks, and positions
+whose rank no other document has drop out before the next round.
 
 Positions that need no rank of their own are left out:
 
-1. Round of 16 bytes: a string enters with one position only, its minimizer
-   (the 16 bytes of smallest name in it).  Equal strings have equal minimizers,
+1. Round of 20 bytes: a string enters with one position only, its minimizer
+   (the 20 bytes of smallest name in it).  Equal strings have equal minimizers,
    so a string whose minimizer is unique is unique.
 2. Past the threshold at once: neighbouring strings with one minimizer are a
-   stretch of 50 to 84 bytes, named by the ranks of its two ends; one that a
+   stretch of 50 to 80 bytes, named by the ranks of its two ends; one that a
    smaller document has too settles all its strings.
-3. Round of 32 bytes: the minimizer's rank is paired with the one 16 bytes
-   before or after it, on the side where the string has them.
+3. Round of 40 bytes: the minimizer with 20 bytes more, of which 0, 10 or 20
+   stand before it, as the string has them.
 4. Round of 50 bytes: neighbouring strings of one rank travel together as the
-   84 bytes at most that they cover; Spark cuts them apart where they arrive and
+   80 bytes at most that they cover; Spark cuts them apart where they arrive and
    sorts rank and bytes, so equality here is that of the bytes themselves.
 
 Every string is ranked at full length or proved unique on the way; nothing is
@@ -42,6 +42,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,7 +53,7 @@ from .common import materialise, text_or_empty
 
 LENGTH = 50
 #: Bytes of the first rank, and the offsets of the pairs of the two rounds after it.
-GRAM, OFFSETS = 16, (16, 18)
+GRAM, OFFSETS = 20, (20, 10)
 WINDOW = LENGTH - GRAM + 1
 #: Bytes of text: of a unit, and of what is looked at together (small enough for a processor's cache).
 UNIT, BLOCK = 4 << 20, 1 << 18
@@ -100,13 +101,12 @@ class Block:
         self.first, self.min = places[new], least[new]
         self.last = places[np.append(new[1:], True)[: len(places)]]
         self.doc = doc[self.row[np.searchsorted(self.start, self.first, "right") - 1]]
-        self.side = np.zeros(len(self.first), np.uint64)
 
     def grams(self) -> np.ndarray:
         n = self.size + LENGTH
         one, two, three = MIX[0]
         word = lambda at: np.ndarray((n,), "<u8", self.data, at, (1,))
-        return _mixed(word(0) * one + word(8) * two, three)
+        return _mixed((word(0) ^ word(GRAM - 8) * three) * one + word(8) * two, three)
 
     def minimizers(self) -> np.ndarray:
         """The place of the minimizer of the string at each place."""
@@ -120,15 +120,15 @@ class Block:
         v = np.minimum(v[: len(v) - (WINDOW - span)], v[WINDOW - span :])
         return (v[: self.size] & low).astype(np.int64)
 
-    def rank32(self, places: np.ndarray) -> np.ndarray:
+    def rank40(self, places: np.ndarray) -> np.ndarray:
         return _pair(self.gram[places], self.gram[places + OFFSETS[0]], 0)
 
     def rank50(self, places: np.ndarray) -> np.ndarray:
-        return _pair(self.rank32(places), self.rank32(places + OFFSETS[1]), 0)
+        return _pair(self.rank40(places), self.rank40(places + OFFSETS[1]), 0)
 
     def keep(self, runs: np.ndarray) -> None:
         """Goes on with these runs only."""
-        for name in ("first", "last", "min", "doc", "side"):
+        for name in ("first", "last", "min", "doc"):
             setattr(self, name, getattr(self, name)[runs])
 
     def stretches(self) -> np.ndarray:
@@ -138,16 +138,16 @@ class Block:
         return np.stack([self.gram[self.min], _pair(ends[:n], ends[n:] + (self.last - self.first).astype(np.uint64), 1)], 1)
 
     def contexts(self) -> np.ndarray:
-        """32-byte ranks of the runs, which are cut where the side changes on which a string has 16 bytes more than the minimizer."""
-        left = self.min - OFFSETS[0]  # the last place with them before the minimizer
-        has_left, has_right = self.first <= left, self.last > left
-        self.keep(np.concatenate([np.flatnonzero(has_left), np.flatnonzero(has_right)]))
-        n, left = int(has_left.sum()), self.min - OFFSETS[0]
-        self.last[:n] = np.minimum(self.last, left)[:n]
-        self.first[n:] = np.maximum(self.first, left + 1)[n:]
-        self.side[:n] = 1
-        at = np.where(self.side == 1, left, self.min)
-        return self.rank32(at) ^ self.side
+        """40-byte ranks of the runs, which are cut where more of those bytes can stand before the minimizer."""
+        # strings that start from ``before`` bytes before the minimizer on, up to the next step
+        steps = [(before, self.min - before - (OFFSETS[1] - 1) if before < OFFSETS[0] else self.first, self.min - before) for before in range(0, OFFSETS[0] + 1, OFFSETS[1])]
+        cuts = [(before, np.maximum(self.first, lo), np.minimum(self.last, hi)) for before, lo, hi in steps]
+        some = [np.flatnonzero(lo <= hi) for _, lo, hi in cuts]
+        first, last = (np.concatenate([c[k][own] for c, own in zip(cuts, some)]) for k in (1, 2))
+        before = np.repeat(np.array([c[0] for c in cuts]), [len(own) for own in some])
+        self.keep(np.concatenate(some))
+        self.first, self.last = first, last
+        return self.rank40(self.min - before) ^ before.astype(np.uint64)
 
     def bytes(self) -> list[bytes]:
         """What the strings of each run cover."""
@@ -194,9 +194,10 @@ class Found:
         same &= first[place] == names[:, 0]
         return np.where(same, np.where(least[place] < doc, -1, mask[place]), 0)
 
-    def narrow(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves the block the runs that stretches and minimizers left open; returns the runs that a stretch settled."""
-        block.keep(self.has(GRAMS, block.gram[block.min]))
+    def narrow(self, block: Block, shared: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves the block the runs that no stretch settled (with ``shared``, of those whose minimizer is); returns the runs that one settled."""
+        if shared:
+            block.keep(self.has(GRAMS, block.gram[block.min]))
         settled = self.before(STRETCHES, block.stretches(), block.doc) if STRETCHES in self.kinds else np.zeros(len(block.first), bool)
         done = block.first[settled], block.last[settled]
         block.keep(~settled)
@@ -271,7 +272,7 @@ def _contexts(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
 
 
 def _open_runs(block: Block, found: Found) -> np.ndarray:
-    """Leaves the block the runs for the last round; their names: of the 32 bytes, and of all that they cover."""
+    """Leaves the block the runs for the last round; their names: of the 40 bytes, and of all that they cover."""
     names = block.contexts()
     shared = found.has(CONTEXTS, names)
     block.keep(shared)
@@ -281,7 +282,7 @@ def _open_runs(block: Block, found: Found) -> np.ndarray:
 def _runs(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     ranks, found, texts = Ranks(), Found(marks), []
     for block in _blocks(rows):
-        found.narrow(block)
+        found.narrow(block, shared=False)
         ranks.add(_open_runs(block, found), block.doc)
         texts += block.bytes()
     return ranks.frame(rows["unit"].iat[0], texts)
@@ -292,7 +293,7 @@ def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     gone = [np.zeros(len(t), bool) for t in texts]
     for b in _blocks(rows):
         edge = np.zeros(b.size + LENGTH + 1, np.int32)
-        first, last = found.narrow(b)
+        first, last = found.narrow(b, shared=False)
         np.add.at(edge, first, 1)
         np.add.at(edge, last + LENGTH, -1)
         masks = found.masks(_open_runs(b, found), b.doc)
@@ -352,17 +353,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     table = _dealt(spark, docs, id_col, text_col)
     texts = spark.table(table)
-    marks = spark.createDataFrame([], "unit long, kind byte, h long, h2 long, least long, mask long")
+    none = spark.createDataFrame([], "unit long, kind byte, h long, h2 long, least long, mask long")
 
-    def step(function: Callable, schema: str) -> DataFrame:
+    def step(function: Callable, schema: str, *told: DataFrame) -> DataFrame:
+        marks = reduce(DataFrame.union, told, none)
         return texts.groupBy("unit").cogroup(marks.groupBy("unit")).applyInPandas(function, schema)
 
-    marks = _marks(_placed(step(_grams, NARROW), "unit", "h").where("many or shared"), "repeats-16", GRAMS)
-    marks = marks.union(_marks(_placed(step(_stretches, RANKS), "lo", "h", "h2").where("least < hi"), "repeats-stretches", STRETCHES, "h2", "least"))
-    marks = marks.union(_marks(_placed(step(_contexts, RANKS), "lo", "h").where("shared or lo < hi"), "repeats-32", CONTEXTS))
-    marks = marks.union(_marks(_last_round(step(_runs, RANKS + ", bytes binary")), "repeats-50", STRINGS, "h2", "lo", "mask"))
+    grams = _marks(_placed(step(_grams, NARROW), "unit", "h").where("many or shared"), "repeats-20", GRAMS)
+    stretches = _marks(_placed(step(_stretches, RANKS, grams), "lo", "h", "h2").where("least < hi"), "repeats-stretches", STRETCHES, "h2", "least")
+    contexts = _marks(_placed(step(_contexts, RANKS, grams, stretches), "lo", "h").where("shared or lo < hi"), "repeats-40", CONTEXTS)
+    strings = _marks(_last_round(step(_runs, RANKS + ", bytes binary", stretches, contexts)), "repeats-50", STRINGS, "h2", "lo", "mask")
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     names = [f.split()[0] for f in fields.split(", ")]
-    result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields), "repeats-result")
+    result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields, stretches, contexts, strings), "repeats-result")
     spark.sql(f"DROP TABLE {table}")
     return result

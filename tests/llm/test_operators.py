@@ -219,12 +219,12 @@ def test_segments_see_what_whole_texts_see(monkeypatch):
 
 
 def test_ranks_of_equal_bytes_are_equal():
-    """Pairs of ranks name 32 and 50 bytes wherever they stand."""
+    """Pairs of ranks name 40 and 50 bytes wherever they stand."""
     random.seed(4)
     text = bytes(random.choice(b"ab") for _ in range(4000)) + b"x" * 60
     block = suffix_dedup.Block([(0, 0, text), (1, 0, text[7:300])], np.array([1, 2]))
     places = suffix_dedup._spread(block.first, block.last)
-    for found, n in ((block.gram[places], 16), (block.rank32(places), 32), (block.rank50(places), 50)):
+    for found, n in ((block.gram[places], 20), (block.rank40(places), 40), (block.rank50(places), 50)):
         whole = collections.defaultdict(set)
         for k, name in zip(places.tolist(), found.tolist()):
             whole[block.data[k : k + n]].add(name)
