@@ -80,7 +80,7 @@ def _fill(rows: DataFrame) -> DataFrame:
     gaps = {r["source"]: r["gap"] for r in rows.groupBy("source").agg((F.first("rest") - F.sum(F.when(F.col("last"), F.col("size")).otherwise(0))).alias("gap")).collect()}
 
     def with_gap(left: DataFrame) -> DataFrame:
-        table = F.broadcast(rows.sparkSession.createDataFrame(list(gaps.items()), "g_source string, gap double"))  # as many rows as there are sources
+        table = rows.sparkSession.createDataFrame(list(gaps.items()), "g_source string, gap double")  # as many rows as there are sources
         return left.join(table, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
 
     unused = rows.where((F.col("passes") < MOST) & ~F.col("last") & (F.col("size") > 0)).select(*KEY, "doc_id", "size")
@@ -111,7 +111,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
     plan = [(s, n, t, (2 * k / (len(sizes) - 1) - 1) * steepness if len(sizes) > 1 else 0.0) for k, (s, n, t) in enumerate(targets(sizes))]
     plan_table = spark.createDataFrame(plan, "source string, source_size long, target double, slope double")
-    rows = rows.join(F.broadcast(plan_table.withColumnRenamed("source", "p_source")), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
+    rows = rows.join(plan_table.withColumnRenamed("source", "p_source"), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")
     passes = F.when(F.col("source_size") == 0, 1).otherwise(F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))).cast("int")
     rest = F.col("target") - F.col("passes") * F.col("source_size")
     # a document larger than all of the last pass isn't read there
@@ -122,8 +122,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     picked = _fill(rows)
     same = F.col("source").eqNullSafe(F.col("f_source")) & (F.col("h") == F.col("f_h")) & (F.col("bucket") == F.col("f_bucket")) & (F.col("middle") == F.col("f_middle")) & (F.col("size") > 0)
     rows = rows.join(picked.select([F.col(c).alias(f"f_{c}") for c in KEY]), same, "left")
-    rows = rows.withColumn("copies", F.col("passes") + (F.col("last") | F.col("f_h").isNotNull()).cast("int"))
-    x = lambda k: F.least(F.col("target"), F.col("middle") + k * F.col("source_size"))
+    again = F.col("last") | F.col("f_h").isNotNull()
+    rows = rows.withColumns({"copies": F.col("passes") + again.cast("int"), "again": F.when(again, F.col("size")).otherwise(0)}).drop(*[f"f_{c}" for c in KEY])
+    # the last pass reads those that it takes, one after the other
+    rows = _running(rows, "again", "upto")
+    late = F.col("passes") * F.col("source_size") + F.col("upto") - F.col("size") / 2
+    x = lambda k: F.least(F.col("target"), F.when(k < F.col("passes"), F.col("middle") + k * F.col("source_size")).otherwise(late))
     when = F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.when(F.col("target") > 0, position(x(k), F.col("target"), F.col("slope"))).otherwise(0.0))
     rows = rows.withColumn("positions", F.when(F.col("copies") > 0, when).otherwise(F.array().cast("array<double>")))
     rows = rows.select("doc_id", "source", "h", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions", F.get("positions", F.lit(0)).alias("first_position"))
