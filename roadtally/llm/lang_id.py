@@ -36,7 +36,7 @@ from .common import doc_fold
 
 SAMPLE_CHARS = 50_000
 #: Texts that are worth a numpy step, and characters that are looked at together.
-ALONE, TOGETHER = 24, 4 << 20
+ALONE, TOGETHER = 24, 16 << 20
 #: Symbols: 0 a run of anything but letters, 1 a letter that the sample lacks, then the letters of the sample.
 GAP, OTHER = 0, 1
 
@@ -140,8 +140,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
 def pack(arcs: list[tuple[int, int, int]], symbols: int) -> dict[str, np.ndarray]:
     """The arcs of an automaton in one array: state ``a`` has its arc of symbol ``c`` at ``base[a] + c`` if that place is its own.
 
-    Rows are fitted into each other's gaps, those with most arcs first.  The
-    start state's row stands apart, by symbol.
+    Rows are fitted into each other's gaps, those with most arcs first, each near
+    where the last one went; single arcs then fill what is free from the start.
+    The start state's row stands apart, by symbol.
     """
     rows: dict[int, list[tuple[int, int]]] = {}
     for a, c, b in arcs:
@@ -151,17 +152,19 @@ def pack(arcs: list[tuple[int, int, int]], symbols: int) -> dict[str, np.ndarray
     for c, b in rows.pop(0, []):
         root[c] = b
     base, owner, to = np.zeros(states, np.int32), [-1] * (2 * symbols), [0] * (2 * symbols)
-    free = symbols  # no place before it is free
+    free = near = symbols  # no place before ``free`` is free
     for a in sorted(rows, key=lambda a: -len(rows[a])):
         row = sorted(rows[a])
-        first, at = row[0][0], free
+        first, at, tried = row[0][0], near if len(row) > 1 else free, 0
         while True:
             while at + symbols >= len(owner):
                 owner += [-1] * len(owner)
                 to += [0] * len(to)
             if owner[at] < 0 and all(owner[at - first + c] < 0 for c, _ in row[1:]):
                 break
-            at += 1
+            at, tried = at + 1, tried + 1
+        if tried > 100:
+            near = at
         base[a] = at - first
         for c, b in row:
             owner[at - first + c], to[at - first + c] = a, b
