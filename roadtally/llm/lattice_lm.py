@@ -7,10 +7,12 @@ lattice of a text is a chain of word lattices, and each distinct word is
 scored once for the whole corpus.  Every single byte is a piece too, so every
 text has a probability.
 
-The vocabulary file's scores give the first weights; one pass of expectation
-(forward and backward over the counted words of the training part) turns them
-into the final ones.  Word counts are a Spark aggregation over all training
-rows; what reaches the driver is one number for each piece of the vocabulary.
+The vocabulary file's scores give the first weights; passes of expectation
+(forward and backward over the counted words of the training part) improve them
+until a pass gains less than ``STALLED`` of a natural log a word, or ``PASSES``
+were made.  Word counts are a Spark aggregation over all training rows; what
+reaches the driver is one number for each piece of the vocabulary.  Sums are
+added in the order in which tasks end, so reruns may differ in the last bits.
 
 Words that occur often - ``BROADCAST`` at most, of 64 bytes at most - are
 looked up beside the text; every other (document, word) pair is joined with
@@ -40,6 +42,7 @@ BROADCAST, LONGEST = 200_000, 64
 #: Distinct words that a task holds before it passes their counts on.
 HELD = 400_000
 PRIOR = 0.5
+PASSES, STALLED = 5, 0.02
 END = b""
 
 
@@ -141,7 +144,7 @@ class Lattice:
         return alpha[first + sizes]
 
     def expect(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in the counted words."""
+        """Expected uses of each piece in the counted words, and behind them the words' log probability."""
         first, sizes, start, end, piece, lp, offset, alpha = self.forward(words)
         beta = np.full(len(alpha), -np.inf)
         last = first + sizes
@@ -151,7 +154,7 @@ class Lattice:
             beta[start[g]] = np.logaddexp(beta[start[g]], beta[end[g]] + lp[g])
         word = np.repeat(np.arange(len(words)), sizes + 1)[start]
         used = np.exp(alpha[start] + lp + beta[end] - alpha[last][word]) * counts[word]
-        return np.bincount(piece, used, len(self.logp))
+        return np.append(np.bincount(piece, used, len(self.logp)), (alpha[last] * counts).sum())
 
 
 def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -184,26 +187,34 @@ def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def learn(counts: DataFrame, pieces: Pieces) -> tuple[np.ndarray, float]:
+def learn(counts: DataFrame, pieces: Pieces, passes: int = PASSES) -> tuple[np.ndarray, float]:
     """Log probabilities of the pieces, and of the end."""
     shared = counts.sparkSession.sparkContext.broadcast(pieces)
-
-    def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        lattice = Lattice(shared.value, shared.value.first)
-        for batch in batches:
-            used = lattice.expect(batch["word"].tolist(), batch["c"].to_numpy(float))
-            total = used if total is None else total + used
-        if total is not None:
-            yield pd.DataFrame({"piece": np.arange(len(total)), "used": total})[total > 0]
-
-    used = np.zeros(len(pieces.names))
-    rows = counts.where((F.col("c") > 0) & (F.octet_length("word") > 0)).mapInPandas(expect, "piece int, used double").groupBy("piece").agg(F.sum("used").alias("used")).collect()
-    for r in rows:  # one for each piece of the vocabulary at most
-        used[r["piece"]] = r["used"]
+    words = counts.where((F.col("c") > 0) & (F.octet_length("word") > 0))
     ends = counts.where(F.octet_length("word") == 0).agg(F.sum("c")).first()[0] or 0
-    whole = used.sum() + ends + PRIOR * (len(used) + 1)
-    return np.log((used + PRIOR) / whole), math.log((ends + PRIOR) / whole)
+    n = words.agg(F.sum("c")).first()[0] or 0
+    logp, log_end, before = pieces.first, 0.0, -math.inf
+    for _ in range(passes):
+
+        def expect(batches: Iterator[pd.DataFrame], weights: np.ndarray = logp) -> Iterator[pd.DataFrame]:
+            total = None
+            lattice = Lattice(shared.value, weights)
+            for batch in batches:
+                used = lattice.expect(batch["word"].tolist(), batch["c"].to_numpy(float))
+                total = used if total is None else total + used
+            if total is not None:
+                yield pd.DataFrame({"piece": np.arange(len(total)), "used": total})[total != 0]
+
+        used = np.zeros(len(pieces.names) + 1)
+        for r in words.mapInPandas(expect, "piece int, used double").groupBy("piece").agg(F.sum("used").alias("used")).collect():
+            used[r["piece"]] = r["used"]  # one for each piece of the vocabulary at most
+        used, gained = used[:-1], used[-1] / max(n, 1)
+        whole = used.sum() + ends + PRIOR * (len(used) + 1)
+        logp, log_end = np.log((used + PRIOR) / whole), math.log((ends + PRIOR) / whole)
+        if gained - before < STALLED:
+            break
+        before = gained
+    return logp, log_end
 
 
 def score(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", broadcast_words: int = BROADCAST) -> DataFrame:
