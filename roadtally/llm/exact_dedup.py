@@ -45,7 +45,7 @@ def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     size, best = F.sum("copies").alias("group_size"), _best().alias("best")
     same = base.groupBy("h").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi")).select("h", (F.col("lo") != F.col("hi")).alias("collides"))
     collisions = materialise(same.where("collides").select("h"), "exact-collisions")
-    groups = rows.groupBy("h").agg(size, best)
+    groups = materialise(rows.groupBy("h").agg(size, best), "exact-groups")  # so that Spark can split the join of a crowded hash
     if collisions.isEmpty():
         joined = rows.join(groups, "h")
     else:  # the hash took different texts for one: these groups go by their text
