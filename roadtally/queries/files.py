@@ -19,6 +19,12 @@ def csv_of(df: DataFrame, name: str, **options) -> str:
     return path
 
 
+def files_of(lines: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """Writes ``lines`` (point, part, rang, line) as one file for each point and part, in the order of ``rang``."""
+    kept = lines.repartition("point", "part").sortWithinPartitions("point", "part", "rang").select("point", "part", "line")
+    kept.write.partitionBy("point", "part").options(encoding=encoding, sep="\u0001", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 @query("SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'ete a ' || s_nationkey END AS nom FROM supplier")
 def src_delimited(spark, d):
     s = S.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 3 != 0, F.concat(F.lit("été à "), F.col("s_nationkey").cast("string"))).alias("nom"))
@@ -26,64 +32,98 @@ def src_delimited(spark, d):
     return df.withColumn("nom", F.translate("nom", "à", "a"))
 
 
+@query("SELECT s_suppkey AS id, 'zone e' || s_nationkey AS nom, CASE WHEN s_suppkey % 4 > 0 THEN s_acctbal END AS valeur FROM supplier")
+def src_delimited_skipped(spark, d):
+    """Files of a nation's thousand suppliers, with two lines above the header."""
+    s = S.table(spark, d, "supplier")
+    point, part = F.col("s_nationkey").alias("point"), F.floor(F.col("s_suppkey") / 1000).alias("part")
+    body = s.select(point, part, (F.col("s_suppkey") + 3).alias("rang"), F.concat_ws(";", F.col("s_suppkey").cast("string"), F.concat(F.lit("zone é"), F.col("s_nationkey").cast("string")), F.when(F.col("s_suppkey") % 4 > 0, F.col("s_acctbal").cast("string")).otherwise("")).alias("line"))
+    head = s.select(point, part).distinct().select("point", "part", F.posexplode(F.array(*[F.lit(x) for x in ("livraison;;", "unites;;veh/j", "id;nom;valeur")])).alias("rang", "line"))
+    path = fresh_path(spark, "skipped")
+    files_of(head.unionByName(body), path)
+    return rd.delimited(spark, path, schema="id bigint, nom string, valeur double", skip_rows=2)
+
+
 @query("""
 SELECT date_trunc('minute', date_heure) + to_milliseconds(event_id % 60 * 1000 + event_id % 100 * 10) AS date_heure, 1 AS nb_veh,
        CASE WHEN event_id % 14 IN (1, 12) THEN 'VL' WHEN event_id % 14 = 13 THEN '2R' ELSE 'PL' END AS type_veh, 'sens' || (event_id % 2 + 1) AS sens, vitesse FROM passages WHERE event_id % 5 <> 0""")
 def src_vehicle_tube(spark, d):
-    i = F.col("event_id")
-    raw = S.passages(spark, d).select(F.when(i % 5 != 0, 1).otherwise(0), F.date_format("date_heure", "dd/MM/yyyy HH:mm"), (i % 60).cast("int"), (i % 100).cast("int"), (i % 14).cast("int"), (i % 2).cast("int"), "vitesse")
-    return rd.vehicle_tube(spark, csv_of(raw, "tube", sep="\t"))
+    """A Latin-1 file for each counter and day: tabs on even days, NULs on odd ones; the header lacks the rows' empty first field."""
+    i, p = F.col("event_id"), S.passages(spark, d).withColumns({"point": F.col("id_comptag"), "part": F.dayofyear("date_heure")})
+    cells = [F.when(i % 5 != 0, 1).otherwise(0), F.date_format("date_heure", "dd/MM/yyyy HH:mm"), i % 60, i % 100, i % 14, i % 2, F.col("vitesse")]
+    line = lambda *c: F.when(F.col("part") % 2 == 0, F.concat_ws("\t", *c)).otherwise(F.concat_ws("\0", *c))
+    body = p.select("point", "part", (i + 1).alias("rang"), line(F.lit(""), *[c.cast("string") for c in cells]).alias("line"))
+    head = p.select("point", "part").distinct().withColumn("rang", F.lit(-1).cast("long")).withColumn("line", line(*[F.lit(x) for x in (*rd.TUBE.values(), "")]))
+    path = fresh_path(spark, "tube")
+    files_of(head.unionByName(body), path, "ISO-8859-1")
+    return rd.vehicle_tube(spark, path)
 
 
 @query("""
-SELECT id_comptag AS point, CAST(j AS TIMESTAMP) + to_milliseconds((CAST(h AS BIGINT) * 3600 + m * 60 + event_id % 60) * 1000) AS date_heure, 1 AS nb_veh, vitesse, CAST(event_id % 30 AS INTEGER) AS ser, type_veh, sens
+SELECT id_comptag AS point, CAST(j AS TIMESTAMP) + to_milliseconds((CAST(h AS BIGINT) * 3600 + m * 60 + event_id % 60) * 1000) AS date_heure, 1 AS nb_veh, CAST(floor(vitesse) AS INTEGER) AS vitesse, CAST(event_id % 30 AS INTEGER) AS ser, type_veh, sens
 FROM (SELECT event_id, id_comptag, vitesse, type_veh, sens, hour(date_heure) AS h, minute(date_heure) AS m, CAST(date_heure AS DATE) + 20 AS j FROM passages)""")
 def src_vehicle_radar(spark, d):
     """A file for each counter and week: dates are moved by 20 days, so that they pass the end of a month."""
     p = S.passages(spark, d).withColumn("j", F.date_add(F.to_date("date_heure"), 20))
-    line = F.concat_ws(" ", F.substring("sens", 5, 1), F.date_format("j", "dd"), F.date_format("date_heure", "HHmm"), F.format_string("%02d00", F.col("event_id") % 60), F.col("vitesse").cast("string"), (F.col("event_id") % 30).cast("string"), "type_veh")
-    g = p.groupBy("id_comptag", F.to_date(F.date_trunc("week", "j")).alias("semaine")).agg(F.min("j").alias("a"), F.array_sort(F.collect_list(F.struct("date_heure", "event_id", line.alias("line")))).alias("l"))  # a file's own rows
-    text = g.select("id_comptag", "semaine", F.concat_ws("\n", F.concat(F.lit("DEBUT "), F.date_format("a", "yyyy MM dd")), F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("value"))
+    line = F.concat_ws(" ", F.substring("sens", 5, 1), F.date_format("j", "dd"), F.date_format("date_heure", "HHmm"), F.format_string("%02d00", F.col("event_id") % 60), F.concat(F.lit("V="), F.floor("vitesse").cast("string")), (F.col("event_id") % 30).cast("string"), F.lower("type_veh"))
+    p = p.withColumns({"point": F.col("id_comptag"), "part": F.to_date(F.date_trunc("week", "j"))})
+    body = p.select("point", "part", F.struct(F.col("date_heure").alias("t"), "event_id").alias("rang"), line.alias("line"))
+    head = p.groupBy("point", "part").agg(F.min("j").alias("a")).select("point", "part", F.struct(F.lit(None).cast("timestamp_ntz").alias("t"), F.lit(None).cast("long").alias("event_id")).alias("rang"), F.concat(F.lit("RADAR.1.2.3.4. "), F.date_format("a", "yy. MM. dd"), F.lit(".0")).alias("line"))
     path = fresh_path(spark, "radar")
-    text.repartition("id_comptag", "semaine").write.partitionBy("id_comptag", "semaine").text(path)
+    files_of(head.unionByName(body), path)
     return _with_point(rd.vehicle_radar(spark, path))
 
 
 def _with_point(df: DataFrame) -> DataFrame:
     """The counter that a file belongs to, by the name of its folder."""
-    return df.withColumn("point", F.regexp_extract("file", "=([^/]+)/", 1)).drop("file")
+    return df.withColumn("point", F.regexp_extract("file", "point=([^/]+)/", 1)).drop("file")
 
 
 @query("""
-SELECT id_comptag AS point, 1 AS mode, 'sens' || sens AS sens, CAST(jour AS TIMESTAMP) + to_hours(CAST(k AS INTEGER)) AS date_heure, CAST(sum(CASE WHEN heure = k THEN valeur ELSE 0 END) AS INTEGER) AS nb_veh
-FROM horaire, range(24) AS r(k) WHERE jour BETWEEN DATE '1995-01-01' AND DATE '1995-03-31' GROUP BY id_comptag, sens, jour, k""")
+WITH b AS (SELECT DISTINCT id_comptag, CAST(date_trunc('month', jour) AS DATE) AS mois, sens, indicateur FROM horaire),
+t AS (SELECT b.*, unnest(generate_series(CAST(mois AS TIMESTAMP), CAST(last_day(mois) AS TIMESTAMP), INTERVAL 1 DAY)) AS date_heure FROM b),
+v AS (SELECT id_comptag, sens, indicateur, CAST(jour AS TIMESTAMP) AS date_heure, CAST(sum(valeur) AS INTEGER) AS n FROM horaire GROUP BY ALL)
+SELECT t.id_comptag AS point, CASE WHEN month(t.mois) % 3 = 0 THEN 'mode3' ELSE 'mode4' END AS mode, CASE WHEN month(t.mois) % 3 = 0 AND t.indicateur = 'VL' THEN 'TV' ELSE t.indicateur END AS type_veh, 'sens' || t.sens AS sens,
+       t.date_heure, coalesce(n, 0) AS nb_veh, CASE WHEN month(t.mois) % 2 = 0 THEN -0.61234567 END AS lon, CASE WHEN month(t.mois) % 2 = 0 THEN 46.12345678 END AS lat
+FROM t LEFT JOIN v ON v.id_comptag = t.id_comptag AND v.sens = t.sens AND v.indicateur = t.indicateur AND v.date_heure = t.date_heure""")
 def src_fim_blocks(spark, d):
-    """A file for each counter and month: a block of 24 hours for each day and direction, eight values a line."""
+    """A file for each counter and month: a block of all its days for each direction and kind of vehicle, twelve values a line."""
     path = fresh_path(spark, "fim")
     fim_files(spark, d, path)
-    # every day is written and read; the SQL asks for these
-    return _with_point(rd.fim_blocks(spark, path)).where("date_heure >= timestamp '1995-01-01 00:00:00' and date_heure < timestamp '1995-04-01 00:00:00'")
+    return _with_point(rd.fim_blocks(spark, path))
 
 
 def fim_files(spark, d, path):
-    h = S.horaire(spark, d)
-    b = h.groupBy("id_comptag", "sens", "jour").agg(*[F.sum(F.when(F.col("heure") == k, F.col("valeur")).otherwise(0)).cast("int").cast("string").alias(c) for k, c in enumerate(HOURS)])
-    rows = [F.concat(F.concat_ws(".", *HOURS[k : k + 8]), F.lit(".")) for k in (0, 8, 16)]
-    block = F.concat_ws("\n", F.concat_ws(" ", F.date_format("jour", "yyyy-MM-dd"), F.lit("60"), F.lit("1"), F.concat(F.lit("sens"), F.col("sens").cast("string"))), *rows)
-    text = b.groupBy("id_comptag", F.date_format("jour", "yyyy-MM").alias("mois")).agg(F.array_join(F.array_sort(F.collect_list(block)), "\n").alias("value"))
-    text.repartition("id_comptag", "mois").write.partitionBy("id_comptag", "mois").text(path)
-
-
-@query(f"SELECT id_comptag, sens, CASE WHEN indicateur = 'VL' THEN 'TV' ELSE 'PL' END AS indicateur, jour, {', '.join(HOURS)} FROM hw")
+    h = S.horaire(spark, d).withColumn("part", F.trunc("jour", "month"))
+    key = ["id_comptag", "part", "indicateur", "sens"]
+    day = F.dayofmonth("jour") - 1
+    days = h.groupBy(*key).agg(*[F.sum(F.when(day == k, F.col("valeur"))).cast("int").cast("string").alias(f"v{k}") for k in range(31)])
+    # a day without a count is left empty
+    cells = F.slice(F.array(*[F.concat(F.coalesce(F.lpad(F.col(f"v{k}"), 5, " "), F.lit(" " * 5)), F.lit(".")) for k in range(31)]), F.lit(1), F.dayofmonth(F.last_day("part")))
+    month = F.month("part")
+    code = F.when(month % 3 == 0, F.when(F.col("indicateur") == "PL", "3.P").otherwise("1.T")).otherwise(F.concat(F.when(month % 3 == 1, "4.").otherwise("2."), F.when(F.col("indicateur") == "PL", "P").otherwise("V")))
+    place = F.when(month % 2 == 0, "+46.1234.5678.-0.6123.4567.").otherwise("SANS")
+    title = F.concat(F.lit("17. 0016. 0103. 00. "), F.col("sens").cast("string"), F.date_format("part", "'.' yy'.' MM'.' dd'.'"), F.lit(" 00. 00. 1440.   "), code, F.lit("   "), place)
+    lines = days.select(*key, F.posexplode(F.array(title, *[F.array_join(F.slice(cells, k, 12), "") for k in (1, 13, 25)])).alias("n", "line"))
+    files_of(lines.select(F.col("id_comptag").alias("point"), "part", F.struct("indicateur", "sens", "n").alias("rang"), "line"), path)
+
+
+@query(f"SELECT '16-D' || substr(id_comptag, 2) || '-' || (annee % 100) AS id_comptag, 'sens ' || sens AS sens, CASE WHEN indicateur = 'VL' THEN 'TV' ELSE 'PL' END AS indicateur, jour, {', '.join(HOURS)} FROM hw")
 def src_iris_hourly(spark, d):
-    w = S.hw(spark, d).withColumn("indicateur", F.when(F.col("indicateur") == "VL", "TV").otherwise("PL"))
-    line = F.concat_ws(";", F.date_format("jour", "yyyy-MM-dd"), *[F.col(h).cast("string") for h in HOURS])
-    g = w.groupBy("indicateur", "id_comptag", "sens", "annee").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
-    head = F.concat_ws("\n", F.concat_ws(";", "id_comptag", F.col("sens").cast("string")), F.lit("jour;H1;...;H24"), "body")
+    """Latin-1 files of a counter, direction and year in the folders TV and PL: ten lines of head, the header, days, eleven lines of foot."""
+    w = S.hw(spark, d).withColumn("point", F.concat_ws("_", "id_comptag", F.col("sens").cast("string"))).withColumn("part", F.col("annee"))
+    key = ["indicateur", "point", "part", "id_comptag", "sens", "annee"]
+    body = w.select(*key, F.datediff("jour", F.lit("1900-01-01")).alias("rang"), F.concat_ws(";", F.lit("jour mesuré"), F.date_format("jour", "dd/MM/yyyy"), *[F.col(h).cast("string") for h in HOURS]).alias("line"))
+    pad = lambda n, *last: F.concat(F.lit(";" * n), *last)
+    special = {2: pad(22, F.lit("Sens n°"), F.col("sens").cast("string")), 4: pad(16, F.expr("substring(id_comptag, 2)")), 5: pad(16, (F.col("annee") % 100).cast("string"))}
+    head = [special.get(k, F.lit(f"ligne {k}" + ";" * 24)) for k in range(rd.IRIS_HEAD)] + [F.lit(";".join(["Etat", "Jours", *(f"H{k}" for k in range(1, 25))]))]
+    foot = [F.lit(f"Moyenne {k}" + ";" * 24) for k in range(rd.IRIS_FOOT)]
+    ends = w.select(*key).distinct().select(*key, F.posexplode(F.array(*head, *foot)).alias("k", "line"))
+    ends = ends.select(*key, F.when(F.col("k") < len(head), F.col("k") - 100).otherwise(F.col("k") + 1_000_000).alias("rang"), "line")
     path = fresh_path(spark, "iris")
-    for kind in ("TV", "PL"):  # the two folders of a delivery
-        own = g.where(F.col("indicateur") == kind).select(F.concat_ws("_", "id_comptag", F.col("sens").cast("string")).alias("point"), "annee", head.alias("value"))
-        own.repartition("point", "annee").write.partitionBy("point", "annee").text(f"{path}/{kind}")
+    both = body.unionByName(ends)
+    for kind, code in (("TV", "VL"), ("PL", "PL")):  # the two folders of a delivery
+        files_of(both.where(F.col("indicateur") == code), f"{path}/{kind}", "ISO-8859-1")
     return rd.iris_hourly(spark, path)
 
 
@@ -115,14 +155,14 @@ def src_catalog(spark, d):
     return rd.catalog(S.compteur(spark, d), 7, ["permanent", "tournant"], "G2").select("id_comptag", "type_poste")
 
 
-@query("SELECT 'C' || (s_suppkey % 10) AS point, string_agg('C' || (s_suppkey % 10) || '_' || s_suppkey % 20, ',' ORDER BY 'C' || (s_suppkey % 10) || '_' || s_suppkey % 20) AS fichiers, count(*) AS n FROM (SELECT DISTINCT s_suppkey % 20 AS s_suppkey FROM supplier) GROUP BY 1")
+@query("SELECT 'C' || (s_suppkey % 10) AS point, string_agg('C' || (s_suppkey % 10) || '_' || s_suppkey, ',' ORDER BY 'C' || (s_suppkey % 10) || '_' || s_suppkey) AS fichiers, count(*) AS n FROM supplier GROUP BY 1")
 def src_files_by_name(spark, d):
-    """A folder for each supplier group; the folder's name stands for the file's."""
-    s = S.table(spark, d, "supplier").select((F.col("s_suppkey") % 20).alias("k")).distinct()
+    """A folder for each supplier; the folder's name stands for the file's."""
+    k = F.col("s_suppkey").cast("string")
     path = fresh_path(spark, "names")
-    s.select(F.concat(F.lit("C"), (F.col("k") % 10).cast("string"), F.lit("_"), F.col("k").cast("string")).alias("nom"), F.col("k").cast("string").alias("value")).write.partitionBy("nom").text(path)
+    S.table(spark, d, "supplier").select(F.concat(F.lit("C"), (F.col("s_suppkey") % 10).cast("string"), F.lit("_"), k).alias("nom"), k.alias("value")).write.partitionBy("nom").text(path)
     own = rd.files_by_name(spark, path, r"nom=(C\d+)_\d+/[^/]+\.txt$")
-    return own.withColumn("fichiers", F.array_join(F.transform("fichiers", lambda x: F.regexp_extract(x, "nom=([^/]+)/", 1)), ","))
+    return own.withColumn("fichiers", F.array_join(F.array_sort(F.transform("fichiers", lambda x: F.regexp_extract(x, "nom=([^/]+)/", 1))), ","))
 
 
 @query("SELECT o_custkey % 50 AS point, sha256(o_orderstatus || o_orderpriority) AS empreinte, min('f' || o_orderkey) AS nom FROM orders GROUP BY 1, 2")

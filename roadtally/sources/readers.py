@@ -10,72 +10,152 @@ from pyspark.sql import functions as F
 from ..functions.scalars import vehicle_class
 from ..schemas import HOURS
 
-def file_name() -> Column:
-    return F.col("_metadata.file_path")
+def whole_files(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """file, lines (array, without trailing empty ones) of the files of a counting device.
+
+    A file is one row, so one task reads it: such a file holds one counter and
+    some weeks.  Large tables come through ``delimited`` without skipped rows.
+    """
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    text = F.regexp_replace(F.decode("content", encoding), r"[\r\n]+$", "")
+    return raw.select(F.col("path").alias("file"), F.split(text, r"\r?\n").alias("lines"))
 
 
-def lines_of(spark: SparkSession, path: str) -> DataFrame:
+def lines_of(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """file, pos, line: the lines of small text files, numbered from 0 in each; empty lines are left out."""
-    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
-    return whole.where("line <> ''")
+    return whole_files(spark, path, encoding).select("file", F.posexplode("lines").alias("pos", "line")).where(F.trim("line") != "")
 
 
-def delimited(spark: SparkSession, path: str, sep: str = ";", schema: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """A delimited file with a header; empty text is null, é è ê become e."""
-    reader = spark.read.option("sep", sep).option("header", True).option("encoding", encoding).option("nullValue", "")
-    df = (reader.schema(schema) if schema else reader).csv(path)
+def delimited(spark: SparkSession, path: str, sep: str = ";", schema: str | None = None, encoding: str = "UTF-8", skip_rows: int = 0) -> DataFrame:
+    """A delimited file with a header; empty text is null, é è ê become e.
+
+    ``skip_rows`` lines before the header are left out; that needs a schema, and
+    files that fit in a task.
+    """
+    if skip_rows:
+        if schema is None:
+            raise ValueError("skipped rows need a schema")
+        rows = lines_of(spark, path, encoding).where(F.col("pos") > skip_rows)
+        df = rows.select(F.from_csv("line", F.lit(schema), {"sep": sep, "nullValue": ""}).alias("r")).select("r.*")
+    else:
+        reader = spark.read.option("sep", sep).option("header", True).option("encoding", encoding).option("nullValue", "")
+        df = (reader.schema(schema) if schema else reader).csv(path)
     return df.select(*[F.translate(c, "éèê", "eee").alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes])
 
 
-TUBE = "valide int, horodate string, seconde int, centieme int, silhouette int, voie int, vitesse double"
+#: The columns of a tube counter's file.
+TUBE = {"valide": "Véhicule Valide", "horodate": "Horodate de passage", "seconde": "Seconde", "centieme": "Centième", "silhouette": "Silhouette", "voie": "Voie", "vitesse": "Vitesse (km/h)"}
 
 
 def vehicle_tube(spark: SparkSession, path: str) -> DataFrame:
-    """Tube counters: valid rows, timestamp of text + second + hundredth, class of the silhouette, direction = lane + 1."""
-    raw = spark.read.option("sep", "\t").schema(TUBE).csv(path).where("valide = 1")
-    at = F.try_to_timestamp("horodate", F.lit("dd/MM/yyyy HH:mm")).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("seconde") + F.col("centieme") / 100)
-    return raw.select(at.alias("date_heure"), F.lit(1).alias("nb_veh"), vehicle_class(F.col("silhouette")).alias("type_veh"), F.concat(F.lit("sens"), (F.col("voie") + 1).cast("string")).alias("sens"), "vitesse")
+    """Tube counters: Latin-1, columns set apart by tab or NUL, rows one field to the right of the header.
+
+    Valid rows, timestamp of text + second + hundredth, class of the silhouette, direction = lane + 1.
+    """
+    files = whole_files(spark, path, "ISO-8859-1")
+    cells = lambda line: F.split(line, r"[\x00\t]")
+    rows = files.select(cells(F.get("lines", F.lit(0))).alias("names"), F.explode(F.slice("lines", F.lit(2), F.size("lines"))).alias("line"))
+    raw = rows.select("names", cells(F.col("line")).alias("cells")).select(*[F.get("cells", F.array_position("names", F.lit(n)).cast("int")).alias(c) for c, n in TUBE.items()])
+    raw = raw.where(F.col("valide").try_cast("double") == 1)
+    part = lambda c: F.col(c).cast("double").cast("int")
+    at = F.try_to_timestamp("horodate", F.lit("dd/MM/yyyy HH:mm")).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), part("seconde") + part("centieme") / 100)
+    return raw.select(at.alias("date_heure"), F.lit(1).alias("nb_veh"), vehicle_class(part("silhouette")).alias("type_veh"), F.concat(F.lit("sens"), (part("voie") + 1).cast("string")).alias("sens"), F.col("vitesse").cast("double").alias("vitesse"))
 
 
 def vehicle_radar(spark: SparkSession, path: str) -> DataFrame:
-    """Radar files: a header with the start date, then rows whose day field is a day of month.
+    """Radar files: dots set the head's fields apart, the sixth to eighth are year (two digits), month and day of the start.
 
-    A day that falls back means a new month.  Lines keep their place by the
-    number they carry in the file's one block of text.
+    Rows: direction, day of month, HHmm, SScc, speed after two characters,
+    series, class.  A day that falls back means a new month.
     """
-    lines = lines_of(spark, path)
-    head = lines.where("pos = 0").select("file", F.to_date(F.regexp_extract("line", r"(\d{4} \d{2} \d{2})", 1), "yyyy MM dd").alias("start"))
-    f = F.split("line", r"\s+")
-    rows = lines.where("pos > 0").select("file", "pos", F.get(f, F.lit(0)).alias("sens"), F.get(f, F.lit(1)).cast("int").alias("day"), F.get(f, F.lit(2)).alias("hm"), F.get(f, F.lit(3)).alias("sc"), F.get(f, F.lit(4)).cast("double").alias("vitesse"), F.get(f, F.lit(5)).cast("int").alias("ser"), F.get(f, F.lit(6)).alias("type_veh"))
+    files = whole_files(spark, path)
+    head = lambda k: F.trim(F.split_part(F.get("lines", F.lit(0)), F.lit("."), F.lit(k + 1)))
+    start = F.make_date(2000 + head(5).cast("int"), head(6).cast("int"), head(7).cast("int"))
+    lines = files.select("file", start.alias("start"), F.posexplode(F.slice("lines", F.lit(2), F.size("lines"))).alias("pos", "line")).where("trim(line) <> ''")
+    f = F.split(F.trim("line"), " ")
+    rows = lines.select("file", "start", "pos", *[F.get(f, F.lit(k)).alias(c) for k, c in enumerate(("sens", "d", "hm", "sc", "vts", "ser", "type_veh"))]).withColumn("day", F.col("d").cast("int"))
     w = Window.partitionBy("file").orderBy("pos")
-    fell = F.coalesce((F.col("day") < F.lag("day").over(w)).cast("int"), F.lit(0))
-    rows = rows.withColumn("fell", fell).withColumn("months", F.sum("fell").over(w.rowsBetween(Window.unboundedPreceding, 0))).join(head, "file")
-    month = F.add_months(F.trunc("start", "month"), F.col("months").cast("int"))
-    date = F.date_add(month, F.col("day") - 1)
-    at = F.make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), F.substring("hm", 1, 2).cast("int"), F.substring("hm", 3, 2).cast("int"), F.concat_ws(".", F.substring("sc", 1, 2), F.substring("sc", 3, 2)).cast("decimal(8,6)"))
-    return rows.select("file", at.alias("date_heure"), F.lit(1).alias("nb_veh"), "vitesse", "ser", "type_veh", F.concat(F.lit("sens"), "sens").alias("sens"))
-
-
-def fim_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of ``date step mode direction`` titles, each followed by rows of values set apart by dots."""
-    lines = lines_of(spark, path)
-    title = F.col("line").rlike(r"^\d{4}-\d{2}-\d{2} ")
-    w = Window.partitionBy("file").orderBy("pos")
-    rows = lines.withColumn("bloc", F.count_if(title).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    heads = rows.where(title).select("file", "bloc", F.to_timestamp_ntz(F.split_part("line", F.lit(" "), F.lit(1)), F.lit("yyyy-MM-dd")).alias("start"), F.split_part("line", F.lit(" "), F.lit(2)).cast("int").alias("pas"), F.split_part("line", F.lit(" "), F.lit(3)).cast("int").alias("mode"), F.split_part("line", F.lit(" "), F.lit(4)).alias("sens"))
-    values = rows.where(~title).groupBy("file", "bloc").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))  # the lines of one block
-    cells = values.select("file", "bloc", F.posexplode(F.filter(F.flatten(F.transform("l", lambda x: F.split(x["line"], r"\."))), lambda v: F.trim(v) != "")).alias("k", "v")).join(heads, ["file", "bloc"])
-    at = F.col("start") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("k") * F.col("pas"))
-    return cells.select("file", "mode", "sens", at.alias("date_heure"), F.trim("v").cast("int").alias("nb_veh"))
-
-
-def iris_hourly(spark: SparkSession, path: str) -> DataFrame:
-    """Daily rows H1 to H24 of files in TV and PL folders; id and direction stand in the first line; ``_Voie`` files are left out."""
-    l = lines_of(spark, path).withColumnRenamed("file", "p").where(~F.col("p").contains("_Voie"))
-    head = l.where("pos = 0").select("p", F.split_part("line", F.lit(";"), F.lit(1)).alias("id_comptag"), F.split_part("line", F.lit(";"), F.lit(2)).cast("int").alias("sens"))
-    f = F.split("line", ";")
-    rows = l.where("pos > 1").select("p", F.to_date(F.get(f, F.lit(0))).alias("jour"), *[F.get(f, F.lit(h + 1)).cast("double").alias(c) for h, c in enumerate(HOURS)])
-    return rows.join(head, "p").select("id_comptag", "sens", F.regexp_extract("p", "/(TV|PL)/", 1).alias("indicateur"), "jour", *HOURS)
+    fell = F.coalesce((F.col("day") < F.lag("day").over(w)).cast("int"), (F.col("day") < F.dayofmonth("start")).cast("int"))
+    rows = rows.withColumn("fell", fell).withColumn("months", F.sum("fell").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    date = F.date_add(F.add_months(F.trunc("start", "month"), F.col("months").cast("int")), F.col("day") - 1)
+    second = F.concat_ws(".", F.substring("sc", 1, 2), F.substring("sc", 3, 2)).cast("decimal(8,6)")
+    at = F.make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), F.substring("hm", 1, 2).cast("int"), F.substring("hm", 3, 2).cast("int"), second)
+    return rows.select("file", at.alias("date_heure"), F.lit(1).alias("nb_veh"), F.expr("substring(vts, 3)").cast("int").alias("vitesse"), F.col("ser").cast("int").alias("ser"), F.upper("type_veh").alias("type_veh"), F.concat(F.lit("sens"), "sens").alias("sens"))
+
+
+#: Codes of a FIM title, with the vehicles they count and the kind of file.
+FIM_CODES = {
+    "1.T": ("TV", "mode3"), "3.P": ("PL", "mode3"), "2.V": ("VL", "mode4"), "2.P": ("PL", "mode4"), "4.V": ("VL", "mode4"), "4.P": ("PL", "mode4"), "4.T": ("TV", "mode4"),
+    "2.": ("TV", "mode2"), "1.": ("TV", "mode1"), "5.": ("VELO", "mode5"), "05.": ("VELO", "mode5"),
+}
+#: Codes that stand for others.
+FIM_REPAIRS = {"QT.S0": "1.T", "QL.S0": "3.P", "LC.S0": "3.P"}
+FIM_VALUES = 12
+
+
+def _fim_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """file, pos, line, bloc (0 before the first title), code (titles only)."""
+    codes = "|".join(c.replace(".", r"\.") for c in sorted([*FIM_CODES, *FIM_REPAIRS, "4."], key=len, reverse=True))
+    # eleven fields, the code, and something after it: a line of values ends with its twelfth
+    code = F.nullif(F.regexp_extract("line", rf"^(?:[^.]*\.){{11}}\s*({codes})\s+\S", 1), F.lit(""))
+    lines = lines_of(spark, path).withColumn("line", F.trim("line")).withColumn("code", code)
+    upto = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("bloc", F.count("code").over(upto))
+
+
+def fim_blocks(spark: SparkSession, path: str, velo: bool = False) -> DataFrame:
+    """FIM files: blocks of a title and lines of twelve values; an empty value is 0.
+
+    The first title gives start (fields 6 to 10), step in minutes (field 11) and,
+    where it ends with one, the position of all blocks; each title gives
+    direction (field 5) and vehicles.  Code ``4.`` without a letter stands for
+    light and heavy vehicles by turns.
+    """
+    rows = _fim_blocks(spark, path)
+    field = lambda k: F.trim(F.split_part("line", F.lit("."), F.lit(k + 1)))
+    number = lambda k: field(k).cast("int")
+    year = F.when(number(5) < 69, 2000 + number(5)).when(number(5) < 100, 1900 + number(5)).otherwise(number(5))
+    start = F.make_timestamp_ntz(year, number(6), number(7), number(8), number(9), F.lit(0))
+    place = r"([-+])(\d{1,3})\.(\d{4})\.(\d{4})\.([-+])(\d{1,3})\.(\d{4})\.(\d{4})\.$"
+    group = lambda k: F.regexp_extract("line", place, k)
+    degree = lambda k: F.concat(group(k), group(k + 1), F.lit("."), group(k + 2), group(k + 3)).try_cast("double")
+    first = rows.where("bloc = 1 and code is not null").select("file", start.alias("start"), number(10).alias("pas"), degree(1).alias("lat"), degree(5).alias("lon"))
+    repaired = F.when(F.col("code") == "4.", F.when(F.col("bloc") % 2 == 1, "4.V").otherwise("4.P")).otherwise(F.col("code"))
+    for old, new in FIM_REPAIRS.items():
+        repaired = F.when(F.col("code") == old, new).otherwise(repaired)
+    of = lambda k: F.create_map(*[F.lit(x) for c, v in FIM_CODES.items() for x in (c, v[k])])[repaired]
+    kind, mode = (F.lit("VELO"), F.lit("mode5")) if velo else (of(0), of(1))
+    heads = rows.where("code is not null").select("file", "bloc", kind.alias("type_veh"), mode.alias("mode"), F.concat(F.lit("sens"), F.lower(field(4))).alias("sens"))
+    line = F.row_number().over(Window.partitionBy("file", "bloc").orderBy("pos")) - 1
+    values = rows.where("code is null and bloc > 0").withColumn("n", line)
+    cells = F.slice(F.split(F.regexp_replace("line", r"\.$", ""), r"\."), 1, FIM_VALUES)
+    cells = values.select("file", "bloc", "n", F.posexplode(cells).alias("k", "v")).join(heads, ["file", "bloc"]).join(first, "file")
+    at = F.col("start") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("n") * FIM_VALUES + F.col("k")) * F.col("pas"))
+    return cells.select("file", "mode", "type_veh", "sens", at.alias("date_heure"), F.coalesce(F.trim("v").try_cast("int"), F.lit(0)).alias("nb_veh"), "lon", "lat")
+
+
+def fim_uneven(spark: SparkSession, path: str) -> DataFrame:
+    """Files whose blocks differ in their number of lines."""
+    sizes = _fim_blocks(spark, path).where("bloc > 0").groupBy("file", "bloc").agg(F.count_if(F.col("code").isNull()).alias("n"))
+    return sizes.groupBy("file").agg(F.min("n").alias("min"), F.max("n").alias("max")).where("min <> max")
+
+
+#: Lines before the header and after the data of an IRIS file; where route, marker and direction stand (line, cell).
+IRIS_HEAD, IRIS_FOOT = 10, 11
+IRIS_ROUTE, IRIS_MARKER, IRIS_SIDE = (4, 16), (5, 16), (2, 22)
+
+
+def iris_hourly(spark: SparkSession, path: str, dep: int = 16) -> DataFrame:
+    """Daily rows H1 to H24 of the csv files in TV and PL folders; Latin-1, dates dd/MM/yyyy; ``_Voie`` files are left out."""
+    files = whole_files(spark, path, "ISO-8859-1").where(F.col("file").endswith(".csv") & ~F.col("file").contains("_Voie"))
+    cell = lambda at: F.get(F.split(F.get("lines", F.lit(at[0])), ";"), F.lit(at[1]))
+    point = F.concat(F.lit(f"{dep}-D"), cell(IRIS_ROUTE), F.lit("-"), cell(IRIS_MARKER))
+    names = F.split(F.get("lines", F.lit(IRIS_HEAD)), ";")
+    data = F.slice("lines", F.lit(IRIS_HEAD + 2), F.greatest(F.size("lines") - (IRIS_HEAD + 1 + IRIS_FOOT), F.lit(0)))
+    rows = files.select(point.alias("id_comptag"), F.concat(F.lit("sens "), F.right(cell(IRIS_SIDE), F.lit(1))).alias("sens"), F.regexp_extract("file", "/(TV|PL)/", 1).alias("indicateur"), names.alias("names"), F.explode(data).alias("line"))
+    rows = rows.withColumn("cells", F.split("line", ";"))
+    get = lambda name: F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1)
+    return rows.select("id_comptag", "sens", "indicateur", F.to_date(get("Jours"), "dd/MM/yyyy").alias("jour"), *[get(f"H{k + 1}").try_cast("double").alias(h) for k, h in enumerate(HOURS)])
 
 
 def vehicle_csv(spark: SparkSession, path: str) -> DataFrame:

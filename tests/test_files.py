@@ -1,7 +1,9 @@
 """Written deliveries: all rows are in them, and a file is bounded by time or by a range of ids."""
 
+import datetime as dt
 import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadtally import standins as S
@@ -22,10 +24,63 @@ def paths(monkeypatch, tmp_path, spark, name):
 def test_fim_files_have_every_day(spark, tmp_path):
     files.fim_files(spark, SF, f"{tmp_path}/fim")
     h = S.horaire(spark, SF)
+    blocks = h.select("id_comptag", "sens", "indicateur", F.trunc("jour", "month").alias("m")).distinct()
     got = rd.fim_blocks(spark, f"{tmp_path}/fim").agg(F.count("*"), F.sum("nb_veh")).first()
-    assert tuple(got) == (24 * h.select("id_comptag", "sens", "jour").distinct().count(), h.agg(F.sum("valeur")).first()[0])
-    months = h.select("id_comptag", F.date_format("jour", "yyyy-MM")).distinct().count()
-    assert len(glob.glob(f"{tmp_path}/fim/*/*/part-*")) == months
+    assert tuple(got) == (blocks.agg(F.sum(F.dayofmonth(F.last_day("m")))).first()[0], h.agg(F.sum("valeur")).first()[0])
+    assert len(glob.glob(f"{tmp_path}/fim/*/*/part-*")) == blocks.select("id_comptag", "m").distinct().count()
+    assert rd.fim_uneven(spark, f"{tmp_path}/fim").isEmpty()
+
+
+FIM = """17. 0016. 0103. 00.  1. 21. 03. 15. 00. 00. 60.   {a}   +46.1234.5678.-000.6123.4567.
+   12.     .    3.    4.    5.    6.    7.    8.    9.   10.   11.    2.
+    1.    2.
+
+17. 0016. 0103. 00.  2. 21. 03. 15. 00. 00. 60.   {b}   SUITE
+   22.   23.   24.   25.   26.   27.   28.   29.   30.   31.   32.   33.
+   34.   35.
+"""
+CASES = [("1.T", "3.P", "TV PL", "mode3"), ("2.V", "2.P", "VL PL", "mode4"), ("4.T", "4.T", "TV TV", "mode4"), ("2.", "2.", "TV TV", "mode2"), ("1.", "1.", "TV TV", "mode1"), ("5.", "5.", "VELO VELO", "mode5"), ("4.", "4.", "VL PL", "mode4"), ("QT.S0", "QL.S0", "TV PL", "mode3"), ("QT.S0", "LC.S0", "TV PL", "mode3")]
+
+
+@pytest.mark.parametrize("a, b, kinds, mode", CASES)
+def test_fim_modes(spark, tmp_path, a, b, kinds, mode):
+    """Each code, the repairs of those that don't tell the vehicles, empty values, and the position of the first title."""
+    (tmp_path / "x.fim").write_text(FIM.format(a=a, b=b))
+    rows = sorted(rd.fim_blocks(spark, str(tmp_path)).collect(), key=lambda r: (r["sens"], r["date_heure"]))
+    assert len(rows) == 28 and {r["mode"] for r in rows} == {mode}
+    assert [r["nb_veh"] for r in rows[:14]] == [12, 0, 3, 4, 5, 6, 7, 8, 9, 10, 11, 2, 1, 2]
+    assert [rows[0]["type_veh"], rows[14]["type_veh"]] == kinds.split() and [rows[0]["sens"], rows[14]["sens"]] == ["sens1", "sens2"]
+    assert rows[13]["date_heure"] == dt.datetime(2021, 3, 15, 13) and rows[14]["date_heure"] == dt.datetime(2021, 3, 15)
+    assert (rows[0]["lat"], rows[0]["lon"]) == (46.12345678, -0.61234567)
+
+
+def test_fim_uneven_blocks(spark, tmp_path):
+    (tmp_path / "x.fim").write_text(FIM.format(a="1.T", b="3.P") + "   1.    2.\n")
+    assert [tuple(r)[1:] for r in rd.fim_uneven(spark, str(tmp_path)).collect()] == [(2, 3)]
+
+
+def test_tube_file(spark, tmp_path):
+    """Latin-1, NUL between fields, rows one field to the right of the header; broken rows go."""
+    names = [*rd.TUBE.values(), ""]
+    lines = [names, ["", "1", "27/05/2019 08:15", "7", "50", "12", "0", "48.5"], ["", "0", "27/05/2019 08:16", "1", "0", "1", "1", "50"], ["", "1", "27/05/2019 23:59", "59", "5", "13", "1", "30"]]
+    (tmp_path / "t.txt").write_bytes("\r\n".join("\0".join(x) for x in lines).encode("latin-1"))
+    got = [tuple(r) for r in rd.vehicle_tube(spark, str(tmp_path)).orderBy("date_heure").collect()]
+    assert got == [(dt.datetime(2019, 5, 27, 8, 15, 7, 500000), 1, "VL", "sens1", 48.5), (dt.datetime(2019, 5, 27, 23, 59, 59, 50000), 1, "2R", "sens2", 30.0)]
+
+
+def test_radar_file(spark, tmp_path):
+    """The start stands in the sixth to eighth field of the head; a day that falls back is of the next month."""
+    (tmp_path / "r.txt").write_text("A.B.C.D.E. 19. 12. 30.F\n1 30 0815 0750 V=48 3 vl\n2 31 2359 5999 V=130 4 pl\n1 01 0000 0000 V=7 5 2r\n")
+    got = [tuple(r)[1:] for r in rd.vehicle_radar(spark, str(tmp_path)).orderBy("date_heure").collect()]
+    assert got == [
+        (dt.datetime(2019, 12, 30, 8, 15, 7, 500000), 1, 48, 3, "VL", "sens1"), (dt.datetime(2019, 12, 31, 23, 59, 59, 990000), 1, 130, 4, "PL", "sens2"), (dt.datetime(2020, 1, 1), 1, 7, 5, "2R", "sens1"),
+    ]
+
+
+def test_skipped_rows(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("titre;\n;\nid;nom\n1;été\n2;\n")
+    got = rd.delimited(spark, str(tmp_path), schema="id int, nom string", skip_rows=2).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "ete"), (2, None)]
 
 
 def test_radar_files_are_of_a_week(spark, monkeypatch, tmp_path):
