@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import HOURS, INVALID
@@ -39,7 +39,8 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def class_sizes(df: DataFrame, column: str) -> DataFrame:
     """Rows of each class, their share, and the whole: a split that loses rows shows here."""
-    return df.groupBy(column).agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy()))
+    sizes = df.groupBy(column).agg(F.count("*").alias("n"))
+    return sizes.join(sizes.agg(F.sum("n").alias("total")))  # one row on the right
 
 
 def join_cardinality(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -49,6 +50,13 @@ def join_cardinality(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return j.agg(F.count("*").alias("left_rows"), F.count_if(F.col("__n").isNull()).alias("unmatched"), F.count_if(F.col("__n") > 1).alias("multiplied"), F.sum(F.coalesce("__n", F.lit(1))).alias("joined_rows"))
 
 
+def years_outside(df: DataFrame, column: str = "annee", after: int = 2000, last: int | None = None, unknown: Sequence[int] = (1900,)) -> DataFrame:
+    """Years that no count can have, and their rows: up to ``after``, or past ``last`` (the current year); ``unknown`` stands for no year."""
+    year = F.col(column)
+    upto = F.year(F.current_date()) if last is None else F.lit(last)
+    return df.where(~year.isin(list(unknown)) & ((year <= after) | (year > upto))).groupBy(column).agg(F.count("*").alias("n"))
+
+
 def group_over(df: DataFrame, key: Sequence[str], most: int) -> DataFrame:
     """Groups with more than ``most`` rows."""
     return df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most)
@@ -60,10 +68,16 @@ def flags_concordant(df: DataFrame, *flags: Column) -> DataFrame:
     return df.where(~same)
 
 
+def _hours(hours: Sequence[str]) -> tuple[Column, Column]:
+    """Whether an hour is null, and the number of hours at zero."""
+    values = F.array(*[F.col(h) for h in hours])
+    return F.exists(values, lambda v: v.isNull()), F.size(F.filter(values, lambda v: v == 0))
+
+
 def bad_hour(hours: Sequence[str], most_zeros: int) -> Column:
     """A null hour, or more hours at zero than allowed."""
-    values = F.array(*[F.col(h) for h in hours])
-    return F.exists(values, lambda v: v.isNull()) | (F.size(F.filter(values, lambda v: v == 0)) > most_zeros)
+    null, zeros = _hours(hours)
+    return null | (zeros > most_zeros)
 
 
 def invalid_days(df: DataFrame, most_zeros: int = 8, hours: Sequence[str] = HOURS) -> tuple[DataFrame, DataFrame]:
@@ -72,10 +86,17 @@ def invalid_days(df: DataFrame, most_zeros: int = 8, hours: Sequence[str] = HOUR
     return df.join(bad, ["jour", "id_comptag"], "left_anti"), df.join(bad, ["jour", "id_comptag"], "left_semi")
 
 
-def invalid_sheets(df: DataFrame, most_zeros: int = 8, share: float = 0.5, hours: Sequence[str] = HOURS) -> DataFrame:
-    """Rows of counters none of whose sheets (direction and indicator) is bad on more than ``share`` of its days."""
-    bad = df.groupBy("id_comptag", "sens", "indicateur").agg(F.avg(bad_hour(hours, most_zeros).cast("int")).alias("bad")).where(F.col("bad") > share)
-    return df.join(bad.select("id_comptag").distinct(), "id_comptag", "left_anti")
+def invalid_sheets(df: DataFrame, most_zeros: int = 8, share: float = 0.5, key: Sequence[str] = ("id_comptag",), hours: Sequence[str] = HOURS) -> DataFrame:
+    """Rows of keys none of whose sheets (direction and indicator) is bad.
+
+    A sheet is bad when more than ``share`` of its days have a null hour, or
+    when more than ``share`` have too many zeros; the two are not added up.
+    """
+    null, zeros = _hours(hours)
+    part = lambda c: F.avg(c.cast("int"))
+    bad = df.groupBy(*key, "sens", "indicateur").agg(part(null).alias("__null"), part(zeros > most_zeros).alias("__zeros"))
+    bad = bad.where((F.col("__null") > share) | (F.col("__zeros") > share))
+    return df.join(bad.select(*key).distinct(), list(key), "left_anti")
 
 
 def min_days(df: DataFrame, days: int, id_col: str = "id_comptag", day_col: str = "jour") -> DataFrame:
@@ -85,11 +106,17 @@ def min_days(df: DataFrame, days: int, id_col: str = "id_comptag", day_col: str
 
 
 def enough_days(df: DataFrame, id_col: str = "id_comptag", ts: str = "date_heure") -> DataFrame:
-    """More than 8 days are enough; 8 are when the last clock time is not before the first."""
+    """More than 8 days are enough; 8 are when the last clock time is not before the first.
+
+    ``jours_pleins``: the full days that a refusal reports, null where the days
+    are enough: 8 without overlap are 6, 7 are 6, fewer are as many as they are.
+    ``qualite``: the note 1 of a count that is kept with a message only.
+    """
     g = df.groupBy(id_col).agg(F.countDistinct(F.to_date(ts)).alias("jours"), F.min(ts).alias("first"), F.max(ts).alias("last"))
     clock = lambda c: F.date_format(c, "HH:mm:ss")
     ok = F.when(F.col("jours") > 8, True).when(F.col("jours") == 8, clock("first") <= clock("last")).otherwise(False)
-    return g.select(id_col, "jours", ok.alias("suffisant"))
+    full = F.when(~ok, F.when(F.col("jours") == 8, 6).when(F.col("jours") == 7, 6).otherwise(F.col("jours")))
+    return g.select(id_col, "jours", ok.alias("suffisant"), full.cast("long").alias("jours_pleins"), F.when(~ok, 1).alias("qualite"))
 
 
 def two_directions_present(df: DataFrame) -> DataFrame:
@@ -99,26 +126,55 @@ def two_directions_present(df: DataFrame) -> DataFrame:
     return df.join(lone, ["jour", "id_comptag"], "left_anti")
 
 
-def direction_asymmetry(df: DataFrame, factor: float = 3, error_rate: float = 10) -> DataFrame:
-    """Per counter: days, flagged days, and whether too many have one direction above ``factor`` times the other."""
+#: What a counter says of its directions.
+TWO_WAY, ONE_WAY = "double sens", "sens unique"
+
+
+def direction_asymmetry(df: DataFrame, factor: float = 3, error_rate: float = 10, declared: Column | None = None) -> DataFrame:
+    """Per counter: days with both directions, flagged days, the state, and whether it is refused.
+
+    A day is flagged when one direction is above ``factor`` times the other;
+    too many flagged days are asymmetric.  ``declared`` (two-way where it isn't
+    given) must agree with the directions found: one-way with two directions,
+    two-way with one, and any other number are refused; one-way with one is not
+    compared.
+    """
     total = sum((F.col(h) for h in HOURS), F.lit(0.0))
     side = lambda s: F.sum(F.when(F.col("sens") == s, total)).alias(f"t{s}")
-    days = df.groupBy("id_comptag", "jour", "indicateur").agg(side(1), side(2)).where("t1 is not null and t2 is not null")
-    flagged = (F.col("t1") > factor * F.col("t2")) | (F.col("t2") > factor * F.col("t1"))
-    return days.groupBy("id_comptag").agg(F.count("*").alias("jours"), F.count_if(flagged).alias("ecarts")).withColumn("rejete", F.col("ecarts") > F.col("jours") / error_rate)
+    declared = F.lit(TWO_WAY) if declared is None else declared
+    days = df.groupBy("id_comptag", "jour", "indicateur").agg(side(1), side(2), F.collect_set("sens").alias("s"), F.max(declared).alias("d"))
+    both = F.col("t1").isNotNull() & F.col("t2").isNotNull()
+    flagged = both & ((F.col("t1") > factor * F.col("t2")) | (F.col("t2") > factor * F.col("t1")))
+    g = days.groupBy("id_comptag").agg(F.count_if(both).alias("jours"), F.count_if(flagged).alias("ecarts"), F.size(F.array_distinct(F.flatten(F.collect_set("s")))).alias("sens"), F.max("d").alias("d"))
+    n, d = F.col("sens"), F.col("d")
+    state = (
+        F.when((n == 2) & (d == TWO_WAY), F.when(F.col("ecarts") > F.col("jours") / error_rate, "asymetrique").otherwise("ok"))
+        .when((n == 2) & (d == ONE_WAY), "sens unique a deux sens").when((n == 1) & (d == ONE_WAY), "ok").when((n == 1) & (d == TWO_WAY), "double sens a un seul sens").otherwise("cas non prevu")
+    )
+    return g.select("id_comptag", "jours", "ecarts", state.alias("etat"), (state != "ok").alias("rejete"))
 
 
 def monthly_pairs(df: DataFrame) -> DataFrame:
-    """Long monthly rows: a month that one direction lacks is invalid in both."""
-    w = Window.partitionBy("id_comptag", "annee", "indicateur", "mois")
-    return df.withColumn("valeur", F.when(F.count_if(F.col("valeur").isNull()).over(w) > 0, INVALID).otherwise(F.col("valeur")))
+    """Long monthly rows (sens, indicateur, mois, valeur), and the case of their counter-year.
+
+    Two directions of two indicators: a month that one direction lacks is
+    invalid in both.  One or two rows of months: what is missing is invalid.
+    Other numbers are left as they are and reported.
+    """
+    key = ["id_comptag", "annee"]
+    rows = df.groupBy(*key).agg(F.countDistinct("sens", "indicateur").alias("__rows"))
+    months = df.groupBy(*key, "indicateur", "mois").agg(F.count("valeur").alias("__there"))
+    j = df.join(rows, key).join(months, [*key, "indicateur", "mois"])
+    case = F.when(F.col("__rows") == 4, "deux sens").when(F.col("__rows") <= 2, "un sens").otherwise("non prevu")
+    value = F.when(case == "deux sens", F.when(F.col("__there") < 2, INVALID).otherwise(F.col("valeur"))).when(case == "un sens", F.coalesce("valeur", F.lit(INVALID))).otherwise(F.col("valeur"))
+    return j.select(*[c for c in df.columns if c != "valeur"], value.alias("valeur"), case.alias("cas"))
 
 
 def outlier_hours(long: DataFrame, keys: Sequence[str] = ("id_comptag", "indicateur", "weekend", "heure")) -> DataFrame:
-    """Marks hours below the mean by more than two standard deviations of their group."""
-    w = Window.partitionBy(*keys)
-    low = F.avg("valeur").over(w) - 2 * F.stddev_samp("valeur").over(w)
-    return long.withColumn("corrige", F.when(F.col("valeur") < low, INVALID).otherwise(F.col("valeur")))
+    """Marks hours below the mean by more than two standard deviations of their group (null keys have no group)."""
+    low = long.groupBy(*keys).agg((F.avg("valeur") - 2 * F.stddev_samp("valeur")).alias("__low"))
+    j = long.join(low, list(keys), "left")
+    return j.select(*[c for c in long.columns], F.when(F.col("valeur") < F.col("__low"), INVALID).otherwise(F.col("valeur")).alias("corrige"))
 
 
 def annual_vs_monthly(annual: DataFrame, monthly: DataFrame, key: Sequence[str], most_gap: float = 5.0, most_points: float = 1.0) -> DataFrame:
@@ -144,11 +200,28 @@ def vehicle_outliers(df: DataFrame) -> DataFrame:
     return df.withColumn("fail", F.filter(tags, lambda t: t.isNotNull()))
 
 
-def vehicle_quality_note(df: DataFrame, key: str, directions_named: Column) -> DataFrame:
-    """1 from 30 % broken rows on, 2 from 10 % on, else 3; unnamed directions cost one note."""
-    g = df.groupBy(key).agg(F.avg((F.size("fail") > 0).cast("int")).alias("part"), F.bool_and(directions_named).alias("sens_connus"))
-    note = F.when(F.col("part") >= 0.3, 1).when(F.col("part") >= 0.1, 2).otherwise(3)
-    return g.select(key, "part", F.greatest(F.lit(1), note - F.when(F.col("sens_connus"), 0).otherwise(1)).alias("qualite"))
+#: The remarks of the two notes, by note.
+BROKEN_NOTES = {
+    1: "plus de 30% de valeur de longueur ou de vitesse aberrantes ou a 0, ou d'adviceCode speciaux",
+    2: "entre 10% et 30% de valeur de longueur ou de vitesse aberrantes ou a 0, ou d'adviceCode speciaux",
+    3: "moins de 10% de valeur de longueur ou de vitesse aberrantes ou a 0, ou d'adviceCode speciaux",
+}
+DIRECTION_NOTES = {1: "0 ou plus de 2 sens, peu importe le nom", 2: "1 ou 2 sens, certains ou tous non nommés", 3: "1 ou 2 sens nommé"}
+
+
+def vehicle_quality_note(df: DataFrame, key: str, direction: Column, direction_name: Column) -> DataFrame:
+    """Two notes of each file, the final one, and its remark.
+
+    Broken rows: 1 from 30 % on, 2 above 10 %, else 3.  Directions: 3 when there
+    are one or two and all are named, 2 when a name is missing, 1 for any other
+    number.  Final: 1 if either is 1, 2 if they differ, else the common one.
+    """
+    g = df.groupBy(key).agg(F.avg((F.size("fail") > 0).cast("int")).alias("part"), F.countDistinct(direction).alias("n"), F.count_if(direction.isNotNull() & direction_name.isNull()).alias("unnamed"))
+    broken = F.when(F.col("part") >= 0.3, 1).when(F.col("part") > 0.1, 2).otherwise(3)
+    sides = F.when(~F.col("n").isin(1, 2), 1).when(F.col("unnamed") > 0, 2).otherwise(3)
+    final = F.when((broken == 1) | (sides == 1), 1).when(broken != sides, 2).otherwise(broken)
+    text = lambda note, texts: F.element_at(F.array(*[F.lit(texts[k]) for k in (1, 2, 3)]), note)
+    return g.select(key, "part", final.alias("qualite"), F.concat_ws(" ; ", text(broken, BROKEN_NOTES), text(sides, DIRECTION_NOTES)).alias("commentaire"))
 
 
 def files_accounted(listed: DataFrame, used: DataFrame, key: str) -> DataFrame:

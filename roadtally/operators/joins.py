@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import normalise_label
+
 
 def id_mapping(df: DataFrame, mapping: DataFrame, col: str = "id_comptag") -> DataFrame:
     """Replaces a provider's id by ours where a mapping exists."""
@@ -112,8 +114,8 @@ def counter_quality(indicators: DataFrame, counts: DataFrame, qualities: DataFra
 
 def lane_monthly(sheet: DataFrame, lanes: DataFrame, months: Sequence[str]) -> DataFrame:
     """Sheet rows of a lane by its normalised name; exact copies of a row once."""
-    once = sheet.select("cle", *months).distinct()
-    return once.join(lanes, "cle")
+    key = normalise_label(F.col("cle")).alias("cle")
+    return sheet.select(key, *months).distinct().join(lanes.withColumn("cle", normalise_label(F.col("cle"))).distinct(), "cle")
 
 
 def indicator_series(counts: DataFrame, indicators: DataFrame, counter: str, wanted: Sequence[str], year: int) -> DataFrame:

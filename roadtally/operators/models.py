@@ -7,28 +7,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIMIT, DEGREE = 10_000.0, 4
+PARTS = (("bas", lambda x: x < LIMIT, DEGREE), ("haut", lambda x: x >= LIMIT, 1))
 
 
 def fit(df: DataFrame, raw: str, true: str) -> dict[str, list[float]]:
     """Two least-squares fits: degree 4 below ``LIMIT``, a line from it on.
 
     Each is the solution of the normal equations, whose sums Spark aggregates
-    in one pass; the driver gets nine sums a fit, whatever the number of rows.
+    in one pass over both; the driver gets the sums, whatever the number of rows.
     """
-    z = F.col(raw) / LIMIT
+    z, y = F.col(raw) / LIMIT, F.col(true)
+    sums = []
+    for name, part, degree in PARTS:
+        own = lambda v, p=part: F.sum(F.when(p(F.col(raw)), v))
+        sums += [own(F.pow(z, F.lit(float(k)))).alias(f"{name}_s{k}") for k in range(2 * degree + 1)]
+        sums += [own(F.pow(z, F.lit(float(k))) * y).alias(f"{name}_t{k}") for k in range(degree + 1)]
+    row = df.where(y.isNotNull()).agg(*sums).first()
     out = {}
-    for name, part, degree in (("bas", F.col(raw) < LIMIT, DEGREE), ("haut", F.col(raw) >= LIMIT, 1)):
-        powers = [F.sum(F.pow(z, F.lit(float(k)))).alias(f"s{k}") for k in range(2 * degree + 1)]
-        moments = [F.sum(F.pow(z, F.lit(float(k))) * F.col(true)).alias(f"t{k}") for k in range(degree + 1)]
-        row = df.where(part & F.col(true).isNotNull()).agg(*powers, *moments).first()
-        if not row["s0"]:
+    for name, _, degree in PARTS:
+        if not row[f"{name}_s0"]:
             out[name] = [0.0] * (degree + 1)
             continue
-        a = np.array([[row[f"s{i + j}"] for j in range(degree + 1)] for i in range(degree + 1)])
-        out[name] = np.linalg.lstsq(a, np.array([row[f"t{k}"] for k in range(degree + 1)]), rcond=None)[0].tolist()
+        a = np.array([[row[f"{name}_s{i + j}"] for j in range(degree + 1)] for i in range(degree + 1)])
+        out[name] = np.linalg.lstsq(a, np.array([row[f"{name}_t{k}"] for k in range(degree + 1)]), rcond=None)[0].tolist()
     return out
 
 
+def split(df: DataFrame, key: str, test: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(learning, test) rows by a hash of the key, so that reruns agree."""
+    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    return df.where(u >= test), df.where(u < test)
+
+
+def fit_quality(df: DataFrame, raw: str, true: str, predicted: str) -> DataFrame:
+    """Rows, root mean square error and coefficient of determination of each part of the calibration."""
+    part = F.when(F.col(raw) < LIMIT, "bas").otherwise("haut")
+    y, p = F.col(true), F.col(predicted)
+    g = df.where(y.isNotNull() & p.isNotNull()).groupBy(part.alias("partie"))
+    return g.agg(F.count("*").alias("n"), F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"), (1 - F.sum((y - p) * (y - p)) / F.nullif(F.regr_syy(y, y), F.lit(0.0))).alias("r2"))
+
+
 def _poly(z: Column, coefficients: list[float]) -> Column:
     out = F.lit(0.0)
     for c in reversed(coefficients):

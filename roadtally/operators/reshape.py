@@ -80,9 +80,9 @@ def periods_to_months(df: DataFrame, keys: Sequence[str], groups: Sequence[tuple
     return long.select(*keys, "rang", F.get(F.array(*[F.lit(x) for x in MONTHS]), F.month(days) - 1).alias("mois"), "tmja", "pc_pl")
 
 
-def year_long(df: DataFrame, zone: str) -> DataFrame:
-    """Values of a zone by year, years before 2010 under ``autr``: the latest of them counts."""
-    label = F.when(F.col("annee") < 1995, "autr").otherwise(F.col("annee").cast("string"))
+def year_long(df: DataFrame, zone: str, since: int = 2010) -> DataFrame:
+    """Values of a zone by year, years before ``since`` under ``autr``: the latest of them counts."""
+    label = F.when(F.col("annee") < since, "autr").otherwise(F.col("annee").cast("string"))
     return df.groupBy(zone, label.alias("periode")).agg(F.max_by("tmja", F.struct("annee", "id")).alias("tmja"))
 
 

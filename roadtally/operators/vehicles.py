@@ -158,7 +158,7 @@ def csv_indicators(p: DataFrame) -> DataFrame:
 def time_merge(p: DataFrame, id_col: str = "id_comptag") -> DataFrame:
     """Folds a partial first and last day together.
 
-    8 days with overlapping ends: vehicles before the last clock time go, and the
+    8 days with overlapping ends: vehicles up to the last clock time go, and the
     last day moves to the first date.  8 without: the first day moves to the last
     date.  More: both end days go.  Fewer: the first day moves to the last date.
     The ends of each counter are one aggregation, joined back.
@@ -169,6 +169,6 @@ def time_merge(p: DataFrame, id_col: str = "id_comptag") -> DataFrame:
     clock = lambda c: F.date_format(c, "HH:mm:ss.SSSSSS")
     move = lambda to, frm: (F.col("date_heure") + F.make_dt_interval(F.datediff(to, frm))).cast("timestamp_ntz")
     overlap = clock("b") >= clock("a")
-    gone = (F.col("n") > 8) & ((day == first) | (day == last)) | (F.col("n") == 8) & overlap & (day == first) & (clock("date_heure") < clock("b"))
+    gone = (F.col("n") > 8) & ((day == first) | (day == last)) | (F.col("n") == 8) & overlap & (day == first) & (clock("date_heure") <= clock("b"))
     new = F.when((F.col("n") == 8) & overlap & (day == last), move(first, last)).when((F.col("n") <= 8) & ~((F.col("n") == 8) & overlap) & (day == first), move(last, first)).otherwise(F.col("date_heure"))
     return j.where(~gone).withColumn("date_heure", new).drop("a", "b", "n")

@@ -257,10 +257,9 @@ def agg_station_per_counter(spark, d):
 
 @query("""
 SELECT id_comptag, n AS jours, round(CASE WHEN n > 8 THEN (s - a - z) / (n - 2) WHEN n >= 7 THEN s / (n - 1) ELSE s / n END, 6) AS moyenne FROM (
-  SELECT id_comptag, count(*) AS n, sum(v) AS s, arg_min(v, j) AS a, arg_max(v, j) AS z FROM (SELECT id_comptag, CAST(date_heure AS DATE) AS j, count(*) AS v FROM passages WHERE day(date_heure) <= 6 + CAST(substr(id_comptag, 2) AS INTEGER) % 4 GROUP BY ALL) GROUP BY 1)""")
+  SELECT id_comptag, count(*) AS n, sum(v) AS s, arg_min(v, j) AS a, arg_max(v, j) AS z FROM (SELECT id_comptag, CAST(date_heure AS DATE) AS j, count(*) AS v FROM campagnes GROUP BY ALL) GROUP BY 1)""")
 def agg_daily_mean_trim(spark, d):
-    p = S.passages(spark, d).where(F.dayofmonth("date_heure") <= 6 + F.substring("id_comptag", 2, 9).cast("int") % 4)
-    t = p.groupBy("id_comptag", F.to_date("date_heure").alias("j")).agg(F.count("*").alias("v"))
+    t = S.campagnes(spark, d).groupBy("id_comptag", F.to_date("date_heure").alias("j")).agg(F.count("*").alias("v"))
     return ho.daily_mean_trim(t, "id_comptag", "j", "v").withColumn("moyenne", F.round("moyenne", 6))
 
 

@@ -156,10 +156,10 @@ def bld_all_counts(spark, d):
     return bu.all_counts(c.where("id % 2 = 0"), c.where("id % 2 = 1")).select("id", "id_comptag")
 
 
-@query("SELECT id_comptag, annee, 'tmja' AS indicateur, tmja AS valeur FROM mensuel WHERE id_comptag IN (SELECT id_comptag FROM comptage WHERE id % 50 = 7) GROUP BY ALL")
+@query("SELECT id_comptag, annee, 'tmja' AS indicateur, tmja AS valeur FROM mensuel WHERE id_comptag IN (SELECT id_comptag FROM comptage WHERE annee = 1996 AND tmja > 300000) GROUP BY ALL")
 def bld_all_indicators(spark, d):
     m = S.mensuel(spark, d).select("id_comptag", "annee", F.lit("tmja").alias("indicateur"), F.col("tmja").alias("valeur"))
-    return bu.all_indicators(S.comptage(spark, d).where("id % 50 = 7"), m)
+    return bu.all_indicators(S.comptage(spark, d).where("annee = 1996 and tmja > 300000"), m)  # the counts of a delivery
 
 
 @query(f"""
@@ -207,9 +207,9 @@ def bld_low_quality(spark, d):
     return bu.low_quality(m.select("id_comptag", "annee", "note"), S.comptage(spark, d))
 
 
-@query("SELECT id_comptag, annee, mois, CASE WHEN (id_comptag, annee) IN (SELECT (id_comptag, annee) FROM comptage WHERE id % 400 < 40) THEN 'update' ELSE 'insert' END AS action FROM mensuel")
+@query("SELECT id_comptag, annee, mois, CASE WHEN (id_comptag, annee) IN (SELECT (id_comptag, annee) FROM comptage WHERE annee <= 1995) THEN 'update' ELSE 'insert' END AS action FROM mensuel")
 def bld_map_upsert(spark, d):
-    return bu.map_upsert(S.mensuel(spark, d).select("id_comptag", "annee", "mois"), S.comptage(spark, d).where("id % 400 < 40"))
+    return bu.map_upsert(S.mensuel(spark, d).select("id_comptag", "annee", "mois"), S.comptage(spark, d).where("annee <= 1995"))
 
 
 @query(f"""
@@ -232,18 +232,25 @@ def measured(spark, d):
     return c.withColumn("vrai", F.when(F.col("Length") < mo.LIMIT, 1 + 2 * z - z * z + 3 * F.pow(z, F.lit(3.0)) + F.pow(z, F.lit(4.0))).otherwise(4 * z + 2))
 
 
-@query()
+#: The true curve of ``measured``, which both fits must find again.
+_MEASURED = f"""
+SELECT event_id, len, CASE WHEN len < 10000 THEN 1 + 2 * z - z * z + 3 * pow(z, 3) + pow(z, 4) ELSE 4 * z + 2 END AS vrai, {_FAIL} AS fail
+FROM (SELECT *, len / 10000 AS z FROM (SELECT event_id, advice, speed, CASE WHEN event_id % 3 = 0 THEN len * 20 + 10000 ELSE len * 60 END AS len FROM ({_RAW})))"""
+
+
+@query("SELECT unnest(['bas', 'bas', 'bas', 'bas', 'bas', 'haut', 'haut']) AS partie, unnest([0, 1, 2, 3, 4, 0, 1]) AS degre, unnest([1.0, 2.0, -1.0, 3.0, 1.0, 2.0, 4.0]) AS coefficient")
 def ml_length_speed_fit(spark, d):
-    """Coefficients of both fits."""
-    m = mo.fit(measured(spark, d), "Length", "vrai")
-    rows = [(name, k, round(c, 4)) for name, cs in m.items() for k, c in enumerate(cs)]
+    """Coefficients of both fits, from the learning rows."""
+    m = mo.fit(mo.split(measured(spark, d), "event_id")[0], "Length", "vrai")
+    rows = [(name, k, round(c, 3) + 0.0) for name, cs in m.items() for k, c in enumerate(cs)]
     return spark.createDataFrame(rows, "partie string, degre int, coefficient double")
 
 
-@query()
+@query(f"SELECT event_id, round(vrai, 3) AS vrai, CASE WHEN NOT regexp_matches(fail, 'longueur|vitesse|value0') THEN round(vrai, 3) END AS longueur FROM ({_MEASURED})")
 def ml_length_speed_apply(spark, d):
     df = measured(spark, d)
-    return mo.apply(df, "Length", mo.fit(df, "Length", "vrai"), "longueur").select("event_id", "vrai", F.round("longueur", 3).alias("longueur"))
+    model = mo.fit(mo.split(df, "event_id")[0], "Length", "vrai")
+    return mo.apply(df, "Length", model, "longueur").select("event_id", F.round("vrai", 3).alias("vrai"), F.round("longueur", 3).alias("longueur"))
 
 
 @query("SELECT id_comptag, round(regr_slope(tmja, annee), 4) AS pente, round(regr_intercept(tmja, annee), 2) AS origine, count(*) AS n FROM annuel GROUP BY 1")

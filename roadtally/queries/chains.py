@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .. import standins as S
 from ..plans import chains, layouts
 from ..schemas import HOURS
-from .registry import query
+from . import aggregations  # noqa: F401  (its steps)
+from .registry import STEPS, query
 from .spatial import _NEAREST
 
 _ZEROS = " + ".join(f"CAST({h} = 0 AS INTEGER)" for h in HOURS)
@@ -28,24 +29,76 @@ def chain_hourly_report(spark, d):
     return chains.hourly_to_indicators(S.hw(spark, d), most_zeros=22)["rapport"]
 
 
-@query()
-def chain_vehicles_to_week(spark, d):
-    return chains.vehicles_to_week(S.passages(spark, d))["indicateurs"]
+def _after_checks(step: str) -> str:
+    """The SQL of a step over the rows that the checks leave."""
+    kept = "SELECT * FROM k3 WHERE id_comptag IN (SELECT id_comptag FROM k3 GROUP BY 1 HAVING count(DISTINCT jour) >= 7)"
+    return f"SELECT * FROM (WITH {_KEPT}, kept AS ({kept}) SELECT * FROM (WITH hw AS (SELECT * FROM kept) SELECT * FROM ({STEPS[step]})))"
 
 
-@query("""
-SELECT id_comptag, sens, jour, indicateur, CAST(sum(v) AS BIGINT) AS total FROM (
-  SELECT id_comptag, sens, CAST(date_heure AS DATE) AS jour, unnest(CASE WHEN type_veh = 'PL' THEN ['TV', 'PL'] ELSE ['TV'] END) AS indicateur, 1 AS v FROM passages) GROUP BY ALL""")
+def hourly(table: str, step: str) -> None:
+    """Registers one table of the hourly chain."""
+
+    def run(spark, d):
+        return chains.hourly_to_indicators(S.hw(spark, d), most_zeros=22)[table]
+
+    run.__name__ = f"chain_hourly_{table}"
+    query(_after_checks(step))(run)
+
+
+hourly("horaire", "agg_directions")
+hourly("annuel", "agg_tmja_from_hourly")
+hourly("mensuel", "agg_monthly_from_hourly")
+hourly("periode", "agg_period_from_hourly")
+
+#: Campaigns with enough days, their ends folded: as the chain's own passages.
+_FOLDED = """
+e AS (SELECT id_comptag, min(date_heure) AS a, max(date_heure) AS b, count(DISTINCT CAST(date_heure AS DATE)) AS n FROM campagnes GROUP BY 1),
+f AS (SELECT c.*, n, CAST(a AS DATE) AS ja, CAST(b AS DATE) AS jb, CAST(b AS TIME) AS tb, CAST(date_heure AS DATE) AS j, CAST(date_heure AS TIME) AS t
+      FROM campagnes c JOIN e USING (id_comptag) WHERE n > 8 OR n = 8 AND CAST(a AS TIME) <= CAST(b AS TIME)),
+folded AS (SELECT event_id, id_comptag, sens, CASE WHEN n = 8 AND j = jb THEN date_heure - to_days(jb - ja) ELSE date_heure END AS date_heure, type_veh, vitesse, nb_veh
+      FROM f WHERE NOT (n > 8 AND (j = ja OR j = jb) OR n = 8 AND j = ja AND t <= tb))"""
+
+
+def vehicles(table: str, step: str) -> None:
+    """Registers one table of the vehicle chain."""
+
+    def run(spark, d):
+        return chains.vehicles_to_week(S.campagnes(spark, d))[table]
+
+    run.__name__ = f"chain_vehicles_{table}"
+    query(f"SELECT * FROM (WITH {_FOLDED} SELECT * FROM (WITH passages AS (SELECT * FROM folded) SELECT * FROM ({STEPS[step]})))")(run)
+
+
+vehicles("semaine", "agg_average_week")
+vehicles("profil_horaire", "agg_hourly_profile")
+vehicles("periodes", "agg_peak_periods")
+vehicles("jours_charges", "agg_busiest_day")
+vehicles("indicateurs", "agg_fim_indicators")
+
+
+@query(f"""
+SELECT id_comptag, sens, jour, indicateur, {', '.join(f"CAST(count(*) FILTER (WHERE h = {k}) AS BIGINT) AS {c}" for k, c in enumerate(HOURS))} FROM (
+  SELECT id_comptag, sens, CAST(date_heure AS DATE) AS jour, hour(date_heure) AS h, unnest(CASE WHEN type_veh = 'PL' THEN ['TV', 'PL'] ELSE ['TV'] END) AS indicateur FROM passages) GROUP BY ALL""")
 def chain_individual_to_hourly(spark, d):
     h = chains.individual_to_hourly(S.passages(spark, d), ["id_comptag", "sens", "jour"])
-    return h.select("id_comptag", "sens", "jour", "indicateur", sum((F.col(c) for c in HOURS), F.lit(0)).alias("total")).where("total > 0")
+    return h.where(sum((F.col(c) for c in HOURS), F.lit(0)) > 0)  # days that only zero-filling made are left out
 
 
-@query(f"SELECT CASE WHEN n.gid IS NULL THEN 'loin' ELSE 'sur une section' END AS place, count(*) AS n FROM compteur c LEFT JOIN {_NEAREST} n USING (id_comptag) WHERE c.dep % 2 = 0 GROUP BY 1")
+@query(f"""
+WITH n AS (SELECT c.*, m.gid, m.distance FROM compteur c JOIN {_NEAREST} m USING (id_comptag)),
+p AS (SELECT *, CASE type_poste WHEN 'permanent' THEN 3 WHEN 'tournant' THEN 2 ELSE 1 END AS rang FROM n WHERE dep % 2 = 0),
+r AS (SELECT gid, arg_min(id_comptag, (-rang, CASE WHEN pr % 2 = 0 THEN -1 ELSE -2 END, -tmja, -pc_pl, id_comptag)) AS id_ref FROM p GROUP BY 1),
+t AS (SELECT gid, arg_min(id_comptag, (distance, id_comptag)) AS id_db FROM n WHERE dep % 2 = 1 GROUP BY 1),
+k AS (SELECT id_comptag AS id_db, type_poste AS type_db, CASE type_poste WHEN 'permanent' THEN 3 WHEN 'tournant' THEN 2 ELSE 1 END AS rang_db, pr AS pr_db FROM compteur)
+SELECT p.id_comptag, p.gid, r.id_ref, t.id_db, CASE
+  WHEN p.id_comptag <> r.id_ref THEN 'associe' WHEN t.id_db IS NULL THEN 'nouveau' WHEN p.pr % 3 = 0 AND type_poste = type_db THEN 'correspondance'
+  WHEN rang < rang_db THEN 'associe' WHEN rang > rang_db THEN 'nouveau, ancien associe' WHEN rang = 1 AND p.pr % 2 = 0 THEN 'associe' WHEN rang = 1 THEN 'nouveau, ancien associe'
+  WHEN p.pr <> pr_db THEN 'nouveau, ancien associe' ELSE 'nouveau' END AS classe
+FROM p JOIN r USING (gid) LEFT JOIN t USING (gid) LEFT JOIN k USING (id_db)
+UNION ALL SELECT id_comptag, NULL, NULL, NULL, 'loin' FROM compteur WHERE dep % 2 = 0 AND id_comptag NOT IN (SELECT id_comptag FROM p)""")
 def chain_place_new_points(spark, d):
     c = S.compteur(spark, d).withColumn("vacances", F.col("pr") % 2 == 0)
-    placed = chains.place_new_points(c.where("dep % 2 = 0"), c.where("dep % 2 = 1"), S.sections(spark, d), 30.0, F.col("pr") % 3 == 0, F.col("pr") == F.col("pr_db"), cell=100.0)
-    return placed.groupBy(F.when(F.col("classe") == "loin", "loin").otherwise("sur une section").alias("place")).agg(F.count("*").alias("n"))
+    return chains.place_new_points(c.where("dep % 2 = 0"), c.where("dep % 2 = 1"), S.sections(spark, d), 30.0, F.col("pr") % 3 == 0, F.col("pr") == F.col("pr_db"), cell=100.0)
 
 
 @query("SELECT dep || '-' || route || '-' || pr || '+' || abs AS id_comptag, route, pr, abs, tmja, pc_pl, 'TV' AS type_veh FROM compteur")

@@ -10,6 +10,7 @@ from ..schemas import HOURS
 from .registry import query
 
 _ZEROS = " + ".join(f"CAST({h} = 0 AS INTEGER)" for h in HOURS)
+_FEW_ZEROS = " + ".join(f"coalesce(CAST({h} = 0 AS INTEGER), 0)" for h in HOURS)
 _TOTAL = " + ".join(HOURS)
 
 
@@ -62,9 +63,9 @@ def q_missing_mention(spark, d):
     return q.flags_concordant(c, F.col("tmja").isNull(), F.col("obs").contains("Donnees Non Disponibles")).select("id")
 
 
-@query("SELECT annee, count(*) AS n FROM comptage WHERE annee <> 1900 AND NOT annee BETWEEN 1994 AND 1997 GROUP BY 1")
+@query("SELECT annee, count(*) AS n FROM comptage WHERE annee <> 1900 AND NOT (annee > 1993 AND annee <= 1997) GROUP BY 1")
 def q_year_range(spark, d):
-    return S.comptage(spark, d).where((F.col("annee") != 1900) & ~F.col("annee").between(1994, 1997)).groupBy("annee").agg(F.count("*").alias("n"))
+    return q.years_outside(S.comptage(spark, d), after=1993, last=1997)
 
 
 @query(f"""
@@ -76,10 +77,13 @@ def qc_invalid_days(spark, d):
 
 
 @query(f"""
-SELECT id_comptag, count(*) AS n FROM hw WHERE id_comptag NOT IN (
-  SELECT id_comptag FROM hw GROUP BY id_comptag, sens, indicateur HAVING avg(CAST({_ZEROS} > 22 AS INTEGER)) > 0.9) GROUP BY 1""")
+SELECT id_comptag, annee, count(*) AS n FROM hw WHERE (id_comptag, annee) NOT IN (
+  SELECT (id_comptag, annee) FROM (SELECT * REPLACE (CASE WHEN NOT (day(jour) % 16 < 15 AND annee % 3 = sens % 3) THEN {HOURS[5]} END AS {HOURS[5]}) FROM hw) GROUP BY id_comptag, annee, sens, indicateur
+  HAVING count(*) FILTER (WHERE {_FEW_ZEROS} > 22) > 0.97 * count(*) OR count(*) FILTER (WHERE {HOURS[5]} IS NULL) > 0.97 * count(*)) GROUP BY 1, 2""")
 def qc_invalid_sheet(spark, d):
-    return q.invalid_sheets(S.hw(spark, d), most_zeros=22, share=0.9).groupBy("id_comptag").agg(F.count("*").alias("n"))
+    lost = (F.dayofmonth("jour") % 16 < 15) & (F.col("annee") % 3 == F.col("sens") % 3)
+    sheets = S.hw(spark, d).withColumn(HOURS[5], F.when(~lost, F.col(HOURS[5])))
+    return q.invalid_sheets(sheets, most_zeros=22, share=0.97, key=("id_comptag", "annee")).groupBy("id_comptag", "annee").agg(F.count("*").alias("n"))
 
 
 @query("SELECT id_comptag, annee, count(*) AS n FROM horaire WHERE (id_comptag) IN (SELECT id_comptag FROM horaire GROUP BY 1 HAVING count(DISTINCT jour) >= 900) GROUP BY 1, 2")
@@ -88,11 +92,11 @@ def qc_min_days(spark, d):
 
 
 @query("""
-SELECT id_comptag, jours, CASE WHEN jours > 8 THEN true WHEN jours = 8 THEN strftime(a, '%H:%M:%S') <= strftime(b, '%H:%M:%S') ELSE false END AS suffisant
-FROM (SELECT id_comptag, count(DISTINCT CAST(date_heure AS DATE)) AS jours, min(date_heure) AS a, max(date_heure) AS b FROM passages WHERE day(date_heure) <= 6 + CAST(substr(id_comptag, 2) AS INTEGER) % 4 GROUP BY 1)""")
+SELECT id_comptag, jours, suffisant, CASE WHEN suffisant THEN NULL WHEN jours = 8 THEN jours - 2 WHEN jours = 7 THEN jours - 1 ELSE jours END AS jours_pleins, CASE WHEN NOT suffisant THEN 1 END AS qualite
+FROM (SELECT id_comptag, jours, CASE WHEN jours > 8 THEN true WHEN jours = 8 THEN strftime(a, '%H:%M:%S') <= strftime(b, '%H:%M:%S') ELSE false END AS suffisant
+      FROM (SELECT id_comptag, count(DISTINCT CAST(date_heure AS DATE)) AS jours, min(date_heure) AS a, max(date_heure) AS b FROM campagnes GROUP BY 1))""")
 def qc_enough_days(spark, d):
-    p = S.passages(spark, d).where(F.dayofmonth("date_heure") <= 6 + F.substring("id_comptag", 2, 9).cast("int") % 4)
-    return q.enough_days(p)
+    return q.enough_days(S.campagnes(spark, d))
 
 
 @query("""
@@ -103,18 +107,35 @@ def qc_two_directions_present(spark, d):
 
 
 @query(f"""
-SELECT id_comptag, count(*) AS jours, count(*) FILTER (WHERE t1 > 3 * t2 OR t2 > 3 * t1) AS ecarts, count(*) FILTER (WHERE t1 > 3 * t2 OR t2 > 3 * t1) > count(*) / 10 AS rejete
-FROM (SELECT id_comptag, jour, indicateur, sum(CASE WHEN sens = 1 THEN {_TOTAL} END) AS t1, sum(CASE WHEN sens = 2 THEN {_TOTAL} END) AS t2 FROM hw GROUP BY 1, 2, 3)
-WHERE t1 IS NOT NULL AND t2 IS NOT NULL GROUP BY 1""")
+WITH r AS (
+  SELECT id_comptag, jour, indicateur, CASE WHEN k % 4 = 1 THEN 1 ELSE sens END AS s, {_TOTAL} AS t, CASE WHEN k % 3 = 0 THEN 'sens unique' ELSE 'double sens' END AS circu
+  FROM (SELECT *, CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM hw)),
+p AS (
+  SELECT a.id_comptag, count(*) AS jours, count(*) FILTER (WHERE a.t > 3 * b.t OR b.t > 3 * a.t) AS ecarts
+  FROM (SELECT id_comptag, jour, indicateur, sum(t) AS t FROM r WHERE s = 1 GROUP BY ALL) a JOIN (SELECT id_comptag, jour, indicateur, sum(t) AS t FROM r WHERE s = 2 GROUP BY ALL) b USING (id_comptag, jour, indicateur) GROUP BY 1),
+c AS (SELECT id_comptag, count(DISTINCT s) AS n, any_value(circu) AS circu FROM r GROUP BY 1)
+SELECT id_comptag, coalesce(jours, 0) AS jours, coalesce(ecarts, 0) AS ecarts, etat, etat <> 'ok' AS rejete
+FROM (SELECT *, CASE WHEN n = 2 AND circu = 'double sens' AND ecarts > jours / 10 THEN 'asymetrique' WHEN n = 2 AND circu = 'double sens' THEN 'ok' WHEN n = 2 THEN 'sens unique a deux sens'
+             WHEN n = 1 AND circu = 'sens unique' THEN 'ok' WHEN n = 1 THEN 'double sens a un seul sens' ELSE 'cas non prevu' END AS etat FROM c LEFT JOIN p USING (id_comptag))""")
 def qc_direction_asymmetry(spark, d):
-    return q.direction_asymmetry(S.hw(spark, d))
+    n = F.substring("id_comptag", 2, 9).cast("int")
+    counters = S.hw(spark, d).withColumn("sens", F.when(n % 4 == 1, 1).otherwise(F.col("sens")))
+    return q.direction_asymmetry(counters, declared=F.when(n % 3 == 0, q.ONE_WAY).otherwise(q.TWO_WAY))
 
 
 @query("""
-SELECT id_comptag, annee, mois, sens, indicateur, CASE WHEN count(*) FILTER (WHERE v IS NULL) OVER (PARTITION BY id_comptag, annee, indicateur, mois) > 0 THEN -99 ELSE v END AS valeur
-FROM (SELECT id_comptag, annee, month(jour) AS mois, sens, indicateur, CASE WHEN sum(valeur) > 100 THEN sum(valeur) END AS v FROM horaire GROUP BY ALL)""")
+WITH m AS (
+  SELECT id_comptag, annee, mois, sens, indicateur, CASE WHEN sum(valeur) > 100 THEN sum(valeur) END AS v
+  FROM (SELECT * REPLACE (CASE WHEN k % 5 = 1 OR k % 5 = 2 AND indicateur = 'PL' THEN 1 ELSE sens END AS sens), month(jour) AS mois FROM (SELECT *, CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM horaire)) GROUP BY ALL),
+lines AS (SELECT id_comptag, annee, count(*) AS n FROM (SELECT DISTINCT id_comptag, annee, sens, indicateur FROM m) GROUP BY ALL)
+SELECT a.id_comptag, a.annee, a.mois, a.sens, a.indicateur, CASE n WHEN 4 THEN 'deux sens' WHEN 3 THEN 'non prevu' ELSE 'un sens' END AS cas,
+       CASE WHEN n = 4 AND (a.v IS NULL OR b.v IS NULL) THEN -99 WHEN n <= 2 AND a.v IS NULL THEN -99 ELSE a.v END AS valeur
+FROM m a JOIN lines l ON l.id_comptag = a.id_comptag AND l.annee = a.annee
+LEFT JOIN m b ON b.id_comptag = a.id_comptag AND b.annee = a.annee AND b.mois = a.mois AND b.indicateur = a.indicateur AND b.sens = 3 - a.sens""")
 def qc_monthly_pairs(spark, d):
-    m = S.horaire(spark, d).groupBy("id_comptag", "annee", F.month("jour").alias("mois"), "sens", "indicateur").agg(F.sum("valeur").alias("v"))
+    n = F.substring("id_comptag", 2, 9).cast("int")
+    h = S.horaire(spark, d).withColumn("sens", F.when((n % 5 == 1) | ((n % 5 == 2) & (F.col("indicateur") == "PL")), 1).otherwise(F.col("sens")))
+    m = h.groupBy("id_comptag", "annee", F.month("jour").alias("mois"), "sens", "indicateur").agg(F.sum("valeur").alias("v"))
     return q.monthly_pairs(m.withColumn("valeur", F.when(F.col("v") > 100, F.col("v"))).drop("v"))
 
 
@@ -156,10 +177,23 @@ def qc_vehicle_outliers(spark, d):
 
 
 @query(f"""
-SELECT file, round(part, 9) AS part, greatest(1, CASE WHEN part >= 0.3 THEN 1 WHEN part >= 0.1 THEN 2 ELSE 3 END - CASE WHEN file % 3 = 0 THEN 1 ELSE 0 END) AS qualite
-FROM (SELECT file, avg(CAST({_FAIL} <> '' AS INTEGER)) AS part FROM ({_RAW}) GROUP BY 1)""")
+WITH t(note, casse, sens) AS (VALUES
+  (1, 'plus de 30% de valeur de longueur ou de vitesse aberrantes ou a 0, ou d''adviceCode speciaux', '0 ou plus de 2 sens, peu importe le nom'),
+  (2, 'entre 10% et 30% de valeur de longueur ou de vitesse aberrantes ou a 0, ou d''adviceCode speciaux', '1 ou 2 sens, certains ou tous non nommés'),
+  (3, 'moins de 10% de valeur de longueur ou de vitesse aberrantes ou a 0, ou d''adviceCode speciaux', '1 ou 2 sens nommé')),
+v AS (SELECT *, {_FAIL} AS fail FROM ({_RAW})),
+f AS (SELECT file, count(*) FILTER (WHERE fail <> '' AND (event_id % 3 = 0 OR file % 2 = 0)) AS bad, count(*) AS n FROM v GROUP BY 1),
+s AS (SELECT DISTINCT file, event_id % (file % 4) AS sens FROM v WHERE file % 4 > 0),
+c AS (SELECT file, count(*) AS n_sens, count(*) FILTER (WHERE file % 3 = 0 AND sens = 0) AS sans_nom FROM s GROUP BY 1),
+x AS (SELECT f.file, bad / n AS part, CASE WHEN bad / n >= 0.3 THEN 1 WHEN bad / n > 0.1 THEN 2 ELSE 3 END AS a, CASE WHEN coalesce(n_sens, 0) NOT IN (1, 2) THEN 1 WHEN sans_nom > 0 THEN 2 ELSE 3 END AS b FROM f LEFT JOIN c USING (file))
+SELECT file, round(part, 9) AS part, CASE WHEN a = 1 OR b = 1 THEN 1 WHEN a <> b THEN 2 ELSE a END AS qualite, ta.casse || ' ; ' || tb.sens AS commentaire
+FROM x JOIN t ta ON ta.note = a JOIN t tb ON tb.note = b""")
 def qc_vehicle_quality_note(spark, d):
-    r = q.vehicle_quality_note(q.vehicle_outliers(calibrated(spark, d)), "file", F.col("file") % 3 != 0)
+    # files of no, one, two or three directions; a third of them leaves one unnamed
+    v = q.vehicle_outliers(calibrated(spark, d))
+    v = v.withColumn("fail", F.when((F.col("event_id") % 3 == 0) | (F.col("file") % 2 == 0), F.col("fail")).otherwise(F.array().cast("array<string>")))
+    sens = F.when(F.col("file") % 4 > 0, F.col("event_id") % F.nullif(F.col("file") % 4, F.lit(0)))
+    r = q.vehicle_quality_note(v.withColumn("sens", sens), "file", F.col("sens"), F.when(~((F.col("file") % 3 == 0) & (F.col("sens") == 0)), F.lit("voie")))
     return r.withColumn("part", F.round("part", 9))
 
 

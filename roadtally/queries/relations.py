@@ -158,7 +158,7 @@ def join_counter_quality(spark, d):
 
 @query("SELECT DISTINCT 'pont' || (id % 25) AS cle, tmja % 7 AS janv, 'L' || (id % 25) AS voie FROM comptage WHERE id % 25 IN (SELECT dep FROM compteur)")
 def join_lane_monthly(spark, d):
-    sheet = S.comptage(spark, d).select(F.concat(F.lit("pont"), (F.col("id") % 25).cast("string")).alias("cle"), (F.col("tmja") % 7).alias("janv"))
+    sheet = S.comptage(spark, d).select(F.concat(F.lit(" PONT"), (F.col("id") % 25).cast("string")).alias("cle"), (F.col("tmja") % 7).alias("janv"))
     lanes = S.compteur(spark, d).select(F.concat(F.lit("pont"), F.col("dep").cast("string")).alias("cle"), F.concat(F.lit("L"), F.col("dep").cast("string")).alias("voie")).distinct()
     return jo.lane_monthly(sheet, lanes, ["janv"])
 
@@ -226,14 +226,12 @@ def win_drop_duplicates(spark, d):
 @query("""
 SELECT event_id, CASE WHEN n = 8 AND tb >= ta AND j = jb THEN date_heure - to_days(jb - ja) WHEN n <= 8 AND NOT (n = 8 AND tb >= ta) AND j = ja THEN date_heure + to_days(jb - ja) ELSE date_heure END AS date_heure
 FROM (SELECT event_id, date_heure, CAST(date_heure AS DATE) AS j, CAST(date_heure AS TIME) AS t, CAST(a AS DATE) AS ja, CAST(b AS DATE) AS jb, CAST(a AS TIME) AS ta, CAST(b AS TIME) AS tb, n
-      FROM passages JOIN (SELECT id_comptag, min(date_heure) AS a, max(date_heure) AS b, count(DISTINCT CAST(date_heure AS DATE)) AS n FROM passages WHERE day(date_heure) <= 6 + CAST(substr(id_comptag, 2) AS INTEGER) % 4 GROUP BY 1) USING (id_comptag)
-      WHERE day(date_heure) <= 6 + CAST(substr(id_comptag, 2) AS INTEGER) % 4)
-WHERE NOT ((n > 8 AND (j = ja OR j = jb)) OR (n = 8 AND tb >= ta AND j = ja AND t < tb))""")
+      FROM campagnes JOIN (SELECT id_comptag, min(date_heure) AS a, max(date_heure) AS b, count(DISTINCT CAST(date_heure AS DATE)) AS n FROM campagnes GROUP BY 1) USING (id_comptag))
+WHERE NOT ((n > 8 AND (j = ja OR j = jb)) OR (n = 8 AND tb >= ta AND j = ja AND t <= tb))""")
 def win_time_merge(spark, d):
     from ..operators.vehicles import time_merge
 
-    p = S.passages(spark, d).where(F.dayofmonth("date_heure") <= 6 + F.substring("id_comptag", 2, 9).cast("int") % 4)
-    return time_merge(p).select("event_id", "date_heure")
+    return time_merge(S.campagnes(spark, d)).select("event_id", "date_heure")
 
 
 @query("SELECT id_comptag, jour, indicateur FROM hw ORDER BY id_comptag, jour, indicateur")
@@ -330,7 +328,7 @@ def rs_periods_to_months(spark, d):
 
 @query("SELECT src AS zone, CASE WHEN annee < 1995 THEN 'autr' ELSE CAST(annee AS VARCHAR) END AS periode, arg_max(tmja, annee * 100000000 + id) AS tmja FROM comptage GROUP BY ALL")
 def rs_year_pivot(spark, d):
-    return rs.year_long(S.comptage(spark, d).withColumnRenamed("src", "zone"), "zone")
+    return rs.year_long(S.comptage(spark, d).withColumnRenamed("src", "zone"), "zone", since=1995)
 
 
 @query("""

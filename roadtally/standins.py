@@ -1,6 +1,7 @@
 """Domain views over the given tables: in Spark, and the same in SQL for the oracle.
 
 passages   individual vehicles          from events
+campagnes  the same, by campaign        from events
 horaire    hourly counts, long          from lineitem
 hw         the same, 24 columns         from horaire
 compteur   counters with a position     from supplier
@@ -37,6 +38,14 @@ def passages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def campagnes(spark: SparkSession, d: str) -> DataFrame:
+    """All passages, as campaigns of each counter of 7, 8 and 15 days; those of odd counters start and end at noon, a day more."""
+    p, n = passages(spark, d), F.substring("id_comptag", 2, 9).cast("int")
+    which = F.when(F.dayofmonth("date_heure") <= 7, 1).when(F.dayofmonth("date_heure") <= 15, 2).otherwise(3)
+    later = (F.col("date_heure") + F.make_dt_interval(F.lit(0), 12 * (n % 2))).cast("timestamp_ntz")
+    return p.withColumns({"id_comptag": F.concat("id_comptag", F.lit("-"), which.cast("string")), "date_heure": later})
+
+
 def _hours(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the hourly deliveries, not added up yet."""
     return table(spark, d, "lineitem").select(
@@ -104,6 +113,10 @@ passages AS (
          CASE WHEN event_type IN ('click', 'view') THEN 'VL' WHEN event_type IN ('purchase', 'error') THEN 'PL' ELSE '2R' END AS type_veh,
          value AS vitesse, 1 AS nb_veh
   FROM events),
+campagnes AS (
+  SELECT event_id, id_comptag || '-' || CASE WHEN day(date_heure) <= 7 THEN 1 WHEN day(date_heure) <= 15 THEN 2 ELSE 3 END AS id_comptag, sens,
+         date_heure + to_hours(12 * (CAST(substr(id_comptag, 2) AS INTEGER) % 2)) AS date_heure, type_veh, vitesse, nb_veh
+  FROM passages),
 horaire AS (
   SELECT 'C' || (l_suppkey % 20) AS id_comptag, year(l_shipdate) AS annee, CAST(l_shipdate AS DATE) AS jour, l_orderkey % 24 AS heure,
          CASE WHEN l_returnflag = 'R' THEN 'PL' ELSE 'VL' END AS indicateur, 1 + l_linenumber % 2 AS sens, sum(l_quantity) AS valeur

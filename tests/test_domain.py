@@ -157,3 +157,96 @@ def test_calibration_finds_the_curve(spark):
     df = df.withColumn("true", F.when(F.col("raw") < mo.LIMIT, 1 + 2 * F.col("z") + F.pow("z", F.lit(4.0))).otherwise(3 * F.col("z")))
     m = mo.fit(df, "raw", "true")
     assert [round(c, 6) for c in m["bas"]] == [1, 2, 0, 0, 1] and [round(c, 6) for c in m["haut"]] == [0, 3]
+
+
+@pytest.mark.parametrize(
+    "broken, directions, named, note",
+    [(0, 1, True, 3), (1, 2, True, 3), (2, 2, True, 2), (3, 2, True, 1), (0, 2, False, 2), (2, 1, False, 2), (3, 1, False, 1), (0, 3, True, 1), (0, 0, True, 1)],
+)
+def test_quality_note(spark, broken, directions, named, note):
+    """Ten rows: 10 % broken is still good, 20 % is middling, 30 % is bad; no direction or three are bad whatever the names."""
+    rows = [("f", ["longueur"] if k < broken else [], k % directions if directions else None, "voie" if named or not directions or k % directions else None) for k in range(10)]
+    df = spark.createDataFrame(rows, "file string, fail array<string>, sens int, voie string")
+    got = ck.vehicle_quality_note(df, "file", F.col("sens"), F.col("voie")).first()
+    assert got["qualite"] == note and got["commentaire"].count(" ; ") == 1 and got["commentaire"].split(" ; ")[1].startswith("1 ou 2" if directions in (1, 2) else "0 ou plus")
+
+
+def sheets(spark, bad):
+    """Ten days of one sheet; ``bad`` says what each day is: a null hour, or hours at zero."""
+    rows = [("C1", 1, "TV", k, *[None if bad[k] == "null" and h == 3 else 0.0 if bad[k] == "zero" and h < 9 else 5.0 for h in range(24)]) for k in range(10)]
+    return spark.createDataFrame(rows, "id_comptag string, sens int, indicateur string, jour int, " + ", ".join(f"{h} double" for h in HOURS))
+
+
+@pytest.mark.parametrize("nulls, zeros, kept", [(3, 3, 10), (5, 5, 10), (6, 0, 0), (0, 6, 0)])
+def test_sheets_count_nulls_and_zeros_apart(spark, nulls, zeros, kept):
+    bad = ["null"] * nulls + ["zero"] * zeros + ["good"] * (10 - nulls - zeros)
+    assert ck.invalid_sheets(sheets(spark, bad)).count() == kept
+
+
+def hours(*totals):
+    return tuple([float(totals[0])] + [0.0] * 23)
+
+
+@pytest.mark.parametrize(
+    "declared, sens, ratio, state, rejected",
+    [("double sens", (1, 2), 2, "ok", False), ("double sens", (1, 2), 4, "asymetrique", True), ("sens unique", (1, 2), 2, "sens unique a deux sens", True), ("sens unique", (1,), 2, "ok", False), ("double sens", (1,), 2, "double sens a un seul sens", True), ("double sens", (1, 2, 3), 2, "cas non prevu", True)],
+)
+def test_declared_directions(spark, declared, sens, ratio, state, rejected):
+    rows = [("C1", d, "TV", s, declared, *hours(10 if s == 1 else 10 * ratio)) for d in range(10) for s in sens]
+    df = spark.createDataFrame(rows, "id_comptag string, jour int, indicateur string, sens int, circu string, " + ", ".join(f"{h} double" for h in HOURS))
+    got = ck.direction_asymmetry(df, declared=F.col("circu")).first()
+    assert (got["etat"], got["rejete"]) == (state, rejected)
+
+
+def test_one_day_in_ten_may_be_asymmetric(spark):
+    rows = [("C1", d, "TV", s, *hours(10 if s == 1 else 40 if d < 1 else 10)) for d in range(10) for s in (1, 2)]
+    df = spark.createDataFrame(rows, "id_comptag string, jour int, indicateur string, sens int, " + ", ".join(f"{h} double" for h in HOURS))
+    assert ck.direction_asymmetry(df).first()["etat"] == "ok"
+
+
+def test_monthly_rows_by_their_number(spark):
+    """Four rows: both directions lose the month; two: the missing one is marked; three: left alone."""
+    both = [("C4", 2020, s, i, m, None if (s, i, m) == (1, "tmja", 1) else 5.0) for s in (1, 2) for i in ("tmja", "pc_pl") for m in (1, 2)]
+    two = [("C2", 2020, 1, i, m, None if (i, m) == ("tmja", 1) else 5.0) for i in ("tmja", "pc_pl") for m in (1, 2)]
+    three = [("C3", 2020, s, i, 1, None if i == "tmja" else 5.0) for s, i in ((1, "tmja"), (1, "pc_pl"), (2, "tmja"))]
+    df = spark.createDataFrame(both + two + three, "id_comptag string, annee int, sens int, indicateur string, mois int, valeur double")
+    got = {(r["id_comptag"], r["sens"], r["indicateur"], r["mois"]): (r["valeur"], r["cas"]) for r in ck.monthly_pairs(df).collect()}
+    assert [k for k, v in got.items() if v[0] == -99 and k[0] == "C4"].__len__() == 2 and got["C4", 2, "tmja", 1] == (-99, "deux sens") and got["C4", 2, "tmja", 2][0] == 5
+    assert got["C2", 1, "tmja", 1] == (-99, "un sens") and got["C2", 1, "pc_pl", 1][0] == 5
+    assert got["C3", 1, "tmja", 1] == (None, "non prevu") and got["C3", 1, "pc_pl", 1] == (5, "non prevu")
+
+
+def test_years(spark):
+    df = spark.createDataFrame([(y,) for y in (1900, 1999, 2000, 2001, 2020, 2999)], "annee int")
+    assert sorted(r[0] for r in ck.years_outside(df).collect()) == [1999, 2000, 2999]
+
+
+def test_fold_drops_up_to_the_last_clock_time(spark):
+    """Eight days: on the first one, a vehicle at exactly the last clock time goes, one a second later stays."""
+    day = dt.datetime(2021, 3, 1)
+    at = [day + dt.timedelta(hours=8), day + dt.timedelta(hours=10), day + dt.timedelta(hours=10, seconds=1), *[day + dt.timedelta(days=k, hours=9) for k in range(1, 7)], day + dt.timedelta(days=7, hours=10)]
+    df = spark.createDataFrame([("C1", t) for t in at], "id_comptag string, date_heure timestamp_ntz")
+    assert sorted(r["date_heure"] for r in ve.time_merge(df).collect()) == [day + dt.timedelta(hours=10), day + dt.timedelta(hours=10, seconds=1), *at[3:9]]
+
+
+@pytest.mark.parametrize("days, enough, full", [(9, True, None), (8, True, None), (7, False, 6), (5, False, 5)])
+def test_full_days(spark, days, enough, full):
+    df = spark.createDataFrame([("C1", dt.datetime(2021, 3, 1 + k, 8)) for k in range(days)], "id_comptag string, date_heure timestamp_ntz")
+    got = ck.enough_days(df).first()
+    assert (got["suffisant"], got["jours_pleins"], got["qualite"]) == (enough, full, None if enough else 1)
+
+
+def test_lane_names_are_normalised(spark):
+    from roadtally.operators import joins as jo
+
+    sheet = spark.createDataFrame([("Voie Été-1", 5), ("Voie Été-1", 5)], "cle string, janv int")
+    lanes = spark.createDataFrame([("voieete1", "L1")], "cle string, voie string")
+    assert [tuple(r) for r in jo.lane_monthly(sheet, lanes, ["janv"]).collect()] == [("voieete1", 5, "L1")]
+
+
+def test_calibration_is_measured_on_other_rows(spark):
+    df = spark.range(2000).select(F.col("id"), (F.col("id") * 10.0).alias("raw")).withColumn("true", F.col("raw") / 5000 + 1).withColumn("fail", F.array().cast("array<string>"))
+    learning, test = mo.split(df, "id")
+    assert learning.count() + test.count() == 2000 and 300 < test.count() < 500
+    got = {r["partie"]: r for r in mo.fit_quality(mo.apply(test, "raw", mo.fit(learning, "raw", "true"), "p"), "raw", "true", "p").collect()}
+    assert all(got[k]["rmse"] < 1e-6 and got[k]["r2"] > 0.999999 for k in ("bas", "haut"))
