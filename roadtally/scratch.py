@@ -9,16 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset, a temporary folder."""
+    """``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a session on one machine gets a temporary folder; on a
+    cluster no folder of one machine would do, so that is an error.
+    """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, below one folder for each application."""
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
