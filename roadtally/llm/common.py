@@ -7,12 +7,12 @@ are the maximal runs of anything else.  A null text counts as empty.
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..scratch import fresh_path, materialise, shared_dir  # noqa: F401
+
 SPACES = " \t\n\x0b\x0c\r"
 #: Finds a character outside the range in which Python's ``re`` and the tokenizers' patterns agree on
 #: letters, digits and white space, NFC changes nothing, and lower case is one character for another.
@@ -22,36 +22,6 @@ LETTERS = "".join(chr(c) for c in range(0x180) if chr(c).isalpha())
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session has none (tests on one machine) a temporary folder
-    is set as the checkpoint folder.
-    """
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, below one folder for each application."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    Cuts the lineage and keeps a result that several later jobs read; the
-    files outlive the executor that wrote them.
-    """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
