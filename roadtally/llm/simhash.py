@@ -29,7 +29,7 @@ table gives an empty result; other columns are never looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,27 +42,42 @@ from .components import components
 
 DISTANCE, SHINGLE, SEED = 2, 3, 42
 LEAF, FAN, HOT, SLICE = 32, 16, 200_000, 100_000
+#: Bytes of text whose words are held at once.
+PORTION = 1 << 20
 #: First bit of each third, from the top; a rotation to the left by it puts that third on top.
 ROTATIONS, TOP = (0, 22, 43), (22, 21, 21)
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, of some ``PORTION`` bytes of it at a time; nothing for a text of no word."""
+    data = (text or "").encode().lower()
+    digest, held, at, some = xxhash.xxh64_intdigest, [], 0, False
+    while at < len(data):
+        end = at + PORTION
+        while end < len(data) and data[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        words = held + data[at:end].split()
+        at, held = end, words[max(0, len(words) - shingle + 1) :]
+        if len(words) >= shingle:
+            some = True
+            yield np.array([digest(b" ".join(s), SEED) for s in zip(*(words[k:] for k in range(shingle)))], "<u8")
+    if held and not some:
+        yield np.array([digest(b" ".join(held), SEED)], "<u8")
+
+
 def fingerprint(text: str | None) -> int:
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= SHINGLE:
-        return digest(b" ".join(words), SEED)
-    return majority(np.array([digest(b" ".join(s), SEED) for s in zip(words, words[1:], words[2:])], "<u8"))
+    return majority(shingle_hashes(text, SHINGLE))
 
 
-def majority(hashes: np.ndarray) -> int:
+def majority(portions: Iterable[np.ndarray]) -> int:
     """The bits that more than half of the hashes have."""
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65536):
-        ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in portions:
+        n += len(hashes)
+        for at in range(0, len(hashes), 65536):
+            ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fp") -> DataFrame:
