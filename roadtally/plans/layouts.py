@@ -6,17 +6,26 @@ common columns, whatever the provider.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
+from ..operators import hourly as ho
+from ..operators import reshape as rs
+from ..operators import yearly as ye
+from ..schemas import MONTHS
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Columns of a delivery: ``names`` maps the provider's to ours; ``marker`` holds ``pr+abs`` text, ``metres`` a distance from the start."""
+    """Columns of a delivery.
+
+    ``names`` maps the provider's to ours; ``marker`` holds ``pr+abs`` text, ``metres`` a distance
+    from the start; ``start`` and ``end``, or ``year`` and ISO ``week``, give the period.
+    """
 
     names: dict[str, str]
     dep: int | None = None
@@ -25,6 +34,8 @@ class Layout:
     share_is_ratio: bool = False
     start: str | None = None
     end: str | None = None
+    year: str | None = None
+    week: str | None = None
     keep_summer: bool = True
     constants: dict[str, object] = field(default_factory=dict)
 
@@ -42,16 +53,74 @@ def shape_table(df: DataFrame, layout: Layout) -> DataFrame:
         out = out.withColumn("id_comptag", fn.id_comptag(dep, F.col("route"), F.col("pr"), F.col("abs")))
     if layout.share_is_ratio:
         out = out.withColumn("pc_pl", fn.ratio_to_percent(F.col("pc_pl")))
-    if layout.start and layout.end:
+    start, end = layout.start, layout.end
+    if layout.year and layout.week:
+        out = out.withColumn("__w", fn.iso_week(F.col(layout.year), F.col(layout.week)))
+        start, end = "__w.debut", "__w.fin"
+    if start and end:
         if not layout.keep_summer:
-            out = out.where(fn.outside_summer(F.col(layout.start), F.col(layout.end)))
-        out = out.withColumn("periode", fn.period_text(F.col(layout.start), F.col(layout.end)))
+            out = out.where(fn.outside_summer(F.col(start), F.col(end)))
+        out = out.withColumn("periode", fn.period_text(F.col(start), F.col(end)))
     out = out.withColumns({k: F.lit(v) for k, v in layout.constants.items()})
     wanted = ["id_comptag", "route", "pr", "abs", "tmja", "pc_pl", "periode", *layout.constants]
     return out.select(*[c for c in wanted if c in out.columns])
 
 
+@dataclass(frozen=True)
+class Monthly:
+    """How a delivery spreads values over its columns.
+
+    ``quarters``: t1 to t4; ``periods``: groups of (period, tmja, pc_pl); ``indicators``: columns
+    such as ``janv_tmja``; ``vl_pl``: those are light and heavy vehicles.
+    """
+
+    quarters: bool = False
+    periods: tuple[tuple[str, str, str], ...] = ()
+    indicators: tuple[str, ...] = ()
+    vl_pl: bool = False
+
+
+def monthly_table(df: DataFrame, layout: Monthly, keys: Sequence[str]) -> DataFrame:
+    """The keys, mois, indicateur, valeur; values that are missing have no row."""
+    if layout.quarters:
+        return rs.quarter_to_months(df, keys).select(*keys, "mois", F.lit("tmja").alias("indicateur"), F.col("valeur").cast("double").alias("valeur"))
+    if layout.periods:
+        wide = rs.periods_to_months(df, keys, layout.periods)
+    else:
+        long = rs.month_prefix(df, keys, [f"{m}_{i}" for m in MONTHS for i in layout.indicators])
+        if not layout.vl_pl:
+            return long.withColumn("valeur", F.col("valeur").cast("double"))
+        one = lambda i: F.sum(F.when(F.col("indicateur") == i, F.col("valeur"))).alias(i)
+        wide = ye.vl_pl_to_share(long.groupBy(*keys, "mois").agg(one("vl"), one("pl"))).withColumnRenamed("tv", "tmja")
+    wide = wide.withColumns({c: F.col(c).cast("double") for c in ("tmja", "pc_pl")})
+    return wide.unpivot([*keys, "mois"], ["tmja", "pc_pl"], "indicateur", "valeur").where("valeur is not null")
+
+
+def day_blocks(sheets: DataFrame, start: int, step: int) -> DataFrame:
+    """Sheets of a direction each, in blocks of a day: total, heavy total and share of each counter-day.
+
+    ``sheets``: id_comptag, jour0 (the first block's day), file, line, col, value.
+    """
+    blocks = rs.daily_blocks(sheets, start, step)
+    of = sheets.select("file", "id_comptag", "jour0").distinct()
+    days = blocks.join(of, "file").withColumn("jour", F.date_add("jour0", F.col("bloc")))
+    kinds = F.explode(F.array(F.struct(F.lit("VL").alias("type_veh"), (F.col("tv") - F.col("pl")).alias("v")), F.struct(F.lit("PL").alias("type_veh"), F.col("pl").alias("v"))))
+    long = days.select("id_comptag", "jour", "heure", F.col("file").alias("fichier"), kinds.alias("k")).select("id_comptag", "jour", "heure", "fichier", "k.type_veh", F.col("k.v").alias("valeur"))
+    wide = rs.hour_pivot(long, ["id_comptag", "jour", "fichier"])
+    # both directions, each in a file of its own; TV holds all vehicles already
+    total = ho.two_files_sum(wide.where("indicateur = 'TV'"), ("id_comptag", "jour")).select("id_comptag", "jour", "tv", "fichiers")
+    heavy = ho.two_files_sum(wide.where("indicateur = 'PL'"), ("id_comptag", "jour")).select("id_comptag", "jour", "pl")
+    return total.join(heavy, ["id_comptag", "jour"]).withColumn("pc_pl", F.round(F.try_divide(F.col("pl"), F.col("tv")) * 100, 2))
+
+
 #: One layout for each shape of annual delivery.
 ANNUAL_BY_MARKER = Layout({"axe": "route", "trafic": "tmja", "part_pl": "pc_pl"}, marker="localisation", constants={"type_veh": "TV"})
 ANNUAL_BY_METRES = Layout({"axe": "route", "trafic": "tmja", "part_pl": "pc_pl"}, metres="distance", share_is_ratio=True)
 ONE_OFF_COUNTS = Layout({"axe": "route", "trafic": "tmja", "part_pl": "pc_pl"}, marker="localisation", start="debut", end="fin", keep_summer=False, constants={"type_poste": "ponctuel"})
+BY_ISO_WEEK = Layout({"axe": "route", "trafic": "tmja", "part_pl": "pc_pl"}, marker="localisation", year="annee", week="semaine", constants={"type_poste": "tournant"})
+
+#: And one for each way of giving months.
+QUARTERS = Monthly(quarters=True)
+FOUR_PERIODS = Monthly(periods=tuple((f"periode_{k}", f"tmja_{k}", f"pc_pl_{k}") for k in range(1, 5)))
+TWELVE_MONTHS = Monthly(indicators=("tmja", "pc_pl"))
+LIGHT_AND_HEAVY_MONTHS = Monthly(indicators=("vl", "pl"), vl_pl=True)

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from .. import standins as S
 from ..plans import chains, layouts
-from ..schemas import HOURS
+from ..schemas import HOURS, MONTHS
 from . import aggregations  # noqa: F401  (its steps)
 from .registry import STEPS, query
 from .spatial import _NEAREST
 
 _ZEROS = " + ".join(f"CAST({h} = 0 AS INTEGER)" for h in HOURS)
 _TOTAL = " + ".join(HOURS)
+_MONTH = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
 _KEPT = f"""
 bad AS (SELECT DISTINCT jour, id_comptag FROM hw WHERE {_ZEROS} > 22),
 k1 AS (SELECT * FROM hw WHERE (jour, id_comptag) NOT IN (SELECT (jour, id_comptag) FROM bad)),
@@ -121,3 +122,59 @@ def layout_one_off_counts(spark, d):
 
     c = S.comptage(spark, d).select(F.concat(F.lit("d 0"), (F.col("id") % 30).cast("string")).alias("axe"), (F.col("id") % 50).cast("string").alias("localisation"), F.col("tmja").alias("trafic"), F.col("pc_pl").alias("part_pl"), "debut", "fin")
     return layouts.shape_table(c, replace(layouts.ONE_OFF_COUNTS, dep=24))
+
+
+@query(f"SELECT id_comptag, annee, ({_MONTH})[3 * q + k] AS mois, 'tmja' AS indicateur, CAST(tmja + q AS DOUBLE) AS valeur FROM annuel, (VALUES (0), (1), (2), (3)) AS x(q), (VALUES (1), (2), (3)) AS y(k) WHERE q < 3 OR annee % 2 = 0")
+def layout_quarters(spark, d):
+    a = S.annuel(spark, d).select("id_comptag", "annee", *[F.when((F.col("annee") % 2 == 0) | F.lit(q < 3), F.col("tmja") + q).alias(f"t{q + 1}") for q in range(4)])
+    return layouts.monthly_table(a, layouts.QUARTERS, ["id_comptag", "annee"])
+
+
+@query(f"""
+SELECT id, mois, unnest(['tmja', 'pc_pl']) AS indicateur, unnest([CAST(t AS DOUBLE), CAST(pc_pl AS DOUBLE)]) AS valeur
+FROM (SELECT id, tmja + k AS t, pc_pl, ({_MONTH})[month(CASE WHEN date_trunc('month', a) = date_trunc('month', a + 7) OR CAST(date_trunc('month', a + 7) AS DATE) - a >= (a + 7) - CAST(date_trunc('month', a + 7) AS DATE) + 1 THEN a ELSE a + 7 END)] AS mois
+      FROM (SELECT id, tmja, pc_pl, k, debut + 80 * CAST(k AS INTEGER) AS a FROM comptage, range(4) AS r(k) WHERE k < 3 OR id % 2 = 0))""")
+def layout_four_periods(spark, d):
+    text = lambda c: F.date_format(c, "yyyy/MM/dd")
+    period = lambda k: F.concat(text(F.date_add("debut", 80 * k)), F.lit("-"), text(F.date_add("debut", 80 * k + 7)))
+    c = S.comptage(spark, d).select("id", *[x for k in range(4) for x in (F.when((F.col("id") % 2 == 0) | F.lit(k < 3), period(k)).alias(f"periode_{k + 1}"), (F.col("tmja") + k).alias(f"tmja_{k + 1}"), F.col("pc_pl").alias(f"pc_pl_{k + 1}"))])
+    return layouts.monthly_table(c, layouts.FOUR_PERIODS, ["id"])
+
+
+@query(f"SELECT id_comptag, annee, ({_MONTH})[mois] AS mois, unnest(['tmja', 'pc_pl']) AS indicateur, unnest([CAST(tmja AS DOUBLE), pc_pl]) AS valeur FROM mensuel")
+def layout_twelve_months(spark, d):
+    one = lambda k, c: F.max(F.when(F.col("mois") == k, F.col(c)))
+    m = S.mensuel(spark, d).groupBy("id_comptag", "annee").agg(*[one(k, c).cast("double").alias(f"{x}_{c}") for k, x in enumerate(MONTHS, 1) for c in ("tmja", "pc_pl")])
+    return layouts.monthly_table(m, layouts.TWELVE_MONTHS, ["id_comptag", "annee"])
+
+
+@query(f"""
+SELECT id_comptag, annee, ({_MONTH})[mois] AS mois, unnest(['tmja', 'pc_pl']) AS indicateur, unnest([CAST(vl + pl AS DOUBLE), CAST(round(pl / (vl + pl) * 100, 2) AS DOUBLE)]) AS valeur
+FROM (SELECT id_comptag, annee, month(jour) AS mois, sum(valeur) FILTER (WHERE indicateur = 'VL') AS vl, sum(valeur) FILTER (WHERE indicateur = 'PL') AS pl FROM horaire GROUP BY ALL) WHERE vl + pl IS NOT NULL""")
+def layout_light_and_heavy_months(spark, d):
+    h = S.horaire(spark, d).withColumn("mois", F.month("jour"))
+    one = lambda k, i: F.sum(F.when((F.col("mois") == k) & (F.col("indicateur") == i), F.col("valeur")))
+    m = h.groupBy("id_comptag", "annee").agg(*[one(k, i.upper()).cast("double").alias(f"{x}_{i}") for k, x in enumerate(MONTHS, 1) for i in ("vl", "pl")])
+    return layouts.monthly_table(m, layouts.LIGHT_AND_HEAVY_MONTHS, ["id_comptag", "annee"])
+
+
+@query("""
+SELECT '79-D' || (id % 30) || '-' || (id % 50) || '+' || 0 AS id_comptag, 'D' || (id % 30) AS route, id % 50 AS pr, 0 AS abs, tmja, pc_pl,
+       strftime(date_trunc('week', debut), '%Y/%m/%d') || '-' || strftime(CAST(date_trunc('week', debut) AS DATE) + 6, '%Y/%m/%d') AS periode, 'tournant' AS type_poste FROM comptage""")
+def layout_by_iso_week(spark, d):
+    from dataclasses import replace
+
+    c = S.comptage(spark, d).select(F.concat(F.lit("d 0"), (F.col("id") % 30).cast("string")).alias("axe"), (F.col("id") % 50).cast("string").alias("localisation"), F.col("tmja").alias("trafic"), F.col("pc_pl").alias("part_pl"), F.extract(F.lit("YEAROFWEEK"), F.col("debut")).cast("int").alias("annee"), F.weekofyear("debut").alias("semaine"))
+    return layouts.shape_table(c, replace(layouts.BY_ISO_WEEK, dep=79))
+
+
+@query("""
+WITH b AS (SELECT s_suppkey // 2 AS k, s_suppkey, b, h, s_suppkey + h + 100 AS tv, s_nationkey AS pl FROM supplier, range(3) AS x(b), range(24) AS y(h))
+SELECT 'C' || k AS id_comptag, DATE '2021-03-01' + CAST(b AS INTEGER) AS jour, CAST(sum(tv) AS DOUBLE) AS tv, count(DISTINCT s_suppkey) AS fichiers, CAST(sum(pl) AS DOUBLE) AS pl, round(sum(pl) / sum(tv) * 100, 2) AS pc_pl FROM b GROUP BY k, b""")
+def layout_day_blocks(spark, d):
+    """A sheet of each supplier is a direction of a counter: three days in blocks of 30 lines."""
+    s = S.table(spark, d, "supplier").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn("col", F.explode(F.array(F.lit(0), F.lit(1))))
+    value = F.when(F.col("col") == 0, F.col("s_suppkey") + F.col("h") + 100).otherwise(F.col("s_nationkey")).cast("string")
+    k = F.floor(F.col("s_suppkey") / 2).cast("string")
+    cells = s.select(F.concat(F.lit("C"), k).alias("id_comptag"), F.lit("2021-03-01").cast("date").alias("jour0"), F.concat(F.lit("f"), F.col("s_suppkey").cast("string")).alias("file"), (5 + 30 * F.col("b") + F.col("h")).alias("line"), "col", value.alias("value"))
+    return layouts.day_blocks(cells, 5, 30)
