@@ -109,6 +109,11 @@ def test_lambert93(spark):
     assert abs(p[1][0]["x"] - 650400) < 300 and abs(p[1][0]["y"] - 6856000) < 1500
 
 
+def test_lambert93_constants():
+    """The published exponent, constant and pole of the projection."""
+    assert abs(geo.N - 0.7256077650) < 1e-10 and abs(geo.SCALE - 11754255.426) < 1e-3 and abs(geo.Y0 + geo.R0 - 12655612.050) < 1e-3
+
+
 def test_nearest_is_brute_force(spark):
     import random
 
