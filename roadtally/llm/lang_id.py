@@ -36,7 +36,7 @@ from .common import doc_fold
 
 SAMPLE_CHARS = 50_000
 #: Texts that are worth a numpy step, and characters that are looked at together.
-ALONE, TOGETHER = 24, 16 << 20
+ALONE, TOGETHER = 24, 6 << 20
 #: Symbols: 0 a run of anything but letters, 1 a letter that the sample lacks, then the letters of the sample.
 GAP, OTHER = 0, 1
 
