@@ -307,8 +307,11 @@ def _cut(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
             gone[row][at : at + stop - start] |= covered[start:stop]
     out = []
     for text, own in zip(texts, gone):
-        kept = np.frombuffer(text, np.uint8)[~own].tobytes() if own.any() else text
-        out.append((len(text), int(own.sum()), int(own[:1].sum()) + int((~own[:-1] & own[1:]).sum()), hashlib.sha256(kept).hexdigest(), kept))
+        if not own.any():
+            out.append((len(text), 0, 0, hashlib.sha256(text).hexdigest(), text))
+            continue
+        kept = np.frombuffer(text, np.uint8)[~own].tobytes()
+        out.append((len(text), int(own.sum()), int(own[0]) + int((~own[:-1] & own[1:]).sum()), hashlib.sha256(kept).hexdigest(), kept))
     done = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
     return done.assign(doc_id=pd.array(rows["doc"].to_numpy(), "Int64").copy()).assign(doc_id=lambda d: d["doc_id"].where(rows["known"].to_numpy(bool)))
 
@@ -317,7 +320,7 @@ def _placed(ranks: DataFrame, order_by: str, *rank: str) -> DataFrame:
     """``ranks`` in the order of a sort, with the first row of each rank, and whether there is another; nothing is held."""
     order = Window.partitionBy(*rank).orderBy(order_by)
     first = F.first(order_by).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return ranks.withColumn("least", first).withColumn("shared", (F.row_number().over(order) > 1) | F.lead(order_by).over(order).isNotNull())
+    return ranks.withColumn("least", first).withColumn("shared", F.lag(order_by).over(order).isNotNull() | F.lead(order_by).over(order).isNotNull())
 
 
 def _marks(ranks: DataFrame, name: str, kind: int, h2: str | None = None, least: str | None = None, mask: str | None = None) -> DataFrame:
