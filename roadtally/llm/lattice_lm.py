@@ -143,8 +143,8 @@ class Lattice:
         first, sizes, *_, alpha = self.forward(words)
         return alpha[first + sizes]
 
-    def expect(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in the counted words, and behind them the words' log probability."""
+    def expect(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, float]:
+        """Expected uses of each piece in the counted words, and the words' log probability."""
         first, sizes, start, end, piece, lp, offset, alpha = self.forward(words)
         beta = np.full(len(alpha), -np.inf)
         last = first + sizes
@@ -154,7 +154,7 @@ class Lattice:
             beta[start[g]] = np.logaddexp(beta[start[g]], beta[end[g]] + lp[g])
         word = np.repeat(np.arange(len(words)), sizes + 1)[start]
         used = np.exp(alpha[start] + lp + beta[end] - alpha[last][word]) * counts[word]
-        return np.append(np.bincount(piece, used, len(self.logp)), (alpha[last] * counts).sum())
+        return np.bincount(piece, used, len(self.logp)), float((alpha[last] * counts).sum())
 
 
 def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -200,7 +200,7 @@ def learn(counts: DataFrame, pieces: Pieces, passes: int = PASSES) -> tuple[np.n
             total = None
             lattice = Lattice(shared.value, weights)
             for batch in batches:
-                used = lattice.expect(batch["word"].tolist(), batch["c"].to_numpy(float))
+                used = np.append(*lattice.expect(batch["word"].tolist(), batch["c"].to_numpy(float)))  # the log probability is last
                 total = used if total is None else total + used
             if total is not None:
                 yield pd.DataFrame({"piece": np.arange(len(total)), "used": total})[total != 0]

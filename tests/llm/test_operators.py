@@ -152,7 +152,8 @@ def test_lattice_sums_all_segmentations():
 
     some = [b"the", "niño".encode(), b"a-1", b"road"]
     assert np.allclose(np.exp(lattice.score(some)), [total(b" " + w) for w in some], rtol=1e-9)
-    used = lattice.expect(some, np.array([1.0, 2.0, 3.0, 4.0]))
+    used, gained = lattice.expect(some, np.array([1.0, 2.0, 3.0, 4.0]))
+    assert math.isclose(gained, lattice.score(some) @ np.array([1.0, 2.0, 3.0, 4.0]), rel_tol=1e-9)
     assert abs(sum(len(p.names[k]) * used[k] for k in np.flatnonzero(used)) - sum(c * (len(w) + 1) for c, w in zip([1, 2, 3, 4], some))) < 1e-6
     assert np.isfinite(lattice.score([b"\xff\xfe", b"x" * 3000])).all()
 
