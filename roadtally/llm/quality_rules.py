@@ -108,7 +108,9 @@ def with_common(rows: DataFrame, words: DataFrame, bins: list[str]) -> DataFrame
     """``rows`` with the shares of the bins among their words, and of all other words."""
     if not bins:
         return rows.withColumn("common", F.array(F.lit(1.0)))
-    table = rows.sparkSession.createDataFrame(list(enumerate(bins)), "bin int, word string")
+    # literals, whose size Spark knows: at most ``BINS`` words a language
+    listed = F.array(*[F.struct(F.lit(k).alias("bin"), F.lit(w).alias("word")) for k, w in enumerate(bins)])
+    table = rows.sparkSession.range(1).select(F.explode(listed).alias("b")).select("b.bin", "b.word")
     each = words.join(table, "word").groupBy("doc_id", "th", "bin").agg(F.count("*").alias("n"))
     parts = [F.sum(F.when(F.col("bin") == k, F.col("n")).otherwise(0)).cast("double") for k in range(len(bins))]
     found = each.groupBy(F.col("doc_id").alias("c_id"), F.col("th").alias("c_th")).agg(F.array(*parts).alias("found"))
