@@ -94,8 +94,10 @@ def _fill(rows: DataFrame) -> DataFrame:
         # gaps only shrink: what doesn't fit now never will
         picked, left = picked.union(tried.where("now").select(*KEY)), tried.where("not now")
         gaps |= {r["source"]: gaps[r["source"]] - r["n"] for r in took}
-    # larger than the gap, so none of those picked
-    over = with_gap(unused).where("size > gap and size < 2 * gap")
+    # one document more, of those that no round has picked
+    same = F.col("source").eqNullSafe(F.col("p_source")) & (F.col("h") == F.col("p_h")) & (F.col("bucket") == F.col("p_bucket")) & (F.col("middle") == F.col("p_middle"))
+    free = unused.join(picked.select([F.col(c).alias(f"p_{c}") for c in KEY]), same, "left_anti")
+    over = with_gap(free).where("size > gap and size < 2 * gap")
     return picked.union(over.groupBy("source").agg(F.min(F.struct("size", "h", "bucket", "middle")).alias("f")).select("source", "f.h", "f.bucket", "f.middle"))
 
 
