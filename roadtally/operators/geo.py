@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of the Lambert-93 projection (EPSG 2154, method 9802 on GRS80).
@@ -81,8 +81,8 @@ def line_distance(x: Column, y: Column, points: Column) -> Column:
     return F.array_min(legs)
 
 
-def nearest(points: DataFrame, segments: DataFrame, distance: float, key: str = "id_comptag", seg: str = "gid", cell: float | None = None) -> DataFrame:
-    """For each point (x, y) the nearest segment (x0, y0, x1, y1) within the distance; ties go to the smaller key.
+def nearest(points: DataFrame, segments: DataFrame, distance: float, key: str = "id_comptag", seg: str = "gid", cell: float | None = None, on: tuple[str, ...] = ()) -> DataFrame:
+    """For each point (x, y) the nearest segment (x0, y0, x1, y1) within the distance, of those equal in ``on``; ties go to the smaller key.
 
     A segment is put in those cells of its bounding box, widened by the
     distance, that it really comes near: long segments stay in few cells.
@@ -95,7 +95,7 @@ def nearest(points: DataFrame, segments: DataFrame, distance: float, key: str =
     cells = cells.where(middle <= distance + c * math.sqrt(2) / 2)
     p = points.withColumns({"cx": F.floor(F.col("x") / c), "cy": F.floor(F.col("y") / c)})
     d = segment_distance(*map(F.col, ("x", "y", "x0", "y0", "x1", "y1")))
-    pairs = p.join(cells, ["cx", "cy"]).withColumn("distance", d).where(F.col("distance") <= distance)
+    pairs = p.join(cells, [*on, "cx", "cy"]).withColumn("distance", d).where(F.col("distance") <= distance)
     best = pairs.groupBy(key).agg(F.min(F.struct("distance", seg)).alias("b"))
     return best.select(key, F.col(f"b.{seg}").alias(seg), F.col("b.distance").alias("distance"))
 
@@ -146,27 +146,6 @@ def within_zone(points: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     return j.where(crossings % 2 == 1).drop("cx", "cy", "ring")
 
 
-def locate_pr_abs(points: DataFrame, markers: DataFrame, edges: DataFrame) -> DataFrame:
-    """Place of marker + distance along a road.
-
-    ``markers``: route, pr, cum (metres along the road); ``edges``: route, rang
-    and the ends of each edge.  Edge lengths are added up along the road, the
-    edge that holds the marker's place plus ``abs`` is found by an equi-join on
-    the road and a range test, and the point is interpolated.  The remark says
-    what was missing.
-    """
-    length = F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    w = Window.partitionBy("route").orderBy("rang").rowsBetween(Window.unboundedPreceding, 0)
-    e = edges.withColumn("long", length).withColumn("fin", F.sum("long").over(w)).withColumn("debut", F.col("fin") - F.col("long"))
-    roads = edges.select("route").distinct().withColumn("__road", F.lit(True))
-    p = points.join(roads, "route", "left").join(markers, ["route", "pr"], "left").withColumn("at", F.col("cum") + F.col("abs"))
-    e = e.select(F.col("route").alias("e_route"), "x0", "y0", "x1", "y1", "debut", "fin", "long")
-    j = p.join(e, (p["route"] == e["e_route"]) & (p["at"] >= e["debut"]) & (p["at"] < e["fin"]), "left")
-    t = F.try_divide(F.col("at") - F.col("debut"), F.col("long"))
-    note = F.when(F.col("__road").isNull(), "KO route non presente").when(F.col("cum").isNull(), "KO Pas de PR").when(F.col("e_route").isNull(), "KO hors de la route").otherwise("OK")
-    return j.select("id_comptag", (F.col("x0") + t * (F.col("x1") - F.col("x0"))).alias("x"), (F.col("y0") + t * (F.col("y1") - F.col("y0"))).alias("y"), note.alias("commentaire"))
-
-
 def split_by_section(points: DataFrame, segments: DataFrame, distance: float, cell: float | None = None) -> DataFrame:
     """One ``classe`` for each new point: without geometry, far from the network, alone on its section, or one of several."""
     n = nearest(points.where("x is not null and y is not null"), segments, distance, cell=cell)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import standins as S
-from ..operators import geo
+from ..operators import geo, linear
 from ..operators import network as net
 from .registry import query
 
@@ -79,20 +79,41 @@ def join_within_zone(spark, d):
 
 
 def roads(spark, d):
-    """A road for each ``route``: ten edges of 100 m eastwards; markers every 250 m."""
-    r = S.compteur(spark, d).select("route").distinct().where("route <> 'D7'").withColumn("n", F.substring("route", 2, 9).cast("int"))
-    edges = r.withColumn("rang", F.explode(F.sequence(F.lit(0), F.lit(9)))).select("route", "rang", (F.col("rang") * 100.0).alias("x0"), (F.col("n") * 10.0).alias("y0"), (F.col("rang") * 100.0 + 100).alias("x1"), (F.col("n") * 10.0).alias("y1"))
-    markers = r.withColumn("pr", F.explode(F.sequence(F.lit(0), F.lit(3)))).select("route", "pr", (F.col("pr") * 250.0).alias("cum"))
-    return edges, markers
+    """A road of 1,000 m in ten edges for each département and route, in one of several shapes, with markers every 250 m.
+
+    Every third one lacks its fifth edge; every third one's edges are drawn against each other; every fourth turns north
+    at 500 m; the last three edges belong to the next département; roads whose number 5 divides have the first marker only.
+    """
+    r = S.compteur(spark, d).select("dep", "route").distinct().withColumn("n", F.substring("route", 2, 9).cast("int"))
+    base = F.col("dep") * 10_000.0 + F.col("n") * 100.0
+    at = lambda m: (F.when(F.col("n") % 4 == 1, F.least(m, F.lit(500.0))).otherwise(m), base + F.when(F.col("n") % 4 == 1, F.greatest(m - 500, F.lit(0.0))).otherwise(0.0))
+    e = r.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).where("not (n % 3 = 1 and k = 4)")
+    turned = (F.col("n") % 3 == 2) & (F.col("k") % 2 == 1)
+    (ax, ay), (bx, by) = at(F.col("k") * 100.0), at(F.col("k") * 100.0 + 100)
+    pick = lambda a, b: F.when(turned, b).otherwise(a)
+    node = lambda k: F.col("dep") * 1_000_000 + F.col("n") * 1000 + k
+    edges = e.select(
+        (node(900) - F.col("k")).alias("id"), "route", F.when(F.col("k") >= 7, F.col("dep") + 100).otherwise(F.col("dep")).alias("dep"), pick(node(F.col("k")), node(F.col("k") + 1)).alias("source"), pick(node(F.col("k") + 1), node(F.col("k"))).alias("target"),
+        pick(ax, bx).alias("x0"), pick(ay, by).alias("y0"), pick(bx, ax).alias("x1"), pick(by, ay).alias("y1"),
+    )
+    m = r.where("n <> 7").withColumn("pr", F.explode(F.sequence(F.lit(0), F.lit(3)))).where("n % 5 > 0 or pr = 0")
+    mx, my = at(F.col("pr") * 250.0)
+    return edges, m.select("dep", "route", "pr", (mx + 1).alias("x"), (my - 1).alias("y")), r.where("dep % 2 = 0").select("dep", (F.col("dep") + 100).alias("voisin")).distinct()
 
 
 @query("""
-SELECT id_comptag, CASE WHEN c = 'OK' THEN CAST(p * 250 + abs AS DOUBLE) END AS x, CASE WHEN c = 'OK' THEN CAST(n * 10 AS DOUBLE) END AS y, c AS commentaire FROM (
-  SELECT id_comptag, p, abs, n, CASE WHEN route = 'D7' THEN 'KO route non presente' WHEN p > 3 THEN 'KO Pas de PR' WHEN p * 250 + abs >= 1000 THEN 'KO hors de la route' ELSE 'OK' END AS c
-  FROM (SELECT *, pr % 5 AS p, CAST(substr(route, 2) AS INTEGER) AS n FROM compteur))""")
+SELECT id_comptag, CASE WHEN c = 'OK' THEN CAST(CASE WHEN n % 4 = 1 THEN least(t, 500) ELSE t END AS DOUBLE) END AS x,
+       CASE WHEN c = 'OK' THEN CAST(dep * 10000 + n * 100 + CASE WHEN n % 4 = 1 THEN greatest(t - 500, 0) ELSE 0 END AS DOUBLE) END AS y, c AS commentaire FROM (
+  SELECT *, CASE WHEN n = 7 THEN 'KO route non présente dans le référentiel PR / KO Pas de PR / KO pas de fichier de géolocalisation'
+    WHEN p > 3 OR n % 5 = 0 AND p > 0 THEN 'KO Pas de PR / KO pas de fichier de géolocalisation' WHEN t > 1000 THEN 'KO hors de la route'
+    WHEN t > 700 AND dep % 2 = 1 THEN 'KO hors du département' ELSE 'OK' END AS c
+  FROM (SELECT *, pr % 5 AS p, CAST(substr(route, 2) AS INTEGER) AS n, m + abs AS t FROM (
+    SELECT *, pr % 5 * 250 + CASE WHEN CAST(substr(route, 2) AS INTEGER) % 4 = 1 AND pr % 5 >= 2 THEN 2 - pr % 5 ELSE 1 END AS m FROM compteur)))""")
 def geo_locate_pr_abs(spark, d):
-    edges, markers = roads(spark, d)
-    return geo.locate_pr_abs(S.compteur(spark, d).withColumn("pr", F.col("pr") % 5).select("id_comptag", "route", "pr", "abs"), markers, edges)
+    edges, markers, neighbours = roads(spark, d)
+    points = S.compteur(spark, d).withColumn("pr", F.col("pr") % 5).select("id_comptag", "dep", "route", "pr", "abs")
+    out = linear.locate(points, markers, edges, neighbours, gap=150.0)
+    return out.withColumns({c: F.round(c, 6) for c in "xy"})
 
 
 @query(f"""
@@ -161,7 +182,18 @@ def net_continuity_check(spark, d):
 
 
 @query(f"""
-SELECT id, min(id) OVER (PARTITION BY g) AS segment FROM (SELECT id, sum(new) OVER (ORDER BY id) AS g FROM (
-  SELECT id, CASE WHEN lag(id) OVER (ORDER BY id) = id - 1 AND lag(route) OVER (ORDER BY id) = route THEN 0 ELSE 1 END AS new FROM {_EDGES}))""")
+WITH chains AS (
+  SELECT id, segment, row_number() OVER w - 1 AS rang, CASE WHEN id % 3 = 0 AND count(*) OVER (PARTITION BY segment) > 1 THEN -1 ELSE 1 END AS sens FROM (
+    SELECT id, min(id) OVER (PARTITION BY g) AS segment FROM (SELECT id, sum(new) OVER (ORDER BY id) AS g FROM (
+      SELECT id, CASE WHEN lag(id) OVER (ORDER BY id) = id - 1 AND lag(route) OVER (ORDER BY id) = route THEN 0 ELSE 1 END AS new FROM {_EDGES})))
+  WINDOW w AS (PARTITION BY segment ORDER BY id)
+), squares AS (SELECT -s_suppkey AS id, s_suppkey % 5 AS j, count(*) OVER g AS n, max(s_suppkey % 5) OVER g AS last, -max(s_suppkey) OVER g AS segment FROM supplier WINDOW g AS (PARTITION BY s_suppkey // 5))
+SELECT id, segment, rang, sens, false AS boucle FROM chains
+UNION ALL SELECT id, segment, CASE WHEN n = 5 THEN (j + 1) % 5 ELSE last - j END, CASE WHEN n = 5 OR n = 1 THEN 1 ELSE -1 END, n = 5 FROM squares""")
 def net_base_segments(spark, d):
-    return net.base_segments(edges(spark, d))
+    """Chains of edges of which every third is drawn against the others, and rings of five."""
+    e = edges(spark, d).select("id", "route", *[F.when(F.col("id") % 3 == 0, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("source", "target"), ("target", "source"))])
+    k = F.col("s_suppkey")
+    corner = lambda j: -(F.floor(k / 5) * 5 + j % 5) - 1
+    rings = S.table(spark, d, "supplier").select((-k).alias("id"), F.concat(F.lit("R"), F.floor(k / 5).cast("string")).alias("route"), corner(k).alias("source"), corner(k + 1).alias("target"))
+    return net.base_segments(e.unionByName(rings))

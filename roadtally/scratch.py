@@ -33,4 +33,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet and read back: cuts the lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark reads."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(found, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the table behind a frame from ``materialise`` that nothing will read again."""
+    delete(df.sparkSession, df._scratch_path)
