@@ -10,6 +10,7 @@ from ..schemas import HOURS
 from ..scratch import fresh_path
 from ..sources import readers as rd
 from ..sources import writers as wr
+from ..sources.tables import Table
 from .registry import query
 
 
@@ -180,17 +181,25 @@ def flt_file_kind(spark, d):
 
 @query("SELECT id, id_comptag, annee, tmja FROM comptage UNION ALL SELECT id, id_comptag, annee, tmja FROM comptage WHERE id % 4 = 0")
 def snk_append(spark, d):
-    c, path = S.comptage(spark, d).select("id", "id_comptag", "annee", "tmja"), fresh_path(spark, "append")
-    wr.append(c, path, "annee")
-    wr.append(c.where("id % 4 = 0"), path, "annee")
-    return spark.read.parquet(path).select("id", "id_comptag", "annee", "tmja")
+    """Two deliveries, the second of them handed in twice."""
+    c, t = S.comptage(spark, d).select("id", "id_comptag", "annee", "tmja"), Table(spark, fresh_path(spark, "append"))
+    t.append(c, batch="all")
+    for _ in range(2):
+        t.append(c.where("id % 4 = 0"), batch="fourth")
+    return t.read()
 
 
-@query("SELECT id, CASE WHEN id % 3 = 0 AND id % 2 = 0 THEN tmja + 1 WHEN id % 2 = 0 THEN NULL ELSE tmja END AS tmja FROM comptage")
+@query("""
+SELECT id, annee, CASE WHEN annee >= 1996 AND id % 3 = 0 AND id % 2 = 0 THEN tmja + 1 WHEN id % 2 = 0 THEN NULL ELSE tmja END AS tmja FROM comptage WHERE id % 7 > 0
+UNION ALL SELECT id, annee, tmja + 1 FROM comptage WHERE annee >= 1996 AND id % 3 = 0 AND id % 7 = 0""")
 def snk_update(spark, d):
-    c = S.comptage(spark, d).select("id", F.when(F.col("id") % 2 != 0, F.col("tmja")).alias("tmja"))
-    new = S.comptage(spark, d).where("id % 3 = 0").select("id", (F.col("tmja") + 1).alias("tmja"))
-    return wr.update(c, new, ["id"], ["tmja"], only_when=F.col("tmja").isNull())
+    """Unknown traffic of the later years is filled in, rows that the table lacks are added; read back from the table."""
+    c, t = S.comptage(spark, d).select("id", "annee", "tmja"), Table(spark, fresh_path(spark, "update"))
+    t.append(c.where("id % 7 > 0").withColumn("tmja", F.when(F.col("id") % 2 != 0, F.col("tmja"))))
+    new = c.where("annee >= 1996 and id % 3 = 0").withColumn("tmja", F.col("tmja") + 1)
+    t.merge(new, ["id"], ["tmja"], only_when=F.col("tmja").isNull(), insert=True)
+    t.clean()
+    return t.read()
 
 
 @query("SELECT s_suppkey AS id, 'rue ' || s_nationkey AS adresse FROM supplier WHERE s_suppkey % 3 <> 0")
