@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import HOURS, INVALID
@@ -40,7 +40,7 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def class_sizes(df: DataFrame, column: str) -> DataFrame:
     """Rows of each class, their share, and the whole: a split that loses rows shows here."""
     sizes = df.groupBy(column).agg(F.count("*").alias("n"))
-    return sizes.join(sizes.agg(F.sum("n").alias("total")))  # one row on the right
+    return sizes.withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))))  # a row a class
 
 
 def join_cardinality(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -119,10 +119,33 @@ def enough_days(df: DataFrame, id_col: str = "id_comptag", ts: str = "date_heure
     return g.select(id_col, "jours", ok.alias("suffisant"), full.cast("long").alias("jours_pleins"), F.when(~ok, 1).alias("qualite"))
 
 
-def two_directions_present(df: DataFrame) -> DataFrame:
-    """Drops counter-days that consist of one VL and one PL row only: one direction is missing."""
-    lone = df.groupBy("jour", "id_comptag").agg(F.count("*").alias("n"), F.count_if(F.col("indicateur") == "VL").alias("vl"), F.count_if(F.col("indicateur") == "PL").alias("pl"))
-    lone = lone.where("n = 2 and vl = 1 and pl = 1")
+#: Names of main lanes, as ``lane_key`` writes them; all others are ramps or unknown.
+MAIN_LANES = ("sens1", "sens2", "deportsens1", "deportsens2", "sensexter", "sensinter", "sens1n137", "sens2n137", "sens1n11", "sens2n11", "sens1n10", "sens2n10", "sens1n141", "sens2n141")
+
+
+def lane_key(lane: Column) -> Column:
+    """A lane's name in lower case without spaces, underscores and accents."""
+    return F.translate(F.regexp_replace(F.lower(lane), "[ _]", ""), "éèêç", "eeec")
+
+
+def main_lane(lane: Column) -> Column:
+    return F.coalesce(lane_key(lane).isin(*MAIN_LANES), F.lit(False))
+
+
+def _lone(rows: Column, vl: Column, pl: Column) -> Column:
+    """A day with one VL and one PL row and nothing else lacks a direction."""
+    return (rows == 2) & (vl == 1) & (pl == 1)
+
+
+def two_directions_present(df: DataFrame, lane: str | None = None) -> DataFrame:
+    """Drops counter-days that consist of one VL and one PL row only: one direction is missing.
+
+    With ``lane``, a column of lane names, only rows of main lanes are looked at;
+    a day that is dropped goes with its ramps.
+    """
+    seen = df if lane is None else df.where(main_lane(F.col(lane)))
+    lone = seen.groupBy("jour", "id_comptag").agg(F.count("*").alias("n"), F.count_if(F.col("indicateur") == "VL").alias("vl"), F.count_if(F.col("indicateur") == "PL").alias("pl"))
+    lone = lone.where(_lone(F.col("n"), F.col("vl"), F.col("pl")))
     return df.join(lone, ["jour", "id_comptag"], "left_anti")
 
 
@@ -130,30 +153,76 @@ def two_directions_present(df: DataFrame) -> DataFrame:
 TWO_WAY, ONE_WAY = "double sens", "sens unique"
 
 
-def direction_asymmetry(df: DataFrame, factor: float = 3, error_rate: float = 10, declared: Column | None = None) -> DataFrame:
+def day_flags(df: DataFrame, most_zeros: int = 8, factor: float = 3, declared: Column | None = None, lane: str | None = None) -> DataFrame:
+    """One row for each counter and day, from one pass over the hourly rows, on which all rules of a delivery can be decided.
+
+    invalide (an hour is null or too many are zero, of any lane), seul (a
+    direction is missing), couples (indicators with two directions), ecarts (those
+    of which one is above ``factor`` times the other), sens (the directions),
+    declare.  With ``lane``, directions are the names of main lanes.
+    """
+    side = F.col("sens" if lane is None else lane)
+    main = F.lit(True) if lane is None else main_lane(side)
+    total = sum((F.coalesce(F.col(h), F.lit(0.0)) for h in HOURS), F.lit(0.0))
+    n = F.count_if(F.col("__main")).alias("n")
+    rows = df.select("id_comptag", "jour", "indicateur", side.alias("s"), bad_hour(HOURS, most_zeros).alias("bad"), main.alias("__main"), total.alias("t"), (F.lit(TWO_WAY) if declared is None else declared).alias("d"))
+    sides = rows.groupBy("id_comptag", "jour", "indicateur", "s").agg(F.sum(F.when(F.col("__main"), F.col("t"))).alias("t"), n, F.bool_or("bad").alias("bad"), F.max(F.when(F.col("__main"), F.col("d"))).alias("d"))
+    kinds = sides.groupBy("id_comptag", "jour", "indicateur").agg(F.count_if(F.col("n") > 0).alias("k"), F.max("t").alias("most"), F.min("t").alias("least"), F.sum("n").alias("n"), F.bool_or("bad").alias("bad"), F.collect_set(F.when(F.col("n") > 0, F.col("s"))).alias("s"), F.max("d").alias("d"))
+    both = F.col("k") == 2
+    of = lambda kind: F.sum(F.when(F.col("indicateur") == kind, F.col("n")).otherwise(0))
+    return kinds.groupBy("id_comptag", "jour").agg(
+        F.coalesce(F.bool_or("bad"), F.lit(False)).alias("invalide"), _lone(F.sum("n"), of("VL"), of("PL")).alias("seul"), F.count_if(both).alias("couples"),
+        F.count_if(both & (F.col("most") > factor * F.col("least"))).alias("ecarts"), F.array_distinct(F.flatten(F.collect_list("s"))).alias("sens"), F.max("d").alias("declare"),
+    )
+
+
+def _state(sides: Column, declared: Column, couples: Column, flagged: Column, error_rate: float) -> Column:
+    return (
+        F.when((sides == 2) & (declared == TWO_WAY), F.when(flagged > couples / error_rate, "asymetrique").otherwise("ok"))
+        .when((sides == 2) & (declared == ONE_WAY), "sens unique a deux sens").when((sides == 1) & (declared == ONE_WAY), "ok").when((sides == 1) & (declared == TWO_WAY), "double sens a un seul sens").otherwise("cas non prevu")
+    )
+
+
+def direction_asymmetry(df: DataFrame, factor: float = 3, error_rate: float = 10, declared: Column | None = None, lane: str | None = None) -> DataFrame:
     """Per counter: days with both directions, flagged days, the state, and whether it is refused.
 
     A day is flagged when one direction is above ``factor`` times the other;
     too many flagged days are asymmetric.  ``declared`` (two-way where it isn't
     given) must agree with the directions found: one-way with two directions,
     two-way with one, and any other number are refused; one-way with one is not
-    compared.
+    compared.  With ``lane``, directions are the names of main lanes, ramps are
+    left out, and a counter without a main lane has no row.
     """
-    total = sum((F.col(h) for h in HOURS), F.lit(0.0))
-    side = lambda s: F.sum(F.when(F.col("sens") == s, total)).alias(f"t{s}")
-    declared = F.lit(TWO_WAY) if declared is None else declared
-    days = df.groupBy("id_comptag", "jour", "indicateur").agg(side(1), side(2), F.collect_set("sens").alias("s"), F.max(declared).alias("d"))
-    both = F.col("t1").isNotNull() & F.col("t2").isNotNull()
-    flagged = both & ((F.col("t1") > factor * F.col("t2")) | (F.col("t2") > factor * F.col("t1")))
-    g = days.groupBy("id_comptag").agg(F.count_if(both).alias("jours"), F.count_if(flagged).alias("ecarts"), F.size(F.array_distinct(F.flatten(F.collect_set("s")))).alias("sens"), F.max("d").alias("d"))
-    n, d = F.col("sens"), F.col("d")
-    state = (
-        F.when((n == 2) & (d == TWO_WAY), F.when(F.col("ecarts") > F.col("jours") / error_rate, "asymetrique").otherwise("ok"))
-        .when((n == 2) & (d == ONE_WAY), "sens unique a deux sens").when((n == 1) & (d == ONE_WAY), "ok").when((n == 1) & (d == TWO_WAY), "double sens a un seul sens").otherwise("cas non prevu")
-    )
+    days = day_flags(df if lane is None else df.where(main_lane(F.col(lane))), factor=factor, declared=declared, lane=lane)
+    g = days.groupBy("id_comptag").agg(F.sum("couples").alias("jours"), F.sum("ecarts").alias("ecarts"), F.size(F.array_distinct(F.flatten(F.collect_set("sens")))).alias("n"), F.max("declare").alias("d"))
+    state = _state(F.col("n"), F.col("d"), F.col("jours"), F.col("ecarts"), error_rate)
     return g.select("id_comptag", "jours", "ecarts", state.alias("etat"), (state != "ok").alias("rejete"))
 
 
+def verdicts(days: DataFrame, least_days: int = 7, error_rate: float = 10) -> DataFrame:
+    """What ``day_flags`` say of each counter: invalides (days removed), jours (days left), etat of its directions, accepte."""
+    good = ~F.col("invalide") & ~F.col("seul")
+    over = lambda c: F.sum(F.when(good, F.col(c)).otherwise(0))
+    g = days.groupBy("id_comptag").agg(F.count_if("invalide").alias("invalides"), F.count_if(good).alias("jours"), over("couples").alias("c"), over("ecarts").alias("e"), F.size(F.array_distinct(F.flatten(F.collect_set(F.when(good, F.col("sens")))))).alias("n"), F.max("declare").alias("d"))
+    g = g.withColumn("etat", F.when(F.col("jours") > 0, _state(F.col("n"), F.col("d"), F.col("c"), F.col("e"), error_rate)))
+    return g.select("id_comptag", "invalides", "jours", "etat", ((F.col("etat") == "ok") & (F.col("jours") >= least_days)).alias("accepte"))
+
+
+def reasons(verdict: DataFrame) -> DataFrame:
+    """A row for each thing to say of a counter: days that were removed, directions that were refused, accepted."""
+    why = F.array(F.when(F.col("invalides") > 0, "jours invalides"), F.when(F.col("etat") != "ok", "asymetrie"), F.when(F.col("accepte"), "accepte"))
+    return verdict.select("id_comptag", F.explode(F.filter(why, lambda r: r.isNotNull())).alias("reason"))
+
+
+def watch(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The same rows, and how many of them break each rule, counted by the job that first goes through them.
+
+    A rule is a condition that no row should meet; a null condition isn't met.
+    """
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]), seen
+
+
 def monthly_pairs(df: DataFrame) -> DataFrame:
     """Long monthly rows (sens, indicateur, mois, valeur), and the case of their counter-year.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import overlaps_holidays, period_text
 from ..schemas import HOURS
+from .quantiles import exact_quantiles
 
 DAY_KEY = ["id_comptag", "jour", "indicateur"]
 
@@ -20,10 +21,16 @@ def unpivot_hours(wide: DataFrame, keys: Sequence[str], hours: Sequence[str] = H
 
 
 def hour_stats(wide: DataFrame, hour: str) -> DataFrame:
-    """Of one hour, by vehicle and weekday or weekend: sigma (n - 1), mean, median, mean +- 2 sigma."""
+    """Of one hour, by vehicle and weekday or weekend: sigma (n - 1), mean, median, mean +- 2 sigma.
+
+    There are few groups and many rows: the median is that of counted values.
+    """
     part = F.when(F.weekday("jour") < 5, "semaine").otherwise("weekend")
-    s, m = F.stddev_samp(hour), F.avg(hour)
-    return wide.groupBy("indicateur", part.alias("type_jour")).agg(s.alias("sigma"), m.alias("moyenne"), F.median(hour).alias("mediane"), (m - 2 * s).alias("bas"), (m + 2 * s).alias("haut"))
+    rows = wide.select("indicateur", part.alias("type_jour"), F.col(hour).alias("v"))
+    s, m = F.stddev_samp("v"), F.avg("v")
+    spread = rows.groupBy("indicateur", "type_jour").agg(s.alias("sigma"), m.alias("moyenne"), (m - 2 * s).alias("bas"), (m + 2 * s).alias("haut"))
+    middle = exact_quantiles(rows, ["indicateur", "type_jour"], "v", {"mediane": 0.5}).withColumnsRenamed({"indicateur": "__i", "type_jour": "__t"})
+    return spread.join(middle, F.col("indicateur").eqNullSafe(F.col("__i")) & F.col("type_jour").eqNullSafe(F.col("__t"))).select("indicateur", "type_jour", "sigma", "moyenne", "mediane", "bas", "haut")
 
 
 def directions(wide: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import speed_bin
 from ..schemas import DAYS
+from .quantiles import exact_quantiles
 
 KINDS, SIDES = ["VL", "PL", "2R"], ["sens1", "sens2"]
 STEP_SECONDS = {"1 hour": 3600, "6 minutes": 360, "1 day": 86400}
@@ -125,12 +126,17 @@ def week_indicators(week: DataFrame, heavy_known: bool = True) -> DataFrame:
 
 
 def mjo_grouping_sets(p: DataFrame) -> DataFrame:
-    """Speeds and working-day mean by direction and vehicle, by either, and over all."""
-    work = p.where(F.weekday("date_heure") < 5)
-    days = F.countDistinct(F.to_date("date_heure"))
-    q = F.percentile("vitesse", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.85)))
-    g = work.groupingSets([["sens", "type_veh"], ["type_veh"], ["sens"], []], "sens", "type_veh").agg(q.alias("q"), (F.count("*") / days).alias("mjo"))
-    return g.select(F.coalesce("sens", F.lit("tous")).alias("sens"), F.coalesce("type_veh", F.lit("TV")).alias("type_veh"), *[F.get("q", F.lit(k)).alias(n) for k, n in enumerate(("v10", "v50", "v85"))], "mjo")
+    """Speeds and working-day mean by direction and vehicle, by either, and over all.
+
+    Passages are counted by direction, vehicle, day and speed first; totals and
+    quantiles of the sets, up to that of everything, come out of these counts.
+    """
+    work = p.where(F.weekday("date_heure") < 5).select("sens", "type_veh", "vitesse", F.to_date("date_heure").alias("jour"))
+    sets = F.explode(F.array(*[F.struct(s.alias("sens"), t.alias("type_veh")) for s in (F.col("sens"), F.lit("tous")) for t in (F.col("type_veh"), F.lit("TV"))]))
+    each = work.groupBy("sens", "type_veh", "jour").agg(F.count("*").alias("n")).select(sets.alias("g"), "jour", "n").groupBy("g.sens", "g.type_veh", "jour").agg(F.sum("n").alias("n"))
+    mean = each.groupBy("sens", "type_veh").agg((F.sum("n") / F.count("jour")).alias("mjo"))
+    speeds = exact_quantiles(work.select(sets.alias("g"), "vitesse").select("g.*", "vitesse"), ["sens", "type_veh"], "vitesse", {"v10": 0.1, "v50": 0.5, "v85": 0.85})
+    return speeds.join(mean, ["sens", "type_veh"]).select("sens", "type_veh", "v10", "v50", "v85", "mjo")
 
 
 def speed_class_table(p: DataFrame) -> DataFrame:

@@ -22,14 +22,16 @@ def vehicles_to_week(passages: DataFrame) -> dict[str, DataFrame]:
 
 
 def hourly_to_indicators(wide: DataFrame, most_zeros: int = 8, days: int = 7) -> dict[str, DataFrame]:
-    """Hourly deliveries -> checks as anti-joins -> both directions -> annual and monthly indicators and period."""
-    kept, removed = ck.invalid_days(wide, most_zeros)
-    kept = ck.two_directions_present(kept)
-    failing = ck.direction_asymmetry(kept).where("rejete").select("id_comptag")
-    kept = ck.min_days(kept.join(failing, "id_comptag", "left_anti"), days)
-    both = ho.directions(kept)
-    report = ck.report(kept, {"jours invalides": removed, "asymetrie": failing}, "id_comptag")
-    return {"horaire": both, "annuel": ho.tmja_from_hourly(both), "mensuel": ho.monthly_from_hourly(both), "periode": ho.period_from_hourly(both), "rapport": report}
+    """Hourly deliveries -> one pass of checks by counter and day -> both directions -> annual and monthly indicators and period.
+
+    The report is two aggregations of the day table; the rows that stay are those of its good days.
+    """
+    flags = ck.day_flags(wide, most_zeros)
+    verdict = ck.verdicts(flags, days)
+    accepted = verdict.where("accepte").select("id_comptag")
+    good = flags.where("not invalide and not seul").select("id_comptag", "jour").join(accepted, "id_comptag", "left_semi")
+    both = ho.directions(wide.join(good, ["id_comptag", "jour"], "left_semi"))
+    return {"horaire": both, "annuel": ho.tmja_from_hourly(both), "mensuel": ho.monthly_from_hourly(both), "periode": ho.period_from_hourly(both), "rapport": ck.reasons(verdict)}
 
 
 def individual_to_hourly(passages: DataFrame, keys: list[str]) -> DataFrame:

@@ -99,28 +99,38 @@ def qc_enough_days(spark, d):
     return q.enough_days(S.campagnes(spark, d))
 
 
-@query("""
-SELECT id_comptag, jour, indicateur, sens FROM hw WHERE (jour, id_comptag) NOT IN (
-  SELECT (jour, id_comptag) FROM hw GROUP BY jour, id_comptag HAVING count(*) = 2 AND count(*) FILTER (WHERE indicateur = 'VL') = 1 AND count(*) FILTER (WHERE indicateur = 'PL') = 1)""")
+#: Hourly rows with lane names: a counter in four calls its second direction a ramp, one in three has rows of an exit besides.
+_LANES = """(
+  SELECT *, CASE WHEN sens = 1 THEN 'Sens 1' WHEN k % 4 = 2 THEN 'Bretelle entrée' WHEN k % 4 = 1 THEN 'Sens_1' ELSE 'SENS_Intér' END AS voie FROM (SELECT *, CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM hw)
+  UNION ALL SELECT *, 'Bretelle de sortie' FROM (SELECT * REPLACE (CAST(3 AS INTEGER) AS sens), CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM hw) WHERE k % 3 = 0)"""
+_MAIN = "replace(replace(translate(lower(voie), 'éèêç', 'eeec'), ' ', ''), '_', '') IN ('sens1', 'sens2', 'deportsens1', 'deportsens2', 'sensexter', 'sensinter', 'sens1n137', 'sens2n137', 'sens1n11', 'sens2n11', 'sens1n10', 'sens2n10', 'sens1n141', 'sens2n141')"
+
+
+def lanes(spark, d):
+    h, k = S.hw(spark, d), F.substring("id_comptag", 2, 9).cast("int")
+    name = F.when(F.col("sens") == 1, "Sens 1").when(k % 4 == 2, "Bretelle entrée").when(k % 4 == 1, "Sens_1").otherwise("SENS_Intér")
+    return h.withColumn("voie", name).unionByName(h.where(k % 3 == 0).withColumns({"sens": F.lit(3), "voie": F.lit("Bretelle de sortie")}))
+
+
+@query(f"""
+SELECT id_comptag, jour, indicateur, sens, voie FROM {_LANES} WHERE (jour, id_comptag) NOT IN (
+  SELECT (jour, id_comptag) FROM {_LANES} WHERE {_MAIN} GROUP BY jour, id_comptag HAVING count(*) = 2 AND count(*) FILTER (WHERE indicateur = 'VL') = 1 AND count(*) FILTER (WHERE indicateur = 'PL') = 1)""")
 def qc_two_directions_present(spark, d):
-    return q.two_directions_present(S.hw(spark, d)).select("id_comptag", "jour", "indicateur", "sens")
+    return q.two_directions_present(lanes(spark, d), lane="voie").select("id_comptag", "jour", "indicateur", "sens", "voie")
 
 
 @query(f"""
 WITH r AS (
-  SELECT id_comptag, jour, indicateur, CASE WHEN k % 4 = 1 THEN 1 ELSE sens END AS s, {_TOTAL} AS t, CASE WHEN k % 3 = 0 THEN 'sens unique' ELSE 'double sens' END AS circu
-  FROM (SELECT *, CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM hw)),
-p AS (
-  SELECT a.id_comptag, count(*) AS jours, count(*) FILTER (WHERE a.t > 3 * b.t OR b.t > 3 * a.t) AS ecarts
-  FROM (SELECT id_comptag, jour, indicateur, sum(t) AS t FROM r WHERE s = 1 GROUP BY ALL) a JOIN (SELECT id_comptag, jour, indicateur, sum(t) AS t FROM r WHERE s = 2 GROUP BY ALL) b USING (id_comptag, jour, indicateur) GROUP BY 1),
+  SELECT id_comptag, jour, indicateur, voie AS s, {_TOTAL} AS t, CASE WHEN k % 5 = 0 THEN 'sens unique' ELSE 'double sens' END AS circu FROM {_LANES} WHERE {_MAIN}),
+t AS (SELECT id_comptag, jour, indicateur, s, sum(t) AS t FROM r GROUP BY ALL),
+p AS (SELECT a.id_comptag, count(*) AS jours, count(*) FILTER (WHERE a.t > 3 * b.t OR b.t > 3 * a.t) AS ecarts FROM t a JOIN t b USING (id_comptag, jour, indicateur) WHERE a.s < b.s GROUP BY 1),
 c AS (SELECT id_comptag, count(DISTINCT s) AS n, any_value(circu) AS circu FROM r GROUP BY 1)
 SELECT id_comptag, coalesce(jours, 0) AS jours, coalesce(ecarts, 0) AS ecarts, etat, etat <> 'ok' AS rejete
 FROM (SELECT *, CASE WHEN n = 2 AND circu = 'double sens' AND ecarts > jours / 10 THEN 'asymetrique' WHEN n = 2 AND circu = 'double sens' THEN 'ok' WHEN n = 2 THEN 'sens unique a deux sens'
              WHEN n = 1 AND circu = 'sens unique' THEN 'ok' WHEN n = 1 THEN 'double sens a un seul sens' ELSE 'cas non prevu' END AS etat FROM c LEFT JOIN p USING (id_comptag))""")
 def qc_direction_asymmetry(spark, d):
     n = F.substring("id_comptag", 2, 9).cast("int")
-    counters = S.hw(spark, d).withColumn("sens", F.when(n % 4 == 1, 1).otherwise(F.col("sens")))
-    return q.direction_asymmetry(counters, declared=F.when(n % 3 == 0, q.ONE_WAY).otherwise(q.TWO_WAY))
+    return q.direction_asymmetry(lanes(spark, d), declared=F.when(n % 5 == 0, q.ONE_WAY).otherwise(q.TWO_WAY), lane="voie")
 
 
 @query("""

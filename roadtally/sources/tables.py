@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.checks import watch
 from ..scratch import delete
 from .writers import update
 
@@ -27,6 +28,14 @@ class Conflict(RuntimeError):
     """Another batch wrote the version that this one was about to write."""
 
 
+class Refused(ValueError):
+    """A delivery breaks rules: how many rows each of them."""
+
+    def __init__(self, broken: dict[str, int]):
+        super().__init__(", ".join(f"{name}: {n}" for name, n in broken.items()))
+        self.broken = broken
+
+
 @dataclass
 class Manifest:
     version: int
@@ -99,8 +108,12 @@ class Table:
         here = [f.getPath().getName() for f in fs.listStatus(place)] if fs.exists(place) else []
         return [f for f in here if "=" in f and fs.exists(self._folder(f"data/{f}/lot={batch}")[0])]
 
-    def append(self, df: DataFrame, batch: str | None = None) -> None:
-        """Add rows.  ``batch`` names the delivery: the same name is taken in once."""
+    def append(self, df: DataFrame, batch: str | None = None, rules: dict[str, Column] | None = None) -> None:
+        """Add rows.  ``batch`` names the delivery: the same name is taken in once.
+
+        ``rules`` are conditions that no row may meet.  The job that writes counts
+        them, and a delivery that breaks one is refused as a whole.
+        """
         m, batch = self.manifest(), batch or uuid.uuid4().hex
         if batch in m.batches:
             return
@@ -108,7 +121,12 @@ class Table:
             df = df.select(*[f["name"] for f in m.schema["fields"]])
         schema = m.schema or json.loads(df.schema.json())
         lots = dict(m.lots)
-        for folder in self._write(df, batch):
+        rows, seen = watch(df, rules) if rules else (df, None)
+        folders = self._write(rows, batch)
+        broken = {name: n for name, n in seen.get.items() if n} if seen else {}
+        if broken:
+            raise Refused(broken)
+        for folder in folders:
             lots[folder] = [*lots.get(folder, []), batch]
         self._commit(Manifest(m.version, lots, [*m.batches, batch], schema))
 
