@@ -140,15 +140,26 @@ def src_minute_counts(spark, d):
     return rd.minute_counts(spark, csv_of(raw.union(raw), "minutes", header=True))
 
 
-@query("SELECT s_suppkey AS id, s_name AS nom, CASE WHEN s_suppkey % 4 > 0 THEN s_suppkey / 8 END AS lon, CASE WHEN s_suppkey % 4 > 0 THEN CAST(s_nationkey AS DOUBLE) END AS lat FROM supplier")
+@query("""
+SELECT s_suppkey AS id, s_name AS nom, CASE WHEN s_suppkey % 5 > 0 THEN s_nationkey / 2 END AS solde, CASE WHEN k > 0 THEN CASE WHEN k = 1 THEN 'LineString' WHEN k = 2 THEN 'Polygon' ELSE 'Point' END END AS type,
+       CASE WHEN k > 0 THEN s_suppkey / 8 END AS lon, CASE WHEN k > 0 THEN CAST(s_nationkey AS DOUBLE) END AS lat, CASE WHEN k = 1 THEN 2 WHEN k = 2 THEN 4 WHEN k = 3 THEN 1 END AS positions
+FROM (SELECT *, s_suppkey % 4 AS k FROM supplier)""")
 def src_geojson(spark, d):
+    """Points, lines, polygons and features without geometry; a property that some features lack."""
     s = S.table(spark, d, "supplier")
-    geometry = F.when(F.col("s_suppkey") % 4 > 0, F.struct(F.lit("Point").alias("type"), F.array(F.col("s_suppkey") / 8, F.col("s_nationkey").cast("double")).alias("coordinates")))
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("nom")).alias("properties"), geometry.alias("geometry"))
+    at = lambda step: F.array(F.col("s_suppkey") / 8 + step, F.col("s_nationkey").cast("double"))
+    text = lambda kind, c: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), F.to_json(c), F.lit("}"))
+    k = F.col("s_suppkey") % 4
+    geometry = F.when(k == 1, text("LineString", F.array(at(0), at(1)))).when(k == 2, text("Polygon", F.array(F.array(at(0), at(1), at(2), at(0))))).when(k == 3, text("Point", at(0))).otherwise("null")
+    # to_json leaves nulls out
+    properties = F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("nom"), F.when(F.col("s_suppkey") % 5 > 0, F.col("s_nationkey") / 2).alias("solde")))
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}"))
     path = fresh_path(spark, "geojson")
     # a collection for each nation and range of 1000 ids
-    s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 1000)).agg(F.collect_list(feature).alias("features")).select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
-    return rd.geojson(spark, path)
+    docs = s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 1000)).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value"))
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    r = rd.geojson(spark, path, {"id": "bigint", "nom": "string", "solde": "double"})
+    return r.select("id", "nom", "solde", "type", "lon", "lat", F.when(F.col("points").isNotNull(), F.size("points")).alias("positions"))
 
 
 @query("SELECT id_comptag, type_poste FROM compteur WHERE dep = 7 AND type_poste IN ('permanent', 'tournant') AND gestionnai = 'G2'")

@@ -9,28 +9,45 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import vehicle_class
 from ..schemas import HOURS
+from ..scratch import materialise
 
-def whole_files(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """file, lines (array, without trailing empty ones) of the files of a counting device.
+PIECE = ["file", "piece"]
 
-    A file is one row, so one task reads it: such a file holds one counter and
-    some weeks.  Large tables come through ``delimited`` without skipped rows.
+
+def lines_of(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """file, piece, pos, line: the lines of text files, numbered from 0 in each; empty lines are left out.
+
+    Spark cuts a file at byte ranges, so a large one is read by many tasks; a
+    piece is the place where such a range begins.  Lines are numbered within
+    their piece, and the sizes of the pieces before it are added.  What readers
+    carry from line to line goes on from piece to piece in the same way: no step
+    holds a whole file.  The numbered lines are written once, since a reader goes
+    through them several times.
     """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    text = F.regexp_replace(F.decode("content", encoding), r"[\r\n]+$", "")
-    return raw.select(F.col("path").alias("file"), F.split(text, r"\r?\n").alias("lines"))
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    name = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    raw = raw.select(name.alias("file"), F.col("_metadata.file_block_start").alias("piece"), F.decode(F.col("value").cast("binary"), encoding).alias("line"), F.monotonically_increasing_id().alias("id"))
+    rows = raw.withColumn("nth", F.row_number().over(Window.partitionBy(*PIECE).orderBy("id")))
+    sizes = rows.groupBy(*PIECE).agg(F.count("*").alias("n"))
+    before = sizes.select(*PIECE, (F.sum("n").over(Window.partitionBy("file").orderBy("piece")) - F.col("n") - 1).alias("before"))
+    return materialise(rows.join(before, PIECE).select(*PIECE, (F.col("before") + F.col("nth")).alias("pos"), "line").where(F.trim("line") != ""), "lines")
 
 
-def lines_of(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """file, pos, line: the lines of small text files, numbered from 0 in each; empty lines are left out."""
-    return whole_files(spark, path, encoding).select("file", F.posexplode("lines").alias("pos", "line")).where(F.trim("line") != "")
+def head_of(lines: DataFrame, count: int) -> DataFrame:
+    """file, head: the first lines of each file, a null for an empty one."""
+    at = [F.max(F.when(F.col("pos") == k, F.col("line"))) for k in range(count)]
+    return lines.where(F.col("pos") < count).groupBy("file").agg(F.array(*at).alias("head"))
+
+
+def carried(pieces: DataFrame, value: Column, name: str) -> DataFrame:
+    """A sum over the pieces of a file that come before each."""
+    return pieces.withColumn(name, F.coalesce(F.sum(value).over(Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
 
 def delimited(spark: SparkSession, path: str, sep: str = ";", schema: str | None = None, encoding: str = "UTF-8", skip_rows: int = 0) -> DataFrame:
     """A delimited file with a header; empty text is null, é è ê become e.
 
-    ``skip_rows`` lines before the header are left out; that needs a schema, and
-    files that fit in a task.
+    ``skip_rows`` lines before the header are left out; that needs a schema.
     """
     if skip_rows:
         if schema is None:
@@ -52,9 +69,9 @@ def vehicle_tube(spark: SparkSession, path: str) -> DataFrame:
 
     Valid rows, timestamp of text + second + hundredth, class of the silhouette, direction = lane + 1.
     """
-    files = whole_files(spark, path, "ISO-8859-1")
+    lines = lines_of(spark, path, "ISO-8859-1")
     cells = lambda line: F.split(line, r"[\x00\t]")
-    rows = files.select(cells(F.get("lines", F.lit(0))).alias("names"), F.explode(F.slice("lines", F.lit(2), F.size("lines"))).alias("line"))
+    rows = lines.where("pos > 0").join(head_of(lines, 1).select("file", cells(F.get("head", F.lit(0))).alias("names")), "file")
     raw = rows.select("names", cells(F.col("line")).alias("cells")).select(*[F.get("cells", F.array_position("names", F.lit(n)).cast("int")).alias(c) for c, n in TUBE.items()])
     raw = raw.where(F.col("valide").try_cast("double") == 1)
     part = lambda c: F.col(c).cast("double").cast("int")
@@ -68,15 +85,18 @@ def vehicle_radar(spark: SparkSession, path: str) -> DataFrame:
     Rows: direction, day of month, HHmm, SScc, speed after two characters,
     series, class.  A day that falls back means a new month.
     """
-    files = whole_files(spark, path)
-    head = lambda k: F.trim(F.split_part(F.get("lines", F.lit(0)), F.lit("."), F.lit(k + 1)))
+    lines = lines_of(spark, path)
+    head = lambda k: F.trim(F.split_part(F.get("head", F.lit(0)), F.lit("."), F.lit(k + 1)))
     start = F.make_date(2000 + head(5).cast("int"), head(6).cast("int"), head(7).cast("int"))
-    lines = files.select("file", start.alias("start"), F.posexplode(F.slice("lines", F.lit(2), F.size("lines"))).alias("pos", "line")).where("trim(line) <> ''")
     f = F.split(F.trim("line"), " ")
-    rows = lines.select("file", "start", "pos", *[F.get(f, F.lit(k)).alias(c) for k, c in enumerate(("sens", "d", "hm", "sc", "vts", "ser", "type_veh"))]).withColumn("day", F.col("d").cast("int"))
-    w = Window.partitionBy("file").orderBy("pos")
-    fell = F.coalesce((F.col("day") < F.lag("day").over(w)).cast("int"), (F.col("day") < F.dayofmonth("start")).cast("int"))
-    rows = rows.withColumn("fell", fell).withColumn("months", F.sum("fell").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = lines.where("pos > 0").select(*PIECE, "pos", *[F.get(f, F.lit(k)).alias(c) for k, c in enumerate(("sens", "d", "hm", "sc", "vts", "ser", "type_veh"))]).withColumn("day", F.col("d").cast("int"))
+    w, files = Window.partitionBy(*PIECE).orderBy("pos"), Window.partitionBy("file").orderBy("piece")
+    rows = rows.withColumn("fell", F.coalesce((F.col("day") < F.lag("day").over(w)).cast("int"), F.lit(0)))
+    # between pieces: the day before a piece's first one, at the beginning that of the head
+    pieces = rows.groupBy(*PIECE).agg(F.min_by("day", "pos").alias("a"), F.max_by("day", "pos").alias("z"), F.sum("fell").alias("falls")).join(head_of(lines, 1).select("file", start.alias("start")), "file")
+    pieces = pieces.withColumn("step", (F.col("a") < F.coalesce(F.lag("z").over(files), F.dayofmonth("start"))).cast("int"))
+    pieces = carried(pieces, F.col("step") + F.col("falls"), "months").select(*PIECE, "start", (F.col("months") + F.col("step")).alias("so_far"))
+    rows = rows.join(pieces, PIECE).withColumn("months", F.col("so_far") + F.sum("fell").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     date = F.date_add(F.add_months(F.trunc("start", "month"), F.col("months").cast("int")), F.col("day") - 1)
     second = F.concat_ws(".", F.substring("sc", 1, 2), F.substring("sc", 3, 2)).cast("decimal(8,6)")
     at = F.make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), F.substring("hm", 1, 2).cast("int"), F.substring("hm", 3, 2).cast("int"), second)
@@ -94,13 +114,14 @@ FIM_VALUES = 12
 
 
 def _fim_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """file, pos, line, bloc (0 before the first title), code (titles only)."""
+    """file, piece, pos, line, bloc (0 before the first title), code (titles only)."""
     codes = "|".join(c.replace(".", r"\.") for c in sorted([*FIM_CODES, *FIM_REPAIRS, "4."], key=len, reverse=True))
     # eleven fields, the code, and something after it: a line of values ends with its twelfth
     code = F.nullif(F.regexp_extract("line", rf"^(?:[^.]*\.){{11}}\s*({codes})\s+\S", 1), F.lit(""))
     lines = lines_of(spark, path).withColumn("line", F.trim("line")).withColumn("code", code)
-    upto = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("bloc", F.count("code").over(upto))
+    titles = carried(lines.groupBy(*PIECE).agg(F.count("code").alias("n")), F.col("n"), "so_far").drop("n")
+    upto = Window.partitionBy(*PIECE).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.join(titles, PIECE).withColumn("bloc", F.col("so_far") + F.count("code").over(upto)).drop("so_far")
 
 
 def fim_blocks(spark: SparkSession, path: str, velo: bool = False) -> DataFrame:
@@ -126,8 +147,12 @@ def fim_blocks(spark: SparkSession, path: str, velo: bool = False) -> DataFrame:
     of = lambda k: F.create_map(*[F.lit(x) for c, v in FIM_CODES.items() for x in (c, v[k])])[repaired]
     kind, mode = (F.lit("VELO"), F.lit("mode5")) if velo else (of(0), of(1))
     heads = rows.where("code is not null").select("file", "bloc", kind.alias("type_veh"), mode.alias("mode"), F.concat(F.lit("sens"), F.lower(field(4))).alias("sens"))
-    line = F.row_number().over(Window.partitionBy("file", "bloc").orderBy("pos")) - 1
-    values = rows.where("code is null and bloc > 0").withColumn("n", line)
+    # a block can go on in later pieces, where its lines are counted on
+    values = rows.where("code is null and bloc > 0")
+    before = values.groupBy(*PIECE, "bloc").agg(F.count("*").alias("n"))
+    before = before.select(*PIECE, "bloc", (F.sum("n").over(Window.partitionBy("file", "bloc").orderBy("piece")) - F.col("n") - 1).alias("before"))
+    line = F.col("before") + F.row_number().over(Window.partitionBy(*PIECE, "bloc").orderBy("pos"))
+    values = values.join(before, [*PIECE, "bloc"]).withColumn("n", line)
     cells = F.slice(F.split(F.regexp_replace("line", r"\.$", ""), r"\."), 1, FIM_VALUES)
     cells = values.select("file", "bloc", "n", F.posexplode(cells).alias("k", "v")).join(heads, ["file", "bloc"]).join(first, "file")
     at = F.col("start") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("n") * FIM_VALUES + F.col("k")) * F.col("pas"))
@@ -147,12 +172,13 @@ IRIS_ROUTE, IRIS_MARKER, IRIS_SIDE = (4, 16), (5, 16), (2, 22)
 
 def iris_hourly(spark: SparkSession, path: str, dep: int = 16) -> DataFrame:
     """Daily rows H1 to H24 of the csv files in TV and PL folders; Latin-1, dates dd/MM/yyyy; ``_Voie`` files are left out."""
-    files = whole_files(spark, path, "ISO-8859-1").where(F.col("file").endswith(".csv") & ~F.col("file").contains("_Voie"))
-    cell = lambda at: F.get(F.split(F.get("lines", F.lit(at[0])), ";"), F.lit(at[1]))
+    lines = lines_of(spark, path, "ISO-8859-1").where(F.col("file").endswith(".csv") & ~F.col("file").contains("_Voie"))
+    cell = lambda at: F.get(F.split(F.get("head", F.lit(at[0])), ";"), F.lit(at[1]))
     point = F.concat(F.lit(f"{dep}-D"), cell(IRIS_ROUTE), F.lit("-"), cell(IRIS_MARKER))
-    names = F.split(F.get("lines", F.lit(IRIS_HEAD)), ";")
-    data = F.slice("lines", F.lit(IRIS_HEAD + 2), F.greatest(F.size("lines") - (IRIS_HEAD + 1 + IRIS_FOOT), F.lit(0)))
-    rows = files.select(point.alias("id_comptag"), F.concat(F.lit("sens "), F.right(cell(IRIS_SIDE), F.lit(1))).alias("sens"), F.regexp_extract("file", "/(TV|PL)/", 1).alias("indicateur"), names.alias("names"), F.explode(data).alias("line"))
+    names = F.split(F.get("head", F.lit(IRIS_HEAD)), ";")
+    heads = head_of(lines, IRIS_HEAD + 1).select("file", point.alias("id_comptag"), F.concat(F.lit("sens "), F.right(cell(IRIS_SIDE), F.lit(1))).alias("sens"), names.alias("names"))
+    heads = heads.join(lines.groupBy("file").agg((F.max("pos") - IRIS_FOOT).alias("last")), "file")
+    rows = lines.where(F.col("pos") > IRIS_HEAD).join(heads, "file").where("pos <= last").select("id_comptag", "sens", F.regexp_extract("file", "/(TV|PL)/", 1).alias("indicateur"), "names", "line")
     rows = rows.withColumn("cells", F.split("line", ";"))
     get = lambda name: F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1)
     return rows.select("id_comptag", "sens", "indicateur", F.to_date(get("Jours"), "dd/MM/yyyy").alias("jour"), *[get(f"H{k + 1}").try_cast("double").alias(h) for k, h in enumerate(HOURS)])
@@ -169,11 +195,24 @@ def minute_counts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema("station string, minute timestamp_ntz, nb_veh int").csv(path).distinct()
 
 
-def geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Properties and coordinates of a FeatureCollection's features; a null geometry gives null coordinates."""
-    schema = "features array<struct<properties: struct<id: bigint, nom: string>, geometry: struct<type: string, coordinates: array<double>>>>"
-    f = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f"))
-    return f.select("f.properties.id", "f.properties.nom", F.get("f.geometry.coordinates", F.lit(0)).alias("lon"), F.get("f.geometry.coordinates", F.lit(1)).alias("lat"))
+def geojson(spark: SparkSession, path: str, fields: dict[str, str] | None = None) -> DataFrame:
+    """Features of GeoJSON collections, of any properties and geometry: a file or more, one JSON document each.
+
+    ``fields`` names properties and their types; a property that is missing or of
+    another kind is null.  type is that of the geometry; points has the
+    positions of a point (one), a line, or a polygon's rings one behind the
+    other; lon and lat are the first.  A null geometry gives nulls.  proprietes
+    keeps all properties as a variant.
+    """
+    doc = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    f = doc.select(F.explode(F.variant_get(F.try_parse_json("value"), "$.features", "array<variant>")).alias("f"))
+    get = lambda at, kind: F.try_variant_get("f", at, kind)
+    kind, one, line, rings = get("$.geometry.type", "string"), get("$.geometry.coordinates", "array<double>"), get("$.geometry.coordinates", "array<array<double>>"), get("$.geometry.coordinates", "array<array<array<double>>>")
+    points = F.when(kind == "Point", F.array(one)).when(kind.isin("LineString", "MultiPoint"), line).when(kind.isin("Polygon", "MultiLineString"), F.flatten(rings))
+    position = lambda p: F.struct(F.get(p, F.lit(0)).alias("lon"), F.get(p, F.lit(1)).alias("lat"))
+    out = f.select(*[get(f"$.properties['{name}']", t).alias(name) for name, t in (fields or {}).items()], kind.alias("type"), F.transform(points, position).alias("points"), get("$.properties", "variant").alias("proprietes"))
+    first = F.get("points", F.lit(0))
+    return out.select(*(fields or {}), "type", first["lon"].alias("lon"), first["lat"].alias("lat"), "points", "proprietes")
 
 
 def catalog(df: DataFrame, dep: int | None = None, type_poste: str | Sequence[str] | None = None, gestionnai: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,85 @@ def test_geojson_collections_are_bounded(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(files, "fresh_path", lambda spark, kind: f"{tmp_path}/{kind}")
     assert QUERIES["src_geojson"](spark, f"{tmp_path}/d").count() == 2500
     assert len(spark.read.text(f"{tmp_path}/geojson").collect()) == 3
+
+
+@pytest.fixture
+def pieces(spark):
+    """Files are cut every so many bytes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum") if spark.conf.get(k, None)}
+
+    def cut(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", str(size))
+
+    yield cut
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def written(tmp_path, name, lines, encoding="utf-8"):
+    path = tmp_path / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes("".join(x + ("\r\n" if k % 2 else "\n") for k, x in enumerate(lines)).encode(encoding))
+    return f"file://{tmp_path}"
+
+
+def device(kind, days=200):
+    """Lines of a device's file that spans many pieces."""
+    if kind == "tube":
+        head = "\t".join([*rd.TUBE.values(), ""])
+        return [head, *("\t".join(["", "1", f"{1 + k % 28:02d}/03/2021 {k % 24:02d}:{k % 60:02d}", str(k % 60), str(k % 100), str(k % 14), str(k % 2), str(k % 90)]) for k in range(20 * days))]
+    if kind == "radar":
+        when = [dt.date(2021, 1, 20) + dt.timedelta(days=k) for k in range(days)]
+        return ["RADAR.1.2.3.4. 21. 01. 20.0", *(f"1 {d:%d} {h:02d}15 3000 V={h + 30} {h} vl" for d in when for h in range(0, 24, 2))]
+    if kind == "fim":
+        out = []
+        for block in range(6):
+            out.append(f"17. 0016. 0103. 00. {block % 2 + 1}. 21. 03. 01. 00. 00. 60.   4.{'VP'[block // 2 % 2]}   +46.1234.5678.-0.6123.4567.")
+            out += ["".join(f"{(k * 12 + c + block) % 500:5d}." for c in range(12)) for k in range(days)]
+        return out
+    pad = lambda n, last: ";" * n + last
+    head = [{2: pad(22, "Sens n°1"), 4: pad(16, "7"), 5: pad(16, "3+10")}.get(k, f"ligne {k}" + ";" * 24) for k in range(rd.IRIS_HEAD)]
+    rows = [f"mesuré;{dt.date(2021, 1, 1) + dt.timedelta(days=k):%d/%m/%Y};" + ";".join(str(k % 100 + h) for h in range(24)) for k in range(days)]
+    return [*head, ";".join(["Etat", "Jours", *(f"H{k}" for k in range(1, 25))]), *rows, *(f"Moyenne {k}" + ";" * 24 for k in range(rd.IRIS_FOOT)), ""]
+
+
+READERS = {"tube": rd.vehicle_tube, "radar": rd.vehicle_radar, "fim": rd.fim_blocks, "iris": rd.iris_hourly}
+
+
+@pytest.mark.parametrize("kind", READERS)
+def test_a_file_in_many_pieces_gives_the_same_rows(spark, tmp_path, pieces, kind):
+    lines = device(kind)
+    path = written(tmp_path / "data", "TV/a+b c.csv", lines, "latin-1" if kind in ("tube", "iris") else "utf-8")
+    rows = lambda: sorted((tuple(r) for r in READERS[kind](spark, path).collect()), key=repr)
+    pieces(1 << 30)
+    whole = rows()
+    assert rd.lines_of(spark, path, "ISO-8859-1").select("piece").distinct().count() == 1
+    pieces(997)
+    assert rd.lines_of(spark, path, "ISO-8859-1").select("piece").distinct().count() > 8
+    assert rows() == whole and len(whole) >= 200
+    if kind == "radar":
+        assert {r[1].date() for r in whole} == {dt.date(2021, 1, 20) + dt.timedelta(days=k) for k in range(200)}
+    if kind == "fim":
+        assert len(whole) == 6 * 200 * 12 and max(r[4] for r in whole) == dt.datetime(2021, 3, 1) + dt.timedelta(hours=200 * 12 - 1)
+    if kind == "iris":
+        assert [r[3] for r in sorted(whole, key=lambda r: r[3])] == [dt.date(2021, 1, 1) + dt.timedelta(days=k) for k in range(200)]
+
+
+def test_lines_are_numbered_across_pieces(spark, tmp_path, pieces):
+    lines = [f"{k}" if k % 7 else "" for k in range(5000)]
+    path = written(tmp_path / "data", "x.txt", lines)
+    pieces(500)
+    assert sorted((r.pos, r.line) for r in rd.lines_of(spark, path).collect()) == [(k, x) for k, x in enumerate(lines) if x]
+
+
+def test_geojson_of_any_properties_and_geometry(spark, tmp_path):
+    """A collection of counts without geometry, as deliveries have it, and lines, polygons, odd values."""
+    written(tmp_path / "a", "counts.json", ['{"type": "FeatureCollection", "name": "comptage.compteur", "features": [', '{"type": "Feature", "geometry": null, "properties": {"id_comptag": "17-D1-2+3", "id_uniq": 0, "tmja": 2002, "pc_pl": 5}},', '{"type": "Feature", "geometry": null, "properties": {"id_comptag": "17-D1-2+4", "id_uniq": 1, "tmja": "many", "pc_pl": 5.5}}]}'])
+    got = rd.geojson(spark, f"file://{tmp_path}/a", {"id_comptag": "string", "id_uniq": "bigint", "tmja": "int", "pc_pl": "double", "none": "string"}).drop("proprietes")
+    assert [tuple(r) for r in got.orderBy("id_uniq").collect()] == [("17-D1-2+3", 0, 2002, 5.0, None, None, None, None, None), ("17-D1-2+4", 1, None, 5.5, None, None, None, None, None)]
+    shapes = {"Point": [1.5, 2], "LineString": [[1, 2], [3, 4.5]], "Polygon": [[[0, 0], [4, 0], [4, 4], [0, 0]], [[1, 1], [2, 1], [2, 2], [1, 1]]]}
+    written(tmp_path / "b", "shapes.json", [json.dumps({"features": [{"properties": {"k": k, "deep": {"x": [1, {"y": 2}]}}, "geometry": {"type": k, "coordinates": c}} for k, c in shapes.items()]})])
+    written(tmp_path / "b", "broken.json", ["{"])
+    got = {r.k: r for r in rd.geojson(spark, f"file://{tmp_path}/b", {"k": "string"}).selectExpr("*", "variant_get(proprietes, '$.deep.x[1].y', 'int') AS y").collect()}
+    assert {k: (r.type, r.lon, r.lat, len(r.points), r.y) for k, r in got.items()} == {"Point": ("Point", 1.5, 2.0, 1, 2), "LineString": ("LineString", 1.0, 2.0, 2, 2), "Polygon": ("Polygon", 0.0, 0.0, 8, 2)}
