@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
+
 #: Fixed values of the Lambert-93 projection (EPSG 2154, method 9802 on GRS80).
 A, E2 = 6378137.0, 0.006694380022900787
 LON0, LAT0, LAT1, LAT2, X0, Y0 = 3.0, 46.5, 44.0, 49.0, 700000.0, 6600000.0
@@ -129,21 +131,78 @@ def section_tree(points: DataFrame, edges: DataFrame, sections: DataFrame, dista
     return member.join(best, "gid", "left").select("id", "gid", "id_comptag")
 
 
-def within_zone(points: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
-    """Points inside polygons (``ring``: array of structs x, y), by ray casting; only zones of the point's cell are tried."""
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    box = lambda v: F.explode(F.sequence(F.floor(F.array_min(v) / cell), F.floor(F.array_max(v) / cell)))
-    z = zones.withColumn("cx", box(xs)).withColumn("cy", box(ys))
-    j = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)}).join(z, ["cx", "cy"])
-    turned = F.concat(F.slice("ring", 2, F.size("ring") - 1), F.slice("ring", 1, 1))
-
-    def crosses(a: Column, b: Column) -> Column:
-        spans = (a["y"] > F.col("y")) != (b["y"] > F.col("y"))
-        at = a["x"] + (F.col("y") - a["y"]) * (b["x"] - a["x"]) / F.nullif(b["y"] - a["y"], F.lit(0.0))
-        return F.when(spans & (F.col("x") < at), 1).otherwise(0)
+def zone_cover(zones: DataFrame, depth: int = 6) -> DataFrame:
+    """Cells that cover each zone: k (cells are 2^k wide), cx, cy, plein (wholly inside), aretes (edges to test otherwise).
 
-    crossings = F.aggregate(F.zip_with("ring", turned, crosses), F.lit(0), lambda s, v: s + v)
-    return j.where(crossings % 2 == 1).drop("cx", "cy", "ring")
+    ``zones``: ``rings``, an array of rings (arrays of structs x, y); a point is
+    inside when a ray to the right meets an odd number of edges, so that inner
+    rings are holes and further outer ones are parts.  A zone begins as one to
+    four cells of its own size.  Cells that an edge touches are quartered
+    ``depth`` times, others stay as they are or go, so that the cells grow with
+    the outline and not with the area: some 4 * 2^depth of a zone, however large.
+    A cell keeps the edges of its own height that reach to its right side or
+    beyond its left one, which decide every point in it.
+    """
+    turned = lambda r: F.concat(F.slice(r, 2, F.size(r) - 1), F.slice(r, 1, 1))
+    edge = lambda a, b: F.struct(a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1"))
+    rings = F.filter("rings", lambda r: F.size(r) > 0)
+    z = zones.withColumn("aretes", F.flatten(F.transform(rings, lambda r: F.zip_with(r, turned(r), edge)))).where(F.size("aretes") > 0).drop("rings")
+    ends = lambda axis: F.flatten(F.transform("aretes", lambda e: F.array(e[f"{axis}0"], e[f"{axis}1"])))
+    z = z.withColumns({f"{f}_{axis}": g(ends(axis)) for axis in "xy" for f, g in (("lo", F.array_min), ("hi", F.array_max))})
+    side = F.greatest(F.col("hi_x") - F.col("lo_x"), F.col("hi_y") - F.col("lo_y"), F.lit(1e-3))
+    z = z.withColumn("k", F.ceil(F.log2(side)).cast("int"))
+    across = lambda axis: F.explode(F.sequence(F.floor(F.col(f"lo_{axis}") / F.pow(F.lit(2.0), "k")), F.floor(F.col(f"hi_{axis}") / F.pow(F.lit(2.0), "k"))))
+    z = z.withColumn("cx", across("x")).withColumn("cy", across("y")).drop("lo_x", "hi_x", "lo_y", "hi_y").withColumn("plein", F.lit(None).cast("boolean"))
+    z = _classified(z)
+    for _ in range(depth):
+        half = lambda c, d: (F.col(c) * 2 + d).alias(c)
+        open_ = F.col("plein").isNull()
+        four = F.array(*[F.struct((F.col("k") - 1).alias("k"), half("cx", dx), half("cy", dy)) for dx in (0, 1) for dy in (0, 1)])
+        parts = F.explode(F.when(open_, four).otherwise(F.array(F.struct("k", "cx", "cy"))))
+        z = _classified(z.select(*[c for c in z.columns if c not in ("k", "cx", "cy")], parts.alias("c")).select("*", "c.*").drop("c"))
+    return z.withColumn("plein", F.coalesce("plein", F.lit(False)))
+
+
+def _crossings(edges: Column, x: Column, y: Column) -> Column:
+    """Edges that a ray from a point to the right meets."""
+    at = lambda e: e["x0"] + (y - e["y0"]) * (e["x1"] - e["x0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0))
+    return F.size(F.filter(edges, lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (x < at(e))))
+
+
+def _classified(cells: DataFrame) -> DataFrame:
+    """Cells that no edge touches are inside or dropped; the others keep the edges that matter for them."""
+    w = F.pow(F.lit(2.0), "k")
+    x0, y0 = F.col("cx") * w, F.col("cy") * w
+    x1, y1 = x0 + w, y0 + w
+    band = F.filter("aretes", lambda e: (F.greatest(e["y0"], e["y1"]) >= y0) & (F.least(e["y0"], e["y1"]) <= y1) & (F.greatest(e["x0"], e["x1"]) >= x0))
+    c = cells.withColumn("aretes", F.when(F.col("plein").isNull(), band))
+
+    def touches(e: Column) -> Column:
+        """Not to the right of the cell, and with a corner on each side, or on the line."""
+        side = lambda x, y: (e["x1"] - e["x0"]) * (y - e["y0"]) - (e["y1"] - e["y0"]) * (x - e["x0"])
+        corners = [side(x, y) for x in (x0, x1) for y in (y0, y1)]
+        return (F.least(e["x0"], e["x1"]) <= x1) & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
+
+    inside = _crossings(F.col("aretes"), (x0 + x1) / 2, (y0 + y1) / 2) % 2 == 1
+    c = c.withColumn("plein", F.when(F.col("plein").isNotNull(), F.col("plein")).when(~F.exists("aretes", touches), inside))
+    return c.where(F.coalesce("plein", F.lit(True))).withColumn("aretes", F.when(F.col("plein").isNull(), F.col("aretes")))
+
+
+def within_zone(points: DataFrame, zones: DataFrame, depth: int = 6) -> DataFrame:
+    """Points inside zones (``rings``: arrays of rings, arrays of structs x, y, holes among them), with the zone's other columns.
+
+    Points meet the cells of ``zone_cover`` by an equi-join on each size that
+    cells have; in a cell that lies wholly inside nothing more is asked, in one
+    on the outline the ray is cast at the edges that it keeps.
+    """
+    cover = materialise(zone_cover(zones, depth), "zone-cover")
+    sizes = sorted(r[0] for r in cover.select("k").distinct().collect())  # at most one for each power of two
+    if not sizes:
+        return points.join(cover.drop("k", "cx", "cy", "plein", "aretes"), F.lit(False))
+    p = points.where(~F.isnan("x") & ~F.isnan("y")).withColumn("k", F.explode(F.array(*[F.lit(k) for k in sizes])))
+    cell = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), "k"))
+    j = p.withColumns({"cx": cell("x"), "cy": cell("y")}).join(cover, ["k", "cx", "cy"])
+    return j.where(F.col("plein") | (_crossings(F.col("aretes"), F.col("x"), F.col("y")) % 2 == 1)).drop("k", "cx", "cy", "plein", "aretes")
 
 
 def split_by_section(points: DataFrame, segments: DataFrame, distance: float, cell: float | None = None) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,27 +14,49 @@ LIMIT, DEGREE = 10_000.0, 4
 PARTS = (("bas", lambda x: x < LIMIT, DEGREE), ("haut", lambda x: x >= LIMIT, 1))
 
 
-def fit(df: DataFrame, raw: str, true: str) -> dict[str, list[float]]:
-    """Two least-squares fits: degree 4 below ``LIMIT``, a line from it on.
+def _factor(rows: np.ndarray) -> np.ndarray:
+    """The triangle of a QR factorisation: all that least squares need to know of rows (powers, then the value)."""
+    return np.linalg.qr(rows, mode="r") if len(rows) else rows
+
+
+def _solved(triangle: np.ndarray) -> list[float]:
+    """Coefficients; a power that adds nothing gets 0."""
+    r, t = triangle[:, :-1], triangle[:, -1]
+    c = np.linalg.lstsq(r, t, rcond=None)[0]
+    return c.tolist()
 
-    Each is the solution of the normal equations, whose sums Spark aggregates
-    in one pass over both; the driver gets the sums, whatever the number of rows.
+
+def fit(df: DataFrame, raw: str, true: str, fan: int = 64) -> dict[str, list[float]]:
+    """Two least-squares fits: degree 4 below ``LIMIT``, a line from it on; zeros where there are no rows.
+
+    Tasks factor the rows of their batches, and the triangles of their batches
+    together; triangles of ``fan`` tasks are factored together until one is
+    left.  This is as exact as a QR factorisation of all rows, where the sums of
+    powers of the normal equations would lose half of the digits.  A task holds
+    a batch and some triangles of six columns.
     """
-    z, y = F.col(raw) / LIMIT, F.col(true)
-    sums = []
-    for name, part, degree in PARTS:
-        own = lambda v, p=part: F.sum(F.when(p(F.col(raw)), v))
-        sums += [own(F.pow(z, F.lit(float(k)))).alias(f"{name}_s{k}") for k in range(2 * degree + 1)]
-        sums += [own(F.pow(z, F.lit(float(k))) * y).alias(f"{name}_t{k}") for k in range(degree + 1)]
-    row = df.where(y.isNotNull()).agg(*sums).first()
-    out = {}
-    for name, _, degree in PARTS:
-        if not row[f"{name}_s0"]:
-            out[name] = [0.0] * (degree + 1)
-            continue
-        a = np.array([[row[f"{name}_s{i + j}"] for j in range(degree + 1)] for i in range(degree + 1)])
-        out[name] = np.linalg.lstsq(a, np.array([row[f"{name}_t{k}"] for k in range(degree + 1)]), rcond=None)[0].tolist()
-    return out
+    known = df.where(F.col(true).isNotNull() & F.col(raw).isNotNull()).select(F.col(raw).cast("double").alias("z"), F.col(true).cast("double").alias("y"))
+    schema = "part long, partie string, r array<array<double>>"
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = {name: np.zeros((0, degree + 2)) for name, _, degree in PARTS}
+        for batch in batches:
+            for name, part, degree in PARTS:
+                b = batch[part(batch["z"])]
+                rows = np.column_stack([np.vander(b["z"].to_numpy() / LIMIT, degree + 1, increasing=True), b["y"].to_numpy()])
+                held[name] = _factor(np.vstack([held[name], rows]))
+        yield pd.DataFrame([(TaskContext.get().partitionId(), name, r.tolist()) for name, r in held.items() if len(r)], columns=["part", "partie", "r"])
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("part")
+        r = _factor(np.vstack([np.array([list(x) for x in r]) for r in rows["r"]]))
+        return pd.DataFrame([(int(rows["part"].min()) // fan, rows["partie"].iloc[0], r.tolist())], columns=["part", "partie", "r"])
+
+    parts = known.mapInPandas(first, schema)
+    for _ in range(2):
+        parts = parts.groupBy("partie", F.expr(f"part div {fan}")).applyInPandas(merge, schema)
+    found = {r["partie"]: np.array([list(x) for x in r["r"]]) for r in parts.groupBy("partie").applyInPandas(merge, schema).collect()}
+    return {name: _solved(found[name]) if name in found else [0.0] * (degree + 1) for name, _, degree in PARTS}
 
 
 def split(df: DataFrame, key: str, test: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -226,30 +226,47 @@ def bld_obs_new_point(spark, d):
 
 
 def measured(spark, d):
-    """Raw records with the true value beside them: a curve below the limit, a line above."""
+    """Raw records with the true value beside them: a curve below the limit, a line above, and an error of a tenth at most."""
     c = ck.vehicle_outliers(calibrated(spark, d).withColumn("Length", F.when(F.col("event_id") % 3 == 0, F.col("Length") * 20 + 10_000).otherwise(F.col("Length") * 60)))
-    z = F.col("Length") / mo.LIMIT
-    return c.withColumn("vrai", F.when(F.col("Length") < mo.LIMIT, 1 + 2 * z - z * z + 3 * F.pow(z, F.lit(3.0)) + F.pow(z, F.lit(4.0))).otherwise(4 * z + 2))
+    z, error = F.col("Length") / mo.LIMIT, (F.col("event_id") * 7919 % 1000 - 499.5) / 5000
+    return c.withColumn("vrai", error + F.when(F.col("Length") < mo.LIMIT, 1 + 2 * z - z * z + 3 * F.pow(z, F.lit(3.0)) + F.pow(z, F.lit(4.0))).otherwise(4 * z + 2))
 
 
-#: The true curve of ``measured``, which both fits must find again.
+#: The same records, and both fits by projecting powers on the lower ones, row by row, in place of a factorisation.
 _MEASURED = f"""
-SELECT event_id, len, CASE WHEN len < 10000 THEN 1 + 2 * z - z * z + 3 * pow(z, 3) + pow(z, 4) ELSE 4 * z + 2 END AS vrai, {_FAIL} AS fail
-FROM (SELECT *, len / 10000 AS z FROM (SELECT event_id, advice, speed, CASE WHEN event_id % 3 = 0 THEN len * 20 + 10000 ELSE len * 60 END AS len FROM ({_RAW})))"""
+v AS (SELECT event_id, z, low, fail, (event_id * 7919 % 1000 - 499.5) / 5000 + CASE WHEN low THEN 1 + 2 * z - z * z + 3 * pow(z, 3) + pow(z, 4) ELSE 4 * z + 2 END AS vrai
+  FROM (SELECT event_id, len / 10000 AS z, len < 10000 AS low, {_FAIL} AS fail FROM (SELECT event_id, advice, speed, CASE WHEN event_id % 3 = 0 THEN len * 20 + 10000 ELSE len * 60 END AS len FROM ({_RAW})))),
+l AS (SELECT z, vrai AS y FROM v WHERE low AND event_id % 5 > 0),
+p1 AS (SELECT *, z - (SELECT avg(z) FROM l) AS q1 FROM l),
+p2 AS (SELECT *, pow(z, 2) - (SELECT avg(pow(z, 2)) FROM l) - q1 * (SELECT sum(q1 * pow(z, 2)) / sum(q1 * q1) FROM p1) AS q2 FROM p1),
+p3 AS (SELECT *, pow(z, 3) - (SELECT avg(pow(z, 3)) FROM l) - q1 * (SELECT sum(q1 * pow(z, 3)) / sum(q1 * q1) FROM p1) - q2 * (SELECT sum(q2 * pow(z, 3)) / sum(q2 * q2) FROM p2) AS q3 FROM p2),
+p4 AS (SELECT *, pow(z, 4) - (SELECT avg(pow(z, 4)) FROM l) - q1 * (SELECT sum(q1 * pow(z, 4)) / sum(q1 * q1) FROM p1) - q2 * (SELECT sum(q2 * pow(z, 4)) / sum(q2 * q2) FROM p2) - q3 * (SELECT sum(q3 * pow(z, 4)) / sum(q3 * q3) FROM p3) AS q4 FROM p3),
+f4 AS (SELECT sum(q4 * y) / sum(q4 * q4) AS c4 FROM p4),
+f3 AS (SELECT c4, sum(q3 * (y - c4 * pow(z, 4))) / sum(q3 * q3) AS c3 FROM p4, f4 GROUP BY ALL),
+f2 AS (SELECT c4, c3, sum(q2 * (y - c4 * pow(z, 4) - c3 * pow(z, 3))) / sum(q2 * q2) AS c2 FROM p4, f3 GROUP BY ALL),
+f1 AS (SELECT c4, c3, c2, sum(q1 * (y - c4 * pow(z, 4) - c3 * pow(z, 3) - c2 * z * z)) / sum(q1 * q1) AS c1 FROM p4, f2 GROUP BY ALL),
+f0 AS (SELECT c4, c3, c2, c1, avg(y - c4 * pow(z, 4) - c3 * pow(z, 3) - c2 * z * z - c1 * z) AS c0 FROM p4, f1 GROUP BY ALL),
+h AS (SELECT regr_slope(vrai, z) AS d1, regr_intercept(vrai, z) AS d0 FROM v WHERE NOT low AND event_id % 5 > 0),
+a AS (SELECT v.*, CASE WHEN low THEN c0 + z * (c1 + z * (c2 + z * (c3 + z * c4))) ELSE d0 + d1 * z END AS p FROM v, f0, h)"""
 
 
-@query("SELECT unnest(['bas', 'bas', 'bas', 'bas', 'bas', 'haut', 'haut']) AS partie, unnest([0, 1, 2, 3, 4, 0, 1]) AS degre, unnest([1.0, 2.0, -1.0, 3.0, 1.0, 2.0, 4.0]) AS coefficient")
+@query(f"""
+WITH {_MEASURED}, t AS (SELECT CASE WHEN low THEN 'bas' ELSE 'haut' END AS partie, count(*) AS n, sqrt(avg(pow(vrai - p, 2))) AS rmse FROM a WHERE event_id % 5 = 0 GROUP BY 1)
+SELECT partie, degre, round(coefficient, 5) AS coefficient, n, round(rmse, 6) AS rmse FROM t JOIN (
+  SELECT unnest(['bas', 'bas', 'bas', 'bas', 'bas', 'haut', 'haut']) AS partie, unnest([0, 1, 2, 3, 4, 0, 1]) AS degre, unnest([c0, c1, c2, c3, c4, d0, d1]) AS coefficient FROM f0, h) USING (partie)""")
 def ml_length_speed_fit(spark, d):
-    """Coefficients of both fits, from the learning rows."""
-    m = mo.fit(mo.split(measured(spark, d), "event_id")[0], "Length", "vrai")
-    rows = [(name, k, round(c, 3) + 0.0) for name, cs in m.items() for k, c in enumerate(cs)]
-    return spark.createDataFrame(rows, "partie string, degre int, coefficient double")
+    """Coefficients of both fits from four rows in five, and how well they do on the fifth."""
+    df = measured(spark, d)
+    m = mo.fit(df.where("event_id % 5 > 0"), "Length", "vrai")
+    rows = spark.createDataFrame([(name, k, round(c, 5) + 0.0) for name, cs in m.items() for k, c in enumerate(cs)], "partie string, degre int, coefficient double")
+    test = mo.apply(df.where("event_id % 5 = 0").withColumn("fail", F.array().cast("array<string>")), "Length", m, "p")
+    return rows.join(mo.fit_quality(test, "Length", "vrai", "p").select("partie", "n", F.round("rmse", 6).alias("rmse")), "partie")
 
 
-@query(f"SELECT event_id, round(vrai, 3) AS vrai, CASE WHEN NOT regexp_matches(fail, 'longueur|vitesse|value0') THEN round(vrai, 3) END AS longueur FROM ({_MEASURED})")
+@query(f"WITH {_MEASURED} SELECT event_id, round(vrai, 3) AS vrai, CASE WHEN NOT regexp_matches(fail, 'longueur|vitesse|value0') THEN round(p, 3) END AS longueur FROM a")
 def ml_length_speed_apply(spark, d):
     df = measured(spark, d)
-    model = mo.fit(mo.split(df, "event_id")[0], "Length", "vrai")
+    model = mo.fit(df.where("event_id % 5 > 0"), "Length", "vrai")
     return mo.apply(df, "Length", model, "longueur").select("event_id", F.round("vrai", 3).alias("vrai"), F.round("longueur", 3).alias("longueur"))
 
 

@@ -71,11 +71,19 @@ def join_section_tree(spark, d):
     return geo.section_tree(S.compteur(spark, d), s.withColumnRenamed("gid", "id"), sections, DIST, cell=CELL)
 
 
-@query("SELECT id_comptag, gid FROM compteur, sections WHERE x >= x0 AND x < x1 AND y >= y0 AND y < y1")
+@query("""
+SELECT id_comptag, gid FROM compteur, sections WHERE x >= x0 AND x < x1 AND y >= y0 AND y < y1 AND NOT (x >= x0 + 100 AND x < x1 - 100 AND y >= y0 + 40 AND y < y1 - 40)
+UNION ALL SELECT id_comptag, gid FROM compteur, sections WHERE x >= x0 + 120 AND x < x1 - 120 AND y >= y0 + 50 AND y < y1 - 50""")
 def join_within_zone(spark, d):
-    corner = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
-    zones = S.sections(spark, d).select("gid", F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1")).alias("ring"))
-    return geo.within_zone(S.compteur(spark, d).select("id_comptag", "x", "y"), zones, 200.0).select("id_comptag", "gid")
+    """Zones with a hole, and an island in the hole."""
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
+    def box(dx, dy):
+        x0, y0, x1, y1 = F.col("x0") + dx, F.col("y0") + dy, F.col("x1") - dx, F.col("y1") - dy
+        return F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1))
+
+    zones = S.sections(spark, d).select("gid", F.array(box(0, 0), box(100, 40), box(120, 50)).alias("rings"))
+    return geo.within_zone(S.compteur(spark, d).select("id_comptag", "x", "y"), zones).select("id_comptag", "gid")
 
 
 def roads(spark, d):

@@ -204,7 +204,7 @@ def geojson(spark: SparkSession, path: str, fields: dict[str, str] | None = None
     other; lon and lat are the first.  A null geometry gives nulls.  proprietes
     keeps all properties as a variant.
     """
-    doc = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    doc = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     f = doc.select(F.explode(F.variant_get(F.try_parse_json("value"), "$.features", "array<variant>")).alias("f"))
     get = lambda at, kind: F.try_variant_get("f", at, kind)
     kind, one, line, rings = get("$.geometry.type", "string"), get("$.geometry.coordinates", "array<double>"), get("$.geometry.coordinates", "array<array<double>>"), get("$.geometry.coordinates", "array<array<array<double>>>")

@@ -61,7 +61,7 @@ class Table:
         place, fs = self._folder("manifests")
         found = sorted((f.getPath().getName() for f in fs.listStatus(place)), reverse=True) if fs.exists(place) else []
         for name in found:
-            text = self.spark.read.option("wholetext", True).text(f"{self.path}/manifests/{name}").first()
+            text = self.spark.read.text(f"{self.path}/manifests/{name}", wholetext=True).first()
             try:
                 return Manifest(**json.loads(text[0] if text else ""))
             except ValueError:
