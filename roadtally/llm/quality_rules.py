@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, let, materialise, text_or_empty, words_of
+from .common import let, materialise, text_or_empty, words_of
 
 MIN_CHARS, MIN_WORDS = 200, 50
 BINS, SPREAD = 16, 2.8
@@ -38,6 +38,9 @@ RARE = 1000
 CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{N}", r"[\x20\x09-\x0D]", r"[.,;:!?'\"()\-]")
 
 
+SPACES = 3
+
+
 def covered_words(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in the array."""
 
@@ -73,14 +76,14 @@ def _text(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None) ->
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """Base counts and the histogram of character classes of each row."""
-    rows = _text(docs, id_col, text_col, lang_col).withColumn("w", words_of(F.col("t")))
-    left = lambda pattern: F.length(F.regexp_replace("t", pattern, "")).cast("double")
-    counts = [F.length("t") - left(p + "+") for p in CLASSES]
-    rows = rows.select(
-        "doc_id", "th", "lang", F.length("t").alias("n_chars"), F.size("w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("t", SPACE_CLASS + "+", "")).cast("long").alias("word_chars"),
-        (F.size(F.split("t", "[#*$%&|<>]", -1)) - 1).cast("long").alias("n_symbols"),
-        _lines(F.col("t")).alias("n_dup_lines"), covered_words(F.col("w")).alias("n_repeat_words"), F.array(*counts).alias("classes"),
+    rows = _text(docs, id_col, text_col, lang_col).withColumn("t0", F.col("t"))
+    for k, pattern in enumerate(CLASSES):  # no character is in two classes: each is looked for in what the ones before it leave
+        rows = rows.withColumn(f"t{k + 1}", F.regexp_replace(f"t{k}", pattern + "+", ""))
+    counts = [F.length(f"t{k}") - F.length(f"t{k + 1}") for k in range(len(CLASSES))]
+    rows = rows.withColumn("w", words_of(F.col("t"))).select(
+        "doc_id", "th", "lang", F.length("t").alias("n_chars"), F.size("w").cast("long").alias("n_words"), (F.length("t") - counts[SPACES]).cast("long").alias("word_chars"),
+        (F.size(F.split(f"t{len(CLASSES)}", "[#*$%&|<>]", -1)) - 1).cast("long").alias("n_symbols"),
+        _lines(F.col("t")).alias("n_dup_lines"), covered_words(F.col("w")).alias("n_repeat_words"), F.array(*[c.cast("double") for c in counts]).alias("classes"),
     )
     total = F.aggregate("classes", F.lit(0.0), lambda x, y: x + y)
     rows = rows.withColumn("classes", F.concat("classes", F.array(F.greatest(F.lit(0.0), F.col("n_chars") - total))))
