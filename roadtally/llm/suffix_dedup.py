@@ -49,7 +49,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from ..scratch import delete
+from .common import fresh_path, materialise, text_or_empty
 
 LENGTH = 50
 #: Bytes of the first rank, and the offsets of the pairs of the two rounds after it.
@@ -340,22 +341,30 @@ def _last_round(runs: DataFrame) -> DataFrame:
     return each.groupBy("h", "h2", "unit", "lo", "hi").agg(F.sum("bit").alias("mask")).where("mask <> 0 or lo < hi")
 
 
-def _dealt(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> str:
-    """Writes the texts by unit; returns the name of the table."""
+def _dealt(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, path: str) -> str:
+    """Writes the texts by unit to ``path``; returns the name of the table."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-size // UNIT) or 1)).alias("unit")
     rows = rows.select(unit, F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.col("doc_id").isNotNull().alias("known"), F.col("text").cast("binary").alias("text"))
     table = f"texts_{uuid.uuid4().hex}"
-    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit").option("compression", "zstd").saveAsTable(table)
+    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit").option("compression", "zstd").option("path", path).saveAsTable(table)
     return table
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes."""
-    spark = docs.sparkSession
-    table = _dealt(spark, docs, id_col, text_col)
-    texts = spark.table(table)
+    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "repeats-texts")
+    table = _dealt(spark, docs, id_col, text_col, path)
+    try:
+        return _without_repeats(spark, spark.table(table), keep_bytes)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+        delete(spark, path)
+
+
+def _without_repeats(spark: SparkSession, texts: DataFrame, keep_bytes: bool) -> DataFrame:
+    """The rounds over the texts by unit; the result is a table of its own."""
     none = spark.createDataFrame([], "unit long, kind byte, h long, h2 long, least long, mask long")
 
     def step(function: Callable, schema: str, *told: DataFrame) -> DataFrame:
@@ -368,6 +377,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     strings = _marks(_last_round(step(_runs, RANKS + ", bytes binary", stretches, contexts)), "repeats-50", STRINGS, "h2", "lo", "mask")
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     names = [f.split()[0] for f in fields.split(", ")]
-    result = materialise(step(lambda rows, found: _cut(rows, found)[names], fields, stretches, contexts, strings), "repeats-result")
-    spark.sql(f"DROP TABLE {table}")
-    return result
+    return materialise(step(lambda rows, found: _cut(rows, found)[names], fields, stretches, contexts, strings), "repeats-result")

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import struct
 import zlib
@@ -238,6 +239,17 @@ def test_repeats_leave_no_table(spark):
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
+def test_repeats_leave_nothing_behind_when_they_fail(spark, monkeypatch):
+    """The texts lie below the shared folder, never in the warehouse, and go with their table."""
+    paths, fresh = [], suffix_dedup.fresh_path
+    monkeypatch.setattr(suffix_dedup, "fresh_path", lambda spark, name: paths.append(fresh(spark, name)) or paths[-1])
+    monkeypatch.setattr(suffix_dedup, "_without_repeats", lambda spark, texts, keep: 1 / (0 if texts.count() and os.listdir(paths[0].removeprefix("file:")) else 1))
+    with pytest.raises(ZeroDivisionError):
+        suffix_dedup.remove_repeats(frame(spark))
+    assert not os.path.exists(paths[0].removeprefix("file:")) and not [t for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+    assert not os.path.exists(warehouse := spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")) or not os.listdir(warehouse)
+
+
 # token files and byte-pair encoding
 
 
