@@ -54,6 +54,7 @@ class Vocabulary:
             self.tokens[rank] = token
         #: All ends of tokens, with their rank or -1: no longer token can end at a place once its end is not in here.
         self.ends = dict.fromkeys((token[i:] for token in ranks for i in range(len(token))), -1) | ranks
+        self.longest = max(map(len, ranks))
         self.pairs: dict[int, bool] = {}
 
     def merge(self, piece: bytes) -> list[bytes]:
@@ -105,10 +106,23 @@ class PrefixEncoder:
                 raise ValueError("a byte is missing from the vocabulary")
 
     def edit(self, start: int, end: int, new: bytes) -> None:
-        """Replace data[start:end]; prefixes up to ``start`` keep their tokens."""
-        rest = new + self.data[end:]
-        self.data, self.last = self.data[:start], self.last[: start + 1]
-        self.append(rest)
+        """Replace data[start:end]; what stands before the edit and far enough behind it keeps its tokens.
+
+        A prefix's last token depends on the bytes and the last tokens of one
+        longest token's length before it.  As soon as that many in a row behind
+        the edit are what they were, all further ones are.
+        """
+        old, rest, shift, length = self.last, self.data[end:], len(new) - (end - start), self.vocabulary.longest
+        self.data, self.last = self.data[:start], old[: start + 1]
+        self.append(new)
+        for at in range(0, len(rest), length):
+            self.append(rest[at : at + length])
+            first = len(self.last) - length
+            if first > max(start + len(new), shift) and self.last[first:] == old[first - shift : len(self.last) - shift]:
+                done = len(self.last)
+                self.last += old[done - shift :]
+                self.data += rest[at + length :]
+                return
 
     def ids(self) -> list[int]:
         end, out = len(self.data), []

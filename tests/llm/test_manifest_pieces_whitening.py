@@ -263,3 +263,31 @@ def test_moments_merge(spark):
     x = np.random.default_rng(3).standard_normal((90, 5)) + 100
     merged = whitening.Moments.of(x[:20]).merge(whitening.Moments.of(x[20:21])).merge(whitening.Moments.of(x[21:]))
     assert merged.n == 90 and np.allclose(merged.mean, x.mean(0)) and np.allclose(merged.products / 90, np.cov(x.T, bias=True))
+
+
+# --- edits of byte pairs
+
+
+def test_edits_near_and_far(spark):
+    """Any edit gives what encoding anew gives; one at the front of a long text costs a small part of that."""
+    import time
+
+    from roadtally.llm import byte_bpe
+
+    v = byte_bpe.Vocabulary(byte_bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")))
+    random.seed(6)
+    text = lambda n: "".join(random.choice(["the ", "count", "ing", " ", "  ", "aaaa", "é", "日本", "12", "xyz"]) for _ in range(n)).encode()
+    for _ in range(300):
+        e = byte_bpe.PrefixEncoder(v, text(random.randrange(120)))
+        for _ in range(3):
+            a = random.randrange(len(e.data) + 1)
+            b = random.randrange(a, min(len(e.data), a + 40) + 1)
+            e.edit(a, b, text(random.randrange(6)))
+            assert e.last == byte_bpe.PrefixEncoder(v, e.data).last
+    data = text(80_000)
+    began = time.perf_counter()
+    e = byte_bpe.PrefixEncoder(v, data)
+    whole, began = time.perf_counter() - began, time.perf_counter()
+    e.edit(10, 11, b"road")
+    assert time.perf_counter() - began < whole / 5 and e.data == data[:10] + b"road" + data[11:]
+    assert e.last == byte_bpe.PrefixEncoder(v, e.data).last
