@@ -148,6 +148,7 @@ def speed_limit(c: Column) -> Column:
     return F.struct(car.alias("vma_vl"), heavy.alias("vma_pl"))
 
 
+#: Edges of the speed classes in km/h.
 SPEED_EDGES = [0, 20, 30, 40, 50, 60, 70, 80, 90, 100, 110, 9999]
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+#: The 24 columns of hourly counts.
 HOURS = [f"h{h}_{h + 1}" for h in range(24)]
 #: The twelve month keys.
 MONTHS = ["janv", "fevr", "mars", "avri", "mai", "juin", "juil", "aout", "sept", "octo", "nove", "dece"]
+#: Days of the week.
 DAYS = ["lundi", "mardi", "mercredi", "jeudi", "vendredi", "samedi", "dimanche"]
+#: Kinds of vehicles, kinds of counters, and the number that stands for an invalid value.
 VEHICLES = ["TV", "VL", "PL", "2R"]
 POST_TYPES = ["permanent", "tournant", "ponctuel"]
 INVALID = -99
@@ -18,6 +21,7 @@ HOLIDAYS = [
     *[(f"{y}-07-01", f"{y}-08-31") for y in range(1992, 2026)],
     *[(f"{y}-12-20", f"{y}-12-31") for y in range(1992, 2026)],
 ]
+#: The stored tables and their columns.
 TABLES = {
     "compteur": ["id_comptag", "dep", "route", "pr", "abs", "gestionnai", "type_poste", "src_geo", "x_l93", "y_l93", "fictif", "concession", "convention"],
     "comptage": ["id_comptag", "annee", "periode", "src", "obs", "type_veh"],
