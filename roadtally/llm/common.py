@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..scratch import fresh_path, materialise, shared_dir  # noqa: F401
+from ..scratch import forget, fresh_path, materialise, shared_dir  # noqa: F401
 
 SPACES = " \t\n\x0b\x0c\r"
 #: Finds a character outside the range in which Python's ``re`` and the tokenizers' patterns agree on

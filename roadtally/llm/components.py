@@ -4,7 +4,8 @@ Each round hangs every node and its neighbours on the smallest label it sees,
 first from larger to smaller labels and then the other way; both are one
 aggregation.  Rounds grow with the logarithm of the longest chain.  A node with
 very many links only meets a ``min`` aggregation, which combines before the
-shuffle, and the join after it is one that Spark can split.
+shuffle, and the join after it is one that Spark can split.  The tables of a
+round go when the next one is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import forget, materialise
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -30,6 +31,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = small.select(F.col("u"), F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         small = materialise(small, "links")
         same = links.count() == small.count() and links.exceptAll(small).isEmpty()
+        forget(large)
+        forget(links)
         links = small
         if same:
             break

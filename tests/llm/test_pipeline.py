@@ -6,9 +6,11 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
 
 import corpus_pipeline
+from roadtally.llm import near_copies
 from roadtally.llm.byte_bpe import load_ranks
 
 from .data import base_rows, frame
@@ -61,6 +63,39 @@ def five(text):
     return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
 
 
+def grouped(texts):
+    """Smallest place reachable by similarities of 0.8, for each text."""
+    sets, group = [five(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                lo, hi = sorted((group[a], group[b]))
+                group = [lo if g == hi else g for g in group]
+    return group
+
+
+def test_near_copies_of_one_text_around_the_limit(spark):
+    """One text, each copy changed in its own way, some copies of copies that share their changes."""
+    draw = random.Random(8)
+    first = [f"w{draw.randrange(300)}" for _ in range(150)]
+    texts = []
+    for k in range(160):
+        words = (draw.choice(texts).split() if texts and k % 5 == 0 else list(first))
+        for _ in range(draw.randrange(1, 3) if k % 5 == 0 else draw.randrange(1, 12)):
+            words[draw.randrange(150)] = f"n{draw.randrange(6)}"
+        texts.append(" ".join(words))
+    group = grouped(texts)
+    assert 20 < len(set(group)) < 140
+    for rare in (near_copies.RARE, 50):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(near_copies, "RARE", rare)
+            got = near_copies.near_components(frame(spark, [(k, t, "en", "a") for k, t in enumerate(texts)])).select("doc_id", "component").collect()
+        least = {}
+        for r in got:
+            least[r["component"]] = min(r["doc_id"], least.get(r["component"], r["doc_id"]))
+        assert [least[r["component"]] for r in sorted(got)] == group
+
+
 def test_near_copies_are_those_of_five_words_and_similarity_08(spark):
     """Copies with some words changed, on both sides of 0.8; most are far more than two bits of a fingerprint apart."""
     draw = random.Random(5)
@@ -75,12 +110,7 @@ def test_near_copies_are_those_of_five_words_and_similarity_08(spark):
                 for _ in range(draw.randrange(1, 1 + n // 30)) if n > 30 else (0,):
                     kept[draw.randrange(n)] = "new"
                 texts.append(" ".join(kept))
-    sets, group = [five(t) for t in texts], list(range(len(texts)))
-    for a in range(len(texts)):
-        for b in range(a):
-            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
-                lo, hi = sorted((group[a], group[b]))
-                group = [lo if g == hi else g for g in group]
+    group = grouped(texts)
     rows = [(k, t, "en", "a") for k, t in enumerate(texts)]
     kept = corpus_pipeline.drop_near_copies(spark, frame(spark, rows).select(*COLUMNS), "")
     assert 5 < len(texts) - len(set(group)) < len(texts) - 20
