@@ -217,10 +217,16 @@ def address_number(c: Column) -> Column:
     return F.struct(F.nullif(part(1), F.lit("")).cast("int").alias("numero"), F.nullif(part(2), F.lit("")).alias("rue"))
 
 
-def reference_folder(path: Column) -> Column:
-    """The folder that stands for both directions: the file's, or the one above a ``vers ...`` folder."""
-    parts = F.split(path, "/")
-    return F.when(F.element_at(parts, -2).contains("vers "), F.element_at(parts, -3)).otherwise(F.element_at(parts, -2))
+def reference_folder(path: Column, root: str = "en_cours") -> Column:
+    """The folder that stands for both directions of a file, by its depth below ``root`` (of the whole path where that is not in it).
+
+    Below three folders it is the middle one; below one or two the last, or the one above where that is a ``vers ...`` folder.
+    Null for files at another depth, and where nothing is above a ``vers ...`` folder.  Both kinds of slashes part folders.
+    """
+    below = F.filter(F.split(F.substring_index(path, root, -1), r"[/\\]"), lambda part: part != "")
+    folders = F.slice(below, 1, F.greatest(F.size(below) - 1, F.lit(0)))
+    at = lambda k: F.get(folders, F.size(folders) - k)
+    return F.when(F.size(folders) == 3, at(2)).when(F.size(folders).isin(1, 2), F.when(at(1).contains("vers "), at(2)).otherwise(at(1)))
 
 
 def post_type_by_files(n: Column) -> Column:

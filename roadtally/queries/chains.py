@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import standins as S
 from ..plans import chains, layouts
 from ..schemas import HOURS, MONTHS
+from ..scratch import materialise
 from . import aggregations  # noqa: F401  (its steps)
 from .registry import STEPS, query
 from .spatial import _NEAREST
@@ -178,3 +180,204 @@ def layout_day_blocks(spark, d):
     k = F.floor(F.col("s_suppkey") / 2).cast("string")
     cells = s.select(F.concat(F.lit("C"), k).alias("id_comptag"), F.lit("2021-03-01").cast("date").alias("jour0"), F.concat(F.lit("f"), F.col("s_suppkey").cast("string")).alias("file"), (5 + 30 * F.col("b") + F.col("h")).alias("line"), "col", value.alias("value"))
     return layouts.day_blocks(cells, 5, 30)
+
+
+@query("""
+SELECT '19-D' || (id % 30 + 1) || '-' || (id % 50) || '+' || (id % 90) AS id_comptag, 'D' || (id % 30 + 1) AS route, CAST(id % 50 AS INTEGER) AS pr, CAST(id % 90 AS INTEGER) AS abs, tmja, CAST(pc_pl AS DOUBLE) AS pc_pl, 'tournant' AS type_poste
+FROM comptage WHERE id % 11 > 0 AND id % 13 > 0 AND id % 17 > 0 AND tmja > 0""")
+def layout_cells(spark, d):
+    """Traffic and share on two lines of a cell; some cells are empty or crossed out, some markers missing."""
+    from dataclasses import replace
+
+    text = lambda c: F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+    cell = F.concat(text("tmja"), F.lit("\n"), F.replace(text("pc_pl"), F.lit("."), F.lit(",")), F.lit("%"))
+    k = F.col("id")
+    c = S.comptage(spark, d).select(
+        F.concat(F.lit("D "), text(k % 30 + 1)).alias("rd"), F.when(k % 17 > 0, F.concat(text(k % 50), F.lit("+"), F.lpad(text(k % 90), 4, "0"))).alias("p_r"),
+        F.when(k % 11 == 0, None).when(k % 13 == 0, "x").otherwise(cell).alias("cellule"),
+    )
+    return layouts.shape_table(c, replace(layouts.ANNUAL_CELLS, dep=19))
+
+
+@query(f"""
+WITH m AS (SELECT *, CAST(substr(id_comptag, 2) AS INTEGER) AS k, ({_MONTH})[mois] AS cle FROM mensuel),
+v AS (SELECT annee, k, cle, CASE WHEN k % 3 > 0 THEN 2 * tmja + 1 ELSE 2 * tmja END AS t, CASE WHEN k % 3 > 0 THEN pc_pl + 0.5 ELSE pc_pl END AS p FROM m)
+SELECT annee AS feuille, k || '-N' || (k % 7 + 1) || '-' || k || '+0' AS id_comptag, cle AS mois, 'tmja' AS indicateur, CAST(trunc(t) AS DOUBLE) AS valeur, CASE WHEN k % 3 = 0 THEN '1 seul sens *2' END AS obs FROM v
+UNION ALL SELECT annee, k || '-N' || (k % 7 + 1) || '-' || k || '+0', cle, 'pc_pl', round(CAST(p AS DOUBLE), 2), NULL FROM v WHERE p > 0""")
+def layout_monthly_sheets(spark, d):
+    """A sheet a year; a counter has two lines, or four: a road's and a marker's of each direction."""
+    k = F.substring("id_comptag", 2, 9).cast("int")
+    one = lambda n, c: F.max(F.when(F.col("mois") == n, F.col(c)))
+    wide = S.mensuel(spark, d).groupBy("annee", k.alias("k")).agg(*[one(n, c).cast("double").alias(f"{c}_{m}") for n, m in enumerate(MONTHS, 1) for c in ("tmja", "pc_pl")])
+    side = F.explode(F.when(F.col("k") % 3 > 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    kind = F.explode(F.array(F.lit(0), F.lit(1)))
+    lines = wide.withColumn("side", side).withColumn("kind", kind)
+    text = F.col("k").cast("string")
+    road = F.concat(F.lit("RN "), (F.col("k") % 7 + 1).cast("string"))
+    value = lambda m: F.when(F.col("kind") == 0, F.col(f"tmja_{m}") + F.col("side")).otherwise((F.col(f"pc_pl_{m}") + F.col("side")) / 100)
+    first = F.col("kind") == 0
+    return layouts.monthly_sheets(lines.select(
+        F.col("annee").alias("feuille"), (F.col("k") * 10 + F.col("side") * 2 + F.col("kind")).alias("ligne"), F.when(first, text).alias("intitule"),
+        F.when(first, road).otherwise(F.concat(text, F.lit(" + 0"))).alias("route"), F.when(first, 1000.0).otherwise(0.1).alias("annuel"), *[value(m).alias(m) for m in MONTHS],
+    ))
+
+
+def sheets_of_loops(spark, d):
+    """A sheet a counter, year and direction: title, hours from the last to the first, days with the date on their first line, an empty line, the means."""
+    h = S.hw(spark, d).withColumn("k", F.substring("id_comptag", 2, 9).cast("int"))
+    h = h.withColumn("feuille", F.concat_ws("-", "id_comptag", F.col("annee").cast("string"), F.col("sens").cast("string")))
+    lost = (F.col("k") + F.col("annee")) % 5 == 0
+    hours = [(F.when(lost, "").otherwise(F.col(c).cast("string")) if k == 5 else F.col(c).cast("string")) for k, c in reversed(list(enumerate(HOURS)))]
+    w = Window.partitionBy("feuille").orderBy("jour", F.desc("indicateur"))
+    day = F.when(F.coalesce(F.lag("jour").over(w) != F.col("jour"), F.lit(True)), F.col("jour").cast("string"))
+    rows = h.select("feuille", "k", (4 + F.row_number().over(w)).alias("ligne"), F.array(day, F.when(F.col("indicateur") == "VL", "TV").otherwise("PL"), *hours).alias("cells"))
+    text = F.col("k").cast("string")
+    sheet = rows.groupBy("feuille", "k").agg(F.max("ligne").alias("last"))
+    line = lambda at, *cells: F.struct(at.cast("int").alias("ligne"), F.array(*[c.cast("string") for c in cells]).alias("cells"))
+    lit = F.lit
+    others = F.array(
+        line(lit(0), F.concat(lit("voie_"), text), F.concat(lit("B"), text)), line(lit(4), lit("jour"), lit("type"), *[lit(f"{k}-{k + 1}h") for k in reversed(range(24))]),
+        line(F.col("last") + 1, lit(None)), line(F.col("last") + 2, lit("Moyenne Jours")),
+    )
+    # the sheets are written once, as a delivery is
+    lines = materialise(rows.select("feuille", "ligne", "cells").union(sheet.select("feuille", F.explode(others).alias("l")).select("feuille", "l.*")), "sheets")
+    n = S.table(spark, d, "supplier").select((F.col("s_suppkey") % 20).alias("k")).distinct().where("k % 3 < 2")
+    text = F.col("k").cast("string")
+    known = n.select(F.when(F.col("k") % 3 == 0, F.concat(F.lit("B"), text)).alias("cle1"), F.when(F.col("k") % 3 == 1, F.concat(F.lit("voie "), text)).alias("cle2"), F.concat(F.lit("Z"), text).alias("id_comptag"))
+    return layouts.hourly_sheets(lines, known, most_zeros=23)
+
+
+_SHEETS = "(SELECT *, id_comptag || '-' || annee || '-' || sens AS feuille, CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM hw)"
+
+
+@query(f"SELECT feuille, 'Z' || k AS id_comptag, jour, CASE indicateur WHEN 'VL' THEN 'TV' ELSE 'PL' END AS indicateur, {', '.join(HOURS)} FROM {_SHEETS} WHERE k % 3 < 2 AND (k + annee) % 5 > 0")
+def layout_hourly_sheets(spark, d):
+    return sheets_of_loops(spark, d)["horaire"]
+
+
+@query(f"SELECT DISTINCT feuille, CASE WHEN k % 3 = 2 THEN 'boucle inconnue' ELSE 'trop de nuls ou de zeros' END AS motif FROM {_SHEETS} WHERE k % 3 = 2 OR (k + annee) % 5 = 0")
+def layout_hourly_sheets_refused(spark, d):
+    return sheets_of_loops(spark, d)["rejets"]
+
+
+@query("""
+WITH p AS (SELECT id, 'Z' || z AS zone, annee, debut, tmja, pc_pl, 'Rue ' || z AS voie, z + 2.0 * (q % (1 + z // 5 % 3)) AS x, CAST(z AS DOUBLE) AS y,
+    CASE WHEN z % 5 = 0 AND q % 7 = 0 THEN 'Double' WHEN z % 5 = 3 OR z % 5 = 4 AND q % 2 = 0 THEN 'Detecteur' ELSE 'Simple' END AS type
+  FROM (SELECT *, id % 300 AS z, id // 300 AS q FROM comptage)),
+n AS (SELECT zone, bool_or(type = 'Double') AS dbl, bool_and(type = 'Simple') AS smp, count(DISTINCT x) FILTER (WHERE type = 'Simple') AS ns, count(DISTINCT x) FILTER (WHERE type = 'Detecteur') AS nd, max(type) = 'Detecteur' AS det FROM p GROUP BY 1),
+c AS (SELECT zone, CASE WHEN dbl THEN 'double' WHEN ns IN (1, 2) THEN CASE WHEN smp THEN 'simple ' ELSE 'mixte ' END || ns WHEN det AND nd = 1 THEN 'detecteur' END AS cas FROM n),
+u AS (SELECT p.*, cas, cas LIKE '% 2' AS paire FROM p JOIN c USING (zone) WHERE type = CASE cas WHEN 'double' THEN 'Double' WHEN 'detecteur' THEN 'Detecteur' ELSE 'Simple' END AND cas IS NOT NULL),
+a AS (SELECT zone, cas, paire, annee, CAST(CASE WHEN paire THEN sum(tmja) ELSE max(tmja) END AS BIGINT) AS tmja, round(CASE WHEN paire THEN avg(pc_pl) ELSE arg_max(pc_pl, (tmja, debut, id)) END, 4) AS pc_pl FROM u GROUP BY zone, cas, paire, annee),
+g AS (SELECT zone, CASE WHEN any_value(paire) THEN (min(x) + max(x)) / 2 ELSE min(x) END AS x, min(y) AS y, min(voie) AS voie, count(DISTINCT CASE WHEN annee BETWEEN 1993 AND 1997 THEN annee END) AS ans FROM u GROUP BY 1)
+SELECT zone, 'LimMet-' || lower(voie) || printf('-%.3f;%.3f', x, y) AS id_comptag, cas, paire AS fictif, x, y, CASE WHEN ans = 5 THEN 'permanent' WHEN ans >= 3 THEN 'tournant' ELSE 'ponctuel' END AS type_poste,
+       CASE WHEN annee < 1995 THEN 'autr' ELSE CAST(annee AS VARCHAR) END AS periode, annee, tmja, pc_pl
+FROM a JOIN g USING (zone) WHERE annee >= 1995 OR (zone, annee) IN (SELECT (zone, max(annee)) FROM a WHERE annee < 1995 GROUP BY zone)""")
+def layout_zones_by_year(spark, d):
+    """Zones of one to three positions, of each kind of point and of several."""
+    z, q = F.col("id") % 300, F.floor(F.col("id") / 300)
+    kind = F.when((z % 5 == 0) & (q % 7 == 0), "Double").when((z % 5 == 3) | (z % 5 == 4) & (q % 2 == 0), "Detecteur").otherwise("Simple")
+    text = z.cast("string")
+    p = S.comptage(spark, d).select(
+        "id", F.concat(F.lit("Z"), text).alias("zone"), kind.alias("type"), (z + 2.0 * (q % (1 + F.floor(z / 5) % 3))).alias("x"), z.cast("double").alias("y"),
+        "annee", "debut", "tmja", "pc_pl", F.concat(F.lit("Rue "), text).alias("voie"),
+    )
+    return layouts.zones_by_year(p, since=1995, span=(1993, 1997))
+
+
+def classified(spark, d):
+    """Counters of even départements under a provider's id, some of them mapped; the others are stored."""
+    c, k = S.compteur(spark, d), F.substring("id_comptag", 2, 9)
+    new = c.where("dep % 2 = 0").select(F.concat(F.lit("G"), k).alias("id_comptag"), "x", "y", "tmja")
+    mapping = S.table(spark, d, "customer").select(F.concat(F.lit("G"), (F.col("c_custkey") * 4).cast("string")).alias("id_gest"), S.counter(F.col("c_custkey")).alias("id_gti"))
+    return chains.classify(new, c.where("dep % 2 = 1"), mapping, S.sections(spark, d), 30.0, cell=100.0)
+
+
+_CLASSIFIED = f"""
+n AS (SELECT CAST(substr(c.id_comptag, 2) AS INTEGER) AS k, c.tmja, m.gid FROM compteur c LEFT JOIN {_NEAREST} m USING (id_comptag) WHERE c.dep % 2 = 0),
+i AS (SELECT n.*, coalesce('C' || c_custkey, 'G' || k) AS un FROM n LEFT JOIN customer ON c_custkey * 4 = k),
+s AS (SELECT id_comptag FROM compteur WHERE dep % 2 = 1),
+t AS (SELECT gid, arg_min(id_comptag, (distance, id_comptag)) AS id_gti FROM {_NEAREST} JOIN s USING (id_comptag) GROUP BY 1),
+f AS (SELECT un AS id_gest, id_gti FROM i JOIN t USING (gid) WHERE un NOT IN (SELECT id_comptag FROM s))"""
+
+
+@query(f"WITH {_CLASSIFIED} SELECT id_gest, id_gti FROM f")
+def chain_classify_mapping(spark, d):
+    return classified(spark, d)["correspondances"]
+
+
+@query(f"WITH {_CLASSIFIED} SELECT coalesce(id_gti, un) AS id_comptag, tmja, coalesce(id_gti, un) IN (SELECT id_comptag FROM s) AS connu FROM i LEFT JOIN f ON un = id_gest")
+def chain_classify_counts(spark, d):
+    return classified(spark, d)["comptages"].select("id_comptag", "tmja", "connu")
+
+
+def city(spark, d):
+    p = S.passages(spark, d).withColumn("fichier", F.concat("id_comptag", F.lit("_"), "sens", F.lit(".csv")))
+    files = p.select("fichier", F.concat(F.lit("Ville-"), "id_comptag").alias("id_comptag"), "sens").distinct()
+    return chains.city_files(p.select("fichier", "date_heure", "type_veh"), files)
+
+
+@query(f"""
+SELECT 'Ville-' || id_comptag AS id_comptag, jour, indicateur, {', '.join(f"CAST(count(*) FILTER (WHERE h = {k}) AS BIGINT) AS {c}" for k, c in enumerate(HOURS))} FROM (
+  SELECT id_comptag, CAST(date_heure AS DATE) AS jour, hour(date_heure) AS h, unnest(CASE WHEN type_veh = 'PL' THEN ['TV', 'PL'] ELSE ['TV'] END) AS indicateur FROM passages) GROUP BY ALL""")
+def chain_city_hourly(spark, d):
+    return city(spark, d)["horaire"]
+
+
+@query(f"""
+SELECT 'Ville-' || id_comptag AS id_comptag, tmja, pc_pl_mja, tmjo, pc_pl_mjo, nb_sens, fichier, annee, periode FROM ({STEPS['agg_csv_indicators']}) JOIN (
+  SELECT id_comptag, count(DISTINCT sens) AS nb_sens, min(id_comptag || '_' || sens || '.csv') AS fichier, year(min(date_heure)) AS annee, strftime(min(date_heure), '%Y/%m/%d') || '-' || strftime(max(date_heure), '%Y/%m/%d') AS periode FROM passages GROUP BY 1) USING (id_comptag)""")
+def chain_city_indicators(spark, d):
+    return city(spark, d)["agrege"]
+
+
+_FILLED = f"""
+SELECT id_comptag, jour, year(jour) AS annee, indicateur, {', '.join(f"CAST(sum(CASE WHEN h = {k} THEN nb_veh ELSE 0 END) AS BIGINT) AS {c}" for k, c in enumerate(HOURS))} FROM (
+  SELECT id_comptag, CAST(pas AS DATE) AS jour, hour(pas) AS h, nb_veh, unnest(CASE WHEN type_veh = 'PL' THEN ['TV', 'PL'] ELSE ['TV'] END) AS indicateur
+  FROM (WITH {_FOLDED} SELECT * FROM (WITH passages AS (SELECT * FROM folded) SELECT * FROM ({STEPS['agg_hourly_counts']}))) WHERE type_veh <> 'TV') GROUP BY ALL"""
+
+
+def recorded(spark, d):
+    p = S.campagnes(spark, d)
+    n = F.substring("id_comptag", 2, 1).cast("int")
+    notes = p.select("id_comptag").distinct().where(n % 3 > 0).withColumn("qualite", n % 3)
+    return chains.records_to_indicators(p, notes)
+
+
+@query(_FILLED)
+def chain_records_hourly(spark, d):
+    return recorded(spark, d)["horaire"]
+
+
+@query(f"""
+SELECT id_comptag, annee, unnest(['tmja', 'pc_pl']) AS indicateur, unnest([CAST(tv AS DOUBLE), round(pl / tv * 100, 2)]) AS valeur, CASE WHEN k % 3 > 0 THEN k % 3 END AS qualite FROM (
+  SELECT id_comptag, annee, CAST(substr(id_comptag, 2, 1) AS INTEGER) AS k, CAST(trunc(avg({_TOTAL}) FILTER (WHERE indicateur = 'TV')) AS INTEGER) AS tv, CAST(trunc(avg({_TOTAL}) FILTER (WHERE indicateur = 'PL')) AS INTEGER) AS pl FROM ({_FILLED}) GROUP BY ALL) WHERE tv > 0 AND pl IS NOT NULL""")
+def chain_records_indicators(spark, d):
+    return recorded(spark, d)["agrege"]
+
+
+def mapped(spark, d):
+    """Counts as rows of a road map's table; those of some counters break a rule."""
+    c, k, n = S.comptage(spark, d), F.col("id"), F.substring("id_comptag", 2, 9).cast("int")
+    on = k % 3 > 0
+    odd, missing = (n % 10 == 3) & (k % 20 == 1), k % 90 == 1
+    obs = F.when(missing & ~((n % 10 == 4) & (k % 4 == 3)), "suite: Donnees Non Disponibles").when(k % 2 == 0, "ok")
+    sheet = c.select("id_comptag", F.when(on, "t").otherwise("f").alias("carto"), F.when(on & ~odd, "t").alias("diffusable"), F.when(on, F.col("src")).alias("src"), F.when(~missing, F.col("tmja")).alias("tmja"), "pc_pl", obs.alias("obs"))
+    return chains.map_table(sheet, c.where("src = '1-URGENT'"), 1995, "carte.ods")
+
+
+_MAPPED = """
+m AS (SELECT *, id % 90 = 1 AS manque, k % 10 = 3 AND id % 20 = 1 AS impair, k % 10 = 4 AND id % 4 = 3 AND id % 90 = 1 AS muet FROM (SELECT *, CAST(substr(id_comptag, 2) AS INTEGER) AS k FROM comptage) WHERE id % 3 > 0),
+e AS (SELECT id_comptag, 'carto, diffusable et src' AS regle, count(*) AS n FROM m WHERE impair GROUP BY 1 UNION ALL SELECT id_comptag, 'mention', count(*) FROM m WHERE muet GROUP BY 1)"""
+
+
+@query(f"WITH {_MAPPED} SELECT * FROM e")
+def chain_map_checks(spark, d):
+    return mapped(spark, d)["ecarts"]
+
+
+@query(f"""
+WITH {_MAPPED} SELECT id_comptag, CASE WHEN NOT bool_or(manque) THEN CAST(sum(tmja) AS BIGINT) END AS tmja, CASE WHEN NOT bool_or(manque) THEN round(avg(pc_pl), 4) END AS pc_pl, min(src) AS src, 1995 AS annee, 'carte.ods' AS fichier,
+  CASE WHEN id_comptag IN (SELECT id_comptag FROM comptage WHERE annee = 1995 AND src = '1-URGENT') THEN 'update' ELSE 'insert' END AS action
+FROM m WHERE id_comptag NOT IN (SELECT id_comptag FROM e) GROUP BY 1""")
+def chain_map_counts(spark, d):
+    return mapped(spark, d)["comptages"]

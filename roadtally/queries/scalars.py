@@ -223,7 +223,10 @@ def fn_address_number(spark, d):
 
 @query("SELECT id_comptag, 'site' || pr AS dossier FROM compteur")
 def fn_reference_folder(spark, d):
-    path = F.concat(F.lit("/data/site"), F.col("pr").cast("string"), F.when(F.col("dep") % 2 == 0, "/vers nord/a.mdb").otherwise("/a.mdb"))
+    site = F.concat(F.lit("site"), F.col("pr").cast("string"))
+    before = F.when(F.col("dep") % 4 < 2, "/data/en_cours/").when(F.col("dep") % 4 == 2, "D:\\en_cours\\lot\\").otherwise("/data/en_cours/lot/")
+    after = F.when(F.col("dep") % 4 == 0, "/vers nord/a.mdb").when(F.col("dep") % 4 == 2, "\\poste\\a.mdb").otherwise("/a.mdb")
+    path = F.concat(before, site, after)
     return S.compteur(spark, d).select("id_comptag", fn.reference_folder(path).alias("dossier"))
 
 
