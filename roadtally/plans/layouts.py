@@ -153,7 +153,8 @@ def hourly_sheets(lines: DataFrame, known: DataFrame, most_zeros: int = 8, share
     """
     cell = lambda k: F.get("cells", F.lit(k))
     on = lambda line, c: F.max(F.when(F.col("ligne") == line, c))
-    sheets = lines.groupBy("feuille").agg(on(0, cell(0)).alias("voie"), on(0, cell(1)).alias("boucle"), on(titles, F.col("cells")).alias("titres"), F.min(F.when(cell(0) == stop, F.col("ligne"))).alias("fin"))
+    heads = lines.where(F.col("ligne").isin(0, titles) | (cell(0) == stop))  # only these lines are grouped
+    sheets = heads.groupBy("feuille").agg(on(0, cell(0)).alias("voie"), on(0, cell(1)).alias("boucle"), on(titles, F.col("cells")).alias("titres"), F.min(F.when(cell(0) == stop, F.col("ligne"))).alias("fin"))
     # where each hour stands, found once a sheet
     sheets = sheets.withColumn("rang", F.array(*[F.array_position("titres", f"{h}-{h + 1}h").cast("int") for h in range(24)]))
     sheets = jo.fallback_key(sheets, known.withColumn("cle2", F.replace("cle2", F.lit("_"), F.lit(" "))), F.col("boucle"), F.replace("voie", F.lit("_"), F.lit(" ")), "id_comptag")
