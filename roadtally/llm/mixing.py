@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise, text_or_empty, word_count
 
-BUCKETS = 256
+#: Buckets of a source in hash order: at least so many, and more where one would hold more rows than that on average.
+BUCKETS, BUCKET_ROWS = 256, 100_000
 STEEPNESS = 0.8
 MOST = 3
 #: Tells apart the rows of size above 0.
@@ -108,9 +109,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_or_empty(text_col)).cast("long").alias("size"), _row_hash(id_col, text_col).alias("h"))
-    rows = materialise(rows.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")), "mix-rows")
+    rows = materialise(rows, "mix-rows")
     # code points sort as UTF-8 bytes do; as many rows as there are sources
-    sizes = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
+    each = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    sizes = [(r["source"], r["size"]) for r in each]
+    buckets = max(BUCKETS, int(max((r["n"] for r in each), default=0) / BUCKET_ROWS) + 1)
+    rows = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
     plan = [(s, n, t, (2 * k / (len(sizes) - 1) - 1) * steepness if len(sizes) > 1 else 0.0) for k, (s, n, t) in enumerate(targets(sizes))]
     plan_table = spark.createDataFrame(plan, "source string, source_size long, target double, slope double")
     rows = rows.join(plan_table.withColumnRenamed("source", "p_source"), F.col("source").eqNullSafe(F.col("p_source"))).drop("p_source")

@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from .common import LETTERS, NOT_PLAIN
 
 FRAME_BYTES = 256 * 1024
+#: Text of a file at most, on average, and what a document counts besides its text.
+FILE_BYTES, ROW_BYTES = 256 << 20, 32
 SEEK_MAGIC, INDEX_MAGIC, TAIL_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("at", "<u4"), ("n", "<u4")])
 TABLE = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
@@ -171,13 +173,15 @@ class Reader:
         return [self.frame(f)[4 * at : 4 * (at + n)] for _, _, f, at, n in self.index[same].tolist()]
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", make: Callable[[str], WordEncoder] = word_encoder) -> list[tuple[int, str, int, int]]:
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", make: Callable[[str], WordEncoder] = word_encoder, file_bytes: int = FILE_BYTES) -> list[tuple[int, str, int, int]]:
     """Write the files, in ascending doc_id order; returns (part, path, documents, ids) of each.
 
-    The list has one entry for each file, so as many as there are shuffle partitions at most.
+    There are as many files as shuffle partitions, and more where a file would hold more than ``file_bytes`` of text,
+    so that a file and its index stay of one size as the corpus grows.  The list has one entry for each file.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length(text_col).cast("long") + ROW_BYTES)).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -253,11 +253,14 @@ def test_repeats_leave_nothing_behind_when_they_fail(spark, monkeypatch):
 # token files and byte-pair encoding
 
 
-def test_token_files(spark):
+@pytest.mark.parametrize("file_bytes", [token_store.FILE_BYTES, 64])
+def test_token_files(spark, file_bytes):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    files = token_store.write_tokens(frame(spark), fresh_path(spark, "tokens"), P.path("word_bpe_49k.json"), end_id=1)
+    files = token_store.write_tokens(frame(spark), fresh_path(spark, "tokens"), P.path("word_bpe_49k.json"), end_id=1, file_bytes=file_bytes)
+    # files grow in number, not in size
+    assert (len(files) > int(spark.conf.get("spark.sql.shuffle.partitions"))) == (file_bytes == 64)
     got = token_store.read_tokens(spark, files).orderBy("start").collect()
     start, expected = 0, []
     for doc_id, text, *_ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
@@ -534,7 +537,10 @@ def test_position_inverts_the_demand(spark):
     assert df.select(F.max(F.abs(mixing.position(x, F.lit(200.0), F.col("a")) - F.col("t")))).first()[0] < 1e-9
 
 
-def test_mixing(spark):
+@pytest.mark.parametrize("bucket_rows", [mixing.BUCKET_ROWS, 0.1])
+def test_mixing(spark, monkeypatch, bucket_rows):
+    """With many rows there are more buckets than 256; the targets are met as well."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
     rows = ROWS + [(1000 + k, " ".join(["w"] * (1 + k * 7 % 90)), "en", "abcd"[k % 4] if k % 9 else None) for k in range(400)]
     got = mixing.mix(frame(spark, rows)).collect()
     plan = {s: (n, t) for s, n, t in mixing.targets([(s, sum(len(words(r[1])) for r in rows if r[3] == s)) for s in {r[3] for r in rows}])}
