@@ -30,8 +30,9 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: str, *cols: str) ->
 
 
 def fill_back(df: DataFrame, keys: Sequence[str], order: str, *cols: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
+    """Runs through the rows from the last to the first: a frame that ends with the group would be gone through again for every row."""
+    w = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
 def day_rollover(df: DataFrame, keys: Sequence[str], order: str, day: str) -> DataFrame:
