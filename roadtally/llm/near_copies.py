@@ -1,19 +1,24 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more link.
 
-Candidates share a band: ``BANDS`` keys a text, each of ``ROWS`` minima of
-hashed shingles, so a pair of similarity 0.8 meets with a chance of 0.9999.
-Candidates whose 64-bit SimHash fingerprints of the same shingles differ in more
-than ``DISTANCE`` bits (0.8 is expected at 10, unrelated texts at 32) drop out;
-all others are compared by their whole sets of 64-bit shingle hashes.
-
-Members of a band are first compared with two of them, which differ from band to
-band; that settles large groups of copies in one linear step.  In bands whose
-members are then still in several components, those outside the band's largest
-component are compared with the members of other components; pairs inside a
-component are never made.  Before whole sets are compared, four bits of each
-of the ``BANDS * ROWS`` minima tell apart pairs that can't be similar enough:
-at 0.8, 22.5 minima are expected to differ, more than ``APART`` with a chance of
-1 in 22,000.
+Candidates come out of SimHash fingerprints: majority bits of the hashed shingles,
+256 of them or more, each of which two texts at 0.8 share with a chance of
+``AGREE`` (unrelated ones: one half).  ``shape`` tables deal the fingerprints to
+buckets of some ``BUCKET`` texts, each table by bits of its own; there are so many
+tables that two texts at 0.8 miss each other in all with a chance of ``MISS``.
+More texts need longer bucket numbers and more tables, so rows grow with the power
+1.24 of the texts.  A bucket is searched by the Gray index of ``simhash`` over 64
+bits (``DISTANCE``: 0.8 is expected at 10, unrelated texts at 32) and then by 256
+bits (``APART``: 0.8 is expected at 39, more than 62 with a chance of about 1 in
+10,000; unrelated texts at 128).  It returns the clusters of what links there, so
+that texts without a candidate go at once; all candidates are compared by their
+whole sets of 64-bit shingle hashes.  A crowded bucket, most of which is around
+one text (``AROUND``), is one cluster of those, and only the others are compared.
+
+Members of a cluster are first compared with two of them, which differ from cluster
+to cluster; that settles large groups of copies in one linear step.  In clusters
+whose members are then still in several components, those outside the cluster's
+largest component are compared with the members of other components; pairs inside
+a component are never made.
 
 A large group whose members differ from one text, each in its own way, has many
 pairs just below the limit.  They are told apart exactly: of the texts that are
@@ -21,7 +26,7 @@ still open, shingles that at most ``RARE`` of them have are rare.  Two texts sha
 no more than the smaller of their numbers of other shingles, plus the rare ones
 that both have; the latter are counted pair by pair, ``(RARE - 1) / 2`` rows a
 shingle at most.  A text whose own other shingles can't reach the limit with the
-smallest text of its band meets no partner there.
+smallest text of its cluster meets no partner there.
 
 Defined results: words are compared in lower case; a text of up to five words is
 one shingle; texts of no word link; equal texts link; a null id comes after all
@@ -30,6 +35,7 @@ others; an empty table gives an empty result; other columns are never looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,13 +47,24 @@ from pyspark.sql import types as T
 
 from .common import forget, materialise
 from .components import components
-from .simhash import SEED, keep_first, majority, shingle_hashes
-
-SHINGLE, DISTANCE = 5, 24
-BANDS, ROWS, APART, RARE = 24, 5, 40, 4
+from .simhash import SEED, GrayIndex, forest, gray_rank, keep_first, shingle_hashes
+
+SHINGLE, DISTANCE, APART, AROUND, RARE = 5, 24, 62, 88, 4
+BUCKET, CROWD, MISS = 2048, 8192, 1e-4
+#: At a similarity of 0.8, sets of one size have a cosine of 8/9.
+AGREE = 1 - math.acos(8 / 9) / math.pi
+#: Words of 64 bits that are compared, and at most worked out.
+WIDE, MOST = 4, 40
 _DRAW = np.random.default_rng(SEED)
-FLIP = _DRAW.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64)
-TIMES = _DRAW.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
+FLIP = _DRAW.integers(0, 2**64, (MOST, 1), np.uint64)
+TIMES = _DRAW.integers(0, 2**64, (MOST, 1), np.uint64) | np.uint64(1)
+EIGHTH = np.uint64(0x0101010101010101)
+
+
+def shape(texts: int) -> tuple[int, int]:
+    """Bits of a bucket's number, and tables."""
+    bits = min(16, max(0, math.ceil(math.log2(max(1, texts) / BUCKET))))
+    return bits, math.ceil(math.log(MISS) / math.log(1 - AGREE**bits)) if bits else 1
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -56,33 +73,66 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        least = np.minimum(least, ((hashes[at : at + 2048] ^ FLIP) * TIMES).min(axis=1))
-    return least
-
-
-def planes(least: np.ndarray) -> np.ndarray:
-    """Four bits of each minimum, as two longs for each of the four."""
-    mixed = least * np.uint64(0x9E3779B97F4A7C15)
-    bits = np.zeros((4, 128), np.uint8)
-    for k in range(4):
-        bits[k, : len(least)] = mixed >> np.uint64(60 + k) & np.uint64(1)
-    return np.packbits(bits, axis=1).view("<i8").ravel()
-
-
-def bands(least: np.ndarray) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, ROWS))], np.uint64)
-
-
-@F.pandas_udf(T.StructType().add("fp", T.LongType()).add("keys", T.ArrayType(T.LongType())).add("planes", T.ArrayType(T.LongType())))
-def _signature(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        found = [shingles(t) for t in texts]
-        fps = np.array([majority([h]) for h in found], np.uint64).view(np.int64)
-        least = [minima(h) for h in found]
-        yield pd.DataFrame({"fp": fps, "keys": [bands(m).view(np.int64) for m in least], "planes": [planes(m) for m in least]})
+def majorities(hashes: np.ndarray, words: int) -> np.ndarray:
+    """64 bits for each of ``words`` SimHash fingerprints of the hashes, mixed anew for each: the bits that more than half have."""
+    ones = np.zeros((words, 8, 8), np.int64)
+    for at in range(0, len(hashes), 4080):
+        x = (hashes[at : at + 4080] ^ FLIP[:words]) * TIMES[:words]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        cuts = np.arange(0, x.shape[1], 255)  # a byte counts that far
+        for k in range(8):
+            ones[:, k] += np.add.reduceat(x >> np.uint64(k) & EIGHTH, cuts, axis=1).view(np.uint8).reshape(words, -1, 8).sum(axis=1, dtype=np.int64)
+    return (ones * 2 > len(hashes)).reshape(-1)
+
+
+def signature(bits: int, tables: int) -> Column:
+    """f: the words that are compared; keys: the text's bucket in each table."""
+
+    @F.pandas_udf(T.StructType([T.StructField("f", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType()))]))
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        words = max(WIDE, -(-bits * tables // 64))
+        place, first = 1 << np.arange(bits, dtype=np.int64), np.arange(tables, dtype=np.int64) << bits
+        for texts in batches:
+            found = [majorities(shingles(t), words) for t in texts]
+            f = [np.packbits(m[: WIDE * 64]).view("<i8") for m in found]
+            yield pd.DataFrame({"f": f, "keys": [first + m[: bits * tables].reshape(tables, bits) @ place for m in found]})
+
+    return compute("text")
+
+
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def _links(f: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of places, enough to connect all fingerprints that are near each other; ``f`` is in Gray order of its first word."""
+    n = len(f)
+    if n > CROWD:
+        tried = [_differ(f, f[at]) <= AROUND for at in range(0, n, n // 8)]
+        around = max(tried, key=np.count_nonzero)
+        rest = np.flatnonzero(~around)
+        if len(rest) * 2 < n:
+            most = np.flatnonzero(around)
+            yield most, np.full(len(most), most[0])
+            for at in rest:
+                near = np.flatnonzero(_differ(f, f[at]) <= APART)
+                yield near, np.full(len(near), at)
+            return
+    for a, b in GrayIndex(f[:, 0]).pairs(DISTANCE):
+        near = _differ(f[a], f[b]) <= APART
+        yield a[near], b[near]
+
+
+def _search(part: pd.DataFrame) -> pd.DataFrame:
+    """Clusters of a bucket: key, h; texts that are near no other are left out."""
+    f = part[[f"f{k}" for k in range(WIDE)]].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(gray_rank(f[:, 0]), kind="stable")
+    root, h = forest(len(f), _links(f[order])), part["h"].to_numpy(np.int64)[order]
+    size = np.bincount(root, minlength=len(root))
+    own = size[root] > 1
+    return pd.DataFrame({"bucket": np.full(int(own.sum()), part["bucket"].iloc[0]) if len(part) else [], "root": root[own], "h": h[own]})
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -92,14 +142,9 @@ def _set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def _near(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= DISTANCE
-
-
-def _alike(a: str, b: str) -> Column:
-    """Whether no more than ``APART`` minima differ in the four bits."""
-    word = lambda k: F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
-    differ = [word(k).bitwiseOR(word(k + 2)).bitwiseOR(word(k + 4)).bitwiseOR(word(k + 6)) for k in (0, 1)]
-    return F.bit_count(differ[0]) + F.bit_count(differ[1]) <= APART
+    """Whether fingerprints are near each other, in the first 64 bits and in all."""
+    differ = [F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(WIDE)]
+    return (differ[0] <= DISTANCE) & (sum(differ[1:], differ[0]) <= APART)
 
 
 def _sets(asked: DataFrame, texts: DataFrame) -> DataFrame:
@@ -125,7 +170,7 @@ def _pair(x: str, y: str) -> list[Column]:
 def _across(open_: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that may be similar.
 
-    ``open_``: key, h, fp, planes, keys, component, main - the members of bands that have several components.
+    ``open_``: key, h, f, keys, component, main - the members of clusters that have several components.
     """
     gram = sets.select("h", F.explode("s").alias("gram"))
     held = materialise(gram.join(gram.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") <= RARE), "gram"), "near-rare")
@@ -136,13 +181,13 @@ def _across(open_: DataFrame, sets: DataFrame) -> DataFrame:
     able = open_.join(of.drop("component"), "h").where(F.col("other") * 5 >= F.col("size") * 4)
     floor = able.groupBy("key").agg(F.min("size").alias("floor"))
     able = able.join(floor, "key").where(_reaches(F.col("other"), F.col("size"), F.col("floor")))
-    side = lambda s: [F.col(c).alias(f"{s}{n}") for c, n in (("h", ""), ("fp", "_fp"), ("component", "_in"), ("planes", "_planes"), ("keys", "_keys"), ("size", "_size"), ("other", "_other"))]
+    side = lambda s: [F.col(c).alias(f"{s}{n}") for c, n in (("h", ""), ("f", "_f"), ("component", "_in"), ("keys", "_keys"), ("size", "_size"), ("other", "_other"))]
     x, y = able.where("component <> main").select("key", *side("x")), able.select("key", (F.col("component") == F.col("main")).alias("y_main"), *side("y"))
-    # every band that two such texts share would make the pair: only the first one does, and in one order
+    # every cluster that two such texts share would make the pair: only the first one does, and in one order
     once = (F.col("y_main") | F.expr("x < y")) & (F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("key"))
     enough = _reaches(F.least("x_other", "y_other"), F.col("x_size"), F.col("y_size"))
     apart = F.col("x_in") != F.col("y_in")
-    plain = x.join(y, "key").where(apart & enough & _near("x_fp", "y_fp") & _alike("x_planes", "y_planes") & once).select(*_pair("x", "y"))
+    plain = x.join(y, "key").where(apart & enough & _near("x_f", "y_f") & once).select(*_pair("x", "y"))
     # with some
     some = held.where("n > 1").select("gram", "h")
     both = some.withColumnRenamed("h", "x").join(some.withColumnRenamed("h", "y"), "gram").where("x > y").groupBy("x", "y").agg(F.count("*").alias("r"))
@@ -158,22 +203,28 @@ def _across(open_: DataFrame, sets: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, text_hash, component."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = materialise(texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "h", _signature("text").alias("g")).select("doc_id", "text_hash", "h", "g.fp", "g.keys", "g.planes"), "near-rows")
+    form = shape(texts.count())
+    rows = materialise(texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "h", signature(*form).alias("g")).select("doc_id", "text_hash", "h", "g.f", "g.keys"), "near-rows")
     one = rows.dropDuplicates(["h"])
-    each = one.select("h", "fp", F.explode("keys").alias("key"))
-    order = F.struct(F.xxhash64("h", "key").alias("o"), "h", "fp")
-    ends = each.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi")).where("n > 1").drop("n")
+    dealt = one.select("h", *[F.get("f", F.lit(k)).alias(f"f{k}") for k in range(WIDE)], F.explode("keys").alias("bucket"))
+    each = dealt.groupBy("bucket").applyInPandas(_search, "bucket long, root long, h long").select(F.xxhash64("bucket", "root").alias("key"), "h")
+    each = materialise(each, "near-clusters")
+    held = materialise(each.groupBy("h").agg(F.collect_list("key").alias("keys")).join(one.select("h", "f"), "h"), "near-held")
+    each = each.join(held.select("h", "f"), "h")
+    order = F.struct(F.xxhash64("h", "key").alias("o"), "h", "f")
+    ends = each.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
     shared = materialise(each.join(ends, "key"), "near-shared")
-    spokes = shared.select("h", "fp", F.explode(F.array("lo", "hi")).alias("m")).select("h", "fp", F.col("m.h").alias("m"), F.col("m.fp").alias("m_fp"))
-    star = materialise(spokes.where((F.col("h") != F.col("m")) & _near("fp", "m_fp")).select(*_pair("h", "m")).distinct(), "near-star")
+    spokes = shared.select("h", "f", F.explode(F.array("lo", "hi")).alias("m")).select("h", "f", F.col("m.h").alias("m"), F.col("m.f").alias("m_f"))
+    star = materialise(spokes.where((F.col("h") != F.col("m")) & _near("f", "m_f")).select(*_pair("h", "m")).distinct(), "near-star")
     sets = _sets(star.select(F.explode(F.array("a", "b")).alias("h")), texts)
     links = _similar(star, sets)
     forget(sets)
     member = materialise(components(links), "near-members").withColumnRenamed("node", "h")
-    placed = shared.select("key", "h", "fp").join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
+    placed = shared.select("key", "h").join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("n")).where("n > 1").drop("n")
-    open_ = materialise(placed.join(mixed, "key").join(one.select("h", "planes", "keys"), "h"), "near-open")
+    open_ = materialise(placed.join(mixed, "key").join(held, "h"), "near-open")
+    forget(held)
     forget(shared)
     if not open_.isEmpty():
         sets = _sets(open_, texts)

@@ -121,3 +121,33 @@ def test_texts_without_any_label_stay(spark):
     rows = [(k, t, None, "a") for k, t in enumerate(["one text", "Straße", "日本語", "12 34 !!", "", None])]
     kept = corpus_pipeline.identify_language(spark, frame(spark, rows).select(*COLUMNS), "")
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2]
+
+
+def test_near_copies_come_from_tables_of_fingerprints(spark):
+    """With small buckets, texts meet by parts of their fingerprints only; crowded ones are one cluster around a text."""
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randrange(400)}" for _ in range(80)) for _ in range(120)]
+    for k in range(0, 120, 3):
+        words = texts[k].split()
+        words[draw.randrange(80)] = "new"
+        texts.append(" ".join(words))
+    one = texts[0].split()
+    texts += [" ".join(one[:k] + [f"n{k}"] + one[k + 1 :]) for k in range(5, 75)]
+    f = [near_copies.majorities(near_copies.shingles(t), 4) for t in texts]
+    assert 10 < np.mean([(f[120 + k] != f[3 * k]).sum() for k in range(40)]) < 40 and 115 < np.mean([(f[k] != f[k + 1]).sum() for k in range(119)]) < 141
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(near_copies, "BUCKET", 8)
+        assert near_copies.shape(len(texts)) == (5, 16)
+        got = near_copies.near_components(frame(spark, [(k, t, "en", "a") for k, t in enumerate(texts)])).select("doc_id", "component").collect()
+    least = {}
+    for r in got:
+        least[r["component"]] = min(r["doc_id"], least.get(r["component"], r["doc_id"]))
+    assert [least[r["component"]] for r in sorted(got)] == grouped(texts)
+    words = np.stack([np.packbits(x).view("<u8") for x in f])
+    words = words[np.argsort(near_copies.gray_rank(words[:, 0]), kind="stable")]
+    plain = near_copies.forest(len(words), near_copies._links(words))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(near_copies, "CROWD", 60)
+        near = words[near_copies._differ(words, words[np.bincount(plain).argmax()]) <= 90]
+        root = near_copies.forest(len(near), near_copies._links(near))
+    assert len(near) > 60 and len(set(root)) == 1
