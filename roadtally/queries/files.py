@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,29 @@ def files_of(lines: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     kept.write.partitionBy("point", "part").options(encoding=encoding, sep="\u0001", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
+def small_files(rows: DataFrame, path: str) -> None:
+    """Writes ``rows`` (name, value) as one file each, below ``path``.
+
+    Spark's own writer takes a folder, a file, a checksum and a change of rights for each, some hundred times as long.
+    A task that is run again writes the same files.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        disk, root = pafs.FileSystem.from_uri(path)
+        made = set()
+        for batch in batches:
+            for name, value in zip(batch["name"].to_pylist(), batch["value"].to_pylist()):
+                folder = f"{root}/{name}".rpartition("/")[0]
+                if folder not in made:
+                    disk.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with disk.open_output_stream(f"{root}/{name}") as file:
+                    file.write(value.encode())
+            yield pa.record_batch({"files": [len(batch)]})
+
+    rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
 @query("SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'ete a ' || s_nationkey END AS nom FROM supplier")
 def src_delimited(spark, d):
     s = S.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 3 != 0, F.concat(F.lit("été à "), F.col("s_nationkey").cast("string"))).alias("nom"))
@@ -169,12 +196,13 @@ def src_catalog(spark, d):
 
 @query("SELECT 'C' || (s_suppkey % 10) AS point, string_agg('C' || (s_suppkey % 10) || '_' || s_suppkey, ',' ORDER BY 'C' || (s_suppkey % 10) || '_' || s_suppkey) AS fichiers, count(*) AS n FROM supplier GROUP BY 1")
 def src_files_by_name(spark, d):
-    """A folder for each supplier; the folder's name stands for the file's."""
-    k = F.col("s_suppkey").cast("string")
+    """A file for each supplier, in folders of a thousand."""
+    k = F.col("s_suppkey")
     path = fresh_path(spark, "names")
-    S.table(spark, d, "supplier").select(F.concat(F.lit("C"), (F.col("s_suppkey") % 10).cast("string"), F.lit("_"), k).alias("nom"), k.alias("value")).write.partitionBy("nom").text(path)
-    own = rd.files_by_name(spark, path, r"nom=(C\d+)_\d+/[^/]+\.txt$")
-    return own.withColumn("fichiers", F.array_join(F.array_sort(F.transform("fichiers", lambda x: F.regexp_extract(x, "nom=([^/]+)/", 1))), ","))
+    name = F.concat(F.floor(k / 1000).cast("string"), F.lit("/C"), (k % 10).cast("string"), F.lit("_"), k.cast("string"), F.lit(".txt"))
+    small_files(S.table(spark, d, "supplier").select(name.alias("name"), k.cast("string").alias("value")), path)
+    own = rd.files_by_name(spark, path, r"/(C\d+)_\d+\.txt$")
+    return own.withColumn("fichiers", F.array_join(F.array_sort(F.transform("fichiers", lambda x: F.regexp_extract(x, r"/([^/]+)\.txt$", 1))), ","))
 
 
 @query("SELECT o_custkey % 50 AS point, sha256(o_orderstatus || o_orderpriority) AS empreinte, min('f' || o_orderkey) AS nom FROM orders GROUP BY 1, 2")

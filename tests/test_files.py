@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadtally import standins as S
-from roadtally.queries import QUERIES, files
+from roadtally.queries import QUERIES, SQL, files
 from roadtally.sources import readers as rd
 
-from .oracle import DATA
+from .oracle import DATA, spark_rows, sql_rows
 
 SF = f"{DATA}/sf0.001"
 
@@ -181,3 +181,13 @@ def test_geojson_of_any_properties_and_geometry(spark, tmp_path):
     written(tmp_path / "b", "broken.json", ["{"])
     got = {r.k: r for r in rd.geojson(spark, f"file://{tmp_path}/b", {"k": "string"}).selectExpr("*", "variant_get(proprietes, '$.deep.x[1].y', 'int') AS y").collect()}
     assert {k: (r.type, r.lon, r.lat, len(r.points), r.y) for k, r in got.items()} == {"Point": ("Point", 1.5, 2.0, 1, 2), "LineString": ("LineString", 1.0, 2.0, 2, 2), "Polygon": ("Polygon", 0.0, 0.0, 8, 2)}
+
+
+def test_names_are_files_in_few_folders(spark, tmp_path, monkeypatch):
+    """A file for each supplier; folders hold a thousand, none stands for a single file."""
+    monkeypatch.setattr(files, "fresh_path", lambda spark, kind: f"{tmp_path}/{kind}")
+    sf = f"{DATA}/sf0.1"
+    found = spark_rows(QUERIES["src_files_by_name"](spark, sf))
+    written = [f for f in glob.glob(f"{tmp_path}/**", recursive=True) if f.endswith(".txt")]
+    assert len(written) == S.table(spark, sf, "supplier").count() and len({f.rpartition("/")[0] for f in written}) == 1
+    assert found == sql_rows(SQL["src_files_by_name"], sf)
